@@ -86,12 +86,19 @@ def eta_contract(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in ETA_FEATURES], *sel)
 
 
+REQUEST_INPUTS = ["distance_km", "traffic_level", "is_festival", "delivery_person_age", "delivery_person_rating",
+                  "vehicle_condition", "order_hour", "day_of_week", "weather_encoded", "city_zone"]
+
+
 def eta_request_features(requests: DataFrame, now_hour: int, now_dow: int) -> DataFrame:
-    """Request rows -> full feature vector. 'now' is a parameter so runs repeat.
+    """Request rows -> the full ETA feature vector.
 
-    Request columns: distance_km, traffic_level, is_festival, delivery_person_age,
-    delivery_person_rating, vehicle_condition, order_hour, day_of_week,
-    weather_encoded, city_zone (all optional except distance_km).
+    Inputs (all optional but distance_km): traffic_level, is_festival,
+    delivery_person_age, delivery_person_rating, vehicle_condition,
+    order_hour, day_of_week, weather_encoded, city_zone. Null means "use the
+    default" (age 30, rating 4.0, vehicle 1, weather 1, zone unknown,
+    traffic 1, hour / weekday = the given 'now', so runs repeat). Other
+    request columns (ids) are kept.
     """
     cols = set(requests.columns)
     g = lambda c, d: F.coalesce(F.col(c), F.lit(d)) if c in cols else F.lit(d)
@@ -101,8 +108,9 @@ def eta_request_features(requests: DataFrame, now_hour: int, now_dow: int) -> Da
     traffic = g("traffic_level", 1).cast("bigint")
     fest = F.when(g("is_festival", False).cast("boolean"), 1).otherwise(0).cast("bigint")
     age = g("delivery_person_age", 30.0).cast("double")
+    keep = [c for c in requests.columns if c not in REQUEST_INPUTS]
     return requests.select(
-        "*",
+        *keep,
         dist.alias("haversine_distance_km"),
         g("city_zone", "unknown").alias("city_zone"),
         hour.alias("order_hour"),
@@ -113,12 +121,12 @@ def eta_request_features(requests: DataFrame, now_hour: int, now_dow: int) -> Da
         cyclical_sin(dow, 7).alias("dow_sin"), cyclical_cos(dow, 7).alias("dow_cos"),
         hour_bucket(hour).alias("order_hour_bucket"),
         traffic.alias("traffic_ordinal"),
-        fest.alias("is_festival_flag"),
+        fest.alias("is_festival"),
         g("weather_encoded", 1).cast("bigint").alias("weather_encoded"),
         (dist * (traffic + 1)).alias("distance_traffic_interaction"),
         (dist * fest).alias("distance_festival_interaction"),
-        age.alias("delivery_person_age_f"),
+        age.alias("delivery_person_age"),
         g("delivery_person_rating", 4.0).cast("double").alias("delivery_person_ratings"),
-        g("vehicle_condition", 1).cast("bigint").alias("vehicle_condition_f"),
+        g("vehicle_condition", 1).cast("bigint").alias("vehicle_condition"),
         age_bucket(age).alias("delivery_person_age_bucket"),
     )

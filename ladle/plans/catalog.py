@@ -34,7 +34,7 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits)
+            c = F.round(c.cast("double"), digits) + F.lit(0.0)  # -0.0 -> 0.0
         elif isinstance(t, T.TimestampNTZType):
             c = c.cast("string")
         out.append(c.alias(f.name))
