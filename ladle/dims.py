@@ -72,6 +72,14 @@ HYBRID_PROFILES = [
     ("quality", 0.25, 0.25, 0.1, 0.4),
 ]
 
+# Weightings of the rank-sensitivity study: (label, w_rating, w_sentiment, w_delay).
+SENSITIVITY_WEIGHTINGS = [
+    ("Default (0.4/0.3/0.3)", 0.4, 0.3, 0.3),
+    ("Rating-heavy (0.6/0.2/0.2)", 0.6, 0.2, 0.2),
+    ("Sentiment-heavy (0.2/0.5/0.3)", 0.2, 0.5, 0.3),
+    ("Delay-penalizing (0.3/0.3/0.4)", 0.3, 0.3, 0.4),
+]
+
 # Central delivery point used by the concierge ETA estimate.
 CITY_CENTRE = (12.97, 77.59)
 

@@ -41,3 +41,26 @@ def deliveries(spark: SparkSession, sf: str) -> DataFrame:
 
 WEATHER_SQL = ("CASE order_id % 9 " + " ".join(
     f"WHEN {i} THEN {'NULL' if w is None else repr(w)}" for i, w in enumerate(WEATHER_TEXT)) + " END")
+
+
+def scenario_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned restaurants with a sentiment proxy (mean interaction rating
+    rescaled to [-1, 1]) and a delay risk (share of returned line items)."""
+    from ladle.sources.fixtures import interactions, table
+
+    def build():
+        r = restaurants(spark, sf).select("restaurant_id", "name", "rate", "cost_for_two", "location", "cuisines")
+        s = interactions(spark, sf).groupBy("restaurant_id").agg(F.avg((F.col("rating") - 3) / 2).alias("avg_sentiment"))
+        d = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("restaurant_id")).agg(
+            F.avg(F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)).alias("delay_risk"))
+        return r.join(s, "restaurant_id", "left").join(d, "restaurant_id", "left")
+    return _memo(spark, sf, "scenario", build)
+
+
+SCENARIO_SQL = {
+    "sent": "SELECT restaurant_id, avg((rating - 3) / 2) AS avg_sentiment FROM interactions GROUP BY restaurant_id",
+    "dly": """SELECT l_partkey AS restaurant_id, avg(CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE)
+ ELSE CAST(0 AS DOUBLE) END) AS delay_risk FROM lineitem GROUP BY l_partkey""",
+    "scen": """SELECT r.restaurant_id, r.name, r.rate, r.cost_for_two, r.location, r.cuisines, s.avg_sentiment, d.delay_risk
+ FROM restaurants_clean r LEFT JOIN sent s USING (restaurant_id) LEFT JOIN dly d USING (restaurant_id)""",
+}

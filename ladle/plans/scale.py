@@ -136,3 +136,34 @@ def materialize(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k, salt_buckets: int = 64,
+                    rank_col: str = "rank") -> DataFrame:
+    """Top ``k`` rows per ``keys`` by ``order`` (Columns, best first; end with a
+    unique key). ``k`` is an int or a Column evaluated per row.
+
+    Two rounds: first per (keys, salt) — a hot key is cut into
+    ``salt_buckets`` pieces ranked in parallel — then per key over at most
+    ``salt_buckets * k`` survivors. Adds a 1-based ``rank_col``.
+    """
+    keys = list(keys)
+    kcol = F.lit(k) if isinstance(k, int) else k
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt_buckets))
+    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    first = df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= kcol)
+    w2 = Window.partitionBy(*keys).orderBy(*order)
+    return (
+        first.drop("_salt", "_r1")
+        .withColumn(rank_col, F.row_number().over(w2))
+        .where(F.col(rank_col) <= kcol)
+    )
+
+
+def global_rank(df: DataFrame, keys: Sequence[str], score: str, id_col: str, descending: bool = True,
+                rank_col: str = "rank") -> DataFrame:
+    """1-based rank of every row per ``keys`` by ``score`` (ties by ``id_col``),
+    through ``running_total`` so no key is ranked inside one task."""
+    x = df.withColumn("_ord", -F.col(score) if descending else F.col(score)).withColumn("_one", F.lit(1))
+    r = running_total(x, keys, "_ord", ["_one"], tiebreak=[id_col])
+    return r.withColumnRenamed("_one_cum", rank_col).drop("_ord", "_one")
