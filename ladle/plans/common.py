@@ -64,3 +64,48 @@ SCENARIO_SQL = {
     "scen": """SELECT r.restaurant_id, r.name, r.rate, r.cost_for_two, r.location, r.cuisines, s.avg_sentiment, d.delay_risk
  FROM restaurants_clean r LEFT JOIN sent s USING (restaurant_id) LEFT JOIN dly d USING (restaurant_id)""",
 }
+
+
+def stored_restaurants(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored restaurants table (A13 schema): cleaned listings with
+    features, Bayesian rating, sentiment proxy, reliability and centroid."""
+    from ladle.operators.business import reliability_score
+    from ladle.operators.recommend import bayesian_rating
+    from ladle.operators.restaurant_features import add_restaurant_features, geocode
+    from ladle.sources.tables import RESTAURANTS, conform
+
+    def build():
+        s = scenario_frame(spark, sf).select("restaurant_id", "avg_sentiment", "delay_risk")
+        r = add_restaurant_features(restaurants(spark, sf), fixed=True)
+        r = bayesian_rating(r).join(s, "restaurant_id", "left")
+        r = geocode(reliability_score(r))
+        ts = F.lit("2024-01-01 00:00:00").cast("timestamp")
+        return conform(r.withColumns({"created_at": ts, "updated_at": ts}), RESTAURANTS)
+    return _memo(spark, sf, "stored_restaurants", build)
+
+
+def delivery_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored delivery orders (A9 over the delivery features); each order
+    is linked to a restaurant id derived from its user and order ids."""
+    from ladle.operators.delivery_features import add_delivery_features
+    from ladle.plans.scale import one_row
+    from ladle.sources.fixtures import table
+    from ladle.sources.tables import orders_from_deliveries
+
+    def build():
+        mx = one_row(table(spark, sf, "part").agg((F.max("p_partkey") + 1).alias("m")))["m"]
+        d = deliveries(spark, sf).withColumn("restaurant_id", (F.col("order_id") * 7 + F.col("user_id")) % mx)
+        f = add_delivery_features(d.withColumnRenamed("courier_age", "delivery_person_age"), date_col="order_ts")
+        return orders_from_deliveries(f)
+    return _memo(spark, sf, "delivery_orders", build)
+
+
+STORED_SQL = {
+    **SCENARIO_SQL,
+    "bayes_stats": "SELECT avg(rate) AS c, quantile_cont(votes, 0.25) AS m FROM restaurants_clean",
+    "sr": """SELECT r.restaurant_id, r.name, r.rate, r.cost_for_two, r.location, r.cuisines, r.votes,
+ CASE WHEN coalesce(r.votes,0) + s.m = 0 THEN NULL ELSE coalesce(r.votes,0) / (coalesce(r.votes,0) + s.m) * coalesce(r.rate, s.c)
+ + s.m / (coalesce(r.votes,0) + s.m) * s.c END AS bayesian_rating FROM restaurants_clean r, bayes_stats s""",
+    "dord2": """SELECT order_id, (order_id * 7 + user_id) % (SELECT max(p_partkey) + 1 FROM part) AS restaurant_id,
+ time_taken_min AS actual_eta, order_ts AS created_at FROM deliveries_clean""",
+}

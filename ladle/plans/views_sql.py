@@ -60,4 +60,8 @@ def with_views(sql: str, *names: str, extra: dict[str, str] | None = None) -> st
         parts.append(f"{k} AS ({v}\n)")
     if not parts:
         return sql
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        # merge the query's own CTE list into ours
+        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
     return "WITH " + ",\n".join(parts) + "\n" + sql
