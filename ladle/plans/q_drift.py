@@ -1 +1,133 @@
-"""placeholder"""
+"""Queries for drift detection (J): reference = events before 2024-01-16,
+batches = later events in 6-hour windows; a shifted batch adds 5 to value."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ladle.operators import drift as DR
+from ladle.plans.catalog import finish, register
+from ladle.sources.fixtures import table
+
+FEATURES = ["value", "user_id", "hour_of_day"]
+SPLIT = "2024-01-16 00:00:00"
+
+
+def _frame(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", "ts", F.col("value"), F.col("user_id").cast("double").alias("user_id"),
+                    F.hour("ts").cast("double").alias("hour_of_day"),
+                    F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 21600).cast("bigint").cast("string")
+                    .alias("batch_id"))
+
+
+def reference(spark, sf):
+    return _frame(spark, sf).where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz"))
+
+
+def batches(spark, sf, shift: float = 0.0):
+    b = _frame(spark, sf).where(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
+    return b.withColumn("value", F.col("value") + F.lit(shift)) if shift else b
+
+
+_BASE = f"""fr AS (SELECT value, CAST(user_id AS DOUBLE) AS user_id, CAST(hour(ts) AS DOUBLE) AS hour_of_day,
+ CAST(CAST(floor(epoch(ts) / 21600) AS BIGINT) AS VARCHAR) AS batch_id, ts FROM events),
+ref AS (SELECT * FROM fr WHERE ts < TIMESTAMP '{SPLIT}'),
+bat AS (SELECT * FROM fr WHERE ts >= TIMESTAMP '{SPLIT}'),"""
+
+
+def _lf(src: str, batch: str, shift: float = 0.0) -> str:
+    v = f"value + {shift}" if shift else "value"
+    return (f"SELECT 'value' AS feature, {v} AS value, {batch} AS batch_id FROM {src} UNION ALL "
+            f"SELECT 'user_id', user_id, {batch} FROM {src} UNION ALL SELECT 'hour_of_day', hour_of_day, {batch} FROM {src}")
+
+
+def ks_sql(batch_expr: str, shift: float = 0.0) -> str:
+    return f"""WITH {_BASE}
+lfr AS ({_lf('ref', 'NULL')}),
+lfb AS ({_lf('bat', batch_expr, shift)}),
+pairs AS (SELECT b.batch_id, r.feature, r.value, 1 AS cr, 0 AS cb FROM lfr r CROSS JOIN (SELECT DISTINCT batch_id FROM lfb) b
+ UNION ALL SELECT batch_id, feature, value, 0, 1 FROM lfb),
+c AS (SELECT batch_id, feature, value, sum(cr) AS cr, sum(cb) AS cb FROM pairs GROUP BY ALL),
+cum AS (SELECT *, sum(cr) OVER w AS sr, sum(cb) OVER w AS sb, sum(cr) OVER (PARTITION BY batch_id, feature) AS nr,
+ sum(cb) OVER (PARTITION BY batch_id, feature) AS nb FROM c
+ WINDOW w AS (PARTITION BY batch_id, feature ORDER BY value ROWS UNBOUNDED PRECEDING))
+SELECT batch_id, feature, round(max(abs(sr / nr - sb / nb)), 6) + 0.0 AS ks_statistic,
+ CAST(max(nr) AS BIGINT) AS n_reference, CAST(max(nb) AS BIGINT) AS n_batch
+FROM cum GROUP BY batch_id, feature HAVING max(nb) >= 5"""
+
+
+@register("reference_stats", f"""WITH {_BASE[:-1]}
+SELECT feature, round(avg(value), 6) + 0.0 AS mean, round(stddev_pop(value), 6) + 0.0 AS std,
+ CAST(count(*) AS BIGINT) AS count FROM ({_lf('ref', 'NULL')}) GROUP BY feature""")
+def q_reference_stats(spark, sf):
+    return finish(DR.reference_stats(reference(spark, sf), FEATURES))
+
+
+@register("ks_statistic", ks_sql("'batch'"))
+def q_ks(spark, sf):
+    return finish(DR.ks_statistics(reference(spark, sf), batches(spark, sf), FEATURES))
+
+
+@register("ks_statistic_shifted", ks_sql("'batch'", 5.0))
+def q_ks_shifted(spark, sf):
+    return finish(DR.ks_statistics(reference(spark, sf), batches(spark, sf, 5.0), FEATURES))
+
+
+@register("severity_by_batch", ks_sql("batch_id"))
+def q_severity(spark, sf):
+    """KS per 6-hour batch and feature against one reference."""
+    return finish(DR.ks_statistics(reference(spark, sf), batches(spark, sf), FEATURES, batch_col="batch_id"))
+
+
+@register("ks_test")
+def q_ks_test(spark, sf):
+    """J2 with p-values (exact lattice paths / Kolmogorov limit); p-values are
+    checked against brute-force permutation counts in tests/test_drift.py."""
+    return finish(DR.ks_test(reference(spark, sf), batches(spark, sf, 5.0), FEATURES, batch_col="batch_id"))
+
+
+@register("sample_side")
+def q_sample(spark, sf):
+    """At most 100 values per feature by a seeded hash (sampling is the feature)."""
+    return finish(DR.sample_side(reference(spark, sf), FEATURES, 100, 42, key="event_id"))
+
+
+@register("drift_report")
+def q_report(spark, sf):
+    ks = DR.ks_test(reference(spark, sf), batches(spark, sf, 5.0), FEATURES, batch_col="batch_id")
+    return finish(DR.drift_report(ks, FEATURES))
+
+
+@register("alert_message")
+def q_alert(spark, sf):
+    ks = DR.ks_test(reference(spark, sf), batches(spark, sf, 5.0), FEATURES, batch_col="batch_id")
+    return finish(DR.alert_message(ks, FEATURES))
+
+
+def _history(spark, sf):
+    ks = DR.ks_test(reference(spark, sf), batches(spark, sf, 5.0), FEATURES, batch_col="batch_id")
+    t = F.timestamp_seconds((F.col("batch_id").cast("bigint") + 1) * 21600)
+    return ks.withColumn("detected_at", t)
+
+
+@register("apply_cooldown")
+def q_cooldown(spark, sf):
+    """24-hour cooldown per feature over the drifted (batch, feature) history."""
+    h = _history(spark, sf).where("drifted").select("feature", "batch_id", "detected_at", "p_value")
+    return finish(DR.apply_cooldown(h))
+
+
+@register("log_drift")
+def q_log(spark, sf):
+    h = _history(spark, sf)
+    alerted = DR.apply_cooldown(h.where("drifted").select("feature", "batch_id", "detected_at"))
+    return finish(DR.log_drift(h, alerted))
+
+
+@register("retrain_decision")
+def q_retrain(spark, sf):
+    h = _history(spark, sf)
+    rep = DR.drift_report(h, FEATURES).join(
+        h.groupBy("batch_id").agg(F.max("detected_at").alias("detected_at")), "batch_id")
+    return finish(DR.retrain_decision(rep))
