@@ -10,25 +10,26 @@ from pyspark.sql import functions as F
 
 from ladle.config import DEFAULTS
 from ladle.dims import WEIGHT_PROFILES
-from ladle.plans.scale import global_rank, one_row, running_total, top_k_per_group
+from ladle.plans.scale import global_rank, running_total, top_k_per_group, with_stats
 
 
 def minmax(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """G1: (x - min) / (max - min); a constant column gives 0.5. The two global
     statistics are one scalar subquery (never a global window)."""
-    s = one_row(df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")))
-    return df.withColumn(out or f"{col}_norm", _norm(F.col(col), s["lo"], s["hi"]))
+    x = with_stats(df, df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")), "_mm")
+    return x.withColumn(out or f"{col}_norm", _norm(F.col(col), F.col("_mm.lo"), F.col("_mm.hi"))).drop("_mm")
 
 
 def _norm(x: Column, lo: Column, hi: Column) -> Column:
     return F.when(hi == lo, F.lit(0.5)).otherwise((x - lo) / (hi - lo))
 
 
-def _norm_stats(df: DataFrame, cols: Sequence[str]) -> Column:
+def _norm_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with column ``_ns``: min and max of every column in one aggregate."""
     aggs = []
     for c in cols:
         aggs += [F.min(c).alias(f"{c}__lo"), F.max(c).alias(f"{c}__hi")]
-    return one_row(df.agg(*aggs))
+    return with_stats(df, df.agg(*aggs), "_ns")
 
 
 def reliability_score(df: DataFrame, rating: str = "rate", sentiment: str = "avg_sentiment",
@@ -40,11 +41,12 @@ def reliability_score(df: DataFrame, rating: str = "rate", sentiment: str = "avg
     score (``greatest`` / ``least`` would otherwise skip it)."""
     w1, w2, w3 = weights or (DEFAULTS.reliability_w_rating, DEFAULTS.reliability_w_sentiment,
                              DEFAULTS.reliability_w_delay)
-    s = _norm_stats(df, [rating, sentiment, delay])
+    x = _norm_stats(df, [rating, sentiment, delay])
+    s = F.col("_ns")
     n = {c: _norm(F.col(c), s[f"{c}__lo"], s[f"{c}__hi"]) for c in (rating, sentiment, delay)}
     raw = F.lit(w1) * n[rating] + F.lit(w2) * n[sentiment] - F.lit(w3) * n[delay]
     anynull = F.col(rating).isNull() | F.col(sentiment).isNull() | F.col(delay).isNull()
-    return df.withColumn(out, F.when(~anynull, F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw))))
+    return x.withColumn(out, F.when(~anynull, F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)))).drop("_ns")
 
 
 def sla_analysis(df: DataFrame, actual: str = "actual_min", predicted: str = "predicted_min",
@@ -88,8 +90,8 @@ def scenario_scores(df: DataFrame, profiles: Sequence[tuple] = tuple(WEIGHT_PROF
     Profiles are a short fixed list, so all scores are computed in one pass
     and unpivoted with ``explode`` — no join with a profile table at all.
     Missing inputs count as 0 / 0 / 0.5, as in the original."""
-    x = _scenario_inputs(df, rating, sentiment, delay)
-    s = _norm_stats(x, ["_r", "_s", "_d"])
+    x = _norm_stats(_scenario_inputs(df, rating, sentiment, delay), ["_r", "_s", "_d"])
+    s = F.col("_ns")
     nr, ns, nd = (_norm(F.col(c), s[f"{c}__lo"], s[f"{c}__hi"]) for c in ("_r", "_s", "_d"))
     structs = [
         F.struct(F.lit(p).alias("profile"), F.lit(i).alias("profile_ord"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.functions.parse import parse_cost, parse_minutes, parse_rating
-from ladle.plans.scale import exact_quantiles, long_form, materialize, one_row
+from ladle.plans.scale import exact_quantiles, long_form, materialize, with_stats
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -110,8 +110,8 @@ def fill_mode(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols if cols is not None else string_columns(df))
     if not cols:
         return df
-    m = one_row(column_modes(df, cols))
-    return df.withColumns({c: F.coalesce(F.col(c), m[c], F.lit("Unknown")) for c in cols})
+    x = with_stats(df, column_modes(df, cols), "_modes")
+    return x.withColumns({c: F.coalesce(F.col(c), F.col("_modes")[c], F.lit("Unknown")) for c in cols}).drop("_modes")
 
 
 def fill_median(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -119,9 +119,9 @@ def fill_median(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols if cols is not None else numeric_columns(df))
     if not cols:
         return df
-    m = one_row(column_medians(df, cols))
     typed = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: F.coalesce(F.col(c), m[c].cast(typed[c])) for c in cols})
+    x = with_stats(df, column_medians(df, cols), "_medians")
+    return x.withColumns({c: F.coalesce(F.col(c), F.col("_medians")[c].cast(typed[c])) for c in cols}).drop("_medians")
 
 
 def clean_restaurants(df: DataFrame, rate_col: str = "rate", cost_col: str = "cost_text",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.operators.restaurant_features import encode_cuisines_fixed
-from ladle.plans.scale import exact_quantiles, one_row, top_k_per_group
+from ladle.plans.scale import exact_quantiles, one_row, top_k_per_group, with_stats
 
 
 def list_restaurants(df: DataFrame, limit: int = 20, offset: int = 0) -> DataFrame:
@@ -85,12 +85,13 @@ def value_counts(df: DataFrame, col: str, n: int = 20) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed. Every bin
     is reported, empty ones with 0."""
-    s = one_row(df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")))
-    lo, hi = s["lo"], s["hi"]
+    st = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+    x = with_stats(df, st, "_mm")
+    lo, hi = F.col("_mm.lo"), F.col("_mm.hi")
     width = (hi - lo) / bins
     b = F.when(hi == lo, 1).otherwise(F.least(F.floor((F.col(col) - lo) / width) + 1, F.lit(bins))).cast("bigint")
-    counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
+    counts = x.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    grid = with_stats(df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin")), st, "_mm")
     return grid.join(counts, "bin", "left").select(
         "bin", (lo + (F.col("bin") - 1) * width).alias("bin_start"), (lo + F.col("bin") * width).alias("bin_end"),
         F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
@@ -133,5 +134,7 @@ def describe(df: DataFrame, col: str, group: str | None = None) -> DataFrame:
     base = g.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
                  F.min(col).alias("min"), F.max(col).alias("max"))
     q = exact_quantiles(df, keys, col, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"]).drop("n")
-    return base.join(q, keys) if keys else base.withColumns(
-        {c: one_row(q)[c] for c in ("p25", "p50", "p75")})
+    if keys:
+        return base.join(q, keys)
+    x = with_stats(base, q, "_q")
+    return x.withColumns({c: F.col("_q")[c] for c in ("p25", "p50", "p75")}).drop("_q")

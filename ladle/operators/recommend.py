@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.plans.scale import exact_quantiles, one_row
+from ladle.plans.scale import exact_quantiles, top_k_per_group, with_stats
 
 
 def bayesian_rating(df: DataFrame, rate: str = "rate", votes: str = "votes", out: str = "bayesian_rating",
@@ -13,11 +13,199 @@ def bayesian_rating(df: DataFrame, rate: str = "rate", votes: str = "votes", out
     """H1: v/(v+m)*R + m/(v+m)*C. C = mean rating, m = 25th percentile of votes
     (exact, interpolated); null v -> 0, null R -> C. Both statistics are one-row
     scalar subqueries."""
-    c_val = F.lit(C) if C is not None else one_row(df.agg(F.avg(rate).alias("c")))["c"]
+    x = df
+    if C is not None:
+        c_val = F.lit(float(C))
+    else:
+        x, c_val = with_stats(x, df.agg(F.avg(rate).alias("c")), "_bc"), F.col("_bc.c")
     if m is not None:
         m_val = F.lit(float(m))
     else:
-        m_val = one_row(exact_quantiles(df, [], votes, [0.25], names=["m"]).select("m"))["m"]
+        x = with_stats(x, exact_quantiles(df, [], votes, [0.25], names=["m"]).select("m"), "_bm")
+        m_val = F.col("_bm.m")
     v = F.coalesce(F.col(votes).cast("double"), F.lit(0.0))
     r = F.coalesce(F.col(rate), c_val)
-    return df.withColumn(out, F.try_divide(v, v + m_val) * r + F.try_divide(m_val, v + m_val) * c_val)
+    res = x.withColumn(out, F.try_divide(v, v + m_val) * r + F.try_divide(m_val, v + m_val) * c_val)
+    return res.drop(*[c for c in ("_bc", "_bm") if c in res.columns])
+
+
+# ---- filters, content and hybrid scores ------------------------------------
+from collections.abc import Sequence  # noqa: E402
+
+from pyspark.sql import Column  # noqa: E402
+
+from ladle.config import DEFAULTS  # noqa: E402
+from ladle.dims import HYBRID_PROFILES  # noqa: E402
+
+
+def preference_filter(cuisine: str | None = None, budget: float | None = None, area: str | None = None) -> Column:
+    """H2 as a predicate: case-insensitive regex search on cuisines and
+    location, cost <= budget; null text fails; empty filters are ignored."""
+    cond = F.lit(True)
+    if cuisine:
+        cond = cond & F.coalesce(F.col("cuisines").rlike("(?i)" + cuisine), F.lit(False))
+    if budget:
+        cond = cond & F.coalesce(F.col("cost_for_two") <= F.lit(float(budget)), F.lit(False))
+    if area:
+        cond = cond & F.coalesce(F.col("location").rlike("(?i)" + area), F.lit(False))
+    return cond
+
+
+def filter_preferences(df: DataFrame, cuisine=None, budget=None, area=None) -> DataFrame:
+    """H2."""
+    return df.where(preference_filter(cuisine, budget, area))
+
+
+def _cosine(cols: Sequence[str], centroid: Column) -> Column:
+    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]
+    q = [F.coalesce(centroid[f"m{i}"], F.lit(0.0)) for i in range(len(cols))]
+    dot = sum((a * b for a, b in zip(x, q)), F.lit(0.0))
+    nx = F.sqrt(sum((a * a for a in x), F.lit(0.0)))
+    nq = F.sqrt(sum((b * b for b in q), F.lit(0.0)))
+    return F.coalesce(F.try_divide(dot, nx * nq), F.lit(0.0))
+
+
+def cosine_to_centroid(df: DataFrame, cols: Sequence[str], over: DataFrame | None = None,
+                       out: str = "similarity_score") -> DataFrame:
+    """H3: cosine of each row (nulls as 0) to the null-skipping mean vector of
+    ``over`` (default: the rows themselves); a zero norm gives 0. The mean is
+    a one-row scalar subquery."""
+    src = over if over is not None else df
+    x = with_stats(df, src.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]), "_cen")
+    return x.withColumn(out, _cosine(cols, F.col("_cen"))).drop("_cen")
+
+
+def explanation_content() -> Column:
+    """H10 (content variant): 'Rated x/5 | (adj: y) | ₹z for two | Cuisines: ...'."""
+    parts = [
+        F.when(F.col("rate").isNotNull(), F.format_string("Rated %s/5", F.col("rate").cast("string"))),
+        F.when(F.col("bayesian_rating").isNotNull(), F.format_string("(adj: %.2f)", F.col("bayesian_rating"))),
+        F.when(F.col("cost_for_two").isNotNull(),
+               F.format_string("₹%d for two", F.col("cost_for_two").cast("bigint"))),
+        F.when(F.col("cuisines").isNotNull(), F.concat(F.lit("Cuisines: "), F.substring("cuisines", 1, 60))),
+    ]
+    s = F.concat_ws(" | ", *parts)
+    return F.when(s == "", F.lit("Good match for your preferences")).otherwise(s)
+
+
+def explanation_hybrid() -> Column:
+    """H10 (hybrid variant): 'Rated x/5 | <badge> Rel:y | ₹z' with .7/.4 bands."""
+    rs = F.col("reliability_score_display")
+    badge = F.when(rs >= 0.7, "🟢").when(rs >= 0.4, "🟡").otherwise("🔴")
+    parts = [
+        F.when(F.col("rate").isNotNull() & (F.col("rate") != 0), F.format_string("Rated %s/5", F.col("rate").cast("string"))),
+        F.format_string("%s Rel:%.2f", badge, rs),
+        F.when(F.col("cost_for_two").isNotNull() & (F.col("cost_for_two") != 0),
+               F.format_string("₹%d", F.col("cost_for_two").cast("bigint"))),
+    ]
+    return F.concat_ws(" | ", *parts)
+
+
+def recommend_content(df: DataFrame, feature_cols: Sequence[str], cuisine=None, budget=None, area=None,
+                      n: int = 5, id_col: str = "restaurant_id") -> DataFrame:
+    """H4: among the filtered candidates, 0.5 cosine-to-candidate-centroid +
+    0.5 Bayesian/5, top n (ties by id). Expects ``bayesian_rating``."""
+    cand = filter_preferences(df, cuisine, budget, area)
+    sc = cosine_to_centroid(cand, feature_cols)
+    sc = sc.withColumn("combined_score", 0.5 * F.col("similarity_score") + 0.5 * (F.col("bayesian_rating") / 5.0))
+    top = sc.orderBy(F.desc("combined_score"), id_col).limit(n)
+    return top.withColumn("recommendation_explanation", explanation_content())
+
+
+def minmax_within(df: DataFrame, col: str, keys: Sequence[str] = (), out: str | None = None) -> DataFrame:
+    """H5: min-max of ``col`` within ``keys`` (constant -> 0.5); per-key stats
+    by groupBy + join (keys) or a scalar subquery (no keys)."""
+    out = out or f"{col}_norm"
+    if keys:
+        st = df.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+        j = df.join(st, list(keys))
+        lo, hi = F.col("_lo"), F.col("_hi")
+    else:
+        j = with_stats(df, df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")), "_mm")
+        lo, hi = F.col("_mm.lo"), F.col("_mm.hi")
+    res = j.withColumn(out, F.when(hi == lo, F.lit(0.5)).otherwise((F.col(col) - lo) / (hi - lo)))
+    return res.drop("_lo", "_hi") if keys else res.drop("_mm")
+
+
+def cf_score(df: DataFrame, cf: DataFrame | None, id_col: str = "restaurant_id") -> DataFrame:
+    """H6: normalised collaborative score by id; 0.5 where absent."""
+    if cf is None:
+        return df.withColumn("cf_score", F.lit(0.5))
+    return df.join(cf.select(id_col, F.col("cf_score").alias("_cf")), id_col, "left").withColumn(
+        "cf_score", F.coalesce("_cf", F.lit(0.5))).drop("_cf")
+
+
+def hybrid_weights(priority: str) -> tuple[float, float, float, float]:
+    """H7: (content, collaborative, reliability, bayesian); unknown -> balanced."""
+    prof = {p: (a, b, c, d) for p, a, b, c, d in HYBRID_PROFILES}
+    return prof.get(priority, prof["balanced"])
+
+
+def recommend_hybrid(df: DataFrame, content_cols: Sequence[str], cuisine=None, budget=None, area=None,
+                     priority: str = "balanced", n: int = 5, cf: DataFrame | None = None,
+                     id_col: str = "restaurant_id") -> DataFrame:
+    """H8: weights x (content, cf, reliability [null -> .5], bayesian/5); top n.
+    Content = min-max over the candidates of the cosine to the mean of ALL rows."""
+    wc, wf, wr, wb = hybrid_weights(priority)
+    cand = filter_preferences(df, cuisine, budget, area)
+    sc = cosine_to_centroid(cand, content_cols, over=df, out="_cos")
+    sc = minmax_within(sc, "_cos", out="content_score")
+    sc = cf_score(sc, cf, id_col)
+    rel = F.coalesce(F.col("reliability_score"), F.lit(0.5)) if "reliability_score" in df.columns else F.lit(0.5)
+    sc = sc.withColumns({"reliability_score_display": rel, "bayesian_norm": F.col("bayesian_rating") / 5.0})
+    sc = sc.withColumn("combined_score", wc * F.col("content_score") + wf * F.col("cf_score")
+                       + wr * F.col("reliability_score_display") + wb * F.col("bayesian_norm"))
+    top = sc.orderBy(F.desc("combined_score"), id_col).limit(n)
+    return top.withColumn("explanation", explanation_hybrid()).drop("_cos")
+
+
+def request_key(cols: Sequence[str]) -> Column:
+    """Cache key of a request: SHA-256 of its JSON with sorted field names."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(cols)])), 256)
+
+
+def recommend_batch(requests: DataFrame, df: DataFrame, content_cols: Sequence[str],
+                    id_col: str = "restaurant_id", max_broadcast: int = 20000) -> DataFrame:
+    """H9: H8 for a table of requests (request_id, cuisine, budget, area,
+    priority, top_n). Identical requests are computed once (hash of the sorted
+    request JSON), then joined back to every request id.
+
+    The regex filters make this a predicate join. The distinct request
+    table is broadcast only in chunks of at most ``max_broadcast`` rows, counted
+    first, so what is broadcast has a checked size whatever the request
+    volume. Per-request min-max statistics use groupBy on the request key, and
+    the top n per request uses the salted two-round top-k.
+    """
+    fields = ["cuisine", "budget", "area", "priority", "top_n"]
+    req = requests.withColumn("request_key", request_key(fields))
+    uniq = req.select("request_key", *fields).dropDuplicates(["request_key"])
+    n_uniq = uniq.count()
+    prof = df.sparkSession.createDataFrame(list(HYBRID_PROFILES), "priority string, wc double, wf double, wr double, wb double")
+    uniq = (uniq.join(F.broadcast(prof), "priority", "left")  # at most 3 profile rows
+            .withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in
+                          zip(["wc", "wf", "wr", "wb"], hybrid_weights("balanced"))})
+            .withColumn("_chunk", F.pmod(F.xxhash64("request_key"), F.lit(max(1, -(-n_uniq // max_broadcast))))))
+    cos = cosine_to_centroid(df, content_cols, over=df, out="_cos")
+    rel = F.coalesce(F.col("reliability_score"), F.lit(0.5)) if "reliability_score" in df.columns else F.lit(0.5)
+    base = cos.withColumns({"reliability_score_display": rel, "bayesian_norm": F.col("bayesian_rating") / 5.0,
+                            "cf_score": F.lit(0.5)})
+    match = (
+        (F.col("cuisine").isNull() | (F.col("cuisine") == "") | F.coalesce(F.expr("cuisines rlike concat('(?i)', cuisine)"), F.lit(False)))
+        & (F.col("budget").isNull() | (F.col("budget") == 0) | F.coalesce(F.col("cost_for_two") <= F.col("budget"), F.lit(False)))
+        & (F.col("area").isNull() | (F.col("area") == "") | F.coalesce(F.expr("location rlike concat('(?i)', area)"), F.lit(False)))
+    )
+    parts = []
+    n_chunks = max(1, -(-n_uniq // max_broadcast))
+    for c in range(n_chunks):
+        chunk = uniq.where(F.col("_chunk") == c).drop("_chunk")
+        parts.append(base.join(F.broadcast(chunk), match, "inner"))
+    cand = parts[0]
+    for p in parts[1:]:
+        cand = cand.unionByName(p)
+    cand = minmax_within(cand, "_cos", keys=["request_key"], out="content_score")
+    cand = cand.withColumn("combined_score", F.col("wc") * F.col("content_score") + F.col("wf") * F.col("cf_score")
+                           + F.col("wr") * F.col("reliability_score_display") + F.col("wb") * F.col("bayesian_norm"))
+    kcol = F.greatest(F.lit(1), F.least(F.lit(50), F.coalesce(F.col("top_n"), F.lit(5)).cast("int")))
+    top = top_k_per_group(cand, ["request_key"], [F.desc("combined_score"), F.asc(id_col)], kcol)
+    top = top.withColumn("explanation", explanation_hybrid())
+    return req.select("request_id", "request_key").join(top, "request_key")

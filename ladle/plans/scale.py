@@ -30,6 +30,15 @@ def one_row(stats: DataFrame) -> Column:
     return stats.select(F.struct(*[F.col(c) for c in stats.columns]).alias("_s")).scalar()
 
 
+def with_stats(df: DataFrame, stats: DataFrame, name: str = "_st") -> DataFrame:
+    """Attach the one-row ``stats`` as a struct column ``name``.
+
+    Reading several fields of one scalar subquery directly plans one subquery
+    per field; attaching it once as a column keeps a single execution that
+    every later expression reads (drop the column when done)."""
+    return df.withColumn(name, one_row(stats))
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
