@@ -138,3 +138,33 @@ def describe(df: DataFrame, col: str, group: str | None = None) -> DataFrame:
         return base.join(q, keys)
     x = with_stats(base, q, "_q")
     return x.withColumns({c: F.col("_q")[c] for c in ("p25", "p50", "p75")}).drop("_q")
+
+
+def experiments(exps: DataFrame, task: str | None = None, limit: int = 20) -> DataFrame:
+    """I8: newest experiments first, optional task filter."""
+    e = exps.where(F.col("task") == task) if task else exps
+    return e.orderBy(F.desc("created_at"), "model_name").limit(limit)
+
+
+def winning_model(exps: DataFrame) -> DataFrame:
+    """Per task the latest row flagged as winner."""
+    return exps.where("is_winner").groupBy("task").agg(
+        F.max_by(F.struct(*[c for c in exps.columns if c != "task"]), "created_at").alias("w")).select("task", "w.*")
+
+
+def experiments_by_mae(exps: DataFrame, task: str) -> DataFrame:
+    """I10."""
+    return exps.where(F.col("task") == task).orderBy("mae", "model_name")
+
+
+def model_info(exps: DataFrame, tasks) -> DataFrame:
+    """Winner and metrics for each requested task, nulls when none."""
+    t = exps.sparkSession.createDataFrame([(x,) for x in tasks], "task string")
+    return t.join(winning_model(exps), "task", "left")
+
+
+def winner_or_best(exps: DataFrame) -> DataFrame:
+    """I16: per task the winner, else the lowest MAE."""
+    return exps.groupBy("task").agg(F.min_by(F.struct(*[c for c in exps.columns if c != "task"]),
+                                             F.struct((~F.col("is_winner")).alias("w"), F.col("mae"), F.col("model_name")))
+                                    .alias("b")).select("task", "b.*")

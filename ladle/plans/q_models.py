@@ -1 +1,267 @@
-"""placeholder"""
+"""Queries for model comparison, scoring and explanation (F) and the
+experiments-table lookups (I8-I10, I15, I16)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ladle.operators import delivery_features as DFT
+from ladle.operators import models as M
+from ladle.plans.catalog import finish, register
+from ladle.plans.common import deliveries, restaurants
+from ladle.plans.views_sql import with_views
+from ladle.sources.fixtures import outcomes
+
+# ---- fixed prediction tables derived from outcomes -----------------------------------
+PRED_MODELS = [  # (model, prediction expression over outcomes)
+    ("baseline", "predicted_min"),
+    ("shifted", "predicted_min + 2"),
+    ("blend", "(actual_min + predicted_min) / 2"),
+]
+
+
+def fixed_oof(spark, sf):
+    o = outcomes(spark, sf)
+    parts = [o.select(F.col("order_id"), F.col("actual_min").alias("actual"), F.expr(e).cast("double").alias("prediction"),
+                      F.lit(m).alias("model")) for m, e in PRED_MODELS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_OOF = {"oof": " UNION ALL ".join(
+    f"SELECT order_id, actual_min AS actual, CAST({e} AS DOUBLE) AS prediction, '{m}' AS model FROM outcomes"
+    for m, e in PRED_MODELS)}
+_LB = {**_OOF, "lb": """SELECT model, round_even(avg(abs(actual - prediction)), 4) AS mae,
+ round_even(sqrt(avg((actual - prediction) * (actual - prediction))), 4) AS rmse,
+ round_even(1 - sum((actual - prediction) * (actual - prediction)) / sum((actual - m) * (actual - m)), 4) AS r2,
+ CAST(count(*) AS BIGINT) AS n FROM oof JOIN (SELECT model, avg(actual) AS m FROM oof GROUP BY model) USING (model)
+ GROUP BY model"""}
+
+
+def osql(body, extra=None):
+    return with_views(body, "outcomes", extra=extra)
+
+
+@register("regression_metrics", osql("""SELECT round_even(avg(abs(actual_min - predicted_min)), 4) AS eta_mae,
+ round_even(sqrt(avg((actual_min - predicted_min) * (actual_min - predicted_min))), 4) AS eta_rmse,
+ round_even(1 - sum((actual_min - predicted_min) * (actual_min - predicted_min))
+   / sum((actual_min - (SELECT avg(actual_min) FROM outcomes)) * (actual_min - (SELECT avg(actual_min) FROM outcomes))), 4) AS eta_r2,
+ CAST(count(*) AS BIGINT) AS n FROM outcomes"""))
+def q_metrics(spark, sf):
+    return finish(M.regression_metrics(outcomes(spark, sf), "actual_min", "predicted_min", prefix="eta_"))
+
+
+@register("leaderboard", osql("SELECT * FROM lb", _LB))
+def q_leaderboard(spark, sf):
+    return finish(M.leaderboard(fixed_oof(spark, sf)))
+
+
+@register("select_best", osql("SELECT model, mae, rmse, r2, n FROM lb ORDER BY r2 DESC, model LIMIT 1", _LB))
+def q_best(spark, sf):
+    return finish(M.select_best(M.leaderboard(fixed_oof(spark, sf)), "r2"))
+
+
+@register("residuals", osql(
+    """SELECT model, order_id, round(prediction - actual, 6) + 0.0 AS residual FROM oof
+ WHERE model IN (SELECT model FROM lb ORDER BY mae, model LIMIT 2)""", _LB))
+def q_residuals(spark, sf):
+    oof = fixed_oof(spark, sf)
+    r = M.residuals(oof, M.leaderboard(oof), top_n=2)
+    return finish(r.select("model", "order_id", "residual"))
+
+
+@register("example_predictions", osql(
+    """SELECT order_id, predicted_min, CASE WHEN rk = 1 THEN 'fast' WHEN rk = n THEN 'slow' ELSE 'normal' END AS example
+FROM (SELECT order_id, predicted_min, row_number() OVER (ORDER BY predicted_min, order_id) AS rk,
+ count(*) OVER () AS n FROM outcomes) WHERE rk = 1 OR rk = n OR rk = floor(n / 2) + 1"""))
+def q_examples(spark, sf):
+    e = M.example_predictions(outcomes(spark, sf).select("order_id", "predicted_min"), "order_id", "predicted_min")
+    return finish(e.select("order_id", "predicted_min", "example"))
+
+
+# ---- experiments table (F18) and its lookups --------------------------------------------
+def experiments_table(spark, sf):
+    oof = fixed_oof(spark, sf)
+    eta = M.record_experiments(M.leaderboard(oof), "eta", F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    # a non-integer offset: integer minutes x 0.9 put metrics exactly on 4-decimal
+    # rounding ties, which floating summation order then breaks either way
+    rat = M.record_experiments(M.leaderboard(oof.withColumn("prediction", F.col("prediction") * 0.9 + 0.0137)), "rating",
+                               F.lit("2024-02-02 00:00:00").cast("timestamp"))
+    return eta.unionByName(rat)
+
+
+_EXP = {**_OOF,
+        "lb2": _LB["lb"],
+        "oofr": "SELECT order_id, actual, prediction * 0.9 + 0.0137 AS prediction, model FROM oof",
+        "lbr": _LB["lb"].replace("oof", "oofr"),
+        "exps": """SELECT 'eta' AS task, model AS model_name, mae, rmse, r2, model = (SELECT model FROM lb2 ORDER BY mae, model LIMIT 1)
+ AS is_winner, TIMESTAMP '2024-02-01 00:00:00' AS created_at FROM lb2
+ UNION ALL SELECT 'rating', model, mae, rmse, r2, model = (SELECT model FROM lbr ORDER BY mae, model LIMIT 1),
+ TIMESTAMP '2024-02-02 00:00:00' FROM lbr"""}
+
+
+@register("record_experiments", osql(
+    "SELECT task, model_name, round(mae, 6) + 0.0 AS mae, is_winner, CAST(created_at AS VARCHAR) AS created_at FROM exps", _EXP))
+def q_record(spark, sf):
+    e = experiments_table(spark, sf)
+    return finish(e.select("task", "model_name", "mae", "is_winner", F.col("created_at").cast("timestamp_ntz").alias("created_at")))
+
+
+@register("experiments_recent", osql(
+    "SELECT task, model_name FROM exps WHERE task = 'eta' ORDER BY created_at DESC, model_name LIMIT 10", _EXP))
+def q_exp_recent(spark, sf):
+    from ladle.operators.lookups import experiments
+    return finish(experiments(experiments_table(spark, sf), "eta", 10).select("task", "model_name"))
+
+
+@register("winning_model", osql(
+    "SELECT task, arg_max(model_name, created_at) AS model_name FROM exps WHERE is_winner GROUP BY task", _EXP))
+def q_winner(spark, sf):
+    from ladle.operators.lookups import winning_model
+    return finish(winning_model(experiments_table(spark, sf)).select("task", "model_name"))
+
+
+@register("experiments_by_mae", osql(
+    "SELECT model_name, round(mae, 6) + 0.0 AS mae FROM exps WHERE task = 'rating'", _EXP))
+def q_by_mae(spark, sf):
+    from ladle.operators.lookups import experiments_by_mae
+    return finish(experiments_by_mae(experiments_table(spark, sf), "rating").select("model_name", "mae"))
+
+
+@register("model_info", osql(
+    """SELECT t.task, w.model_name, round(w.mae, 6) + 0.0 AS mae FROM (VALUES ('eta'), ('rating'), ('other')) t(task)
+ LEFT JOIN (SELECT task, arg_max(model_name, created_at) AS model_name, arg_max(mae, created_at) AS mae FROM exps
+ WHERE is_winner GROUP BY task) w USING (task)""", _EXP))
+def q_model_info(spark, sf):
+    from ladle.operators.lookups import model_info
+    return finish(model_info(experiments_table(spark, sf), ["eta", "rating", "other"]).select("task", "model_name", "mae"))
+
+
+@register("winner_or_best", osql(
+    "SELECT task, first(model_name ORDER BY is_winner DESC, mae, model_name) AS model_name FROM exps GROUP BY task", _EXP))
+def q_winner_or_best(spark, sf):
+    from ladle.operators.lookups import winner_or_best
+    return finish(winner_or_best(experiments_table(spark, sf)).select("task", "model_name"))
+
+
+# ---- real model fits -------------------------------------------------------------------
+def eta_frame(spark, sf):
+    d = deliveries(spark, sf).withColumnRenamed("courier_age", "delivery_person_age")
+    f = DFT.add_delivery_features(d, date_col="order_ts")
+    return DFT.eta_contract(f).select("order_id", "time_taken_min", *DFT.ETA_FEATURES)
+
+
+def rating_frame(spark, sf):
+    from ladle.operators.restaurant_features import add_restaurant_features, rating_feature_cols, rating_features
+    r = add_restaurant_features(restaurants(spark, sf), fixed=True).drop("cost_for_two_bucket")
+    r = rating_features(r.withColumn("avg_sentiment", F.lit(0.0)))
+    return r, rating_feature_cols(r)
+
+
+def _board(df, key, label, num, cat, task, models):
+    n = df.count()
+    ests = M.estimators(task, n)
+    oofs = [M.oof_predictions(df, key, label, num, cat, name, ests[name]) for name in models]
+    u = oofs[0]
+    for o in oofs[1:]:
+        u = u.unionByName(o)
+    return u
+
+
+ALL_MODELS = ["LinearRegression", "Ridge", "Lasso", "DecisionTree", "RandomForest", "GradientBoosting"]
+
+
+@register("eta_leaderboard")
+def q_eta_board(spark, sf):
+    """F2 + F11 for ETA: 5-fold out-of-fold predictions of every regressor."""
+    df = eta_frame(spark, sf)
+    oof = _board(df, "order_id", "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL, "eta", ALL_MODELS)
+    return finish(M.leaderboard(oof))
+
+
+@register("rating_leaderboard")
+def q_rating_board(spark, sf):
+    df, cols = rating_frame(spark, sf)
+    oof = _board(df, "restaurant_id", "rate", cols, [], "rating", ALL_MODELS)
+    return finish(M.leaderboard(oof))
+
+
+@register("feature_ablation")
+def q_ablation(spark, sf):
+    """rating models with and without the vote feature."""
+    df, cols = rating_frame(spark, sf)
+    models = ["LinearRegression", "DecisionTree"]
+    a = M.leaderboard(_board(df, "restaurant_id", "rate", cols, [], "rating", models))
+    b = M.leaderboard(_board(df, "restaurant_id", "rate", [c for c in cols if c != "votes_log"], [], "rating", models))
+    return finish(M.feature_ablation(a, b))
+
+
+@register("eta_residuals")
+def q_eta_residuals(spark, sf):
+    """F16 on real out-of-fold predictions of the linear models."""
+    df = eta_frame(spark, sf)
+    oof = _board(df, "order_id", "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL, "eta",
+                 ["LinearRegression", "Ridge", "Lasso"])
+    return finish(M.residuals(oof, M.leaderboard(oof), 3))
+
+
+@register("tune")
+def q_tune(spark, sf):
+    """random search over the decision-tree space, 6 trials, 5 folds."""
+    df = eta_frame(spark, sf)
+    return finish(M.tune(df, "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL, "DecisionTree", n_trials=6))
+
+
+def _eta_model(spark, sf):
+    key = ("eta_model", id(spark), sf)
+    if key not in _MODELS:
+        from ladle.sources.io import scratch_path
+        _MODELS[key] = M.fit_best("LinearRegression", eta_frame(spark, sf), "time_taken_min", DFT.ETA_NUMERIC,
+                                  DFT.ETA_CATEGORICAL, path=scratch_path(spark, "eta-model"))
+    return _MODELS[key]
+
+
+_MODELS: dict = {}
+
+
+@register("score_eta")
+def q_score_eta(spark, sf):
+    """F13 + F19: refit the linear winner on all rows, save, score requests."""
+    from ladle.plans.q_features import _requests
+    req = DFT.eta_request_features(_requests(deliveries(spark, sf)), now_hour=12, now_dow=2)
+    s = M.score_eta(req, _eta_model(spark, sf))
+    return finish(s.select("request_id", "predicted_minutes", "is_at_risk"))
+
+
+@register("feature_attribution")
+def q_attr(spark, sf):
+    """exact linear contributions per row (long form)."""
+    return finish(M.linear_contributions(_eta_model(spark, sf), eta_frame(spark, sf), "order_id"))
+
+
+@register("permutation_importance")
+def q_perm(spark, sf):
+    df = eta_frame(spark, sf).withColumn("label", F.col("time_taken_min"))
+    return finish(M.permutation_importance(_eta_model(spark, sf), df, "time_taken_min",
+                                           ["haversine_distance_km", "traffic_ordinal", "order_hour"], "order_id"))
+
+
+@register("log_predictions")
+def q_log_pred(spark, sf):
+    df = eta_frame(spark, sf)
+    s = M.score_eta(df, _eta_model(spark, sf))
+    return finish(M.log_predictions(s, "eta_linear", ["haversine_distance_km", "traffic_ordinal", "order_hour"],
+                                    "v1", key="order_id").drop("created_at"))
+
+
+@register("explain_prediction")
+def q_explain(spark, sf):
+    """logged predictions with their attribution map, for every order of zone 'central'."""
+    df = eta_frame(spark, sf)
+    s = M.score_eta(df, _eta_model(spark, sf))
+    att = M.linear_contributions(_eta_model(spark, sf), df, "order_id")
+    logged = M.log_predictions(s, "eta_linear", ["haversine_distance_km"], "v1", att, key="order_id")
+    ids = df.where(F.col("city_zone") == "central").select(F.col("order_id"))
+    return finish(M.explain(logged, ids, "order_id").drop("created_at"))
