@@ -45,6 +45,6 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # importing the modules fills REGISTRY
     from ladle.plans import (  # noqa: F401
         q_clean, q_features, q_business, q_lookup, q_drift, q_recommend, q_text, q_models, q_streaming,
-        q_sentiment,
+        q_sentiment, q_io,
     )
     return REGISTRY

@@ -76,7 +76,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False).option("escape", '"'))
     w.format(fmt).save(path)
     return path
 
