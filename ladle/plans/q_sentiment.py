@@ -26,8 +26,17 @@ ss AS (SELECT {ids}, sum(valence * CASE WHEN negated THEN {SE.NEGATION_SCALAR} E
 sc AS (SELECT {ids}, coalesce(s / sqrt(s * s + {SE.ALPHA}), 0.0) AS sentiment FROM (SELECT {ids} FROM {src}) LEFT JOIN ss USING ({ids}))"""
 
 
+_LEXICONS: dict = {}
+
+
 def lexicon(spark, sf):
-    return SE.derive_lexicon(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    """The derived lexicon, stored once per session (it is read by a size
+    check and a join in every scoring query)."""
+    from ladle.plans.scale import materialize
+    key = (id(spark), spark.sparkContext.applicationId, sf)
+    if key not in _LEXICONS:
+        _LEXICONS[key] = materialize(SE.derive_lexicon(table(spark, sf, "documents"), table(spark, sf, "labels")))
+    return _LEXICONS[key]
 
 
 @register("derive_lexicon", f"""WITH {_LEX}
