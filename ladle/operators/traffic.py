@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ladle.dims import CONGESTION_CODES
 
-_LABELS = F.array(*[F.lit(x) for x in ("Low", "Medium", "High", "Jam")])
+_LEVEL_NAMES = ("Low", "Medium", "High", "Jam")
 
 
 def _c(col) -> Column:
@@ -20,7 +20,7 @@ def _c(col) -> Column:
 
 
 def level_label(level) -> Column:
-    return F.element_at(_LABELS, (_c(level) + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(x) for x in _LEVEL_NAMES]), (_c(level) + 1).cast("int"))
 
 
 def expected_traffic_level(hour, dow) -> Column:

@@ -11,3 +11,13 @@ def test_entry_and_registry(spark):
     import re
     bad = [n for n in q if re.match(r"op\d+_", n) or "pipeline" in n]
     assert not bad
+
+
+def test_oracle_sql_needs_no_session():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as E; o = E.oracle_sql(); q = E.queries(); print(len(o), len(q))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
