@@ -168,3 +168,15 @@ def winner_or_best(exps: DataFrame) -> DataFrame:
     return exps.groupBy("task").agg(F.min_by(F.struct(*[c for c in exps.columns if c != "task"]),
                                              F.struct((~F.col("is_winner")).alias("w"), F.col("mae"), F.col("model_name")))
                                     .alias("b")).select("task", "b.*")
+
+
+def recent_drift(logs: DataFrame, limit: int = 20, only_alerted: bool = False) -> DataFrame:
+    """Newest drift rows, optionally only the alerted ones."""
+    d = logs.where("alerted") if only_alerted else logs
+    return d.orderBy(F.desc("detected_at"), "feature_name").limit(limit)
+
+
+def drift_summary(logs: DataFrame) -> DataFrame:
+    """Total rows, alerted rows, distinct features and the last detection, one aggregate."""
+    return logs.agg(F.count(F.lit(1)).alias("total"), F.count_if("alerted").alias("alerted"),
+                    F.count_distinct("feature_name").alias("features"), F.max("detected_at").alias("last_detected_at"))

@@ -131,3 +131,21 @@ def q_retrain(spark, sf):
     rep = DR.drift_report(h, FEATURES).join(
         h.groupBy("batch_id").agg(F.max("detected_at").alias("detected_at")), "batch_id")
     return finish(DR.retrain_decision(rep))
+
+
+@register("recent_drift")
+def q_recent_drift(spark, sf):
+    """I12 over the drift log."""
+    from ladle.operators.lookups import recent_drift
+    h = _history(spark, sf)
+    alerted = DR.apply_cooldown(h.where("drifted").select("feature", "batch_id", "detected_at"))
+    return finish(recent_drift(DR.log_drift(h, alerted), 10, only_alerted=True))
+
+
+@register("drift_summary")
+def q_drift_summary(spark, sf):
+    """I13 over the drift log."""
+    from ladle.operators.lookups import drift_summary
+    h = _history(spark, sf)
+    alerted = DR.apply_cooldown(h.where("drifted").select("feature", "batch_id", "detected_at"))
+    return finish(drift_summary(DR.log_drift(h, alerted)))
