@@ -133,18 +133,23 @@ def long_form(df: DataFrame, cols: Sequence[str], cast: str = "double", keep: Se
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a table that several statistics will read.
-
-    Uses a reliable ``checkpoint`` into the shared ``spark.checkpoint.dir``
-    (set by the cluster; tests get a scratch folder), so a lost executor does
-    not force a recompute of everything upstream and the downstream plan
-    reads one file set instead of re-planning the upstream once per
-    statistic.
+    """Cut the lineage of a table that several statistics or queries read.
+
+    The rows are written once as a Parquet table in the shared folder named
+    by ``spark.checkpoint.dir`` (set by the cluster; tests get a scratch
+    folder) and read back. Unlike an RDD checkpoint, later plans then scan
+    Parquet: column pruning, pushed-down filters and file statistics all
+    apply, a lost executor re-reads files instead of recomputing upstream,
+    and the plan is not re-planned once per statistic.
     """
+    import uuid
+
     from ladle.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/ladle-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k, salt_buckets: int = 64,
