@@ -233,11 +233,25 @@ def assign_least_loaded(orders: DataFrame, partners: DataFrame, group: Sequence[
     """
     group = list(group)
     p = global_rank(partners, [zone], partner_id, partner_id, descending=False, rank_col="_j")
-    n = orders.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    pc = partners.groupBy(zone).agg(F.count(F.lit(1)).alias("_p"))
-    need = n.join(pc, zone).select(*group, F.explode(F.sequence(F.lit(1), F.least("_n", "_p").cast("int"))).alias("_j"))
+    n = orders.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min(time_col).alias("_tmin"))
+    pc = partners.groupBy(zone).agg(F.count(F.lit(1)).alias("_p"), F.min("factor").alias("_fmin"))
+    sizes = n.join(pc, zone)
+    # Fast path, exact: with positive costs and no more orders than partners,
+    # every order finds an idle partner, so the k-th order (in sequence) goes
+    # to the k-th partner. Only overloaded groups need the sequential loop.
+    easy = (F.col("_n") <= F.col("_p")) & (F.col("_tmin") > 0) & (F.col("_fmin") > 0)
+    easy_groups = sizes.where(easy).select(*group)
+    hard_groups = sizes.where(~easy).select(*group, "_n", "_p")
+    seq_ts = orders.withColumn("_s", F.unix_micros(F.col(seq).cast("timestamp")))
+    ranked = global_rank(seq_ts.join(easy_groups, group, "left_semi"), group, "_s", order_id,
+                         descending=False, rank_col="_j")
+    fast = ranked.join(p.select(zone, "_j", partner_id, "factor"), [zone, "_j"]).select(
+        *group, F.col(order_id).alias("order_id"), F.col(partner_id).alias("partner_id"),
+        (F.col(time_col) * F.col("factor")).alias("cost"))
+    need = hard_groups.select(*group, F.explode(F.sequence(F.lit(1), F.least("_n", "_p").cast("int"))).alias("_j"))
     gp = need.join(p.select(zone, "_j", partner_id, "factor"), [zone, "_j"])
-    o = orders.select(*group, order_id, time_col, F.col(seq).alias("_seq"))
+    o = orders.join(hard_groups.select(*group), group, "left_semi").select(
+        *group, order_id, time_col, F.col(seq).alias("_seq"))
     # fresh attributes on both sides, so the cogroup keys cannot be ambiguous
     o, gp = o.toDF(*o.columns), gp.toDF(*gp.columns)
     schema = ", ".join([f"`{c}` {t}" for c, t in orders.select(*group).dtypes]
@@ -250,7 +264,8 @@ def assign_least_loaded(orders: DataFrame, partners: DataFrame, group: Sequence[
             res.insert(0, k, v)
         return res
 
-    return o.groupBy(*group).cogroup(gp.groupBy(*group)).applyInPandas(fn, schema)
+    slow = o.groupBy(*group).cogroup(gp.groupBy(*group)).applyInPandas(fn, schema)
+    return fast.unionByName(slow)
 
 
 def compare_assignment(separable: DataFrame, least_loaded: DataFrame, group: Sequence[str]) -> DataFrame:

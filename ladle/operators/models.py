@@ -64,16 +64,23 @@ def with_folds(df: DataFrame, key: str, k: int | None = None, seed: int | None =
 
 
 def oof_predictions(df: DataFrame, key: str, label: str, numeric, categorical, model_name: str, estimator,
-                    k: int | None = None) -> DataFrame:
-    """one out-of-fold prediction per row; preprocessing refitted per fold."""
+                    k: int | None = None, parallelism: int = 5) -> DataFrame:
+    """one out-of-fold prediction per row; preprocessing refitted per fold.
+    The k fits are independent and are submitted concurrently (as
+    ``CrossValidator(parallelism)`` does), so small fits share the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
+
     k = k or DEFAULTS.cv_folds
     data = with_folds(df.withColumn("label", F.col(label).cast("double")), key, k)
-    outs = []
-    for f in range(k):
-        pipe = Pipeline(stages=build_preprocessor(numeric, categorical) + [estimator])
-        m = pipe.fit(data.where(F.col("fold") != f))
-        outs.append(m.transform(data.where(F.col("fold") == f)).select(
-            key, F.col("label").alias("actual"), F.col("prediction")))
+
+    def fit(f: int):
+        pipe = Pipeline(stages=build_preprocessor(numeric, categorical) + [estimator.copy()])
+        return pipe.fit(data.where(F.col("fold") != f))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
+        models = list(pool.map(fit, range(k)))
+    outs = [m.transform(data.where(F.col("fold") == f)).select(key, F.col("label").alias("actual"), F.col("prediction"))
+            for f, m in enumerate(models)]
     res = outs[0]
     for o in outs[1:]:
         res = res.unionByName(o)

@@ -69,3 +69,16 @@ def test_profile_overlap_counts_all_pairs(spark):
     top = spark.createDataFrame([("a", 0, "x"), ("b", 1, "x"), ("c", 2, "y")], "profile string, profile_ord int, name string")
     r = {(x["profile_a"], x["profile_b"]): x["overlap"] for x in B.profile_overlap(top).collect()}
     assert r == {("a", "b"): 1, ("a", "c"): 0, ("b", "c"): 0}
+
+
+def test_least_loaded_overloaded_groups(spark, sf):
+    """Two partners per zone: most groups have more orders than partners, so
+    the sequential (applyInPandas) path is exercised as well."""
+    from ladle.plans.q_business import dispatch_orders, dispatch_partners
+    o, p = dispatch_orders(spark, sf), dispatch_partners(spark, sf).where(F.col("partner_id") < 20)
+    got = {r["order_id"]: (r["partner_id"], round(r["cost"], 6))
+           for r in B.assign_least_loaded(o, p, ["zone", "dispatch_window"], "zone").collect()}
+    exp = brute_least_loaded(o.toPandas(), p.toPandas())
+    assert got == exp
+    sizes = o.groupBy("zone", "dispatch_window").count().toPandas()
+    assert (sizes["count"] > 2).any()
