@@ -167,8 +167,10 @@ def ks_test(reference: DataFrame, batches: DataFrame, cols: Sequence[str], batch
     p_value, drifted (p < threshold)."""
     th = threshold or DEFAULTS.drift_ks_threshold
     s = ks_statistics(reference, batches, cols, batch_col)
-    # one row per (batch, feature): spread them so the p-values use all cores
-    s = s.repartition(s.sparkSession.sparkContext.defaultParallelism, "batch_id", "feature")
+    # one row per (batch, feature): spread them round-robin so the exact
+    # p-values use all cores (a keyed repartition would be dropped, the rows
+    # already being partitioned by those keys, and AQE would coalesce it)
+    s = s.repartition(s.sparkSession.sparkContext.defaultParallelism)
     return s.withColumn("p_value", _p_udf("n_reference", "n_batch", "ks_statistic")).withColumn(
         "drifted", F.col("p_value") < F.lit(th)).withColumn("threshold", F.lit(float(th)))
 
