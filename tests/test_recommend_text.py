@@ -68,3 +68,17 @@ def test_cf_item_scores_equal_explicit_mean(spark, sf):
     items = {r["id"]: np.array(r["features"]) for r in m.itemFactors.collect()}
     for i, v in list(items.items())[:20]:
         assert abs(got[i] - float((U @ v).mean())) < 1e-4
+
+
+def test_cf_top_items_match_explicit_scores(spark, sf):
+    import numpy as np
+    from ladle.sources.fixtures import interactions
+    m = S.train_cf(interactions(spark, sf), rank=5, max_iter=3)
+    users = m.userFactors.select(F.col("id").alias("user_id")).orderBy("user_id").limit(3)
+    got = S.cf_top_items(m, users, 4).collect()
+    items = {r["id"]: np.array(r["features"]) for r in m.itemFactors.collect()}
+    uf = {r["id"]: np.array(r["features"]) for r in m.userFactors.collect()}
+    for u in {r["user_id"] for r in got}:
+        exp = sorted(((-float(uf[u] @ v), i) for i, v in items.items()))[:4]
+        mine = sorted([(r["rank"], r["restaurant_id"]) for r in got if r["user_id"] == u])
+        assert [i for _, i in mine] == [i for _, i in exp]
