@@ -116,10 +116,11 @@ def profile_overlap(top: DataFrame, name_col: str = "name") -> DataFrame:
     t = top.select("profile", "profile_ord", F.col(name_col).alias("_nm")).distinct()
     a, b = t.alias("a"), t.alias("b")
     pairs = a.join(b, (F.col("a._nm") == F.col("b._nm")) & (F.col("a.profile_ord") < F.col("b.profile_ord")))
-    # every ordered pair of profiles appears, with 0 when nothing is shared
-    profs = t.select("profile", "profile_ord").distinct()
-    grid = profs.alias("p").join(profs.alias("q"), F.col("p.profile_ord") < F.col("q.profile_ord")).select(
-        F.col("p.profile").alias("profile_a"), F.col("q.profile").alias("profile_b"))
+    # every ordered pair of profiles appears, with 0 when nothing is shared; the
+    # profiles are a short fixed list, so the pair grid is built from it directly
+    profs = sorted({(r["profile_ord"], r["profile"]) for r in t.select("profile", "profile_ord").distinct().collect()})
+    grid = top.sparkSession.createDataFrame(
+        [(a, b) for i, (_, a) in enumerate(profs) for _, b in profs[i + 1:]], "profile_a string, profile_b string")
     cnt = pairs.groupBy(F.col("a.profile").alias("profile_a"), F.col("b.profile").alias("profile_b")).agg(
         F.count(F.lit(1)).alias("overlap"))
     return grid.join(cnt, ["profile_a", "profile_b"], "left").select(
