@@ -296,3 +296,19 @@ def log_predictions(scored: DataFrame, model_name: str, input_cols: Sequence[str
 def explain(predictions: DataFrame, ids: DataFrame, key: str = "prediction_id") -> DataFrame:
     """F23 (bulk): the logged predictions of the requested ids."""
     return predictions.join(ids.select(key).distinct(), key, "left_semi")
+
+
+def tune_all(df: DataFrame, label: str, numeric, categorical, models: Sequence[str], n_trials: int = 10,
+             task: str = "eta") -> DataFrame:
+    """F14 for each model; a model whose search fails keeps its default
+    parameters (empty map) with null metrics, so one failure never stops the run."""
+    spark = df.sparkSession
+    schema = "model string, params map<string,double>, mae double, rmse double, tuned boolean"
+    rows = []
+    for name in models:
+        try:
+            r = tune(df, label, numeric, categorical, name, n_trials=n_trials, task=task).first()
+            rows.append((name, dict(r["params"]), r["mae"], r["rmse"], True))
+        except Exception:
+            rows.append((name, {}, None, None, False))
+    return spark.createDataFrame(rows, schema)

@@ -265,3 +265,11 @@ def q_explain(spark, sf):
     logged = M.log_predictions(s, "eta_linear", ["haversine_distance_km"], "v1", att, key="order_id")
     ids = df.where(F.col("city_zone") == "central").select(F.col("order_id"))
     return finish(M.explain(logged, ids, "order_id").drop("created_at"))
+
+
+@register("tune_all")
+def q_tune_all(spark, sf):
+    """random search for the tree and the two penalised linear models (4 trials each)."""
+    df = eta_frame(spark, sf)
+    return finish(M.tune_all(df, "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL,
+                             ["DecisionTree", "Ridge", "Lasso"], n_trials=4))
