@@ -117,17 +117,21 @@ def q_upsert(spark, sf):
                                 (F.col("created_at") == F.lit("2024-03-01 00:00:00").cast("timestamp")).alias("is_new")))
 
 
-@register("replace_all")
+@register("replace_all", ds(
+    """SELECT CAST(count(*) AS BIGINT) AS rows, 'restaurants' AS table_name FROM restaurants_clean
+UNION ALL SELECT CAST(count(*) AS BIGINT), 'orders' FROM deliveries_clean"""))
 def q_replace(spark, sf):
     """A10: both stored tables written to one fresh version folder; row counts read back."""
     paths = IO.replace_all({"restaurants": stored_restaurants(spark, sf), "orders": delivery_orders(spark, sf)},
                            IO.scratch_path(spark, "stored"))
-    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(t))
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(t))
              for t, p in paths.items()]
     return finish(parts[0].unionByName(parts[1]))
 
 
-@register("full_import")
+@register("full_import", ds(
+    """SELECT CAST(count(*) AS BIGINT) AS rows, 'restaurants' AS table_name FROM restaurants_clean
+UNION ALL SELECT CAST(count(*) AS BIGINT), 'orders' FROM deliveries_clean"""))
 def q_full_import(spark, sf):
     """Raw CSV -> clean -> features -> stored restaurants, and deliveries -> stored orders."""
     raw = IO.read_restaurants(spark, raw_csv(spark, sf)).select(
@@ -140,12 +144,18 @@ def q_full_import(spark, sf):
     r = TB.conform(bayesian_rating(add_restaurant_features(materialize(clean_restaurants(raw)), fixed=True))
                    .withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}), TB.RESTAURANTS)
     o = delivery_orders(spark, sf)
-    a = r.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit("restaurants"))
-    b = o.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit("orders"))
+    a = r.agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit("restaurants"))
+    b = o.agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit("orders"))
     return finish(a.unionByName(b))
 
 
-@register("write_report_json")
+from ladle.dims import WEIGHT_PROFILES  # noqa: E402
+from ladle.plans.q_business import _scen_long, ssql  # noqa: E402
+
+
+@register("write_report_json", ssql(
+    """SELECT profile, round(avg(score), 6) + 0.0 AS mean_score,
+ CAST(least(count(*), 10) AS BIGINT) AS n_top FROM sl GROUP BY profile""", _scen_long(WEIGHT_PROFILES)))
 def q_report(spark, sf):
     """The scenario report (nested: profile, mean, top list) as JSON, read back."""
     from ladle.operators.business import ab_scenarios
@@ -158,7 +168,7 @@ def q_report(spark, sf):
     return finish(back.select("profile", "mean_score", F.size("top").alias("n_top")))
 
 
-@register("check_not_null")
+@register("check_not_null", rs("SELECT restaurant_id FROM sr WHERE restaurant_id IS NULL OR name IS NULL"))
 def q_not_null(spark, sf):
     """Stored restaurants violating a NOT NULL column (expected none)."""
     return finish(TB.check_not_null(stored_restaurants(spark, sf), TB.RESTAURANTS).select("restaurant_id"))

@@ -150,7 +150,36 @@ def requests_table(spark, sf):
         F.lit(5).alias("top_n"))
 
 
-@register("recommend_batch")
+_REQ_SQL = {
+    "req": """SELECT c_custkey AS request_id,
+ CASE c_custkey % 5 WHEN 0 THEN 'Chinese' WHEN 1 THEN 'North Indian' WHEN 2 THEN 'Cafe' WHEN 3 THEN 'Biryani' ELSE 'Bakery' END AS cuisine,
+ CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE (c_custkey % 3 + 1) * 500.0 END AS budget,
+ CASE WHEN c_custkey % 3 = 0 THEN 'Koramangala' END AS area,
+ CASE c_nationkey % 4 WHEN 0 THEN 'balanced' WHEN 1 THEN 'speed' WHEN 2 THEN 'quality' ELSE 'other' END AS priority
+ FROM customer""",
+    "rk": """SELECT DISTINCT cuisine, budget, area, priority,
+ CASE priority WHEN 'speed' THEN 0.2 WHEN 'quality' THEN 0.25 ELSE 0.4 END AS wc,
+ CASE priority WHEN 'speed' THEN 0.2 WHEN 'quality' THEN 0.25 ELSE 0.3 END AS wf,
+ CASE priority WHEN 'speed' THEN 0.5 WHEN 'quality' THEN 0.1 ELSE 0.3 END AS wr,
+ CASE priority WHEN 'speed' THEN 0.1 WHEN 'quality' THEN 0.4 ELSE 0.0 END AS wb FROM req""",
+    "c": cos_sql("srf", "srf"),
+    "cand": """SELECT k.*, c.restaurant_id, c._cos, coalesce(c.reliability_score, 0.5) AS rel, c.bayesian_rating / 5.0 AS bn
+ FROM rk k JOIN c ON (k.cuisine IS NULL OR k.cuisine = '' OR coalesce(regexp_matches(c.cuisines, '(?i)' || k.cuisine), false))
+ AND (k.budget IS NULL OR k.budget = 0 OR coalesce(c.cost_for_two <= k.budget, false))
+ AND (k.area IS NULL OR k.area = '' OR coalesce(regexp_matches(c.location, '(?i)' || k.area), false))""",
+    "mm": """SELECT cand.*, CASE WHEN max(_cos) OVER w = min(_cos) OVER w THEN 0.5
+ ELSE (_cos - min(_cos) OVER w) / (max(_cos) OVER w - min(_cos) OVER w) END AS content
+ FROM cand WINDOW w AS (PARTITION BY cuisine, budget, area, priority)""",
+    "sc": """SELECT *, wc * content + wf * 0.5 + wr * rel + wb * bn AS combined,
+ row_number() OVER (PARTITION BY cuisine, budget, area, priority ORDER BY wc * content + wf * 0.5 + wr * rel + wb * bn DESC,
+ restaurant_id) AS rank FROM mm""",
+}
+
+
+@register("recommend_batch", rs(
+    """SELECT r.request_id, s.restaurant_id, CAST(s.rank AS BIGINT) AS rank, round(s.combined, 6) + 0.0 AS combined_score
+FROM req r JOIN sc s ON s.cuisine IS NOT DISTINCT FROM r.cuisine AND s.budget IS NOT DISTINCT FROM r.budget
+ AND s.area IS NOT DISTINCT FROM r.area AND s.priority IS NOT DISTINCT FROM r.priority WHERE s.rank <= 5""", _REQ_SQL))
 def q_batch(spark, sf):
     """H9 over all customers' requests; checked against per-request H8 in tests."""
     out = R.recommend_batch(requests_table(spark, sf), stored_restaurants(spark, sf), CONTENT)
