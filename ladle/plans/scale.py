@@ -67,10 +67,22 @@ def running_total(
     oc = F.col(order_col).cast("double")
     x = x.withColumn("_bk", F.size(F.filter(F.col("_bounds"), lambda v: v < oc))).drop("_bounds")
     part = x.groupBy(*keys, "_bk").agg(*[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
-    pw = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = part.select(
-        *keys, "_bk", *[F.coalesce(F.sum(f"_tot_{v}").over(pw), F.lit(0)).alias(f"_off_{v}") for v in value_cols]
-    )
+    # exclusive prefix over the bucket totals of each key: at most ``buckets``
+    # entries per key, so one bounded array per key replaces a window
+    arr = part.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("_bk", *[f"_tot_{v}" for v in value_cols]))).alias("_a"))
+
+    tot_types = dict(part.dtypes)
+
+    def prefix(v):
+        t = tot_types[f"_tot_{v}"]  # long for counts, double / decimal otherwise
+        return lambda e, i: F.aggregate(F.slice("_a", 1, i), F.lit(0).cast(t),
+                                        lambda acc, y: (acc + y[f"_tot_{v}"]).cast(t))
+
+    offs = arr.select(*keys, F.transform("_a", lambda e, i: F.struct(
+        e["_bk"].alias("_bk"), *[prefix(v)(e, i).alias(f"_off_{v}") for v in value_cols])).alias("_o"))
+    offsets = offs.select(*keys, F.explode("_o").alias("_o")).select(
+        *keys, "_o._bk", *[F.col(f"_o._off_{v}").alias(f"_off_{v}") for v in value_cols])
     x = x.join(offsets, [*keys, "_bk"])
     w = (
         Window.partitionBy(*keys, "_bk")
