@@ -137,6 +137,10 @@ def answer_messages(messages: DataFrame, restaurants: DataFrame, id_col: str = "
     c = c.withColumn("_budget", F.col("_budget_txt").cast("double"))
     c = c.withColumn("_skey", F.when(F.col("intent").isin("search", "budget_search"),
                                      F.sha2(F.to_json(F.struct("intent", "_cuisine", "_area", "_budget")), 256)))
+    # the classified messages feed three branches below: store them once (the
+    # regex rules are then evaluated once, outside any aggregate's codegen)
+    from ladle.plans.scale import materialize
+    c = materialize(c)
     keys = c.where(F.col("_skey").isNotNull()).select("_skey", "intent", "_cuisine", "_area", "_budget").dropDuplicates(["_skey"])
     n_keys = keys.count()
     r = restaurants
