@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,13 +40,39 @@ def with_stats(df: DataFrame, stats: DataFrame, name: str = "_st") -> DataFrame:
     return df.withColumn(name, one_row(stats))
 
 
+def bucket_count(spark, default: int = DEFAULT_BUCKETS) -> int:
+    """Buckets per key for ``running_total``: ``spark.ladle.buckets`` if set.
+    Each bucket of a key is ordered inside one task, so a key of N rows needs
+    about N / (rows a task sorts comfortably) buckets."""
+    try:
+        return int(spark.conf.get("spark.ladle.buckets", str(default)))
+    except Exception:
+        return default
+
+
+def count_below(sorted_arr, v, n: int):
+    """Number of elements of a sorted array (length n) strictly below ``v``,
+    by binary search: O(log n) per row instead of scanning the array."""
+    steps = max(1, math.ceil(math.log2(n + 1)))
+    init = F.struct(F.lit(0).alias("lo"), F.size(sorted_arr).alias("hi"))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        go_right = F.element_at(sorted_arr, mid + 1) < v
+        return F.when(lo >= hi, acc).otherwise(
+            F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+            .otherwise(F.struct(lo.alias("lo"), mid.alias("hi"))))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
     order_col: str,
     value_cols: Sequence[str],
     tiebreak: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     suffix: str = "_cum",
 ) -> DataFrame:
     """Add inclusive running sums ``<v><suffix>`` per ``keys`` ordered by
@@ -55,6 +82,7 @@ def running_total(
     by (order_col, tiebreak) inside a bucket is globally consistent.
     """
     keys = list(keys)
+    buckets = buckets or bucket_count(df.sparkSession)
     qs = [i / buckets for i in range(1, buckets)]
     bounds = df.groupBy(*keys).agg(
         F.percentile_approx(F.col(order_col).cast("double"), qs, APPROX_ACCURACY).alias("_bounds")
@@ -65,7 +93,7 @@ def running_total(
         b = one_row(bounds)
         x = df.withColumn("_bounds", b["_bounds"])
     oc = F.col(order_col).cast("double")
-    x = x.withColumn("_bk", F.size(F.filter(F.col("_bounds"), lambda v: v < oc))).drop("_bounds")
+    x = x.withColumn("_bk", count_below(F.col("_bounds"), oc, len(qs))).drop("_bounds")
     part = x.groupBy(*keys, "_bk").agg(*[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
     # exclusive prefix over the bucket totals of each key: at most ``buckets``
     # entries per key, so one bounded array per key replaces a window
@@ -99,7 +127,7 @@ def exact_quantiles(
     value_col: str,
     probs: Sequence[float],
     names: Sequence[str] | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles of ``value_col`` per ``keys`` (nulls ignored).
 

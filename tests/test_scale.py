@@ -39,3 +39,17 @@ def test_top_k_per_group(spark):
     got = top_k_per_group(df, ["k"], [F.desc("v"), F.asc("id")], 3, salt_buckets=4).toPandas()
     exp = pdf.sort_values(["k", "v", "id"], ascending=[True, False, True]).groupby("k").head(3)
     assert sorted(got["id"]) == sorted(exp["id"])
+
+
+def test_count_below_binary_search(spark):
+    from ladle.plans.scale import count_below
+    bounds = [1.0, 2.0, 2.0, 5.0, 9.0]
+    df = spark.createDataFrame([(v,) for v in [0.5, 1.0, 1.5, 2.0, 3.0, 5.0, 9.0, 10.0]], "v double")
+    got = [r["c"] for r in df.select(count_below(F.array(*[F.lit(b) for b in bounds]), F.col("v"), len(bounds)).alias("c")).collect()]
+    assert got == [sum(b < v for b in bounds) for v in [0.5, 1.0, 1.5, 2.0, 3.0, 5.0, 9.0, 10.0]]
+
+
+def test_many_buckets(spark):
+    df, pdf = skewed(spark)
+    one = exact_quantiles(df, ["k"], "v", [0.5], buckets=1024).where("k = 0").first()
+    assert abs(one["q0"] - np.median(pdf[pdf.k == 0]["v"])) < 1e-9
