@@ -114,9 +114,8 @@ def q_top_cuisines(spark, sf):
 @register("encode_cuisines", rsql(
     "SELECT restaurant_id, " + ", ".join(cuisine_sql(c) for c in FIXTURE_CUISINES) + " FROM restaurants_clean"))
 def q_encode_cuisines(spark, sf):
-    r = restaurants(spark, sf)
-    return finish(RF.encode_cuisines(r, 30).select("restaurant_id", *[c for c in RF.encode_cuisines(r, 30).columns
-                                                                     if c.startswith("cuisine_")]))
+    e = RF.encode_cuisines(restaurants(spark, sf), 30)
+    return finish(e.select("restaurant_id", *[c for c in e.columns if c.startswith("cuisine_")]))
 
 
 @register("encode_cuisines_fixed", rsql(

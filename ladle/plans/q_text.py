@@ -44,9 +44,6 @@ def q_search_restaurants(spark, sf):
     return finish(r.select("restaurant_id", "name"))
 
 
-_GEO = {"geo": """SELECT restaurant_id, location FROM sr"""}
-
-
 from ladle.plans.q_features import geocode_sql  # noqa: E402
 
 _GLAT, _GLON = geocode_sql("location")
