@@ -69,7 +69,12 @@ def ks_statistics(reference: DataFrame, batches: DataFrame, cols: Sequence[str],
     """Exact two-sample KS statistic per (batch_id, feature), with
     n_reference and n_batch. Features with fewer than ``min_batch`` batch
     values are skipped."""
-    x = _sides(reference, batches, cols, batch_col)
+    return ks_statistics_long(_sides(reference, batches, cols, batch_col), min_batch)
+
+
+def ks_statistics_long(x: DataFrame, min_batch: int = 5) -> DataFrame:
+    """KS statistics from long rows (feature, value, batch_id); a null
+    batch_id marks reference rows."""
     is_ref = F.col("batch_id").isNull()
     # one row per (feature, value, side): duplicates collapse map-side
     agg = x.groupBy("feature", "value", "batch_id").agg(F.count(F.lit(1)).alias("c"))
@@ -162,11 +167,12 @@ def _p_udf(*cols):
 
 
 def ks_test(reference: DataFrame, batches: DataFrame, cols: Sequence[str], batch_col: str | None = None,
-            threshold: float | None = None) -> DataFrame:
+            threshold: float | None = None, long_rows: DataFrame | None = None) -> DataFrame:
     """J2 with p-values: one row per (batch_id, feature) with ks_statistic,
-    p_value, drifted (p < threshold)."""
+    p_value, drifted (p < threshold). ``long_rows`` (feature, value,
+    batch_id) may be given instead of the two wide frames."""
     th = threshold or DEFAULTS.drift_ks_threshold
-    s = ks_statistics(reference, batches, cols, batch_col)
+    s = ks_statistics_long(long_rows) if long_rows is not None else ks_statistics(reference, batches, cols, batch_col)
     # one row per (batch, feature): spread them round-robin so the exact
     # p-values use all cores (a keyed repartition would be dropped, the rows
     # already being partitioned by those keys, and AQE would coalesce it)

@@ -155,6 +155,18 @@ def q_running(spark, sf):
     return finish(r.select("order_id", "day", "on_time_rate"))
 
 
+@register("running_on_time_rate_global", osql(
+    """SELECT order_id, round(100.0 * sum(CASE WHEN (actual_min > 40) = false THEN 1 ELSE 0 END)
+ OVER (ORDER BY ts, order_id ROWS UNBOUNDED PRECEDING) /
+ count(*) OVER (ORDER BY ts, order_id ROWS UNBOUNDED PRECEDING), 6) + 0.0 AS on_time_rate FROM ou""", _OU))
+def q_running_global(spark, sf):
+    """G8 global form: one running rate over all orders; the bucketed prefix
+    sums keep it off a single task."""
+    o = B.order_sla_flags(outcomes_unknown(spark, sf))
+    r = B.running_on_time_rate(o, [], "ts", "order_id")
+    return finish(r.select("order_id", "on_time_rate"))
+
+
 @register("ops_kpis", osql(
     """SELECT CAST(count(*) AS BIGINT) AS orders,
  round(100.0 * sum(CASE WHEN (actual_min > 40) = false THEN 1 ELSE 0 END) / count(*), 6) + 0.0 AS on_time_pct,

@@ -149,3 +149,15 @@ def q_drift_summary(spark, sf):
     h = _history(spark, sf)
     alerted = DR.apply_cooldown(h.where("drifted").select("feature", "batch_id", "detected_at"))
     return finish(drift_summary(DR.log_drift(h, alerted)))
+
+
+@register("ks_test_sampled")
+def q_ks_sampled(spark, sf):
+    """J3 then J2 as the original runs them: at most 100 values per feature and
+    side (seeded hash sample), KS with exact p-values on the samples."""
+    ref = DR.sample_side(reference(spark, sf), FEATURES, 100, 42, key="event_id").withColumn(
+        "batch_id", F.lit(None).cast("string"))
+    bat = DR.sample_side(batches(spark, sf, 5.0), FEATURES, 100, 42, key="event_id").withColumn(
+        "batch_id", F.lit("batch"))
+    rows = ref.select("feature", "value", "batch_id").unionByName(bat.select("feature", "value", "batch_id"))
+    return finish(DR.ks_test(None, None, FEATURES, long_rows=rows))
