@@ -11,23 +11,28 @@ from ladle.plans.common import delivery_orders, stored_restaurants
 from ladle.plans.q_features import hav_sql
 from ladle.plans.q_lookup import ds
 from ladle.plans.q_recommend import rs
+from ladle.plans.sql_answers import answers_sql
 from ladle.plans.views_sql import with_views
 from ladle.sources.fixtures import messages, table
 
 
-def _intent_sql() -> str:
+def _intent_select() -> str:
     t = "lower(regexp_replace(message, '^\\s+|\\s+$', '', 'g'))"
     case = "CASE " + " ".join(
         f"WHEN regexp_matches(t, '{K._rx(p, a)}') THEN '{n}'" for p, n, a in K.INTENT_RULES) + " ELSE 'unknown' END"
     rx = {n: K._rx(p, a) for p, n, a in K.INTENT_RULES}
     ex = lambda n, g: f"trim(regexp_extract(t, '{rx[n]}', {g}))"
-    return with_views(f"""SELECT conv_id, turn, intent,
+    return f"""SELECT conv_id, turn, intent,
  CASE WHEN intent = 'search' THEN {ex('search', 1)} END AS query,
  CASE WHEN intent = 'search' THEN nullif({ex('search', 2)}, '') END AS area,
  CASE WHEN intent = 'eta' THEN {ex('eta', 1)} WHEN intent = 'reliability' THEN {ex('reliability', 1)} END AS restaurant,
  CASE WHEN intent = 'budget_search' THEN nullif(regexp_extract(t, '{K.BUDGET_PATTERN}', 1), '') END AS budget,
  CASE WHEN intent = 'cuisine_search' THEN 'indian' END AS cuisine
-FROM (SELECT *, {case} AS intent FROM (SELECT conv_id, turn, {t} AS t FROM messages))""", "messages")
+FROM (SELECT *, {case} AS intent FROM (SELECT conv_id, turn, {t} AS t FROM messages))"""
+
+
+def _intent_sql() -> str:
+    return with_views(_intent_select(), "messages")
 
 
 @register("classify_intent", _intent_sql())
@@ -82,7 +87,7 @@ def q_reliability_lookup(spark, sf):
     return finish(out)
 
 
-@register("answer_messages")
+@register("answer_messages", answers_sql(_intent_select()))
 def q_answers(spark, sf):
     """K5 over every user message; templates checked in tests/test_text_rules.py."""
     return finish(K.answer_messages(messages(spark, sf), stored_restaurants(spark, sf)))
