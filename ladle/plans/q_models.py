@@ -160,10 +160,15 @@ def rating_frame(spark, sf):
     return r, rating_feature_cols(r)
 
 
-def _board(df, key, label, num, cat, task, models):
+def _board(df, key, label, num, cat, task, models, parallel_models: int = 3):
+    """Out-of-fold predictions of several models; the models are fitted
+    concurrently (each also fits its folds concurrently)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     n = df.count()
     ests = M.estimators(task, n)
-    oofs = [M.oof_predictions(df, key, label, num, cat, name, ests[name]) for name in models]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_models, len(models)))) as pool:
+        oofs = list(pool.map(lambda name: M.oof_predictions(df, key, label, num, cat, name, ests[name]), models))
     u = oofs[0]
     for o in oofs[1:]:
         u = u.unionByName(o)
