@@ -16,7 +16,9 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     """Great-circle distance in km; null if any coordinate is null."""
     p1, l1, p2, l2 = (F.radians(_c(x)) for x in (lat1, lon1, lat2, lon2))
     a = F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin((l2 - l1) / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    # clamp rounding overshoot above 1; ``least`` would skip a null and turn
+    # missing coordinates into half the Earth's circumference
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(a > 1.0, F.lit(1.0)).otherwise(a)))
 
 
 def city_zone(lat, lon) -> Column:

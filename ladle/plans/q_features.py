@@ -65,8 +65,9 @@ def geocode_sql(col: str = "location") -> tuple[str, str]:
 
 
 def hav_sql(a, b, c, d) -> str:
-    return (f"2 * 6371.0 * asin(sqrt(least(1.0, pow(sin((radians({c}) - radians({a})) / 2), 2) + "
-            f"cos(radians({a})) * cos(radians({c})) * pow(sin((radians({d}) - radians({b})) / 2), 2))))")
+    h = (f"(pow(sin((radians({c}) - radians({a})) / 2), 2) + "
+         f"cos(radians({a})) * cos(radians({c})) * pow(sin((radians({d}) - radians({b})) / 2), 2))")
+    return f"2 * 6371.0 * asin(sqrt(CASE WHEN {h} > 1.0 THEN 1.0 ELSE {h} END))"
 
 
 HAV = hav_sql("restaurant_latitude", "restaurant_longitude", "delivery_latitude", "delivery_longitude")

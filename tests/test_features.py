@@ -57,3 +57,25 @@ def test_cuisine_flags_substring(spark):
     out = RF.encode_cuisines_fixed(df).collect()
     assert out[0]["cuisine_south_indian"] == 1 and out[0]["cuisine_chinese"] == 1 and out[0]["cuisine_north_indian"] == 0
     assert out[1]["cuisine_chinese"] == 0
+
+
+def test_eta_minutes_rule(spark):
+    from ladle.operators.text_rules import eta_minutes
+    df = spark.createDataFrame([(None, None), (12.97, 77.59), (12.9352, 77.6245)], "lat double, lon double")
+    got = [r["m"] for r in df.select(eta_minutes(F.col("lat"), F.col("lon")).alias("m")).collect()]
+    assert got[0] == 30  # no coordinates: 5 km -> 3 * 5 + 15
+    assert got[1] == 15  # at the centre: 0 km -> max(10, 15)
+    assert got[2] > 15
+
+
+def test_traffic_resolution_order(spark):
+    from ladle.operators.traffic import resolve_traffic
+    orders = spark.createDataFrame([(1, 1, 9, 1), (2, 2, 9, 1), (3, 3, 3, 6)],
+                                   "event_id long, segment_id long, order_hour int, day_of_week int")
+    speed = spark.createDataFrame([(1, 30.0, 100.0)], "segment_id long, current_speed double, free_flow_speed double")
+    cong = spark.createDataFrame([(1, "low"), (2, "JAM")], "segment_id long, congestion_level string")
+    r = {x["event_id"]: (x["traffic_level"], x["traffic_label"], x["source"])
+         for x in resolve_traffic(orders, speed, cong).collect()}
+    assert r[1] == (3, "Jam", "speed_feed")          # ratio 0.3: the speed feed wins over the congestion feed
+    assert r[2] == (3, "Jam", "congestion_feed")
+    assert r[3] == (0, "Low", "time_of_day")         # weekend 03:00
