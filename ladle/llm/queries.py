@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import fingerprints, packing, secrets, topk
+from ladle.llm import fingerprints, lm, packing, secrets, topk
 from ladle.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -46,3 +46,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_fingerprints")
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_pairs(documents(spark, sf_dir))
+
+
+@query("op10_lm_scores")
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
