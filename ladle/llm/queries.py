@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import fingerprints, lm, packing, secrets, topk
+from ladle.llm import fingerprints, lm, packing, secrets, substrings, topk
 from ladle.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -51,3 +51,8 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_scores")
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
+
+
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(documents(spark, sf_dir))
