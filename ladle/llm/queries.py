@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import fingerprints, lm, packing, secrets, substrings, topk
+from ladle.llm import fingerprints, lm, neardup, packing, secrets, substrings, topk
 from ladle.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -56,3 +56,8 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_substring_dedup")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(documents(spark, sf_dir))
+
+
+@query("op5_minhash_neardup")
+def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.labels(documents(spark, sf_dir), shingle=3, percent=85)
