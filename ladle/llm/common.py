@@ -110,9 +110,11 @@ class Words:
     word (one more entry at the end); doc: the text each word is in.
     """
 
-    def __init__(self, flat: np.ndarray, at: np.ndarray, lower: bool = False):
+    def __init__(self, flat: np.ndarray, at: np.ndarray, lower: bool = False, apart: np.ndarray = _SPACE):
+        """``apart``: which of the 256 bytes stand between words."""
         self.flat = _LOWER[flat] if lower else flat
-        space = _SPACE[flat]
+        self._total: np.ndarray | None = None
+        space = apart[flat]
         edge = np.zeros(len(flat) + 1, bool)  # a text begins here
         edge[at[:-1]] = True
         inside = ~space
@@ -132,11 +134,16 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word: a polynomial over its bytes, from prefix sums, mixed."""
-        _POWERS.need(len(self.flat) + 1)
-        total = np.zeros(len(self.flat) + 1, np.uint64)
-        np.cumsum(_CODES[self.flat] * _POWERS.up[:len(self.flat)], out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * _POWERS.down[self.starts]
-        return mix(h + (self.ends - self.starts).astype(np.uint64))
+        return self.range_hashes(self.starts, self.ends)
+
+    def range_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The same hash of any ranges of bytes."""
+        if self._total is None:
+            _POWERS.need(len(self.flat) + 1)
+            self._total = np.zeros(len(self.flat) + 1, np.uint64)
+            np.cumsum(_CODES[self.flat] * _POWERS.up[:len(self.flat)], out=self._total[1:])
+        h = (self._total[ends] - self._total[starts]) * _POWERS.down[starts]
+        return mix(h + (ends - starts).astype(np.uint64))
 
     def word(self, i: int) -> bytes:
         return self.flat[self.starts[i]:self.ends[i]].tobytes()

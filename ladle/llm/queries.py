@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import fingerprints, lm, neardup, packing, secrets, substrings, topk
+from ladle.llm import fingerprints, lm, neardup, packing, secrets, substrings, topk, toxicity
 from ladle.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -61,3 +61,8 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_minhash_neardup")
 def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.labels(documents(spark, sf_dir), shingle=3, percent=85)
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
