@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import fingerprints, lm, neardup, packing, secrets, substrings, topk, toxicity
+from ladle.llm import fingerprints, lm, neardup, packing, pieces, secrets, substrings, topk, toxicity
 from ladle.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -66,3 +66,8 @@ def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(documents(spark, sf_dir))
