@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import fingerprints, lm, neardup, packing, pieces, secrets, substrings, topk, toxicity
+from ladle.llm import fingerprints, lm, neardup, packing, pieces, secrets, substrings, topk, toxicity, warc
 from ladle.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -71,3 +71,30 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_sentencepiece")
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(documents(spark, sf_dir))
+
+
+def aged(replica: DataFrame) -> DataFrame:
+    """A replica as it may be found: of some ids a character is changed, of some the end is cut off,
+    some records are gone and some are there twice."""
+    key, record = F.col("key"), F.col("record")
+    worn = F.when(key % 97 == 5, F.concat(F.substring(record, 1, 40), F.lit("?"), F.substring(record, 42, 2147483647))).when(
+        key % 193 == 7, F.expr("substring(record, 1, length(record) - 9)")).otherwise(record)
+    times = F.when(key % 389 == 11, 0).when(key % 577 == 13, 2).otherwise(1)
+    return replica.select("key", worn.alias("record"), F.explode(F.array_repeat(F.lit(1), F.coalesce(times, F.lit(1)))).alias("_")).drop("_")
+
+
+@query("op2_warc_audit", """
+WITH r AS (SELECT page_id AS key, concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10), 'WARC-Record-ID: <urn:page:', page_id, '>',
+ chr(13), chr(10), 'WARC-Target-URI: ', url, chr(13), chr(10), 'Content-Type: text/html; charset=utf-8', chr(13), chr(10), 'Content-Length: ', strlen(coalesce(html, '')),
+ chr(13), chr(10), chr(13), chr(10), html, chr(13), chr(10), chr(13), chr(10)) AS record FROM pages),
+w AS (SELECT r.key, CASE WHEN r.key % 97 = 5 THEN concat(substr(record, 1, 40), '?', substr(record, 42)) WHEN r.key % 193 = 7
+ THEN substr(record, 1, length(record) - 9) ELSE record END AS record FROM r, (VALUES (1), (2)) t(i)
+ WHERE t.i <= CASE WHEN r.key % 389 = 11 THEN 0 WHEN r.key % 577 = 13 THEN 2 ELSE 1 END),
+m AS (SELECT 0 AS side, key, sha256(record) AS sha256, strlen(record) AS bytes FROM r UNION ALL SELECT 1, key, sha256(record), strlen(record) FROM w),
+l AS (SELECT *, key >> 12 AS file, sum(bytes) OVER (PARTITION BY side, key >> 12 ORDER BY key, sha256 ROWS UNBOUNDED PRECEDING) - bytes AS offs FROM m),
+g AS (SELECT file, key, sha256, bytes, count(*) FILTER (side = 0) AS n_expected, count(*) FILTER (side = 1) AS n_found,
+ min(offs) FILTER (side = 0) AS o0, min(offs) FILTER (side = 1) AS o1 FROM l GROUP BY ALL)
+SELECT file, key AS page_id, sha256, n_expected, n_found, CAST(coalesce(o0, o1) AS BIGINT) AS "offset", bytes AS length FROM g WHERE n_expected <> n_found""")
+def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    primary = warc.records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return warc.audit(primary, aged(primary))
