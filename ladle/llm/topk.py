@@ -24,8 +24,6 @@ returned; an empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -34,7 +32,7 @@ from pyspark.sql import functions as F
 SHARD_ROWS = 4096
 BLOCK_ROWS = 1024
 #: Share of each list read by the end of each round.
-DEPTHS = (0.5, 0.75, 0.9)
+DEPTHS = (0.75, 0.95)
 
 
 class SortedLists:
@@ -43,46 +41,56 @@ class SortedLists:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")  # so that ties in score keep the smaller id
         self.ids, self.vectors = ids[order], vectors[order]
-        self.lists = np.sort(self.vectors, axis=0)  # the values of each list
+        self.lists = np.sort(self.vectors, axis=0)
 
-    def frontier(self, q: np.ndarray, depth: int) -> np.ndarray:
-        """The component each list has been read down (or up) to after ``depth`` entries."""
-        n = len(self.ids)
-        return np.where(q > 0, self.lists[n - depth], self.lists[depth - 1])
+    def bounds(self, rows: np.ndarray, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper scores of ``rows`` for all queries once ``depth`` entries of each list are read.
+
+        ``up`` and ``down`` are the queries' positive and negative components: for a positive one the
+        list is read from its largest value down, so both bounds of all queries are matrix products."""
+        v = self.vectors[rows]
+        top, bottom = self.lists[len(self.ids) - depth], self.lists[depth - 1]  # the frontiers
+        lower = up @ np.where(v >= top, v, self.lists[0]).T + down @ np.where(v <= bottom, v, self.lists[-1]).T
+        upper = up @ np.maximum(v, top).T + down @ np.minimum(v, bottom).T
+        return lower, upper
 
-    def search(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows whose id isn't ``own``."""
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, id, score) of the k best rows for each query whose id isn't the query's own."""
         n = len(self.ids)
-        live = np.flatnonzero(self.ids != own)
-        last = np.where(q > 0, self.lists[0], self.lists[-1])  # what an unread entry adds at least
+        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        rows = np.arange(n)
+        live = own[:, None] != self.ids[None, :]
         for share in DEPTHS:
             depth = int(n * share)
-            if depth < 1 or len(live) <= k:
+            if depth < 1 or len(rows) <= k:
                 break
-            edge = self.frontier(q, depth)
-            rows = self.vectors[live]
-            read = np.where(q > 0, rows >= edge, rows <= edge)
-            lower = np.where(read, rows, last) @ q
-            upper = np.where(read, rows, edge) @ q
-            bar = np.partition(lower, len(live) - k)[len(live) - k]
-            live = live[upper >= bar]
-        scores = self.vectors[live] @ q
-        best = np.argsort(-scores, kind="stable")[:k]
-        return self.ids[live[best]], scores[best]
+            lower, upper = self.bounds(rows, up, down, depth)
+            lower[~live] = -np.inf
+            live &= upper >= np.partition(lower, len(rows) - k, axis=1)[:, [len(rows) - k]]
+            left = live.any(axis=0)
+            rows, live = rows[left], live[:, left]
+        # what is left is read to the end; one key orders by score, then by id
+        key = rows[None, :] - (queries @ self.vectors[rows].T).astype(np.int64) * n
+        key[~live] = np.iinfo(np.int64).max
+        best = np.argpartition(key, min(k, len(rows)) - 1, axis=1)[:, :k] if len(rows) else np.zeros((len(own), 0), np.int64)
+        of, at = np.repeat(np.arange(len(own)), best.shape[1]), best.ravel()
+        ok = live[of, at]
+        of, at = of[ok], at[ok]
+        return of, self.ids[rows[at]], -(key[of, at] // n)
 
 
 def _search_groups(k: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         is_query = pdf["_query"].to_numpy(bool)
-        rows, queries = pdf[~is_query], pdf[is_query]
-        out: list[tuple] = []
-        if len(rows) and len(queries):
-            # whole numbers below 2**53: sums in double are exact
-            lists = SortedLists(rows["_id"].to_numpy(np.int64), np.stack(rows["_v"].to_numpy()).astype(np.float64))
-            for own, v in zip(queries["_id"], queries["_v"]):
-                ids, scores = lists.search(np.asarray(v, np.float64), own, k)
-                out += [(own, int(i), int(s)) for i, s in zip(ids, scores)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+        rows, asked = pdf[~is_query], pdf[is_query]
+        if not len(rows) or not len(asked):
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})
+        v, q = (np.stack(x["_v"].to_numpy()).astype(np.float64) for x in (rows, asked))
+        if v.shape[1] * np.abs(v).max() * np.abs(q).max() < 1 << 23:  # then single precision adds whole numbers exactly
+            v, q = v.astype(np.float32), q.astype(np.float32)
+        own = asked["_id"].to_numpy(np.int64)
+        of, ids, score = SortedLists(rows["_id"].to_numpy(np.int64), v).search(q, own, k)
+        return pd.DataFrame({"query_id": own[of], "vec_id": ids, "score": score})
     return run
 
 
