@@ -12,9 +12,8 @@ of batches against one reference:
   sup |F_r - F_b| = max over batch points of
   max(|F_r(v) - F_b(v)|, |F_r(v-) - F_b(v_prev)|).
 
-The p-value of each (feature, batch) row is a small pandas UDF: the exact
-lattice-path probability for samples up to 10 000 a side, else the
-Kolmogorov limit.
+The p-value of each (feature, batch) row is a small pandas UDF: the Kolmogorov
+limit, or on request the exact lattice-path probability (for samples).
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.config import DEFAULTS
-from ladle.plans.scale import long_form, running_total
+from ladle.plans.scale import long_form, materialize, running_total
 
 
 def reference_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -82,11 +81,12 @@ def ks_statistics_long(x: DataFrame, min_batch: int = 5) -> DataFrame:
                            "c_bat": F.when(is_ref, 0).otherwise(F.col("c")),
                            # at equal values reference rows sort first: inclusive reference ECDF
                            "_side": F.when(is_ref, 0).otherwise(1)})
+    agg = materialize(agg)  # read by five statistics below: the values are counted once
     r = running_total(agg, ["feature"], "value", ["c_ref"], tiebreak=["_side", "batch_id"])
     n_ref = agg.where(is_ref).groupBy("feature").agg(F.sum("c").alias("n_reference"))
     b = r.where(~is_ref).join(agg.where(is_ref).select("feature", "value", F.col("c").alias("_cr_at")),
                                ["feature", "value"], "left")
-    b = b.withColumn("_ref_excl", F.col("c_ref_cum") - F.coalesce("_cr_at", F.lit(0)))
+    b = materialize(b.withColumn("_ref_excl", F.col("c_ref_cum") - F.coalesce("_cr_at", F.lit(0))))
     b = running_total(b, ["feature", "batch_id"], "value", ["c_bat"])
     n_bat = agg.where(~is_ref).groupBy("feature", "batch_id").agg(F.sum("c").alias("n_batch"))
     b = b.join(n_ref, "feature").join(n_bat, ["feature", "batch_id"])
@@ -140,44 +140,57 @@ def _ks_p_exact(n1: int, n2: int, d: float) -> float:
     return float(min(1.0, max(0.0, 1.0 - prev[-1])))
 
 
+def kolmogorov_sf(lam: float) -> float:
+    """P(K > lam) of the Kolmogorov distribution. The alternating series needs
+    few terms for large ``lam`` and does not settle for small ones, where its
+    theta-function dual does; the two meet near 1."""
+    if lam <= 0:
+        return 1.0
+    if lam < 1.18:
+        q = math.exp(-(math.pi ** 2) / (8 * lam * lam))
+        cdf = math.sqrt(2 * math.pi) / lam * sum(q ** ((2 * k - 1) ** 2) for k in range(1, 6))
+        return min(1.0, max(0.0, 1.0 - cdf))
+    return min(1.0, 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 12)))
+
+
 def _ks_p_asymptotic(n1: int, n2: int, d: float) -> float:
     en = math.sqrt(n1 * n2 / (n1 + n2))
-    lam = (en + 0.12 + 0.11 / en) * d
-    s = 0.0
-    for k in range(1, 101):
-        s += 2 * (-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam)
-    return float(min(1.0, max(0.0, s)))
+    return kolmogorov_sf((en + 0.12 + 0.11 / en) * d)
 
 
-def ks_p_value(n1: int, n2: int, d: float, exact_limit: int = 10000) -> float:
+def ks_p_value(n1: int, n2: int, d: float, method: str = "asymptotic") -> float:
+    """``method``: "exact" (lattice paths; time grows with n1 + n2 and the band,
+    for samples) or "asymptotic" (the limit with Stephens' correction, for any size)."""
     if d <= 0:
         return 1.0
-    if max(n1, n2) <= exact_limit:
-        return _ks_p_exact(int(n1), int(n2), float(d))
-    return _ks_p_asymptotic(int(n1), int(n2), float(d))
+    p = {"exact": _ks_p_exact, "asymptotic": _ks_p_asymptotic}[method]
+    return p(int(n1), int(n2), float(d))
 
 
-def _p_values(n1: pd.Series, n2: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([ks_p_value(a, b, c) for a, b, c in zip(n1, n2, d)])
+def _p_values(method: str):
+    def run(n1: pd.Series, n2: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([ks_p_value(a, b, c, method) for a, b, c in zip(n1, n2, d)], dtype="float64")
+    return run
 
 
-def _p_udf(*cols):
+def _p_udf(method: str, *cols):
     # built on use: Python workers import this module without a session
-    return F.pandas_udf(_p_values, "double")(*cols)
+    return F.pandas_udf(_p_values(method), "double")(*cols)
 
 
 def ks_test(reference: DataFrame, batches: DataFrame, cols: Sequence[str], batch_col: str | None = None,
-            threshold: float | None = None, long_rows: DataFrame | None = None) -> DataFrame:
+            threshold: float | None = None, long_rows: DataFrame | None = None, method: str = "asymptotic") -> DataFrame:
     """J2 with p-values: one row per (batch_id, feature) with ks_statistic,
     p_value, drifted (p < threshold). ``long_rows`` (feature, value,
-    batch_id) may be given instead of the two wide frames."""
+    batch_id) may be given instead of the two wide frames; ``method`` as in
+    ``ks_p_value``, the same for every row."""
     th = threshold or DEFAULTS.drift_ks_threshold
     s = ks_statistics_long(long_rows) if long_rows is not None else ks_statistics(reference, batches, cols, batch_col)
     # one row per (batch, feature): spread them round-robin so the exact
     # p-values use all cores (a keyed repartition would be dropped, the rows
     # already being partitioned by those keys, and AQE would coalesce it)
     s = s.repartition(s.sparkSession.sparkContext.defaultParallelism)
-    return s.withColumn("p_value", _p_udf("n_reference", "n_batch", "ks_statistic")).withColumn(
+    return s.withColumn("p_value", _p_udf(method, "n_reference", "n_batch", "ks_statistic")).withColumn(
         "drifted", F.col("p_value") < F.lit(th)).withColumn("threshold", F.lit(float(th)))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.operators.restaurant_features import encode_cuisines_fixed
-from ladle.plans.scale import exact_quantiles, one_row, top_k_per_group, with_stats
+from ladle.plans.scale import exact_quantiles, join_on, one_row, top_k_per_group, with_stats
 
 
 def list_restaurants(df: DataFrame, limit: int = 20, offset: int = 0) -> DataFrame:
@@ -109,13 +109,13 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
     q = q.withColumns({"lower_fence": F.col("q1") - 1.5 * F.col("iqr"),
                        "upper_fence": F.col("q3") + 1.5 * F.col("iqr")})
-    j = df.select(group, value).join(q.select(group, "lower_fence", "upper_fence"), group)
+    j = join_on(df.select(group, value), q.select(group, "lower_fence", "upper_fence"), [group])
     w = j.groupBy(group).agg(
         F.min(F.when(F.col(value) >= F.col("lower_fence"), F.col(value))).alias("whisker_low"),
         F.max(F.when(F.col(value) <= F.col("upper_fence"), F.col(value))).alias("whisker_high"),
         F.count_if((F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))).alias("outliers"),
     )
-    return q.join(w, group)
+    return join_on(q, w, [group])
 
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -135,7 +135,7 @@ def describe(df: DataFrame, col: str, group: str | None = None) -> DataFrame:
                  F.min(col).alias("min"), F.max(col).alias("max"))
     q = exact_quantiles(df, keys, col, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"]).drop("n")
     if keys:
-        return base.join(q, keys)
+        return join_on(base, q, keys, "left")  # a group of nulls only has no quartiles
     x = with_stats(base, q, "_q")
     return x.withColumns({c: F.col("_q")[c] for c in ("p25", "p50", "p75")}).drop("_q")
 

@@ -14,7 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.config import DEFAULTS
-from ladle.plans.scale import global_rank, with_stats
+from ladle.plans.scale import global_rank, join_on, with_stats
+
+
+#: The original grows its forest's trees without a limit; this is how deep they may go here (MLlib allows 30).
+FOREST_DEPTH = 20
 
 
 def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str]) -> list:
@@ -50,8 +54,8 @@ def estimators(task: str, n_rows: int | None = None, label: str = "label") -> di
         "Ridge": LinearRegression(regParam=1.0 / n, elasticNetParam=0.0, standardization=False, **kw),
         "Lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, standardization=False, **kw),
         "DecisionTree": DecisionTreeRegressor(maxDepth=depth, seed=DEFAULTS.random_seed, **kw),
-        "RandomForest": RandomForestRegressor(numTrees=100, seed=DEFAULTS.random_seed, **kw),
-        "GradientBoosting": GBTRegressor(maxIter=100, seed=DEFAULTS.random_seed, **kw),
+        "RandomForest": RandomForestRegressor(numTrees=100, maxDepth=FOREST_DEPTH, seed=DEFAULTS.random_seed, **kw),
+        "GradientBoosting": GBTRegressor(maxIter=100, maxDepth=3, seed=DEFAULTS.random_seed, **kw),
     }
 
 
@@ -95,7 +99,7 @@ def regression_metrics(df: DataFrame, actual: str = "actual", prediction: str =
     err = F.col(actual) - F.col(prediction)
     if keys:
         means = df.groupBy(*keys).agg(F.avg(actual).alias("_mean"))
-        x = df.join(means, keys)
+        x = join_on(df, means, keys)
         mean = F.col("_mean")
     else:
         x = with_stats(df, df.agg(F.avg(actual).alias("m")), "_ms")
@@ -132,11 +136,12 @@ def fit_best(name: str, df: DataFrame, label: str, numeric, categorical, path: s
     return model
 
 
-def load_model(path: str) -> PipelineModel | None:
-    try:
-        return PipelineModel.load(path)
-    except Exception:
+def load_model(spark, path: str) -> PipelineModel | None:
+    """The saved model, or None where there is none; a damaged one is an error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return None
+    return PipelineModel.load(path)
 
 
 SPACES = {
@@ -188,8 +193,11 @@ def tune(df: DataFrame, label: str, numeric, categorical, model_name: str, n_tri
                         parallelism=parallelism, seed=DEFAULTS.random_seed)
     m = cv.fit(data)
     best = min(range(len(m.avgMetrics)), key=lambda i: m.avgMetrics[i])
-    rmse_eval = RegressionEvaluator(metricName="rmse")
-    rmse = rmse_eval.evaluate(m.bestModel.transform(data))
+    # the best draw's errors on held-out folds, not on the rows it was fitted on
+    tuned = est.copy({getattr(est, name): val for name, val in draws[best].items()})
+    folds = oof_predictions(df.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), "_row", label, numeric, categorical,
+                            model_name, tuned, k=k, parallelism=parallelism)
+    rmse = regression_metrics(folds).first()["rmse"]
     spark = df.sparkSession
     return spark.createDataFrame(
         [(model_name, {k2: float(v) for k2, v in draws[best].items()}, float(m.avgMetrics[best]), float(rmse))],
@@ -210,12 +218,14 @@ def feature_ablation(board_with: DataFrame, board_without: DataFrame) -> DataFra
 
 
 def record_experiments(board: DataFrame, task: str, run_ts: Column | None = None, metric: str = "mae") -> DataFrame:
-    """leaderboard rows for the experiments table with ``is_winner``."""
+    """leaderboard rows for the experiments table with ``is_winner``.
+    ``train_time_s`` is the board's (seconds its fits took), null where it has none."""
+    took = F.col("train_time_s").cast("double") if "train_time_s" in board.columns else F.lit(None).cast("double")
     ts = run_ts if run_ts is not None else F.current_timestamp()
     win = select_best(board, metric).select(F.col("model").alias("_w"))
     return board.join(F.broadcast(win), F.col("model") == F.col("_w"), "left").select(
         F.xxhash64(F.lit(task), "model", ts.cast("string")).alias("experiment_id"), F.lit(task).alias("task"),
-        F.col("model").alias("model_name"), "mae", "rmse", "r2", F.lit(0.0).alias("train_time_s"),
+        F.col("model").alias("model_name"), "mae", "rmse", "r2", took.alias("train_time_s"),
         F.lit(None).cast("string").alias("run_id"), F.col("_w").isNotNull().alias("is_winner"), ts.alias("created_at"))
 
 
@@ -227,15 +237,18 @@ def score_eta(features: DataFrame, model: PipelineModel, threshold: float | None
         "is_at_risk", F.col("prediction") > th)
 
 
-def linear_contributions(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
+def linear_contributions(model: PipelineModel, df: DataFrame, key: str, rows: DataFrame | None = None) -> DataFrame:
     """F20 (per row): coef_j * (x_j - mean_j) on the model's feature vector
-    (for a linear last stage); the coefficients are a bounded driver list."""
+    (for a linear last stage); the coefficients are a bounded driver list.
+    Means are over ``df``; ``rows`` (default all of ``df``) get contributions."""
     from pyspark.ml.functions import vector_to_array
     lin = model.stages[-1]
     coefs = [float(c) for c in lin.coefficients]
     p = model.transform(df).select(key, vector_to_array("features").alias("_x"))
     means = p.select(*[F.col("_x")[i].alias(f"m{i}") for i in range(len(coefs))]).agg(
         *[F.avg(f"m{i}").alias(f"m{i}") for i in range(len(coefs))])
+    if rows is not None:
+        p = model.transform(rows).select(key, vector_to_array("features").alias("_x"))
     x = with_stats(p, means, "_mu")
     contrib = F.array(*[F.lit(c) * (F.col("_x")[i] - F.col("_mu")[f"m{i}"]) for i, c in enumerate(coefs)])
     return x.select(key, F.posexplode(contrib).alias("feature_index", "contribution"))
@@ -252,9 +265,10 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str, cols
     base = regression_metrics(score_eta(df, model).select(F.col(label).alias("actual"), "prediction"))
     base_mae = base.select("mae")
     rows = []
-    src = global_rank(df.withColumn("_r", F.rand(seed)), [], "_r", key, descending=False, rank_col="_a")
+    # orders from a hash of the key: the same after a lost task
+    src = global_rank(df.withColumn("_r", F.xxhash64(F.col(key), F.lit(seed))), [], "_r", key, descending=False, rank_col="_a")
     for i, c in enumerate(cols):
-        donor = global_rank(df.withColumn("_r2", F.rand(seed + i + 1)), [], "_r2", key, descending=False,
+        donor = global_rank(df.withColumn("_r2", F.xxhash64(F.col(key), F.lit(seed + i + 1))), [], "_r2", key, descending=False,
                             rank_col="_a").select("_a", F.col(c).alias("_donor"))
         shuffled = src.join(donor, "_a").withColumn(c, F.col("_donor")).drop("_donor", "_a", "_r")
         m = regression_metrics(model.transform(shuffled).select(F.col(label).alias("actual"), "prediction"))
@@ -300,15 +314,15 @@ def explain(predictions: DataFrame, ids: DataFrame, key: str = "prediction_id")
 
 def tune_all(df: DataFrame, label: str, numeric, categorical, models: Sequence[str], n_trials: int = 10,
              task: str = "eta") -> DataFrame:
-    """F14 for each model; a model whose search fails keeps its default
-    parameters (empty map) with null metrics, so one failure never stops the run."""
+    """F14 for each model; a model without a search space keeps its default
+    parameters (empty map) with null metrics. A search that fails is an error."""
     spark = df.sparkSession
     schema = "model string, params map<string,double>, mae double, rmse double, tuned boolean"
     rows = []
     for name in models:
-        try:
-            r = tune(df, label, numeric, categorical, name, n_trials=n_trials, task=task).first()
-            rows.append((name, dict(r["params"]), r["mae"], r["rmse"], True))
-        except Exception:
+        if name not in SPACES:  # nothing to search: keeps its defaults
             rows.append((name, {}, None, None, False))
+            continue
+        r = tune(df, label, numeric, categorical, name, n_trials=n_trials, task=task).first()
+        rows.append((name, dict(r["params"]), r["mae"], r["rmse"], True))
     return spark.createDataFrame(rows, schema)

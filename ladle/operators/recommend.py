@@ -38,16 +38,22 @@ from ladle.config import DEFAULTS  # noqa: E402
 from ladle.dims import HYBRID_PROFILES  # noqa: E402
 
 
+def holds(text: Column, part: Column) -> Column:
+    """Case-insensitive literal containment; null text fails."""
+    return F.coalesce(F.lower(text).contains(F.lower(part)), F.lit(False))
+
+
 def preference_filter(cuisine: str | None = None, budget: float | None = None, area: str | None = None) -> Column:
-    """H2 as a predicate: case-insensitive regex search on cuisines and
-    location, cost <= budget; null text fails; empty filters are ignored."""
+    """H2 as a predicate: case-insensitive literal containment in cuisines and
+    location (what a user types is no pattern), cost <= budget; null text
+    fails; empty filters are ignored."""
     cond = F.lit(True)
     if cuisine:
-        cond = cond & F.coalesce(F.col("cuisines").rlike("(?i)" + cuisine), F.lit(False))
+        cond = cond & holds(F.col("cuisines"), F.lit(cuisine))
     if budget:
         cond = cond & F.coalesce(F.col("cost_for_two") <= F.lit(float(budget)), F.lit(False))
     if area:
-        cond = cond & F.coalesce(F.col("location").rlike("(?i)" + area), F.lit(False))
+        cond = cond & holds(F.col("location"), F.lit(area))
     return cond
 
 
@@ -165,12 +171,14 @@ def request_key(cols: Sequence[str]) -> Column:
 
 
 def recommend_batch(requests: DataFrame, df: DataFrame, content_cols: Sequence[str],
-                    id_col: str = "restaurant_id", max_broadcast: int = 20000) -> DataFrame:
+                    id_col: str = "restaurant_id", max_broadcast: int = 20000, cf: DataFrame | None = None) -> DataFrame:
     """H9: H8 for a table of requests (request_id, cuisine, budget, area,
     priority, top_n). Identical requests are computed once (hash of the sorted
-    request JSON), then joined back to every request id.
+    request JSON), then joined back to every request id. ``cf`` holds the
+    collaborative scores (H6); ``top_n`` is honoured as given (null: 5; the
+    request rules of K8 reject numbers outside 1-50 beforehand).
 
-    The regex filters make this a predicate join. The distinct request
+    The containment filters make this a predicate join. The distinct request
     table is broadcast only in chunks of at most ``max_broadcast`` rows, counted
     first, so what is broadcast has a checked size whatever the request
     volume. Per-request min-max statistics use groupBy on the request key, and
@@ -187,12 +195,11 @@ def recommend_batch(requests: DataFrame, df: DataFrame, content_cols: Sequence[s
             .withColumn("_chunk", F.pmod(F.xxhash64("request_key"), F.lit(max(1, -(-n_uniq // max_broadcast))))))
     cos = cosine_to_centroid(df, content_cols, over=df, out="_cos")
     rel = F.coalesce(F.col("reliability_score"), F.lit(0.5)) if "reliability_score" in df.columns else F.lit(0.5)
-    base = cos.withColumns({"reliability_score_display": rel, "bayesian_norm": F.col("bayesian_rating") / 5.0,
-                            "cf_score": F.lit(0.5)})
+    base = cf_score(cos.withColumns({"reliability_score_display": rel, "bayesian_norm": F.col("bayesian_rating") / 5.0}), cf, id_col)
     match = (
-        (F.col("cuisine").isNull() | (F.col("cuisine") == "") | F.coalesce(F.expr("cuisines rlike concat('(?i)', cuisine)"), F.lit(False)))
+        (F.col("cuisine").isNull() | (F.col("cuisine") == "") | holds(F.col("cuisines"), F.col("cuisine")))
         & (F.col("budget").isNull() | (F.col("budget") == 0) | F.coalesce(F.col("cost_for_two") <= F.col("budget"), F.lit(False)))
-        & (F.col("area").isNull() | (F.col("area") == "") | F.coalesce(F.expr("location rlike concat('(?i)', area)"), F.lit(False)))
+        & (F.col("area").isNull() | (F.col("area") == "") | holds(F.col("location"), F.col("area")))
     )
     parts = []
     n_chunks = max(1, -(-n_uniq // max_broadcast))
@@ -205,7 +212,7 @@ def recommend_batch(requests: DataFrame, df: DataFrame, content_cols: Sequence[s
     cand = minmax_within(cand, "_cos", keys=["request_key"], out="content_score")
     cand = cand.withColumn("combined_score", F.col("wc") * F.col("content_score") + F.col("wf") * F.col("cf_score")
                            + F.col("wr") * F.col("reliability_score_display") + F.col("wb") * F.col("bayesian_norm"))
-    kcol = F.greatest(F.lit(1), F.least(F.lit(50), F.coalesce(F.col("top_n"), F.lit(5)).cast("int")))
+    kcol = F.coalesce(F.col("top_n"), F.lit(5)).cast("int")
     top = top_k_per_group(cand, ["request_key"], [F.desc("combined_score"), F.asc(id_col)], kcol)
     top = top.withColumn("explanation", explanation_hybrid())
     return req.select("request_id", "request_key").join(top, "request_key")

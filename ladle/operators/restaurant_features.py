@@ -26,9 +26,9 @@ def top_cuisines(df: DataFrame, n: int = 30, col: str = "cuisines") -> DataFrame
 
 
 def _cuisine_flags(names: Sequence[str], col: str = "cuisines") -> dict:
-    # case-insensitive regex search over the whole text, as the original does
+    # case-insensitive search over the whole text; names are no patterns
     return {
-        cuisine_column(nm): F.coalesce(F.col(col).rlike("(?i)" + nm), F.lit(False)).cast("bigint")
+        cuisine_column(nm): F.coalesce(F.lower(F.col(col)).contains(nm.lower()), F.lit(False)).cast("bigint")
         for nm in names
     }
 

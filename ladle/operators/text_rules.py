@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ladle.config import DEFAULTS
 from ladle.dims import CITY_CENTRE
 from ladle.functions.geo import haversine_km
+from ladle.operators.recommend import holds
 from ladle.plans.scale import top_k_per_group
 
 # ---- FIXED VALUES: intent rules, checked in this order ----------------------
@@ -145,8 +146,8 @@ def answer_messages(messages: DataFrame, restaurants: DataFrame, id_col: str = "
     n_keys = keys.count()
     r = restaurants
     match = (
-        (F.col("_cuisine").isNull() | F.coalesce(F.expr("cuisines rlike concat('(?i)', _cuisine)"), F.lit(False)))
-        & (F.col("_area").isNull() | F.coalesce(F.expr("location rlike concat('(?i)', _area)"), F.lit(False)))
+        (F.col("_cuisine").isNull() | holds(F.col("cuisines"), F.col("_cuisine")))
+        & (F.col("_area").isNull() | holds(F.col("location"), F.col("_area")))
         & (F.col("_budget").isNull() | (F.col("_budget") == 0) | F.coalesce(F.col("cost_for_two") <= F.col("_budget"), F.lit(False)))
     )
     parts = []

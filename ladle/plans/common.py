@@ -19,7 +19,7 @@ WEATHER_TEXT = ["Sunny", "Cloudy", "Fog", "Sandstorms", "Windy", "Stormy", "Rain
 
 
 def _memo(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    key = (id(spark), spark.sparkContext.applicationId, sf, name)
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _MEMO:
         _MEMO[key] = materialize(build())
     return _MEMO[key]

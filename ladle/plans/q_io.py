@@ -91,30 +91,40 @@ def q_orders_frame(spark, sf):
 
 
 def upsert_batch(spark, sf):
-    """A batch of listing updates: every third stored restaurant gets one
-    more vote (cuisines blanked on even ids, which must not overwrite), and
-    the raw listings dropped by cleaning (no rating) arrive as new names."""
+    """A batch of listing updates: every third stored restaurant comes three
+    times, with one, two and three more votes in an order of ``seq`` that is not
+    that of the votes (cuisines blanked on even ids, which must not overwrite;
+    the last row's votes are blank on ids divisible by 9), and the raw listings
+    dropped by cleaning (no rating) arrive as new names."""
     st = stored_restaurants(spark, sf)
-    upd = st.where(F.col("restaurant_id") % 3 == 0).select(
-        "name", (F.col("votes") + 1).alias("votes"),
-        F.when(F.col("restaurant_id") % 2 == 0, F.lit(None)).otherwise(F.col("cuisines")).alias("cuisines"))
+    rid, more = F.col("restaurant_id"), F.col("more")
+    upd = st.where(rid % 3 == 0).withColumn("more", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).withColumn("seq", (rid + more * 2) % 3).select(
+        "name", F.when((rid % 9 == 0) & (F.col("seq") == 2), F.lit(None)).otherwise(F.col("votes") + more).alias("votes"),
+        F.when(rid % 2 == 0, F.lit(None)).otherwise(F.col("cuisines")).alias("cuisines"), "seq")
     raw = restaurants_raw(spark, sf)
-    new = raw.join(st.select("restaurant_id"), "restaurant_id", "left_anti").select("name", "votes", "cuisines")
-    return upd.unionByName(new).withColumn("seq", F.lit(1))
+    new = raw.join(st.select("restaurant_id"), "restaurant_id", "left_anti").select("name", "votes", "cuisines", F.lit(1).cast("bigint").alias("seq"))
+    return upd.unionByName(new)
 
 
 @register("upsert_restaurants", rs(
-    """WITH b AS (SELECT name, votes + 1 AS votes, CASE WHEN restaurant_id % 2 = 0 THEN NULL ELSE cuisines END AS cuisines
- FROM sr WHERE restaurant_id % 3 = 0
- UNION ALL SELECT r.name, r.votes, r.cuisines FROM restaurants_raw r WHERE r.restaurant_id NOT IN (SELECT restaurant_id FROM sr))
-SELECT coalesce(t.name, b.name) AS name, coalesce(b.votes, t.votes) AS votes, coalesce(b.cuisines, t.cuisines) AS cuisines,
- t.name IS NULL AS is_new FROM sr t FULL OUTER JOIN b ON t.name = b.name"""))
+    """WITH u AS (SELECT name, restaurant_id, CASE WHEN restaurant_id % 9 = 0 AND (restaurant_id + m * 2) % 3 = 2 THEN NULL ELSE votes + m END AS votes,
+ CASE WHEN restaurant_id % 2 = 0 THEN NULL ELSE cuisines END AS cuisines, (restaurant_id + m * 2) % 3 AS seq
+ FROM sr, (VALUES (1), (2), (3)) t(m) WHERE restaurant_id % 3 = 0),
+b AS (SELECT name, arg_max(votes, seq) FILTER (votes IS NOT NULL) AS votes, arg_max(cuisines, seq) FILTER (cuisines IS NOT NULL) AS cuisines FROM u GROUP BY name
+ UNION ALL SELECT r.name, r.votes, r.cuisines FROM restaurants_raw r WHERE r.restaurant_id NOT IN (SELECT restaurant_id FROM sr)),
+j AS (SELECT t.restaurant_id, coalesce(t.name, b.name) AS name, coalesce(b.votes, t.votes) AS votes, coalesce(b.cuisines, t.cuisines) AS cuisines,
+ t.name IS NULL AS is_new FROM sr t FULL OUTER JOIN b ON t.name = b.name)
+SELECT name, votes, cuisines, is_new, CASE WHEN is_new THEN NULL ELSE restaurant_id END AS old_id,
+ CAST(count(*) OVER () AS BIGINT) AS distinct_ids, (SELECT max(restaurant_id) FROM sr) + (SELECT count(*) FROM j WHERE is_new) AS highest_id FROM j"""))
 def q_upsert(spark, sf):
     """Merge by name; null cells never overwrite; new names inserted."""
     st = stored_restaurants(spark, sf)
-    merged = TB.upsert_by_name(st, upsert_batch(spark, sf), F.lit("2024-03-01 00:00:00").cast("timestamp"), "seq")
-    return finish(merged.select("name", "votes", "cuisines",
-                                (F.col("created_at") == F.lit("2024-03-01 00:00:00").cast("timestamp")).alias("is_new")))
+    now = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    from ladle.plans.scale import materialize, with_stats
+    merged = materialize(TB.upsert_by_name(st, upsert_batch(spark, sf), "seq", now).withColumn("is_new", F.col("created_at") == now))
+    ids = with_stats(merged, merged.agg(F.count_distinct("restaurant_id").alias("n"), F.max("restaurant_id").alias("hi")), "_i")
+    return finish(ids.select("name", "votes", "cuisines", "is_new", F.when(~F.col("is_new"), F.col("restaurant_id")).alias("old_id"),
+                             F.col("_i.n").alias("distinct_ids"), F.col("_i.hi").alias("highest_id")))
 
 
 @register("replace_all", ds(

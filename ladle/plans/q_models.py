@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ladle.operators import delivery_features as DFT
 from ladle.operators import models as M
 from ladle.plans.catalog import finish, register
-from ladle.plans.common import deliveries, restaurants
+from ladle.plans.common import deliveries, restaurants, scenario_frame
 from ladle.plans.views_sql import with_views
 from ladle.sources.fixtures import outcomes
 
@@ -155,8 +155,9 @@ def eta_frame(spark, sf):
 
 def rating_frame(spark, sf):
     from ladle.operators.restaurant_features import add_restaurant_features, rating_feature_cols, rating_features
+    s = scenario_frame(spark, sf).select("restaurant_id", "avg_sentiment")
     r = add_restaurant_features(restaurants(spark, sf), fixed=True).drop("cost_for_two_bucket")
-    r = rating_features(r.withColumn("avg_sentiment", F.lit(0.0)))
+    r = rating_features(r.join(s, "restaurant_id", "left").withColumn("avg_sentiment", F.coalesce("avg_sentiment", F.lit(0.0))))
     return r, rating_feature_cols(r)
 
 
@@ -178,12 +179,22 @@ def _board(df, key, label, num, cat, task, models, parallel_models: int = 3):
 ALL_MODELS = ["LinearRegression", "Ridge", "Lasso", "DecisionTree", "RandomForest", "GradientBoosting"]
 
 
+def eta_oof(spark, sf):
+    """Out-of-fold predictions of all models, fitted once and stored."""
+    key = ("eta_oof", spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        from ladle.plans.scale import materialize
+        _MODELS[key] = materialize(_board(eta_frame(spark, sf), "order_id", "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL, "eta", ALL_MODELS))
+    return _MODELS[key]
+
+
+_MODELS: dict = {}
+
+
 @register("eta_leaderboard")
 def q_eta_board(spark, sf):
     """F2 + F11 for ETA: 5-fold out-of-fold predictions of every regressor."""
-    df = eta_frame(spark, sf)
-    oof = _board(df, "order_id", "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL, "eta", ALL_MODELS)
-    return finish(M.leaderboard(oof))
+    return finish(M.leaderboard(eta_oof(spark, sf)))
 
 
 @register("rating_leaderboard")
@@ -195,32 +206,33 @@ def q_rating_board(spark, sf):
 
 @register("feature_ablation")
 def q_ablation(spark, sf):
-    """rating models with and without the vote feature."""
+    """rating models with and without the sentiment feature."""
     df, cols = rating_frame(spark, sf)
-    models = ["LinearRegression", "DecisionTree"]
-    a = M.leaderboard(_board(df, "restaurant_id", "rate", cols, [], "rating", models))
-    b = M.leaderboard(_board(df, "restaurant_id", "rate", [c for c in cols if c != "votes_log"], [], "rating", models))
+    a = M.leaderboard(_board(df, "restaurant_id", "rate", cols, [], "rating", ALL_MODELS))
+    b = M.leaderboard(_board(df, "restaurant_id", "rate", [c for c in cols if c != "avg_sentiment"], [], "rating", ALL_MODELS))
     return finish(M.feature_ablation(a, b))
 
 
 @register("eta_residuals")
 def q_eta_residuals(spark, sf):
-    """F16 on real out-of-fold predictions of the linear models."""
-    df = eta_frame(spark, sf)
-    oof = _board(df, "order_id", "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL, "eta",
-                 ["LinearRegression", "Ridge", "Lasso"])
+    """F16 on real out-of-fold predictions: the three best of all models."""
+    oof = eta_oof(spark, sf)
     return finish(M.residuals(oof, M.leaderboard(oof), 3))
 
 
+TRIALS = 50
+
+
 @register("tune")
 def q_tune(spark, sf):
-    """random search over the decision-tree space, 6 trials, 5 folds."""
+    """random search over the ridge space, 50 trials, 5 folds."""
     df = eta_frame(spark, sf)
-    return finish(M.tune(df, "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL, "DecisionTree", n_trials=6))
+    return finish(M.tune(df, "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL, "Ridge", n_trials=TRIALS))
 
 
 def _eta_model(spark, sf):
-    key = ("eta_model", id(spark), sf)
+    """F13 for the operators that read a linear model's coefficients (F20 contributions and what logs them)."""
+    key = ("eta_model", spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
         from ladle.sources.io import scratch_path
         _MODELS[key] = M.fit_best("LinearRegression", eta_frame(spark, sf), "time_taken_min", DFT.ETA_NUMERIC,
@@ -228,15 +240,23 @@ def _eta_model(spark, sf):
     return _MODELS[key]
 
 
-_MODELS: dict = {}
+def _eta_winner(spark, sf):
+    """the model with the least cross-validated MAE, refitted on all rows."""
+    key = ("eta_winner", spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        from ladle.sources.io import scratch_path
+        best = M.select_best(M.leaderboard(eta_oof(spark, sf))).first()["model"]
+        _MODELS[key] = M.fit_best(best, eta_frame(spark, sf), "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL,
+                                  path=scratch_path(spark, "eta-winner"))
+    return _MODELS[key]
 
 
 @register("score_eta")
 def q_score_eta(spark, sf):
-    """F13 + F19: refit the linear winner on all rows, save, score requests."""
+    """F13 + F19: refit the leaderboard's winner on all rows, save, score requests."""
     from ladle.plans.q_features import _requests
     req = DFT.eta_request_features(_requests(deliveries(spark, sf)), now_hour=12, now_dow=2)
-    s = M.score_eta(req, _eta_model(spark, sf))
+    s = M.score_eta(req, _eta_winner(spark, sf))
     return finish(s.select("request_id", "predicted_minutes", "is_at_risk"))
 
 
@@ -249,27 +269,25 @@ def q_attr(spark, sf):
 @register("permutation_importance")
 def q_perm(spark, sf):
     df = eta_frame(spark, sf).withColumn("label", F.col("time_taken_min"))
-    return finish(M.permutation_importance(_eta_model(spark, sf), df, "time_taken_min",
-                                           ["haversine_distance_km", "traffic_ordinal", "order_hour"], "order_id"))
+    return finish(M.permutation_importance(_eta_model(spark, sf), df, "time_taken_min", DFT.ETA_FEATURES, "order_id"))
 
 
 @register("log_predictions")
 def q_log_pred(spark, sf):
     df = eta_frame(spark, sf)
     s = M.score_eta(df, _eta_model(spark, sf))
-    return finish(M.log_predictions(s, "eta_linear", ["haversine_distance_km", "traffic_ordinal", "order_hour"],
-                                    "v1", key="order_id").drop("created_at"))
+    return finish(M.log_predictions(s, "eta_linear", DFT.ETA_FEATURES, "v1", key="order_id").drop("created_at"))
 
 
 @register("explain_prediction")
 def q_explain(spark, sf):
     """logged predictions with their attribution map, for every order of zone 'central'."""
     df = eta_frame(spark, sf)
-    s = M.score_eta(df, _eta_model(spark, sf))
-    att = M.linear_contributions(_eta_model(spark, sf), df, "order_id")
-    logged = M.log_predictions(s, "eta_linear", ["haversine_distance_km"], "v1", att, key="order_id")
     ids = df.where(F.col("city_zone") == "central").select(F.col("order_id"))
-    return finish(M.explain(logged, ids, "order_id").drop("created_at"))
+    asked = M.explain(df, ids, "order_id")  # the request's rows first: only they are scored
+    s = M.score_eta(asked, _eta_model(spark, sf))
+    att = M.linear_contributions(_eta_model(spark, sf), df, "order_id", rows=asked)
+    return finish(M.log_predictions(s, "eta_linear", DFT.ETA_FEATURES, "v1", att, key="order_id").drop("created_at"))
 
 
 @register("tune_all")

@@ -99,13 +99,19 @@ def q_content_score(spark, sf):
     return finish(R.minmax_within(cand, "_cos", out="content_score").select("restaurant_id", "content_score"))
 
 
+EXPLAIN_SQL = """concat_ws(' | ', CASE WHEN rate IS NOT NULL AND rate <> 0 THEN printf('Rated %s/5', CAST(rate AS VARCHAR)) END,
+ printf('%s Rel:%.2f', CASE WHEN coalesce(reliability_score, 0.5) >= 0.7 THEN '🟢' WHEN coalesce(reliability_score, 0.5) >= 0.4 THEN '🟡' ELSE '🔴' END,
+ coalesce(reliability_score, 0.5)), CASE WHEN cost_for_two IS NOT NULL AND cost_for_two <> 0 THEN printf('₹%d', CAST(cost_for_two AS BIGINT)) END)"""
+
+
 def _hybrid_sql(priority: str) -> str:
     wc, wf, wr, wb = R.hybrid_weights(priority)
     comb = (f"{wc} * content_score + {wf} * 0.5 + {wr} * coalesce(reliability_score, 0.5) + "
             f"{wb} * (bayesian_rating / 5.0)")
     return rs(
         f"""SELECT restaurant_id, name, round(content_score, 6) + 0.0 AS content_score, CAST(0.5 AS DOUBLE) AS cf_score,
- round(coalesce(reliability_score, 0.5), 6) + 0.0 AS reliability_score_display, round({comb}, 6) + 0.0 AS combined_score
+ round(coalesce(reliability_score, 0.5), 6) + 0.0 AS reliability_score_display, round({comb}, 6) + 0.0 AS combined_score,
+ {EXPLAIN_SQL} AS explanation
 FROM (SELECT *, CASE WHEN hi = lo THEN 0.5 ELSE (_cos - lo) / (hi - lo) END AS content_score
       FROM c, (SELECT min(_cos) AS lo, max(_cos) AS hi FROM c))
 ORDER BY {comb} DESC, restaurant_id LIMIT 5""",
@@ -116,7 +122,17 @@ def _hybrid(spark, sf, priority):
     r = R.recommend_hybrid(stored_restaurants(spark, sf), CONTENT, cuisine="chinese", budget=1500,
                            priority=priority, n=5)
     return finish(r.select("restaurant_id", "name", "content_score", "cf_score", "reliability_score_display",
-                           "combined_score"))
+                           "combined_score", "explanation"))
+
+
+def _ratings(spark, sf):
+    """A collaborative table from the interactions: mean rating on [0, 1], for
+    the restaurants of three of four ids; the others have none."""
+    g = interactions(spark, sf).groupBy("restaurant_id").agg((F.avg("rating") / 5).alias("cf_score"))
+    return g.where(F.col("restaurant_id") % 4 != 0)
+
+
+_CF_SQL = {"cf": "SELECT restaurant_id, avg(rating) / 5 AS cf_score FROM interactions WHERE restaurant_id % 4 <> 0 GROUP BY 1"}
 
 
 @register("recommend_hybrid_balanced", _hybrid_sql("balanced"))
@@ -186,6 +202,19 @@ def q_batch(spark, sf):
     return finish(out.select("request_id", "restaurant_id", "rank", "combined_score"))
 
 
+@register("recommend_batch_cf", rs(
+    """SELECT r.request_id, s.restaurant_id, CAST(s.rank AS BIGINT) AS rank, round(s.combined, 6) + 0.0 AS combined_score
+FROM req r JOIN sc s ON s.cuisine IS NOT DISTINCT FROM r.cuisine AND s.budget IS NOT DISTINCT FROM r.budget
+ AND s.area IS NOT DISTINCT FROM r.area AND s.priority IS NOT DISTINCT FROM r.priority WHERE s.rank <= 5""",
+    {**_CF_SQL, **{k: v.replace("c.bayesian_rating / 5.0 AS bn", "c.bayesian_rating / 5.0 AS bn, coalesce(cf.cf_score, 0.5) AS cfs")
+                   .replace(" FROM rk k JOIN c ON", " FROM rk k CROSS JOIN c LEFT JOIN cf USING (restaurant_id) WHERE").replace("wf * 0.5", "wf * cfs")
+                   for k, v in _REQ_SQL.items()}}))
+def q_batch_cf(spark, sf):
+    """H6 and H9: the same requests with collaborative scores; 0.5 where a restaurant has none."""
+    out = R.recommend_batch(requests_table(spark, sf), stored_restaurants(spark, sf), CONTENT, cf=_ratings(spark, sf))
+    return finish(out.select("request_id", "restaurant_id", "rank", "combined_score"))
+
+
 @register("hybrid_weights", """SELECT priority, CAST(w_content AS DOUBLE) AS w_content,
  CAST(w_collaborative AS DOUBLE) AS w_collaborative, CAST(w_reliability AS DOUBLE) AS w_reliability,
  CAST(w_bayesian AS DOUBLE) AS w_bayesian FROM (VALUES
@@ -251,7 +280,7 @@ def q_similar_l2(spark, sf):
 
 # ---- collaborative filtering --------------------------------------------------------
 def _cf_model(spark, sf):
-    key = ("cf", id(spark), sf)
+    key = ("cf", spark.sparkContext.applicationId, sf)
     if key not in _CF:
         _CF[key] = S.train_cf(interactions(spark, sf), rank=50, max_iter=20)
     return _CF[key]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ladle.operators import delivery_features as DFT
 from ladle.plans.catalog import finish, register
+from ladle.plans.common import WEATHER_TEXT
 from ladle.sources.io import scratch_path
 from ladle.streaming import ops as L
 
@@ -53,7 +54,8 @@ def q_stream_score(spark, sf):
         F.when(eid % 10 == 0, "Yes").otherwise("No").alias("festival"),
         F.element_at(F.array(*[F.lit(x) for x in ["Low", "Medium", "High", "Jam", "Unknown"]]),
                      (1 + eid % 5).cast("int")).alias("road_traffic_density"),
-        (18 + eid % 40).cast("double").alias("delivery_person_age"))
+        (18 + eid % 40).cast("double").alias("delivery_person_age"),
+        F.element_at(F.array(*[F.lit(x) for x in WEATHER_TEXT]), (1 + eid % len(WEATHER_TEXT)).cast("int")).alias("weather_conditions"))
     f = DFT.eta_contract(DFT.add_delivery_features(d, date_col="order_ts", drop_incomplete=False))
     s = L.stream_score(f, _eta_model(spark, sf)).select("order_id", "predicted_minutes", "is_at_risk")
     out = L.run_to_table(s, scratch_path(spark, "stream-score"))

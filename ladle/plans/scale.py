@@ -40,6 +40,13 @@ def with_stats(df: DataFrame, stats: DataFrame, name: str = "_st") -> DataFrame:
     return df.withColumn(name, one_row(stats))
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null matches null, as in ``groupBy``; the keys come from ``left``."""
+    renamed = right.withColumnsRenamed({k: f"_join_{i}" for i, k in enumerate(keys)})
+    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"_join_{i}")) for i, k in enumerate(keys)]
+    return left.join(renamed, on, how).drop(*[f"_join_{i}" for i in range(len(keys))])
+
+
 def bucket_count(spark, default: int = DEFAULT_BUCKETS) -> int:
     """Buckets per key for ``running_total``: ``spark.ladle.buckets`` if set.
     Each bucket of a key is ordered inside one task, so a key of N rows needs
@@ -88,7 +95,7 @@ def running_total(
         F.percentile_approx(F.col(order_col).cast("double"), qs, APPROX_ACCURACY).alias("_bounds")
     ) if keys else df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, APPROX_ACCURACY).alias("_bounds"))
     if keys:
-        x = df.join(bounds, keys)
+        x = join_on(df, bounds, keys)
     else:
         b = one_row(bounds)
         x = df.withColumn("_bounds", b["_bounds"])
@@ -111,7 +118,7 @@ def running_total(
         e["_bk"].alias("_bk"), *[prefix(v)(e, i).alias(f"_off_{v}") for v in value_cols])).alias("_o"))
     offsets = offs.select(*keys, F.explode("_o").alias("_o")).select(
         *keys, "_o._bk", *[F.col(f"_o._off_{v}").alias(f"_off_{v}") for v in value_cols])
-    x = x.join(offsets, [*keys, "_bk"])
+    x = join_on(x, offsets, [*keys, "_bk"])
     w = (
         Window.partitionBy(*keys, "_bk")
         .orderBy(F.col(order_col), *[F.col(t) for t in tiebreak])
@@ -142,7 +149,7 @@ def exact_quantiles(
     counts = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     cum = running_total(counts, keys, "_v", ["_n"], buckets=buckets)
     tot = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    x = cum.join(tot, keys) if keys else cum.withColumn("_total", one_row(tot)["_total"])
+    x = join_on(cum, tot, keys) if keys else cum.withColumn("_total", one_row(tot)["_total"])
     start = F.col("_n_cum") - F.col("_n")  # first 0-based rank held by this value
     aggs = []
     for p, nm in zip(probs, names):
@@ -215,9 +222,9 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k, salt
 
 
 def global_rank(df: DataFrame, keys: Sequence[str], score: str, id_col: str, descending: bool = True,
-                rank_col: str = "rank") -> DataFrame:
+                rank_col: str = "rank", tiebreak: Sequence[str] = ()) -> DataFrame:
     """1-based rank of every row per ``keys`` by ``score`` (ties by ``id_col``),
     through ``running_total`` so no key is ranked inside one task."""
     x = df.withColumn("_ord", -F.col(score) if descending else F.col(score)).withColumn("_one", F.lit(1))
-    r = running_total(x, keys, "_ord", ["_one"], tiebreak=[id_col])
+    r = running_total(x, keys, "_ord", ["_one"], tiebreak=[id_col, *tiebreak])
     return r.withColumnRenamed("_one_cum", rank_col).drop("_ord", "_one")

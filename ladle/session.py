@@ -36,11 +36,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for stored intermediate tables.
+
+    ``spark.checkpoint.dir`` wins, then a folder set with ``setCheckpointDir``.
+    Only a local master gets a scratch folder when neither is set (tests); on a
+    cluster a machine's own folder would lose rows, so that is an error."""
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="ladle-ckpt-", dir=os.environ.get("LADLE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current

@@ -113,7 +113,7 @@ def orders_from_deliveries(features: DataFrame, predictions: DataFrame | None =
     return conform(out, ORDERS)
 
 
-def upsert_by_name(target: DataFrame, batch: DataFrame, now_col=None, seq_col: str | None = None) -> DataFrame:
+def upsert_by_name(target: DataFrame, batch: DataFrame, seq_col: str, now_col=None) -> DataFrame:
     """Merge a batch into the stored restaurants by ``name``.
 
     * batch rows with a null name are skipped;
@@ -121,7 +121,7 @@ def upsert_by_name(target: DataFrame, batch: DataFrame, now_col=None, seq_col: s
       orders the batch; null cells never overwrite), latitude/longitude move
       as one pair;
     * matched rows keep ``created_at`` and renew ``updated_at``; new names are
-      inserted with ids above the current maximum, derived from a hash of the name.
+      inserted with the ids that follow the current maximum, in order of a hash of the name.
 
     One aggregation of the batch and one full outer join with the target: no
     per-row round trips. Returns the new version of the table; write it to a
@@ -129,8 +129,7 @@ def upsert_by_name(target: DataFrame, batch: DataFrame, now_col=None, seq_col: s
     """
     now = now_col if now_col is not None else F.current_timestamp()
     b = batch.where(F.col("name").isNotNull())
-    seq = F.col(seq_col) if seq_col else F.monotonically_increasing_id()
-    b = b.withColumn("_seq", seq)
+    b = b.withColumn("_seq", F.col(seq_col))
     value_cols = [c for c in RESTAURANTS.fieldNames()
                   if c in b.columns and c not in ("restaurant_id", "name", "latitude", "longitude", "created_at",
                                                   "updated_at")]
@@ -142,7 +141,7 @@ def upsert_by_name(target: DataFrame, batch: DataFrame, now_col=None, seq_col: s
     t = target.alias("t")
     n = nb.alias("n")
     j = t.join(n, F.col("t.name") == F.col("n.name"), "full_outer")
-    from ladle.plans.scale import one_row
+    from ladle.plans.scale import global_rank, one_row
     mid = one_row(target.agg(F.coalesce(F.max("restaurant_id"), F.lit(0)).alias("m")))["m"]
     sel = []
     for f in RESTAURANTS.fields:
@@ -167,6 +166,7 @@ def upsert_by_name(target: DataFrame, batch: DataFrame, now_col=None, seq_col: s
     merged = j.select(*sel, F.col("t.name").isNull().alias("_new"), F.col("n.name").alias("_nn"))
     old = merged.where(~F.col("_new")).drop("_new", "_nn")
     new = merged.where(F.col("_new"))
-    # new ids from a hash of the name: stable across re-runs, no global ordering
-    new = new.withColumn("restaurant_id", mid + 1 + F.pmod(F.xxhash64("_nn"), F.lit(1 << 40))).drop("_new", "_nn")
+    # ids by rank: unique, and the same on a re-run; ordered within buckets of a hash, never all in one task
+    new = global_rank(new.withColumn("_o", F.xxhash64("_nn").cast("double")), [], "_o", "_nn", descending=False, rank_col="_rank")
+    new = new.withColumn("restaurant_id", mid + F.col("_rank")).drop("_new", "_nn", "_o", "_rank")
     return old.unionByName(new)

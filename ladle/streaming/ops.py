@@ -51,13 +51,18 @@ def drift_sink(reference: DataFrame, cols, out_path: str, feature_order=None) ->
     writing the drift rows under ``batch_id=<epoch>`` with dynamic partition
     overwrite, so a replayed epoch replaces its own rows (idempotent)."""
     from ladle.operators.drift import ks_test
+    from ladle.plans.scale import materialize
+
+    kept = materialize(reference.select(*cols))  # stored once, not computed again for every batch
 
     def run(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
-        ks = ks_test(reference, batch, cols)
+        batch = batch.persist()  # read for each feature
+        ks = ks_test(kept, batch, cols)
         (ks.where("drifted").withColumn("epoch", F.lit(epoch))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out_path))
+        batch.unpersist()
     return run
 
 

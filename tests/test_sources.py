@@ -22,7 +22,7 @@ def test_upsert_rules(spark):
         ("Gamma", "Goan", 1, 100.0, 12.5, 77.5, 1),    # a new name is inserted
         (None, "X", 99, None, None, None, 1),          # a null name is skipped
     ], "name string, cuisines string, votes long, cost_for_two double, latitude double, longitude double, seq int")
-    out = {r["name"]: r for r in TB.upsert_by_name(stored(spark), batch, F.lit(now), "seq").collect()}
+    out = {r["name"]: r for r in TB.upsert_by_name(stored(spark), batch, "seq", F.lit(now)).collect()}
     assert set(out) == {"Alpha", "Beta", "Gamma"}
     a = out["Alpha"]
     assert a["cuisines"] == "Bakery" and a["votes"] == 11 and a["cost_for_two"] == 300.0
@@ -30,7 +30,7 @@ def test_upsert_rules(spark):
     assert a["created_at"] == dt.datetime(2024, 1, 1) and a["updated_at"] == now
     assert out["Beta"]["updated_at"] == dt.datetime(2024, 1, 1)
     g = out["Gamma"]
-    assert g["restaurant_id"] > 2 and g["created_at"] == now and (g["latitude"], g["longitude"]) == (12.5, 77.5)
+    assert g["restaurant_id"] == 3 and g["created_at"] == now and (g["latitude"], g["longitude"]) == (12.5, 77.5)
 
 
 def test_validate_requests(spark):
