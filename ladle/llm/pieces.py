@@ -364,22 +364,22 @@ def _decode(path: str, keep: list[str]):
     return run
 
 
-def _mapped(df: DataFrame, column: str, run, path: str, out_type: str, inner: str, outer: str) -> DataFrame:
+def _mapped(df: DataFrame, column: str, run, path: str, out_type: str, inner: str, outer: str, out: str) -> DataFrame:
     names = [f"_c{i}" for i in range(len(df.columns))]
     named = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)], F.col(f"`{column}`").alias(inner))
     schema = ", ".join(f"{n} {named.schema[n].dataType.simpleString()}" for n in names)
     mapped = named.mapInArrow(run(path, names), f"{schema}, {outer} {out_type}")
-    return mapped.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)], outer)
+    return mapped.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)], F.col(outer).alias(out))
 
 
 def encode(df: DataFrame, text_col: str = "text", path: str | None = None, out: str = "ids") -> DataFrame:
     """``df`` with the ids of ``text_col`` in ``out``."""
-    return _mapped(df, text_col, _encode, path or model_path(), "array<int>", "_text", "_ids").withColumnRenamed("_ids", out)
+    return _mapped(df, text_col, _encode, path or model_path(), "array<int>", "_text", "_ids", out)
 
 
 def decode(df: DataFrame, ids_col: str = "ids", path: str | None = None, out: str = "decoded") -> DataFrame:
     """``df`` with the text of ``ids_col`` in ``out``."""
-    return _mapped(df, ids_col, _decode, path or model_path(), "string", "_ids", "_text").withColumnRenamed("_text", out)
+    return _mapped(df, ids_col, _decode, path or model_path(), "string", "_ids", "_text", out)
 
 
 def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
