@@ -43,15 +43,22 @@ def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str]) -> li
     return stages
 
 
-def estimators(task: str, n_rows: int | None = None, label: str = "label") -> dict:
-    """The compared regressors with the original's settings
-    (ridge alpha 1.0 -> regParam alpha/n; lasso alpha 0.1 -> regParam alpha)."""
+def label_scale(df: DataFrame, label: str) -> tuple[int, float]:
+    """Rows and population deviation of the label, as ``estimators`` takes them."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(F.col(label).cast("double")).alias("s")).first()
+    return r["n"], r["s"] or 1.0
+
+
+def estimators(task: str, n_rows: int | None = None, label_std: float = 1.0, label: str = "label") -> dict:
+    """The compared regressors with the original's settings (ridge alpha
+    1.0 -> regParam alpha / n times the label's deviation, by which MLlib divides
+    an L2 penalty; lasso alpha 0.1 -> regParam alpha)."""
     depth = 12 if task == "eta" else 10
     n = max(1, n_rows or 1)
     kw = dict(featuresCol="features", labelCol=label)
     return {
         "LinearRegression": LinearRegression(regParam=0.0, **kw),
-        "Ridge": LinearRegression(regParam=1.0 / n, elasticNetParam=0.0, standardization=False, **kw),
+        "Ridge": LinearRegression(regParam=label_std / n, elasticNetParam=0.0, standardization=False, **kw),
         "Lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, standardization=False, **kw),
         "DecisionTree": DecisionTreeRegressor(maxDepth=depth, seed=DEFAULTS.random_seed, **kw),
         "RandomForest": RandomForestRegressor(numTrees=100, maxDepth=FOREST_DEPTH, seed=DEFAULTS.random_seed, **kw),
@@ -129,7 +136,7 @@ def fit_best(name: str, df: DataFrame, label: str, numeric, categorical, path: s
     """refit the winner (with its tuned parameters when given) on all rows;
     save it when a path is given (load with ``PipelineModel.load``)."""
     data = df.withColumn("label", F.col(label).cast("double"))
-    est = estimator or estimators(task, data.count())[name]
+    est = estimator or estimators(task, *label_scale(data, "label"))[name]
     model = Pipeline(stages=build_preprocessor(numeric, categorical) + [est]).fit(data)
     if path:
         model.write().overwrite().save(path)
@@ -182,7 +189,7 @@ def tune(df: DataFrame, label: str, numeric, categorical, model_name: str, n_tri
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     data = df.withColumn("label", F.col(label).cast("double"))
-    est = estimators(task, data.count())[model_name]
+    est = estimators(task, *label_scale(data, "label"))[model_name]
     draws = sample_params(SPACES[model_name], n_trials)
     grid = []
     for d in draws:

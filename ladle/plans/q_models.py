@@ -166,8 +166,7 @@ def _board(df, key, label, num, cat, task, models, parallel_models: int = 3):
     concurrently (each also fits its folds concurrently)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    n = df.count()
-    ests = M.estimators(task, n)
+    ests = M.estimators(task, *M.label_scale(df, label))
     with ThreadPoolExecutor(max_workers=max(1, min(parallel_models, len(models)))) as pool:
         oofs = list(pool.map(lambda name: M.oof_predictions(df, key, label, num, cat, name, ests[name]), models))
     u = oofs[0]
