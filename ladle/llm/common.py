@@ -39,6 +39,13 @@ def stored(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> SparkSession:
+    """Texts go to Python in batches of up to about ``size`` bytes (Spark's default is 64 MB), so two
+    tasks of an executor with all their workers fit beside its heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    return spark
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

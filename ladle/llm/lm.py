@@ -34,12 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, chunks, doc_crc, partitions, stored
+from ladle.llm.common import Words, bounded_batches, chunks, doc_crc, partitions, stored
 from ladle.llm.exchange import QUESTION, aligned, answers, ask, flat_lists, numbers, question
 
 CLASS_SHARE = 1 / 250
 ARC_SHARE = 1 / 500_000
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 END = np.uint64(1)
 _CHUNKS = "_chunk long, ids array<bigint>, held array<boolean>, n_tokens array<bigint>, words array<bigint>, counts array<bigint>, tokens array<int>"
 
@@ -228,7 +228,7 @@ def _score(parts: int, n: int, figures: np.ndarray, model):
 
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2) -> DataFrame:
     """One row per document: token counts, the unigram base score and the automaton's score."""
-    spark = df.sparkSession
+    spark = bounded_batches(df.sparkSession)
     parts = partitions(spark)
     key = F.col(f"`{id_col}`")
     held = F.coalesce(doc_crc(key) % folds == held_fold, F.lit(False))
