@@ -18,7 +18,7 @@ from ladle.plans.scale import global_rank, join_on, with_stats
 
 
 #: The original grows its forest's trees without a limit; this is how deep they may go here (MLlib allows 30).
-FOREST_DEPTH = 20
+FOREST_DEPTH = 10
 
 
 def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str]) -> list:
@@ -61,7 +61,7 @@ def estimators(task: str, n_rows: int | None = None, label_std: float = 1.0, lab
         "Ridge": LinearRegression(regParam=label_std / n, elasticNetParam=0.0, standardization=False, **kw),
         "Lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, standardization=False, **kw),
         "DecisionTree": DecisionTreeRegressor(maxDepth=depth, seed=DEFAULTS.random_seed, **kw),
-        "RandomForest": RandomForestRegressor(numTrees=100, maxDepth=FOREST_DEPTH, seed=DEFAULTS.random_seed, **kw),
+        "RandomForest": RandomForestRegressor(numTrees=100, maxDepth=FOREST_DEPTH, maxMemoryInMB=512, seed=DEFAULTS.random_seed, **kw),
         "GradientBoosting": GBTRegressor(maxIter=100, maxDepth=3, seed=DEFAULTS.random_seed, **kw),
     }
 
@@ -151,13 +151,19 @@ def load_model(spark, path: str) -> PipelineModel | None:
     return PipelineModel.load(path)
 
 
+# ---- FIXED VALUES: search ranges, as far as MLlib has the parameter -----------
 SPACES = {
-    "RandomForest": {"numTrees": ("int", 50, 300), "maxDepth": ("int", 3, 15), "minInstancesPerNode": ("int", 1, 10)},
-    "GradientBoosting": {"maxIter": ("int", 50, 300), "maxDepth": ("int", 3, 8), "stepSize": ("logfloat", 0.01, 0.3)},
+    "RandomForest": {"numTrees": ("int", 50, 500), "maxDepth": ("int", 3, 30), "minInstancesPerNode": ("int", 1, 20),
+                     "featureSubsetStrategy": ("choice", ["sqrt", "log2", "all"])},
+    "GradientBoosting": {"maxIter": ("int", 50, 500), "maxDepth": ("int", 3, 12), "stepSize": ("logfloat", 1e-3, 0.3),
+                         "subsamplingRate": ("float", 0.6, 1.0), "minInstancesPerNode": ("int", 1, 20),
+                         "featureSubsetStrategy": ("choice", ["sqrt", "log2", "all"])},
     "DecisionTree": {"maxDepth": ("int", 3, 20), "minInstancesPerNode": ("int", 1, 20)},
     "Ridge": {"regParam": ("logfloat", 1e-4, 1.0)},
     "Lasso": {"regParam": ("logfloat", 1e-4, 1.0)},
 }
+TRIALS = 50
+# ------------------------------------------------------------------------------
 
 
 def sample_params(space: dict, n_trials: int, seed: int | None = None) -> list[dict]:
@@ -181,7 +187,7 @@ def sample_params(space: dict, n_trials: int, seed: int | None = None) -> list[d
     return out
 
 
-def tune(df: DataFrame, label: str, numeric, categorical, model_name: str, n_trials: int = 10,
+def tune(df: DataFrame, label: str, numeric, categorical, model_name: str, n_trials: int = TRIALS,
          task: str = "eta", k: int | None = None, parallelism: int = 4) -> DataFrame:
     """seeded random search minimising cross-validated MAE (CrossValidator
     fits the trials in parallel). One row: model, params (map), mae, rmse."""
@@ -207,8 +213,8 @@ def tune(df: DataFrame, label: str, numeric, categorical, model_name: str, n_tri
     rmse = regression_metrics(folds).first()["rmse"]
     spark = df.sparkSession
     return spark.createDataFrame(
-        [(model_name, {k2: float(v) for k2, v in draws[best].items()}, float(m.avgMetrics[best]), float(rmse))],
-        "model string, params map<string,double>, mae double, rmse double")
+        [(model_name, {k2: str(v) for k2, v in draws[best].items()}, float(m.avgMetrics[best]), float(rmse))],
+        "model string, params map<string,string>, mae double, rmse double")
 
 
 def residuals(oof: DataFrame, board: DataFrame, top_n: int = 3) -> DataFrame:
@@ -319,12 +325,12 @@ def explain(predictions: DataFrame, ids: DataFrame, key: str = "prediction_id")
     return predictions.join(ids.select(key).distinct(), key, "left_semi")
 
 
-def tune_all(df: DataFrame, label: str, numeric, categorical, models: Sequence[str], n_trials: int = 10,
+def tune_all(df: DataFrame, label: str, numeric, categorical, models: Sequence[str], n_trials: int = TRIALS,
              task: str = "eta") -> DataFrame:
     """F14 for each model; a model without a search space keeps its default
     parameters (empty map) with null metrics. A search that fails is an error."""
     spark = df.sparkSession
-    schema = "model string, params map<string,double>, mae double, rmse double, tuned boolean"
+    schema = "model string, params map<string,string>, mae double, rmse double, tuned boolean"
     rows = []
     for name in models:
         if name not in SPACES:  # nothing to search: keeps its defaults

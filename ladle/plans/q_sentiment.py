@@ -97,8 +97,8 @@ def q_polarity(spark, sf):
 
 @register("score_multilingual", f"""WITH {_LEX}, {_CLF}, src AS (SELECT doc_id, text AS txt FROM documents),
 {_score_sql('src', 'doc_id')}
-SELECT d.doc_id, d.lang, round(CASE WHEN d.lang <> 'en' AND p.polarity IS NOT NULL THEN p.polarity ELSE sc.sentiment END, 6) + 0.0
- AS sentiment, CASE WHEN d.lang <> 'en' AND p.polarity IS NOT NULL THEN 'classifier' ELSE 'lexicon' END AS source
+SELECT d.doc_id, d.lang, round(CASE WHEN trim(coalesce(d.text, '')) <> '' AND p.polarity IS NOT NULL THEN p.polarity ELSE sc.sentiment END, 6) + 0.0
+ AS sentiment, CASE WHEN trim(coalesce(d.text, '')) <> '' AND p.polarity IS NOT NULL THEN 'classifier' ELSE 'lexicon' END AS source
 FROM documents d JOIN sc USING (doc_id) LEFT JOIN pol p USING (doc_id)""")
 def q_multi(spark, sf):
     d = table(spark, sf, "documents")

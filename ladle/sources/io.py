@@ -69,6 +69,11 @@ def profile(df: DataFrame) -> DataFrame:
                         F.explode(arr).alias("c")).select("c.column", "c.type", "c.nulls", "rows", "duplicate_rows")
 
 
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows as read (a short look; any n rows would do)."""
+    return df.limit(n)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by=None) -> str:
     """Write a processed or result table (parquet, csv or json)."""
