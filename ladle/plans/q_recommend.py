@@ -291,9 +291,13 @@ _CF: dict = {}
 
 @register("train_cf")
 def q_train_cf(spark, sf):
-    """ALS with 50 factors and 20 iterations; the user factors table."""
+    """ALS with 50 factors and 20 iterations; per user the number of factors and of
+    ratings, and the mean absolute error of the model on them."""
     m = _cf_model(spark, sf)
-    return finish(m.userFactors.select(F.col("id").alias("user_id"), F.size("features").alias("rank")))
+    factors = m.userFactors.select(F.col("id").alias("user_id"), F.size("features").alias("rank"))
+    errors = m.transform(interactions(spark, sf)).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("ratings"), F.avg(F.abs(F.col("prediction") - F.col("rating"))).alias("mae"))
+    return finish(factors.join(errors, "user_id"))
 
 
 @register("cf_top_items")

@@ -196,7 +196,19 @@ def materialize(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{root}/ladle-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that ``materialize`` wrote and that nothing reads any more."""
+    for t in tables:
+        path = getattr(t, "stored_at", None)
+        if path:
+            spark = t.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k, salt_buckets: int = 64,

@@ -82,3 +82,15 @@ def test_cf_top_items_match_explicit_scores(spark, sf):
         exp = sorted(((-float(uf[u] @ v), i) for i, v in items.items()))[:4]
         mine = sorted([(r["rank"], r["restaurant_id"]) for r in got if r["user_id"] == u])
         assert [i for _, i in mine] == [i for _, i in exp]
+
+
+def test_collaborative_model_fits_its_ratings(spark, sf):
+    from ladle.plans.catalog import load_all
+    from ladle.sources.fixtures import interactions
+    rows = load_all()["train_cf"][0](spark, sf).collect()
+    it = interactions(spark, sf)
+    users = {r["user_id"]: r["n"] for r in it.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {r["user_id"]: r["ratings"] for r in rows} == users and {r["rank"] for r in rows} == {50}
+    mean = it.agg(F.avg("rating").alias("m")).first()["m"]
+    flat = it.agg(F.avg(F.abs(F.col("rating") - mean)).alias("e")).first()["e"]
+    assert sum(r["mae"] * r["ratings"] for r in rows) / sum(users.values()) < 0.2 * flat
