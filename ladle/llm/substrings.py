@@ -42,16 +42,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, chunks, gram_hashes, partitions, stored
-from ladle.llm.exchange import ANSWER, QUESTION, aligned, answers, ask, flat_lists, numbers, question
+from ladle.llm.common import Words, bounded_batches, chunks, gram_hashes, partitions, stored
+from ladle.llm.exchange import ANSWER, QUESTION, aligned, answers, ask, flat_lists, numbers, part_of, question
+from ladle.plans.scale import discard
 
 WINDOW = 13
 ANCHOR = 6
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Passages streamed through one copy of a reference shard.
 PASSAGES_PER_TASK = 2000
 
-_TEXTS = "_chunk long, _ids array<bigint>, _marks array<bigint>, _packed binary, _sizes array<bigint>, _words array<bigint>, _flags array<bigint>"
+_TEXTS = "_chunk long, _ids array<bigint>, _marks array<bigint>, _packed binary, _sizes array<bigint>, _anchors array<int>, _more array<byte>, _cuts array<int>"
 
 
 class SuffixAutomaton:
@@ -145,34 +146,47 @@ def shared_in(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return k[start], o[start], o[start] != o[end]
 
 
-def _read(window: int, anchor: int):
-    """Chunks of documents: their texts, packed, and their distinct anchors (negative flag: in two of its documents)."""
+def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by part, and where each part begins in it."""
+    part = part_of(keys, parts)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _read(window: int, anchor: int, parts: int):
+    """Chunks of documents: their texts, packed, and their distinct anchors by part, 32 bits of each (two that
+    are taken for one only send windows on to the next step), with whether two of its documents have it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = TaskContext.get().partitionId() << 32
         pack = zstandard.ZstdCompressor(level=1)
-        one = lambda a: pa.array([a], pa.list_(pa.int64()))
+        one = lambda a, kind=pa.int64(): pa.array([a], pa.list_(kind))
         for batch in batches:
             for i, j, flat, at in chunks(batch["_text"], CHUNK):
                 w = Words(flat, at)
                 start, low, doc = anchors(w.hashes(), w.first, window, anchor)
                 ids = batch["_id"].slice(i, j - i).to_numpy(zero_copy_only=False)
                 keys, _, more = shared_in(low, ids[doc])
+                order, cuts = _by_part(keys, parts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([n], pa.int64()), one(ids), one(batch["_mark"].slice(i, j - i)), pa.array([pack.compress(flat.tobytes())], pa.binary()),
-                     one(np.diff(at)), one(keys.view(np.int64)), one(more.astype(np.int64))],
-                    ["_chunk", "_ids", "_marks", "_packed", "_sizes", "_words", "_flags"])
+                     one(np.diff(at)), one(keys[order].astype(np.uint32).view(np.int32), pa.int32()), one(more[order].astype(np.int8), pa.int8()),
+                     one(cuts.astype(np.int32), pa.int32())],
+                    ["_chunk", "_ids", "_marks", "_packed", "_sizes", "_anchors", "_more", "_cuts"])
                 n += 1
     return run
 
 
-def _ask_keys(parts: int, keys: str, values: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                q = question(batch["_chunk"][i].as_py(), numbers(batch[keys], i).view(np.uint64), numbers(batch[values], i), parts)
-                if q is not None:
-                    yield q
-    return run
+def _ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row of question for each chunk and part."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            cuts = numbers(batch["_cuts"], i)
+            used = np.flatnonzero(np.diff(cuts))
+            if len(used):
+                offsets = pa.array(np.append(cuts[used], cuts[-1]), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, batch[c][i].values) for c in ("_anchors", "_more")]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), batch["_chunk"][i].as_py()), pa.int64()), pa.array(used, pa.int32()), *lists],
+                                                 ["_chunk", "_part", "_keys", "_values"])
 
 
 def _is_shared(table: pa.Table) -> pa.Table:
@@ -196,38 +210,55 @@ def _first_holder(table: pa.Table) -> pa.Table:
     return answers(table, ((low << 1) | shared)[place])
 
 
-_RUNS = "_chunk long, _ids array<bigint>, _marks array<bigint>, _starts array<bigint>, _sizes array<bigint>, _text binary, _keys array<bigint>, _values array<bigint>"
+_RUNS = "_chunk long, _ids array<bigint>, _marks array<bigint>, _starts array<bigint>, _packed binary, _sizes array<bigint>"
 
 
 def _runs(parts: int, window: int, anchor: int):
-    """Of each chunk the runs of windows whose anchors are shared, and its questions about these windows."""
+    """Of each chunk the runs of windows whose anchors are shared: their documents, first words and texts."""
     def run(chunk: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
+        pack = zstandard.ZstdCompressor(level=1)
         for i in range(chunk.num_rows):
-            keys = numbers(chunk["_words"], i).view(np.uint64)
-            shared = keys[aligned(keys, parts, replies) > 0]
             flat, at = _unpack(chunk, i)
             w = Words(flat, at)
-            h = w.hashes()
-            start, low, doc = anchors(h, w.first, window, anchor)
-            ids = numbers(chunk["_ids"], i)
+            start, low, doc = anchors(w.hashes(), w.first, window, anchor)
+            keys = np.unique(low)
+            shared = keys[aligned(keys, parts, replies) > 0]
             keep = np.isin(low, shared)
             start, doc = start[keep], doc[keep]
-            grams, where = gram_hashes(h, w.first, window)
-            grams = grams[np.searchsorted(where, start)]
-            k, low_id, more = shared_in(grams, ids[doc])
             # consecutive windows of one document make a run of words
             cut = np.flatnonzero(np.append(True, (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1]))) if len(start) else np.zeros(0, np.int64)
             first, last = start[cut], start[np.append(cut[1:], len(start)) - 1] + window if len(start) else start[cut]
-            text = b"\n".join(b" ".join(flat[w.starts[s]:w.ends[e - 1]].tobytes().split()) for s, e in zip(first, last))
-            lists = [ids[doc[cut]], numbers(chunk["_marks"], i)[doc[cut]], first - w.first[doc[cut]], last - first]
-            out.append(pa.table([chunk["_chunk"].slice(i, 1), *[pa.array([x], pa.list_(pa.int64())) for x in lists], pa.array([text], pa.binary()),
-                                 *[pa.array([x], pa.list_(pa.int64())) for x in (k.view(np.int64), (low_id << 1) | more)]],
-                                names=["_chunk", "_ids", "_marks", "_starts", "_sizes", "_text", "_keys", "_values"]))
+            texts = [b" ".join(flat[w.starts[s]:w.ends[e - 1]].tobytes().split()) for s, e in zip(first, last)]
+            lists = [numbers(chunk["_ids"], i)[doc[cut]], numbers(chunk["_marks"], i)[doc[cut]], first - w.first[doc[cut]]]
+            out.append(pa.table([chunk["_chunk"].slice(i, 1), *[pa.array([x], pa.list_(pa.int64())) for x in lists],
+                                 pa.array([pack.compress(b"".join(texts))], pa.binary()), pa.array([[len(t) for t in texts]], pa.list_(pa.int64()))],
+                                names=["_chunk", "_ids", "_marks", "_starts", "_packed", "_sizes"]))
         return pa.concat_tables(out)
     return run
 
 
+def _windows(runs: pa.Table | pa.RecordBatch, i: int, window: int) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray, np.ndarray]:
+    """The runs of row ``i``: bytes, offsets, words, and of each window its hash and its run."""
+    flat, at = _unpack(runs, i)
+    w = Words(flat, at)
+    grams, where = gram_hashes(w.hashes(), w.first, window)
+    return flat, at, w, grams, w.doc[where]
+
+
+def _ask_windows(parts: int, window: int):
+    """Questions about the windows of each chunk's runs, with twice their smallest id, plus 1 if another document of the chunk has them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                *_, grams, of = _windows(batch, i, window)
+                keys, low, more = shared_in(grams, numbers(batch["_ids"], i)[of])
+                q = question(batch["_chunk"][i].as_py(), keys, (low << 1) | more, parts)
+                if q is not None:
+                    yield q
+    return run
+
+
 def _unpack(chunk: pa.Table, i: int) -> tuple[np.ndarray, np.ndarray]:
     size = numbers(chunk["_sizes"], i)
     flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(chunk["_packed"][i].as_py()), np.uint8) if size.sum() else np.zeros(0, np.uint8)
@@ -239,23 +270,23 @@ _PASSAGES = "_source long, _id long, _mark long, _start long, _text binary"
 
 def _passages(parts: int, window: int):
     """Passages with their source (``_id`` null: part of that source's reference shard)."""
-    def run(chunk: pa.Table, replies: pa.Table) -> pa.Table:
+    def run(runs: pa.Table, replies: pa.Table) -> pa.Table:
         rows: list[tuple] = []
-        for i in range(chunk.num_rows):
-            keys = numbers(chunk["_keys"], i).view(np.uint64)
-            reply = aligned(keys, parts, replies)
-            texts = chunk["_text"][i].as_py().split(b"\n") if len(keys) else []
-            for own, mark, begin, text in zip(numbers(chunk["_ids"], i), numbers(chunk["_marks"], i), numbers(chunk["_starts"], i), texts):
-                flat = np.frombuffer(text, np.uint8)
-                w = Words(flat, np.array([0, len(flat)]))
-                grams, _ = gram_hashes(w.hashes(), w.first, window)
-                source = reply[np.searchsorted(keys, grams)]
-                source = np.where(source & 1, source >> 1, own + 1)  # in no other document: a number above its own
-                edge = np.flatnonzero(np.append(True, source[1:] != source[:-1]))
-                for s, e in zip(edge, np.append(edge[1:], len(source))):
-                    if source[s] <= own:
-                        part = flat[w.starts[s]:w.ends[e + window - 2]].tobytes()
-                        rows.append((int(source[s]), None if source[s] == own else int(own), int(mark), int(begin + s), part))
+        for i in range(runs.num_rows):
+            flat, at, w, grams, of = _windows(runs, i, window)
+            keys = np.unique(grams)
+            reply = aligned(keys, parts, replies)[np.searchsorted(keys, grams)]
+            own = numbers(runs["_ids"], i)[of]
+            source = np.where(reply & 1, reply >> 1, own + 1)  # in no other document: a number above its own
+            marks, begins = numbers(runs["_marks"], i), numbers(runs["_starts"], i)
+            edge = np.flatnonzero(np.append(True, (source[1:] != source[:-1]) | (of[1:] != of[:-1]))) if len(of) else of
+            first = np.searchsorted(of, np.arange(len(at)))  # each run's first window
+            for s, e in zip(edge.tolist(), np.append(edge[1:], len(of)).tolist()):
+                r = int(of[s])
+                if source[s] <= own[s]:
+                    n = s - int(first[r])
+                    part = flat[w.starts[w.first[r] + n]:w.ends[w.first[r] + n + e - s + window - 2]].tobytes()
+                    rows.append((int(source[s]), None if source[s] == own[s] else int(own[s]), int(marks[r]), int(begins[r]) + n, part))
         return pa.table([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
                         names=["_source", "_id", "_mark", "_start", "_text"])
     return run
@@ -279,15 +310,18 @@ def _match(window: int):
 def repeated_spans(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, _mark, _spans): of each document that windows of documents with smaller ids cover, the
     spans (first word, last + 1) they cover; ``_mark`` is the xxhash64 of its text."""
-    parts = partitions(df.sparkSession)
+    parts = partitions(bounded_batches(df.sparkSession))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(text).alias("_mark"), text.alias("_text")).where("_id IS NOT NULL")
-    read = stored(rows.mapInArrow(_read(window, anchor), _TEXTS))
-    shared = ask(read.select("_chunk", "_words", "_flags").mapInArrow(_ask_keys(parts, "_words", "_flags"), QUESTION), parts, _is_shared, ANSWER)
-    runs = stored(read.drop("_flags").groupBy("_chunk").cogroup(shared.groupBy("_chunk")).applyInArrow(_runs(parts, window, anchor), _RUNS))
-    holders = ask(runs.select("_chunk", "_keys", "_values").mapInArrow(_ask_keys(parts, "_keys", "_values"), QUESTION), parts, _first_holder, ANSWER)
-    found = stored(runs.drop("_values").groupBy("_chunk").cogroup(holders.groupBy("_chunk")).applyInArrow(_passages(parts, window), _PASSAGES)
+    read = stored(rows.mapInArrow(_read(window, anchor, parts), _TEXTS))
+    asked = read.select("_chunk", "_anchors", "_more", "_cuts").mapInArrow(_ask_anchors, "_chunk long, _part int, _keys array<int>, _values array<byte>")
+    shared = ask(asked, parts, _is_shared, ANSWER)
+    runs = stored(read.select("_chunk", "_ids", "_marks", "_packed", "_sizes").groupBy("_chunk").cogroup(shared.groupBy("_chunk")).applyInArrow(_runs(parts, window, anchor), _RUNS))
+    discard(read)
+    holders = ask(runs.select("_chunk", "_ids", "_packed", "_sizes").mapInArrow(_ask_windows(parts, window), QUESTION), parts, _first_holder, ANSWER)
+    found = stored(runs.groupBy("_chunk").cogroup(holders.groupBy("_chunk")).applyInArrow(_passages(parts, window), _PASSAGES)
                    .withColumn("_key", F.unhex(F.sha2("_text", 256))))
+    discard(runs)
     # equal passages stream once; a shard goes to one task for every PASSAGES_PER_TASK of them
     passages = found.where("_id IS NOT NULL").groupBy("_source", "_key").agg(F.first("_text").alias("_text"))
     tasks = passages.groupBy("_source").agg(F.ceil(F.count(F.lit(1)) / PASSAGES_PER_TASK).cast("int").alias("_tasks"))
