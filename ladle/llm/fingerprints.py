@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import partitions
+from ladle.llm.common import bounded_batches, partitions
 from ladle.plans.scale import count_below
 
 BUCKETS = 128
@@ -110,7 +110,7 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprint_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited form, and their likeness; see the module."""
-    spark = df.sparkSession
+    spark = bounded_batches(df.sparkSession)
     n = partitions(spark)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     probs = [i / (4 * n) for i in range(1, 4 * n)]

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ladle.llm.common import bounded_batches
+
 WINDOW = 1024
 SHARD_ROWS = 1000
 END_ID = 0
@@ -174,6 +176,7 @@ def _pack(window: int):
 def pack(df: DataFrame, window: int = WINDOW, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
          shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per piece: where it begins in its document and where it lies in its sequence."""
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     shards = max(1, -(-df.count() // shard_rows))
     ids = rows.mapInArrow(_tokenize(path or tokenizer_path(), window), "_id long, _row long, _size long, _crcs array<bigint>, _tail binary")

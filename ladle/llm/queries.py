@@ -53,12 +53,33 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
 
-@query("op3_substring_dedup")
+#: Words of a column as a list.
+_WORDS = "list_filter(regexp_split_to_array(coalesce({}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+@query("op3_substring_dedup", f"""
+WITH w AS (SELECT doc_id, {_WORDS.format('text')} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+f AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+cov AS (SELECT DISTINCT doc_id, i + j AS p FROM (SELECT win.doc_id, i, unnest(range(13)) AS j FROM win JOIN f USING (k) WHERE m < win.doc_id)),
+gone AS (SELECT doc_id, list(p) AS ps FROM cov GROUP BY doc_id),
+kept AS (SELECT doc_id, ws, list_filter(range(1, len(ws) + 1), lambda p: ps IS NULL OR NOT list_contains(ps, p)) AS ks FROM w LEFT JOIN gone USING (doc_id))
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - len(ks) AS BIGINT) AS n_removed,
+ sha256(coalesce(array_to_string(list_transform(ks, lambda p: ws[p]), ' '), '')) AS kept_sha256 FROM kept""")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(documents(spark, sf_dir))
 
 
-@query("op5_minhash_neardup")
+@query("op5_minhash_neardup", f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS d, doc_id AS c FROM documents UNION SELECT r.d, e.b FROM r JOIN e ON e.a = r.c)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM (SELECT d AS doc_id, min(c) AS c FROM r GROUP BY d) LEFT JOIN n USING (doc_id)""")
 def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.labels(documents(spark, sf_dir), shingle=3, percent=85)
 

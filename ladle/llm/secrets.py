@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ladle.llm.common import bounded_batches
+
 #: Name of the rules below; a ledger keeps what each version has found.
 RULE_VERSION = "rules-1"
 #: Kinds in order of report; the first three are the base rules (fixed values).
@@ -75,6 +77,7 @@ def address(df: DataFrame, text_col: str) -> DataFrame:
 def scan_unseen(df: DataFrame, text_col: str = "text", ledger: DataFrame | None = None,
                 rule_version: str = RULE_VERSION) -> DataFrame:
     """New ledger rows: every distinct blob of ``df`` that ``ledger`` lacks under ``rule_version``."""
+    bounded_batches(df.sparkSession)
     blobs = address(df.select(F.col(f"`{text_col}`").alias("_t")), "_t").select("_blob", "_text")
     if ledger is not None:
         seen = ledger.where(F.col("rule_version") == rule_version).select(F.col("blob").alias("_blob")).distinct()

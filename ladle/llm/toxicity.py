@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, chunks, doc_crc
+from ladle.llm.common import Words, bounded_batches, chunks, doc_crc
 
 FOLDS = 5
 #: Labelled training rows that lexicons and classifier are fitted on, at most (about).
@@ -247,7 +247,7 @@ class Classifier:
     """Fitted on ``docs`` and the training rows of ``labels``; see the module."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
-        spark = docs.sparkSession
+        spark = bounded_batches(docs.sparkSession)
         key = F.col(f"`{id_col}`").cast("long")
         known = labels.select(key.alias("_id"), F.col(f"`{label_col}`").cast("int").alias("_label")).where(
             "_id IS NOT NULL AND _label IS NOT NULL").where(doc_crc(F.col("_id")) % FOLDS != 0).groupBy("_id").agg(F.max("_label").alias("_label"))
