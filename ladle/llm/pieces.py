@@ -30,6 +30,7 @@ columns are kept as they are; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,10 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ladle.llm.common import bounded_batches
+
 MARK = "\u2581"
 #: Characters of new words that are indexed at once, and words that a task remembers.
 INDEX_CHARS = 400_000
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 250_000
+SLICE_ROWS = 1000
 _WORD = re.compile(f"{MARK}*[^{MARK}]*")
 
 
@@ -103,7 +107,14 @@ class Vocabulary:
         self.size[self.tokens] = self.sizes
         self.known_keys, self.known = np.zeros(0, np.int64), np.zeros(0, bool)
         self._late: list[tuple[np.ndarray, np.ndarray]] = []
-        self.memory: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        table = [p.encode("utf-8", "surrogatepass") for p in self.pieces[:self.own]]
+        for b, t in self.bytes.items():
+            table[t] = bytes([b])
+        for t in self.silent:
+            table[t] = b""
+        self.table = table
 
     def merge(self, word: str) -> tuple[list[int], tuple[int, int]]:
         """BPE step by step: tokens of ``word`` and the two that the last merge joined."""
@@ -187,69 +198,73 @@ def codes(text: str) -> np.ndarray:
 
 
 def suffix_array(text: np.ndarray, reach: int) -> np.ndarray:
-    """Positions in the order of the ``reach`` characters that follow, by prefix doubling."""
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    h = 1
+    """Positions in the order of (at least) the ``reach`` characters that follow, by prefix doubling from three."""
+    wide = np.append(text, [0, 0]).astype(np.int64)
+    key, h = wide[:-2] << 42 | wide[1:-1] << 21 | wide[2:], 3
     while h < reach:
+        rank = np.unique(key, return_inverse=True)[1]
         after = np.zeros(len(rank), np.int64)
         after[:-h] = rank[h:] + 1
-        _, rank = np.unique(rank * (len(rank) + 1) + after, return_inverse=True)
-        h *= 2
-    return np.argsort(rank, kind="stable")
+        key, h = rank * (len(rank) + 1) + after, 2 * h
+    return np.argsort(key, kind="stable").astype(np.int32)
 
 
 def ranges(text: np.ndarray, order: np.ndarray, matrix: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every piece the range of suffixes that begin with it, by binary search."""
+    """For every piece the range of suffixes that begin with it, by binary search of all pieces at once."""
     padded = np.append(text, np.zeros(matrix.shape[1], text.dtype))
 
     def search(after: bool) -> np.ndarray:
         lo, hi = np.zeros(len(sizes), np.int64), np.full(len(sizes), len(order), np.int64)
-        while True:
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
-                return lo
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
             mid = (lo[open_] + hi[open_]) >> 1
             at = order[mid]
             less, same = np.zeros(len(open_), bool), np.arange(len(open_))
-            for c in range(matrix.shape[1]):
-                same = same[sizes[open_[same]] > c]
+            for c in range(matrix.shape[1] + 1):
+                ends = sizes[open_[same]] == c
+                less[same[ends]] = after  # the suffix begins with the piece
+                same = same[~ends]
                 if not len(same):
                     break
                 x, y = padded[at[same] + c], matrix[open_[same], c]
                 less[same[x < y]] = True
                 same = same[x == y]
-            if after:  # suffixes that begin with the piece count as before it
-                equal = np.ones(len(open_), bool)
-                for c in range(matrix.shape[1]):
-                    live = sizes[open_] > c
-                    equal &= ~live | (padded[np.minimum(at + c, len(padded) - 1)] == matrix[open_, c])
-                less |= equal
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
+            open_ = open_[lo[open_] < hi[open_]]
+        return lo
     return search(False), search(True)
 
 
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a * 31 + b) & 0xFFFF
+
+
 def encode_words(v: Vocabulary, words: list[str]) -> list[bytes]:
     """Ids (little-endian, four bytes each) of distinct words."""
     text = codes("".join(w + "\0" for w in words))
     size = np.array([len(w) for w in words], np.int64)
     begin = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
     text[begin + size] = 0
-    word = np.repeat(np.arange(len(words)), size + 1)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), size + 1)
     order = suffix_array(text, v.longest)
-    lo, hi = ranges(text, order, v.matrix, v.sizes)
+    seen = np.zeros(1 << 16, bool)  # pairs of characters that come up, hashed: other pieces needn't be looked for
+    seen[_pair(text[:-1], text[1:])] = True
+    there = np.flatnonzero((v.sizes == 1) | seen[_pair(v.matrix[:, 0], v.matrix[:, 1])])
+    lo, hi = ranges(text, order, v.matrix[there], v.sizes[there])
     n = hi - lo
     start = order[np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
-    token = np.repeat(v.tokens, n)
+    token = np.repeat(v.tokens[there].astype(np.int32), n)
     covered = np.zeros(len(text), bool)
     covered[start[v.size[token] == 1]] = True
     alone = np.flatnonzero(~covered & (text > 0))  # characters that no piece holds
-    start, token = np.concatenate((start, alone)), np.concatenate((token, np.full(len(alone), v.unknown)))
-    end = start + v.size[token]
-    place = end - begin[word[start]]
-    by_end = np.argsort(place, kind="stable")
-    start, token, end, place = start[by_end], token[by_end], end[by_end], place[by_end]
-    cuts = np.searchsorted(place, np.arange(1, (size.max(initial=0)) + 2))
+    start = np.concatenate((start, alone.astype(np.int32)))
+    token = np.concatenate((token, np.full(len(alone), v.unknown, np.int32)))
+    end = start + v.size[token].astype(np.int32)
+    place = end - begin[word[start]].astype(np.int32)
+    by_end = np.argsort(place.astype(np.uint16) if size.max(initial=0) < 1 << 16 else place, kind="stable")  # 16 bits: a radix sort
+    start, token, end = start[by_end], token[by_end], end[by_end]
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(place, minlength=size.max(initial=0) + 1)[1:])))
     last = np.full(len(text) + 1, -1, np.int64)  # the token that ends at each position
     first = np.zeros(len(text) + 1, bool)
     first[begin] = True
@@ -260,7 +275,7 @@ def encode_words(v: Vocabulary, words: list[str]) -> list[bytes]:
         ok = at_first | (before >= 0)
         check = np.flatnonzero(ok & ~at_first)
         if len(check):
-            ok[check] = v.apart(before[check], t[check])
+            ok[check] = v.apart(before[check], t[check].astype(np.int64))
         last[end[i:j][ok]] = t[ok]
     v.remember()
     # back from each word's end
@@ -298,16 +313,25 @@ def split_words(text: str) -> list[str]:
 
 
 def _encode_batch(v: Vocabulary, texts: list[str | None]) -> list[bytes]:
+    """Ids of texts (little-endian, four bytes each). Words are remembered in two generations:
+    those of the last batches, and of the generation before, from which used ones move up."""
     split = [split_words(t) if t else [] for t in texts]
-    if len(v.memory) > MEMORY_WORDS:
-        v.memory.clear()
-    new = list({w for words in split for w in words if w not in v.memory})
-    runs = [w for w in new if MARK + MARK in w]
-    for w in runs:
-        ids: list[int] = []
-        for t, c in _with_characters(v, w):
-            ids += [t] if t is not None else [v.bytes[b] for b in c.encode("utf-8", "surrogatepass")]
-        v.memory[w] = np.array(ids, "<u4").tobytes()
+    if len(v.young) > MEMORY_WORDS:
+        v.young, v.old = {}, v.young
+    young, old, new = v.young, v.old, []
+    for w in set().union(*split):
+        if w not in young:
+            ids = old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                young[w] = ids
+    for w in new:
+        if MARK + MARK in w:
+            ids: list[int] = []
+            for t, c in _with_characters(v, w):
+                ids += [t] if t is not None else [v.bytes[b] for b in c.encode("utf-8", "surrogatepass")]
+            young[w] = np.array(ids, "<u4").tobytes()
     new = [w for w in new if MARK + MARK not in w]
     i = 0
     while i < len(new):
@@ -315,9 +339,9 @@ def _encode_batch(v: Vocabulary, texts: list[str | None]) -> list[bytes]:
         while j < len(new) and (j == i or n + len(new[j]) < INDEX_CHARS):
             n += len(new[j])
             j += 1
-        v.memory.update(zip(new[i:j], encode_words(v, new[i:j])))
+        young.update(zip(new[i:j], encode_words(v, new[i:j])))
         i = j
-    return [b"".join([v.memory[w] for w in words]) for words in split]
+    return [b"".join([young[w] for w in words]) for words in split]
 
 
 def _with_characters(v: Vocabulary, word: str) -> Iterator[tuple[int | None, str]]:
@@ -334,8 +358,8 @@ def _encode(path: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for i in range(0, batch.num_rows, 2000):
-                part = batch.slice(i, 2000)
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(i, SLICE_ROWS)
                 raw = _encode_batch(v, part["_text"].to_pylist())
                 cuts = np.concatenate(([0], np.cumsum([len(r) // 4 for r in raw])))
                 flat = np.frombuffer(b"".join(raw), "<u4").astype(np.int32)
@@ -344,27 +368,23 @@ def _encode(path: str, keep: list[str]):
     return run
 
 
+def _text_of(v: Vocabulary, ids: list[int]) -> str:
+    table = v.table
+    text = b"".join([table[t] for t in ids]).decode("utf-8", "replace").replace(MARK, " ")
+    return text[1:] if text[:1] == " " else text
+
+
 def _decode(path: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        table = [p.encode("utf-8", "surrogatepass") for p in v.pieces[:v.own]]
-        for b, t in v.bytes.items():
-            table[t] = bytes([b])
-        for t in v.silent:
-            table[t] = b""
         for batch in batches:
-            out = []
-            for ids in batch["_ids"]:
-                if not ids.is_valid:
-                    out.append(None)
-                    continue
-                text = b"".join([table[t] for t in ids.values.to_pylist()]).decode("utf-8", "replace").replace(MARK, " ")
-                out.append(text[1:] if text[:1] == " " else text)
+            out = [_text_of(v, ids.values.to_pylist()) if ids.is_valid else None for ids in batch["_ids"]]
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in keep], pa.array(out, pa.string())], [*keep, "_text"])
     return run
 
 
 def _mapped(df: DataFrame, column: str, run, path: str, out_type: str, inner: str, outer: str, out: str) -> DataFrame:
+    bounded_batches(df.sparkSession)
     names = [f"_c{i}" for i in range(len(df.columns))]
     named = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)], F.col(f"`{column}`").alias(inner))
     schema = ", ".join(f"{n} {named.schema[n].dataType.simpleString()}" for n in names)
@@ -382,19 +402,24 @@ def decode(df: DataFrame, ids_col: str = "ids", path: str | None = None, out: st
     return _mapped(df, ids_col, _decode, path or model_path(), "string", "_ids", "_text", out)
 
 
-def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zlib
-
-    for batch in batches:
-        crc = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) if x.is_valid else 0 for x in batch["_ids"]]
-        yield pa.RecordBatch.from_arrays([*[batch[c] for c in ("_id", "_n", "_same")], pa.array(crc, pa.int64())],
-                                         ["doc_id", "n_ids", "round_trip", "ids_crc32"])
+def _digest(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(path)
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(i, SLICE_ROWS)
+                texts = part["_text"].to_pylist()
+                raw = _encode_batch(v, texts)
+                same = [_text_of(v, np.frombuffer(r, "<u4").tolist()) == t for r, t in zip(raw, texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [part["_id"], pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array(same)],
+                    ["doc_id", "n_ids", "ids_crc32", "round_trip"])
+    return run
 
 
-def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: how many ids, their crc32, and whether decoding restores the text."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), text.alias("_source"))
-    both = decode(encode(rows, "_source", out="_code"), "_code", out="_back")
-    rows = both.select("_id", F.size("_code").cast("long").alias("_n"), F.col("_back").eqNullSafe(F.col("_source")).alias("_same"), F.col("_code").alias("_ids"))
-    return rows.mapInArrow(_crc, "doc_id long, n_ids long, round_trip boolean, ids_crc32 long")
+def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """Per document: how many ids, their crc32, and whether decoding restores the text. Encodes and
+    decodes in one pass, so the ids never leave the task."""
+    bounded_batches(df.sparkSession)
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
+    return rows.mapInArrow(_digest(path or model_path()), "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")
