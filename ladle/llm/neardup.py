@@ -9,14 +9,17 @@ with the probability of their Jaccard similarity. Every tree uses other hash
 functions, so a pair of similarity s is still together after d levels in one of
 T trees with probability 1 - (1 - s**d)**T; with 16 trees and s = 0.85 that is
 over 1 - 1e-13 at the first level, where nearly all nodes are small already,
-0.9999 at the fifth and 0.9995 at the last.
+1 - 3e-7 at the third and 0.9995 at the sixth. Documents whose nodes are large
+and open even then (near copies that are mostly less alike than the threshold)
+go to 32 further trees at depth 12: 0.993 for a pair at the threshold, more for
+a document with several links, as one is enough for its component.
 
 In every node all documents are compared with the node's smallest first, which
 keeps a node linear in its size. A node whose documents are then in one known
 component is done. Others are compared exhaustively, for documents of different
 components, if they are small; else they branch on. Nothing is capped: a node
-that is still large after the last level is compared exhaustively too, in
-blocks.
+that is still large and open at the last level is compared exhaustively too,
+in one task up to ``NODE_ROWS`` documents and pair by pair beyond.
 
 A pair is compared in two steps: by the share of equal minhash values, which
 only refuses pairs far below the threshold (by more than 6 standard
@@ -41,20 +44,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import MULTIPLIER, Words, chunks, gram_hashes, mix, stored
+from ladle.llm.common import MULTIPLIER, Words, bounded_batches, chunks, gram_hashes, mix, stored, tidy
+from ladle.plans.scale import discard
 
-TREES = 16
-LEVELS = 6
-SMALL_NODE = 24
+class Forest:
+    """Independent trees; ``depths``: how many minhash values documents have been split by after each round."""
+
+    def __init__(self, trees: int, depths: tuple[int, ...], seed: int):
+        self.trees, self.depths, n = trees, depths, trees * depths[-1]
+        key = np.arange(1, 2 * n + 1, dtype=np.uint64) + np.uint64(seed << 32)
+        self.salts = mix(key * MULTIPLIER).astype(np.uint32).reshape(2, -1)
+        self.roots = (np.arange(1, trees + 1, dtype=np.uint64) + np.uint64(seed << 32)) * MULTIPLIER
+        self.steps = np.arange(1, depths[-1] + 1, dtype=np.uint64) * MULTIPLIER
+
+
+FIRST = Forest(16, (1, 3, 6), 0)
+#: For documents whose nodes are still large and open after the first: groups of near copies many of which are
+#: somewhat less alike than the threshold. More and deeper trees, over minhash values of these documents only.
+SECOND = Forest(32, (12,), 1)
+SMALL_NODE = 32
+#: Nodes of the last depth that fit one task, with their sets.
+NODE_ROWS = 2000
 #: Minhash values (a byte of each) that pairs are compared by first, and how far below the
 #: threshold the share of equal ones may be: 6 standard deviations at 0.8 and above.
 BRIEF = 64
 MARGIN = 0.3
 #: Texts for comparing are picked by a broadcast list of ids up to this many (16 bytes each), else by a shuffle.
 BROADCAST_IDS = 500_000
-
-_SALTS = mix(np.arange(1, 2 * TREES * LEVELS + 1, dtype=np.uint64) * MULTIPLIER).astype(np.uint32).reshape(2, -1)
-_STEPS = np.arange(1, LEVELS + 1, dtype=np.uint64) * MULTIPLIER
+ROWS_PER_TASK = 25_000
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -72,10 +89,10 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
                 yield np.unique(grams[cuts[d]:cuts[d + 1]])
 
 
-def minhashes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+def minhashes(h: np.ndarray, first: np.ndarray, forest: Forest) -> np.ndarray:
     """Per run of ``h`` that begins at ``first`` (none empty) the smallest value under each hash function."""
     low = (h >> np.uint64(32)).astype(np.uint32)
-    return np.stack([np.minimum.reduceat((low ^ x) * (y | np.uint32(1)), first) for x, y in _SALTS.T], axis=1)
+    return np.stack([np.minimum.reduceat((low ^ x) * (y | np.uint32(1)), first) for x, y in forest.salts.T], axis=1)
 
 
 _SKETCH = "_id long, _mark long, _n long, _set string, _sketch binary"
@@ -95,7 +112,7 @@ def _sketches(k: int):
                     every = np.concatenate(sets)
                     first = np.concatenate(([0], np.cumsum(n[at])[:-1]))
                     one, two = np.add.reduceat(every, first), np.add.reduceat(mix(every * MULTIPLIER), first)
-                    for i, x, y, m in zip(at, one, two, minhashes(every, first)):
+                    for i, x, y, m in zip(at, one, two, minhashes(every, first, FIRST)):
                         # the size and two sums of mixed hashes name the set
                         names[i], sketches[i] = f"{n[i]}-{int(x):x}-{int(y):x}", m.tobytes()
                 sets.clear()
@@ -123,20 +140,57 @@ def _brief(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch["_id"], pa.array([r.tobytes() for r in brief], pa.binary())], ["_id", "_brief"])
 
 
-def _paths(level: int):
-    """The node of each set in each tree after ``level`` + 1 levels, and the node above it."""
+def _deeper(k: int, forest: Forest):
+    """Minhash values of texts for another forest, and their sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sets = list(shingle_sets(batch["_text"], k))
+                sketches = [minhashes(s, np.zeros(1, np.int64), forest)[0].tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([batch["_id"], pa.array(sketches, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                                 ["_id", "_sketch", "_members"])
+    return run
+
+
+def _exhaust(percent: int):
+    """All of a node's documents against each other, by an index of its shingles; the links that join its components."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, label = table["_id"].to_numpy(), table["_component"].to_numpy().copy()
+        sets = [np.frombuffer(x, np.uint64) for x in table["_members"].to_pylist()]
+        n = np.array([len(s) for s in sets])
+        flat, cuts = np.concatenate(sets), np.concatenate(([0], np.cumsum(n)))
+        holders = np.repeat(np.arange(len(ids)), n)[np.argsort(flat, kind="stable")]
+        _, place, size = np.unique(flat, return_inverse=True, return_counts=True)
+        begin = np.concatenate(([0], np.cumsum(size)[:-1]))
+        out = []
+        for x in np.flatnonzero(label != table["_low"][0].as_py()):
+            own = place[cuts[x]:cuts[x + 1]]
+            to = size[own]
+            at = np.repeat(begin[own] - np.concatenate(([0], np.cumsum(to)[:-1])), to) + np.arange(to.sum())
+            both = np.bincount(holders[at], minlength=len(ids))
+            for y in np.flatnonzero((100 * both >= percent * (n[x] + n - both)) & (label != label[x])):
+                if label[y] != label[x]:
+                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    label[label == label[y]] = label[x]
+        return pa.table([pa.array([r[c] for r in out], pa.int64()) for c in (0, 1)], names=["_a", "_b"])
+    return run
+
+
+def _paths(forest: Forest, before: int, depth: int):
+    """The node of each set in each tree at ``depth``, and the node above it at ``before``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = batch["_id"].to_numpy()
-            values = np.frombuffer(b"".join(batch["_sketch"].to_pylist()), np.uint32).reshape(len(ids), TREES, LEVELS)
-            node = np.broadcast_to(np.arange(1, TREES + 1, dtype=np.uint64) * MULTIPLIER, (len(ids), TREES))
-            above = node
-            for j in range(level + 1):
-                above, node = node, mix(node ^ (values[:, :, j].astype(np.uint64) + _STEPS[j]))
+            values = np.frombuffer(b"".join(batch["_sketch"].to_pylist()), np.uint32).reshape(len(ids), forest.trees, -1)
+            above = node = np.broadcast_to(forest.roots, (len(ids), forest.trees))
+            for j in range(depth):
+                node = mix(node ^ (values[:, :, j].astype(np.uint64) + forest.steps[j]))
+                if j + 1 == before:
+                    above = node
             above, node = (np.ascontiguousarray(x).reshape(-1).view(np.int64) for x in (above, node))
-            yield pa.RecordBatch.from_arrays([pa.array(above), pa.array(node), pa.array(np.repeat(ids, TREES))], ["_above", "_node", "_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(above), pa.array(node), pa.array(np.repeat(ids, forest.trees))], ["_above", "_node", "_id"])
     return run
 
 
@@ -167,106 +221,150 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def components(links: DataFrame, a: str = "_a", b: str = "_b", max_rounds: int = 100) -> DataFrame:
+def tasks(rows: int) -> int:
+    """How many tasks so many short rows are worth: small steps shouldn't pay for all shuffle partitions."""
+    return max(8, -(-rows // ROWS_PER_TASK))
+
+
+def components(links: DataFrame, a: str = "_a", b: str = "_b") -> DataFrame:
     """(_id, _component): the smallest id reachable, for every id with a link.
 
     Large-star and small-star rounds (Kiveris et al., 2014): each links the
     neighbours of an id to the smallest of them, until nothing changes. All
     groups are aggregates; no neighbourhood is gathered in a task."""
     edges = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
-    if edges.isEmpty():
-        return edges.toDF("_id", "_component")
     mark = None
-    for _ in range(max_rounds):
+    while True:
+        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if now == mark or not now["n"]:
+            break
+        mark, k = now, tasks(now["n"])
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(low, "u").coalesce(k).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        # an id's larger neighbours now name the smallest: one pass more over the same grouping
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = stored(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == mark:
-            break
-        mark = now
-    else:
-        raise RuntimeError("components did not settle")
+        small = large.distinct().join(low, "u").coalesce(k)
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
+        last, edges = edges, stored(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().coalesce(k))
+        discard(last)
     stars = edges.select(F.col("u").alias("_id"), F.col("v").alias("_component"))
     return stars.unionByName(edges.select(F.col("v").alias("_id"), F.col("v").alias("_component")).distinct())
 
 
 class _Join:
-    """Links between distinct sets (_id: the set's name hashed), level by level."""
+    """Components of distinct sets (_id: the set's name hashed), level by level."""
 
     def __init__(self, rows: DataFrame, sets: DataFrame, k: int, percent: int):
         self.rows, self.sets, self.k, self.percent = rows, sets, k, percent
-        self.brief = stored(sets.select("_id", "_sketch").mapInArrow(_brief, "_id long, _brief binary"))
-        self.tried = self.links = self.texts = None
+        self.made: list[DataFrame] = []
+        self.brief = self._stored(sets.select("_id", "_sketch").mapInArrow(tidy(_brief), "_id long, _brief binary"))
+        self.tried = self.texts = None
+        self.known = sets.sparkSession.createDataFrame([], "_id long, _component long")
 
-    def _fetch(self, pairs: DataFrame) -> None:
-        """Add the texts of the pairs' sets that aren't stored yet, one text for each set."""
-        ids = pairs.select(F.col("_a").alias("_id")).unionByName(pairs.select(F.col("_b").alias("_id"))).distinct()
+    def _stored(self, df: DataFrame) -> DataFrame:
+        self.made.append(stored(df))
+        return self.made[-1]
+
+    def _fetch(self, ids: DataFrame, k: int) -> None:
+        """Add the texts of the sets that aren't stored yet, one text for each set."""
         if self.texts is not None:
             ids = ids.join(self.texts.select("_id"), "_id", "left_anti")
-        wanted = stored(ids.join(self.sets.select("_id", "_doc", "_mark"), "_id").select(F.col("_id").alias("_set_id"), F.col("_doc").alias("_id"), "_mark"))
+        wanted = self._stored(ids.join(self.sets.select("_id", "_doc", "_mark"), "_id").coalesce(k).select(
+            F.col("_id").alias("_set_id"), F.col("_doc").alias("_id"), "_mark"))
         n = wanted.count()
         if n:
             picked = self.rows.join(F.broadcast(wanted) if n <= BROADCAST_IDS else wanted, ["_id", "_mark"])
-            picked = stored(picked.dropDuplicates(["_set_id"]).select(F.col("_set_id").alias("_id"), "_text"))
+            picked = self._stored(picked.dropDuplicates(["_set_id"]).coalesce(max(tasks(n), n // 500)).select(F.col("_set_id").alias("_id"), "_text"))
             self.texts = picked if self.texts is None else self.texts.unionByName(picked)
 
-    def compare(self, pairs: DataFrame) -> None:
-        """Confirm pairs (_a < _b) not tried before and add their links."""
+    def _merge(self, links: DataFrame) -> None:
+        """Take links into the known components: only links between two of them are followed."""
+        of = lambda x: F.coalesce(f"_c{x}", f"_{x}")
+        x = links.join(self.known.toDF("_a", "_ca"), "_a", "left").join(self.known.toDF("_b", "_cb"), "_b", "left")
+        between = self._stored(x.select(of("a").alias("_a"), of("b").alias("_b")).where("_a <> _b").distinct())
+        n = between.count()
+        if n:
+            new = self._stored(components(between).toDF("_component", "_to"))
+            old = self.known.join(new, "_component", "left").select("_id", F.coalesce("_to", "_component").alias("_component"))
+            first_seen = new.toDF("_id", "_component").join(self.known.select("_id"), "_id", "left_anti")
+            self.known = self._stored(old.unionByName(first_seen).coalesce(tasks(n)))
+
+    def compare(self, pairs: DataFrame, k: int) -> None:
+        """Confirm pairs (_a < _b) not tried before and merge their components."""
         new = pairs.distinct()
         if self.tried is not None:
             new = new.join(self.tried, ["_a", "_b"], "left_anti")
-        x = new.join(self.brief.toDF("_a", "_sa"), "_a").join(self.brief.toDF("_b", "_sb"), "_b")
-        new = stored(x.select("_a", "_b", "_sa", "_sb").mapInArrow(_alike(self.percent / 100 - MARGIN), "_a long, _b long"))
+        x = new.join(self.brief.toDF("_a", "_sa"), "_a").coalesce(k).join(self.brief.toDF("_b", "_sb"), "_b").coalesce(k)
+        new = self._stored(x.select("_a", "_b", "_sa", "_sb").mapInArrow(tidy(_alike(self.percent / 100 - MARGIN)), "_a long, _b long"))
+        n = new.count()
+        if not n:
+            return
         self.tried = new if self.tried is None else self.tried.unionByName(new)
-        self._fetch(new)
-        if self.texts is None:
-            links = new
-        else:
-            x = new.join(self.texts.toDF("_b", "_tb"), "_b").join(self.texts.toDF("_a", "_ta"), "_a")
-            x = x.select("_a", "_ta", "_b", "_tb").sortWithinPartitions("_a")
-            links = stored(x.mapInArrow(_confirm(self.k, self.percent), "_a long, _b long"))
-        self.links = links if self.links is None else self.links.unionByName(links)
+        k = max(tasks(n), n // 1000)  # rows with texts from here on
+        self._fetch(new.select(F.col("_a").alias("_id")).unionByName(new.select(F.col("_b").alias("_id"))).distinct(), k)
+        x = new.join(self.texts.toDF("_b", "_tb"), "_b").coalesce(k).join(self.texts.toDF("_a", "_ta"), "_a").coalesce(k)
+        x = x.select("_a", "_ta", "_b", "_tb").sortWithinPartitions("_a")
+        self._merge(self._stored(x.mapInArrow(tidy(_confirm(self.k, self.percent)), "_a long, _b long")))
 
-    def open_nodes(self, nodes: DataFrame) -> DataFrame:
+    def open_nodes(self, nodes: DataFrame, k: int) -> DataFrame:
         """Rows of the nodes that hold two components or more, with the component of each document."""
-        x = nodes.join(components(self.links), "_id", "left").withColumn("_component", F.coalesce("_component", "_id"))
+        x = nodes.join(self.known, "_id", "left").coalesce(k).withColumn("_component", F.coalesce("_component", "_id"))
         of = x.groupBy("_node").agg(F.min("_component").alias("_low"), F.max("_component").alias("_high"), F.count(F.lit(1)).alias("_size"))
-        return x.join(of.where("_low <> _high").select("_node", "_low", "_size"), "_node")
+        return x.join(of.where("_low <> _high").select("_node", "_low", "_size"), "_node").coalesce(k)
+
+    def _round(self, nodes: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """Compare in the nodes of one depth; returns the rows of those that are large and open still.
+
+        With ``sets`` (_id, _members) it is the last one: nodes of up to ``NODE_ROWS`` are compared in a
+        task each, whatever their size was before, and pair by pair beyond."""
+        least = nodes.groupBy("_node").agg(F.min("_id").alias("_a"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        nodes = self._stored(nodes.join(least, "_node").select("_node", "_id", "_a"))
+        k = tasks(nodes.count())
+        self.compare(nodes.where("_id <> _a").select("_a", F.col("_id").alias("_b")), k)
+        left = self._stored(self.open_nodes(nodes.select("_node", "_id"), k))
+        k = tasks(left.count())
+        if sets is not None:
+            rows = left.where(F.col("_size") <= NODE_ROWS).join(sets, "_id").select("_node", "_id", "_component", "_low", "_members")
+            self._merge(self._stored(rows.groupBy("_node").applyInArrow(_exhaust(self.percent), "_a long, _b long")))
+        few = left.where(F.col("_size") > NODE_ROWS if sets is not None else F.col("_size") <= SMALL_NODE)
+        # of two components one isn't the node's lowest
+        one = few.where("_component <> _low").select("_node", F.col("_id").alias("_x"), F.col("_component").alias("_cx"))
+        two = few.select("_node", F.col("_id").alias("_y"), F.col("_component").alias("_cy"))
+        pairs = one.join(two, "_node").where("_cx <> _cy").coalesce(k).select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b"))
+        self.compare(pairs, k)
+        return self._stored(left.where(F.col("_size") > SMALL_NODE).select("_node", "_id").coalesce(k))
 
     def run(self) -> DataFrame:
         active, above = self.sets.select("_id", "_sketch"), None
-        for level in range(LEVELS):
-            nodes = active.mapInArrow(_paths(level), "_above long, _node long, _id long")
+        for before, depth in zip((0, *FIRST.depths), FIRST.depths):
+            nodes = active.mapInArrow(_paths(FIRST, before, depth), "_above long, _node long, _id long")
             if above is not None:
                 nodes = nodes.join(above, "_above", "left_semi")
-            least = nodes.groupBy("_node").agg(F.min("_id").alias("_a"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-            nodes = stored(nodes.join(least, "_node").select("_node", "_id", "_a"))
-            self.compare(nodes.where("_id <> _a").select("_a", F.col("_id").alias("_b")))
-            left = stored(self.open_nodes(nodes.select("_node", "_id")))
-            few = left if level == LEVELS - 1 else left.where(F.col("_size") <= SMALL_NODE)
-            # of two components one isn't the node's lowest
-            one = few.where("_component <> _low").select("_node", F.col("_id").alias("_x"), F.col("_component").alias("_cx"))
-            two = few.select("_node", F.col("_id").alias("_y"), F.col("_component").alias("_cy"))
-            pairs = one.join(two, "_node").where("_cx <> _cy").select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b"))
-            self.compare(pairs)
-            large = left.where(F.col("_size") > SMALL_NODE)
-            above = stored(large.select(F.col("_node").alias("_above")).distinct())
-            if level == LEVELS - 1 or above.isEmpty():
+            large = self._round(nodes)
+            n = large.count()
+            if not n:
                 break
-            active = stored(self.sets.select("_id", "_sketch").join(large.select("_id").distinct(), "_id", "left_semi"))
-        return components(self.links)
+            above = large.select(F.col("_node").alias("_above")).distinct().coalesce(tasks(n))
+            ids = large.select("_id").distinct()
+            active = self._stored(self.sets.select("_id", "_sketch").join(ids, "_id", "left_semi").coalesce(tasks(n)))
+        else:
+            self._fetch(active.select("_id"), tasks(n))
+            deep = self._stored(active.select("_id").join(self.texts, "_id").coalesce(max(tasks(n), n // 5000)).mapInArrow(
+                _deeper(self.k, SECOND), "_id long, _sketch binary, _members binary"))
+            nodes = deep.select("_id", "_sketch").mapInArrow(_paths(SECOND, 0, SECOND.depths[-1]), "_above long, _node long, _id long")
+            self._round(nodes, deep.select("_id", "_members"))
+        discard(*[t for t in self.made if t is not self.known])
+        return self.known
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, _mark, _n, _component) for every row: its id, the xxhash64 of its text, the size
     of its set and the smallest id of its component."""
+    bounded_batches(df.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(text).alias("_mark"), text.alias("_text"))
-    sketches = stored(rows.mapInArrow(_sketches(shingle), _SKETCH))
+    sketches = stored(rows.mapInArrow(tidy(_sketches(shingle)), _SKETCH))
     # a hashed name stands for the set; its first document stands for its copies
     full = sketches.where("_set IS NOT NULL AND _id IS NOT NULL")
     doc = F.min(F.struct("_id", "_mark"))
