@@ -8,6 +8,7 @@ task's memory follows the chunk, not the table.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ladle.plans.scale import materialize
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Odd 64-bit constants of the hash functions (fixed values).
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -46,6 +47,24 @@ def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> SparkSession:
     return spark
 
 
+def release() -> None:
+    """Give freed memory back to the system. Spark keeps Python workers for the next stages; several idle
+    ones beside an executor's heap shouldn't hold on to what their last task needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library: it decides itself
+
+
+def tidy(run):
+    """``run`` for mapInArrow, with ``release`` when a task's batches are done."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+    return wrapped
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import bounded_batches, partitions
+from ladle.llm.common import bounded_batches, partitions, tidy
 from ladle.plans.scale import count_below
 
 BUCKETS = 128
@@ -135,5 +135,5 @@ def fingerprint_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     x = x.withColumn("_place", F.explode(F.when(F.col("_id").eqNullSafe(F.col("_first")), F.array(own, guest)).otherwise(F.array(own))))
     x = x.select(F.col("_place.r").alias("_r"), F.col("_place.g").alias("_guest"), "_id", "_text")
     x = x.repartition(n, "_r").sortWithinPartitions("_r", "_guest", F.asc_nulls_first("_id"), "_text")
-    return x.mapInArrow(_stream, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+    return x.mapInArrow(tidy(_stream), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                  "edited_fingerprint string, near_edited double, near_next double")

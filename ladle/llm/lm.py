@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, bounded_batches, chunks, doc_crc, partitions, stored
+from ladle.llm.common import Words, bounded_batches, chunks, doc_crc, partitions, release, stored, tidy
 from ladle.llm.exchange import QUESTION, aligned, answers, ask, flat_lists, numbers, question
 
 CLASS_SHARE = 1 / 250
@@ -221,6 +221,7 @@ def _score(parts: int, n: int, figures: np.ndarray, model):
                 "doc_id": pa.array(chunk["ids"][i].as_py(), pa.int64()), "held_out": pa.array(chunk["held"][i].as_py(), pa.bool_()),
                 "n_tokens": pa.array(size, pa.int64()), "n_known": pa.array(add((c > 0)[tokens].astype(np.int64)), pa.int64()),
                 "base_score": pa.array(add(base[tokens])), "score": pa.array(add(steps))}))
+        release()
         return pa.concat_tables(out) if out else pa.table({c: pa.array([], t) for c, t in (
             ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))})
     return run
@@ -233,10 +234,10 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     key = F.col(f"`{id_col}`")
     held = F.coalesce(doc_crc(key) % folds == held_fold, F.lit(False))
     rows = df.select(key.cast("long").alias("_id"), held.alias("_held"), F.col(f"`{text_col}`").alias("_text"))
-    read = stored(rows.mapInArrow(_read, _CHUNKS))
+    read = stored(rows.mapInArrow(tidy(_read), _CHUNKS))
     n = read.select(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n")).first()["n"] or 0
     least = max(1, int(np.ceil(n * CLASS_SHARE)))
-    replies = stored(ask(read.select("_chunk", "words", "counts").mapInArrow(_questions(parts), QUESTION), parts, _totals(least)))
+    replies = stored(ask(read.select("_chunk", "words", "counts").mapInArrow(tidy(_questions(parts)), QUESTION), parts, _totals(least)))
     figures, words = np.zeros(5, np.int64), []
     for r in replies.where("_chunk = -1").select("_answers").collect():  # a row for each part, at most 251 words in all
         a = np.array(r["_answers"], np.int64)
@@ -244,7 +245,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
         words.append(a[5:5 + (len(a) - 5) // 2])
     words = np.sort(np.concatenate(words).view(np.uint64)) if words else np.zeros(0, np.uint64)
     k = len(words) + 2
-    grams = read.select("words", "n_tokens", "held", "tokens").mapInArrow(_class_counts(words), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    grams = read.select("words", "n_tokens", "held", "tokens").mapInArrow(tidy(_class_counts(words)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     # bounded: at most k * k pairs and 1 / ARC_SHARE arcs
     got = grams.where((F.col("key") < 1 << 40) | (F.col("n") >= max(1, n * ARC_SHARE))).orderBy("key").toArrow()
     keys, counts = got["key"].to_numpy(), got["n"].to_numpy()

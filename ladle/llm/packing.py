@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import bounded_batches
+from ladle.llm.common import bounded_batches, release, tidy
 
 WINDOW = 1024
 SHARD_ROWS = 1000
@@ -55,13 +55,13 @@ def encoder(path: str):
 
     import public_tokenizers
 
-    plain = Tokenizer.from_file(path)
+    plain = lru_cache(maxsize=1)(lambda: Tokenizer.from_file(path))  # for the rare texts that need it
     with open(path.removesuffix(".json") + ".tiktoken", "rb") as f:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(text: str) -> list[int]:
-        return plain.encode(text, add_special_tokens=False).ids if SPECIAL in text else fast(text)
+        return plain().encode(text, add_special_tokens=False).ids if SPECIAL in text else fast(text)
     return encode
 
 
@@ -168,6 +168,7 @@ def _pack(window: int):
             i, base = of[t]
             crc = zlib.crc32(tails[t][start:start + length].astype("<u4").tobytes())
             rows.append((ids[i], base + start, length, crc, sizes[i], shard + seq + s, offset))
+        release()
         out = pd.DataFrame(rows, columns=[c.split()[0] for c in _PIECES.split(", ")])
         return out.astype({"doc_id": "Int64"})
     return run
@@ -179,7 +180,7 @@ def pack(df: DataFrame, window: int = WINDOW, path: str | None = None, id_col: s
     bounded_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     shards = max(1, -(-df.count() // shard_rows))
-    ids = rows.mapInArrow(_tokenize(path or tokenizer_path(), window), "_id long, _row long, _size long, _crcs array<bigint>, _tail binary")
+    ids = rows.mapInArrow(tidy(_tokenize(path or tokenizer_path(), window)), "_id long, _row long, _size long, _crcs array<bigint>, _tail binary")
     # the row's number keeps repeated rows of one id apart
     dealt = ids.withColumn("_part", F.spark_partition_id()).withColumn(
         "_shard", F.pmod(F.xxhash64("_id", "_row", "_part"), F.lit(shards)))

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import bounded_batches
+from ladle.llm.common import bounded_batches, tidy
 
 MARK = "\u2581"
 #: Characters of new words that are indexed at once, and words that a task remembers.
@@ -422,4 +422,4 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     decodes in one pass, so the ids never leave the task."""
     bounded_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
-    return rows.mapInArrow(_digest(path or model_path()), "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")
+    return rows.mapInArrow(tidy(_digest(path or model_path())), "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import bounded_batches
+from ladle.llm.common import bounded_batches, tidy
 
 #: Name of the rules below; a ledger keeps what each version has found.
 RULE_VERSION = "rules-1"
@@ -83,7 +83,7 @@ def scan_unseen(df: DataFrame, text_col: str = "text", ledger: DataFrame | None
         seen = ledger.where(F.col("rule_version") == rule_version).select(F.col("blob").alias("_blob")).distinct()
         blobs = blobs.join(seen, "_blob", "left_anti")
     found = blobs.dropDuplicates(["_blob"]).mapInArrow(
-        _scan, "_blob string, findings array<struct<kind:string,start:bigint,end:bigint>>")
+        tidy(_scan), "_blob string, findings array<struct<kind:string,start:bigint,end:bigint>>")
     return found.select(F.col("_blob").alias("blob"), F.lit(rule_version).alias("rule_version"), "findings")
 
 

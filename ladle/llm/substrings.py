@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, bounded_batches, chunks, gram_hashes, partitions, stored
+from ladle.llm.common import Words, bounded_batches, chunks, gram_hashes, partitions, release, stored, tidy
 from ladle.llm.exchange import ANSWER, QUESTION, aligned, answers, ask, flat_lists, numbers, part_of, question
 from ladle.plans.scale import discard
 
@@ -234,6 +234,7 @@ def _runs(parts: int, window: int, anchor: int):
             out.append(pa.table([chunk["_chunk"].slice(i, 1), *[pa.array([x], pa.list_(pa.int64())) for x in lists],
                                  pa.array([pack.compress(b"".join(texts))], pa.binary()), pa.array([[len(t) for t in texts]], pa.list_(pa.int64()))],
                                 names=["_chunk", "_ids", "_marks", "_starts", "_packed", "_sizes"]))
+        release()
         return pa.concat_tables(out)
     return run
 
@@ -313,12 +314,12 @@ def repeated_spans(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id
     parts = partitions(bounded_batches(df.sparkSession))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(text).alias("_mark"), text.alias("_text")).where("_id IS NOT NULL")
-    read = stored(rows.mapInArrow(_read(window, anchor, parts), _TEXTS))
-    asked = read.select("_chunk", "_anchors", "_more", "_cuts").mapInArrow(_ask_anchors, "_chunk long, _part int, _keys array<int>, _values array<byte>")
+    read = stored(rows.mapInArrow(tidy(_read(window, anchor, parts)), _TEXTS))
+    asked = read.select("_chunk", "_anchors", "_more", "_cuts").mapInArrow(tidy(_ask_anchors), "_chunk long, _part int, _keys array<int>, _values array<byte>")
     shared = ask(asked, parts, _is_shared, ANSWER)
     runs = stored(read.select("_chunk", "_ids", "_marks", "_packed", "_sizes").groupBy("_chunk").cogroup(shared.groupBy("_chunk")).applyInArrow(_runs(parts, window, anchor), _RUNS))
     discard(read)
-    holders = ask(runs.select("_chunk", "_ids", "_packed", "_sizes").mapInArrow(_ask_windows(parts, window), QUESTION), parts, _first_holder, ANSWER)
+    holders = ask(runs.select("_chunk", "_ids", "_packed", "_sizes").mapInArrow(tidy(_ask_windows(parts, window)), QUESTION), parts, _first_holder, ANSWER)
     found = stored(runs.groupBy("_chunk").cogroup(holders.groupBy("_chunk")).applyInArrow(_passages(parts, window), _PASSAGES)
                    .withColumn("_key", F.unhex(F.sha2("_text", 256))))
     discard(runs)
@@ -386,7 +387,7 @@ def _with_spans(df: DataFrame, id_col: str, text_col: str, window: int, anchor:
 def digests(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document how many words it has, how many go, and the hash of what is kept."""
     rows = df.select(F.col(f"`{id_col}`").alias("_doc"), F.col(f"`{text_col}`").alias("_text"))
-    return _with_spans(rows, "_doc", "_text", window, anchor).select("_id", "_text", "_spans").mapInArrow(_digest, _LEFT)
+    return _with_spans(rows, "_doc", "_text", window, anchor).select("_id", "_text", "_spans").mapInArrow(tidy(_digest), _LEFT)
 
 
 def remove_repeats(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -399,5 +400,5 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id
     rows = _with_spans(named, inner[df.columns.index(id_col)], text, window, anchor)
     others = [n for n in inner if n != text]
     schema = ", ".join(f"{n} {named.schema[n].dataType.simpleString()}" for n in others)
-    out = rows.select(*others, F.col(text).alias("_text"), "_spans").mapInArrow(_rewrite, f"{schema}, _text string")
+    out = rows.select(*others, F.col(text).alias("_text"), "_spans").mapInArrow(tidy(_rewrite), f"{schema}, _text string")
     return out.select(*[F.col("_text" if n == text else n).alias(c) for n, c in zip(inner, df.columns)])

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, bounded_batches, chunks, doc_crc
+from ladle.llm.common import Words, bounded_batches, chunks, doc_crc, tidy
 
 FOLDS = 5
 #: Labelled training rows that lexicons and classifier are fitted on, at most (about).
@@ -114,7 +114,7 @@ def lexicon(sample: DataFrame) -> tuple[Lexicon, int, int]:
     p = (F.col("toxic") + F.col("other")) / (n1 + n0)
     z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
     evidence = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("other") + 0.5) / (n0 + 1))
-    counted = sample.mapInArrow(_count_features, "bucket long, kind byte, toxic long, other long").groupBy("bucket").agg(
+    counted = sample.mapInArrow(tidy(_count_features), "bucket long, kind byte, toxic long, other long").groupBy("bucket").agg(
         F.max("kind").alias("kind"), F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     best = counted.withColumns({"z": z, "evidence": evidence}).where("abs(z) > 4 AND abs(evidence) > 0.7").orderBy(
         F.desc(F.abs("z")), "bucket").limit(MAX_FEATURES).select("bucket", "kind", "evidence").toArrow()
@@ -263,11 +263,11 @@ class Classifier:
         schema = "votes long, label long, features array<int>, counts array<int>, words long"
         every = rows.join(F.broadcast(picked), "_id", "left").select("_text", (F.col("_label") > 0).cast("int").alias("_label"))
         # at most three rows for each of 2**VOTERS patterns
-        seen = every.mapInArrow(_hits(self.lex), schema).groupBy("votes", F.coalesce("label", F.lit(-1)).alias("label")).count().toArrow()
+        seen = every.mapInArrow(tidy(_hits(self.lex)), schema).groupBy("votes", F.coalesce("label", F.lit(-1)).alias("label")).count().toArrow()
         pattern, label, n = (seen[c].to_numpy() for c in ("votes", "label", "count"))
         posterior = label_model(pattern, label, n.astype(float), n1 / (n1 + n0))
         soft = {(int(p), int(y)): x for p, y, x in zip(pattern, label, posterior)}
-        got = sample.select("_text", F.col("_label").cast("int").alias("_label")).mapInArrow(_hits(self.lex), schema).toArrow()
+        got = sample.select("_text", F.col("_label").cast("int").alias("_label")).mapInArrow(tidy(_hits(self.lex)), schema).toArrow()
         size = np.array([len(x) for x in got["features"]], np.int64)
         doc = np.repeat(np.arange(len(size)), size)
         f, c = (got[x].combine_chunks().flatten().to_numpy().astype(np.int64) for x in ("features", "counts"))
@@ -281,7 +281,7 @@ class Classifier:
             return rows.drop(text_col).withColumn("_score", F.lit(0.0))
         others = [f for f in rows.schema.fields if f.name != text_col]
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-        return rows.withColumnRenamed(text_col, "_text").mapInArrow(_score(self.lex, self.weights), f"{schema}, _score double" if others else "_score double")
+        return rows.withColumnRenamed(text_col, "_text").mapInArrow(tidy(_score(self.lex, self.weights)), f"{schema}, _score double" if others else "_score double")
 
 
 def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
