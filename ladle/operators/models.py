@@ -189,31 +189,43 @@ def sample_params(space: dict, n_trials: int, seed: int | None = None) -> list[d
 
 def tune(df: DataFrame, label: str, numeric, categorical, model_name: str, n_trials: int = TRIALS,
          task: str = "eta", k: int | None = None, parallelism: int = 4) -> DataFrame:
-    """seeded random search minimising cross-validated MAE (CrossValidator
-    fits the trials in parallel). One row: model, params (map), mae, rmse."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    """seeded random search minimising the MAE over held-out folds. One row:
+    model, params (map), and the best trial's mae and rmse on the held-out rows.
 
-    data = df.withColumn("label", F.col(label).cast("double"))
+    Folds are cut by a hash of the row. The preprocessor is fitted once per fold,
+    on its training rows, and all trials of the fold share it and run
+    ``parallelism`` at a time; each comes back as one row of error sums."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    k = k or DEFAULTS.cv_folds
+    data = df.withColumns({"label": F.col(label).cast("double"), "_row": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])})
     est = estimators(task, *label_scale(data, "label"))[model_name]
     draws = sample_params(SPACES[model_name], n_trials)
-    grid = []
-    for d in draws:
-        grid.append({getattr(est, name): val for name, val in d.items()})
-    pipe = Pipeline(stages=build_preprocessor(numeric, categorical) + [est])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid or ParamGridBuilder().build(),
-                        evaluator=RegressionEvaluator(metricName="mae"), numFolds=k or DEFAULTS.cv_folds,
-                        parallelism=parallelism, seed=DEFAULTS.random_seed)
-    m = cv.fit(data)
-    best = min(range(len(m.avgMetrics)), key=lambda i: m.avgMetrics[i])
-    # the best draw's errors on held-out folds, not on the rows it was fitted on
-    tuned = est.copy({getattr(est, name): val for name, val in draws[best].items()})
-    folds = oof_predictions(df.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), "_row", label, numeric, categorical,
-                            model_name, tuned, k=k, parallelism=parallelism)
-    rmse = regression_metrics(folds).first()["rmse"]
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        [(model_name, {k2: str(v) for k2, v in draws[best].items()}, float(m.avgMetrics[best]), float(rmse))],
+    data = with_folds(data, "_row", k)
+    totals = [[0.0, 0.0, 0] for _ in draws]
+    err = F.col("prediction") - F.col("label")
+    sums = [F.sum(F.abs(err)).alias("a"), F.sum(err * err).alias("s"), F.count(F.lit(1)).alias("n")]
+    for f in range(k):
+        train = data.where(F.col("fold") != f)
+        prep = Pipeline(stages=build_preprocessor(numeric, categorical)).fit(train)
+        train = prep.transform(train).select("features", "label").cache()
+        held = prep.transform(data.where(F.col("fold") == f)).select("features", "label").cache()
+
+        def trial(draw: dict):
+            model = est.fit(train, {getattr(est, name): value for name, value in draw.items()})  # noqa: B023
+            return model.transform(held).agg(*sums).first()  # noqa: B023
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            for total, r in zip(totals, pool.map(trial, draws)):
+                total[0] += r["a"] or 0.0
+                total[1] += r["s"] or 0.0
+                total[2] += r["n"]
+        train.unpersist()
+        held.unpersist()
+    best = min(range(len(draws)), key=lambda i: totals[i][0])
+    a, sq, n = totals[best]
+    return df.sparkSession.createDataFrame(
+        [(model_name, {name: str(v) for name, v in draws[best].items()}, a / n, (sq / n) ** 0.5)],
         "model string, params map<string,string>, mae double, rmse double")
 
 
