@@ -141,7 +141,9 @@ def shared_in(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Distinct keys with their smallest owner, and whether they have another one."""
     order = np.lexsort((owner, keys))
     k, o = keys[order], owner[order]
-    start = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+    if not len(k):
+        return k, o, np.zeros(0, bool)
+    start = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
     end = np.append(start[1:], len(k)) - 1
     return k[start], o[start], o[start] != o[end]
 
