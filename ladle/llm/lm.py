@@ -1,22 +1,24 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Learning. Words (A-Z in lower case) and one end per text are counted over all
-training texts: chunks of documents ask about their distinct words
-(``exchange``), so each chunk gets the corpus count of every word it holds,
-whatever the size of the vocabulary. Words that are at least 1/250 of all
-training tokens are classes of their own (at most 250 words, by their share);
-all others are one class. Over the classes, n-grams up to length 3 are counted;
-those at least 1/500 000 of all tokens are kept (at most 500 000, by their
-share), so the automaton has a size bound that holds for any corpus.
-
-Automaton. A state is the longest kept context of up to two classes. An arc
-holds the log-probability of the next class: absolute discounting, interpolated
-with the shorter context. Where a state has no arc, its failure arc adds the log
-of the mass left by discounting and goes on from the shorter context. A text
-runs through it once, left to right, carrying its state, and adds
-up arc and failure weights; a word of the common class adds its own discounted
-log-probability within the class, where all unseen words together have the mass
-that discounting leaves.
+Learning. Words (A-Z in lower case), one end per text, and all word pairs and
+triples are counted over all training texts, down to those that occur once: chunks
+of documents ask about their distinct words and n-grams (``exchange``), so each
+chunk gets the corpus count of all it holds, whatever the size of the vocabulary.
+Below the words lies a class model: words that are at least 1/250 of all training
+tokens are classes of their own (at most 250 words, by their share), all others
+are one class, and class n-grams of at least 1/500 000 of all tokens are kept. It
+only says what is likely where the words' own n-grams say nothing.
+
+Automaton. A state is the longest known context of up to two words. An arc to
+the next word has (count + M * below) / (context's count + M), where ``below`` is
+the word's probability in the shorter context. Where a state has no arc, its
+failure arc multiplies by M / (context's count + M) and goes on from the shorter
+context; the last failure arc leads to the class model (absolute discounting,
+interpolated), in which a word of the common class has its own discounted
+probability within the class and all unseen words together the mass that
+discounting leaves. A chunk has the arcs and failure weights of its own n-grams,
+so nothing of the words' automaton is gathered in one place. A text runs through it
+once, left to right, and adds up arc and failure weights.
 
 Defined results: a null text is empty and has its end alone; a null id is a
 training row; repeated rows count and are scored each; without training rows
@@ -34,16 +36,40 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, bounded_batches, chunks, doc_crc, partitions, release, stored, tidy
+from ladle.llm.common import MULTIPLIER, Words, bounded_batches, chunks, doc_crc, mix, partitions, release, stored, tidy
 from ladle.llm.exchange import QUESTION, aligned, answers, ask, flat_lists, numbers, question
 
 CLASS_SHARE = 1 / 250
 ARC_SHARE = 1 / 500_000
 CHUNK = 2 << 20
-END = np.uint64(1)
+#: Words, pairs and triples are told apart by the last two bits of their keys: 1, 2 and 3.
+END, START = np.uint64(1), np.uint64(2)
+#: How many occurrences of a context the shorter one weighs as much as, after one word and after two (the best of
+#: four pairs on another fold of sf0.01 than the held-out one).
+WEIGHTS = (30.0, 3.0)
+#: Questions a part answers, at most about: the number of parts follows the corpus.
+PART_KEYS = 4_000_000
 _CHUNKS = "_chunk long, ids array<bigint>, held array<boolean>, n_tokens array<bigint>, words array<bigint>, counts array<bigint>, tokens array<int>"
 
 
+def tagged(h: np.ndarray, order: int) -> np.ndarray:
+    return h & ~np.uint64(3) | np.uint64(order)
+
+
+def grams(words: np.ndarray, tokens: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the keys of the pair and the triple that end there; a text's first token has the
+    triple key 0, as its pair begins at the text's start."""
+    first = np.cumsum(size) - size
+    h = words[tokens]
+    before = np.empty_like(h)
+    before[1:], before[first] = h[:-1], START
+    two = tagged(mix(mix(before * MULTIPLIER) + h), 2)
+    three = np.zeros_like(two)
+    three[1:] = tagged(mix(mix(two[:-1] * MULTIPLIER) + h[1:]), 3)
+    three[first] = 0
+    return two, three
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of documents: tokens as places in the chunk's sorted distinct words, and the training count of each word."""
     n = TaskContext.get().partitionId() << 32
@@ -56,7 +82,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = np.full(size.sum(), END, np.uint64)
             own = np.ones(len(hashes), bool)
             own[ends] = False
-            hashes[own] = w.hashes()
+            hashes[own] = tagged(w.hashes(), 1)
             words, tokens = np.unique(hashes, return_inverse=True)
             held = batch["_held"].slice(i, j - i)
             train = np.repeat(~held.to_numpy(zero_copy_only=False).astype(bool), size)
@@ -72,7 +98,14 @@ def _questions(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                q = question(batch["_chunk"][i].as_py(), numbers(batch["words"], i).view(np.uint64), numbers(batch["counts"], i), parts)
+                words, tokens, size = numbers(batch["words"], i).view(np.uint64), numbers(batch["tokens"], i), numbers(batch["n_tokens"], i)
+                train = np.repeat(~np.array(batch["held"][i].as_py(), bool), size)
+                keys, counts = [words], [numbers(batch["counts"], i)]
+                for g in grams(words, tokens, size):
+                    k, place = np.unique(g, return_inverse=True)
+                    keys.append(k)
+                    counts.append(np.bincount(place[train], minlength=len(k)))
+                q = question(batch["_chunk"][i].as_py(), np.concatenate(keys), np.concatenate(counts), parts)
                 if q is not None:
                     yield q
     return run
@@ -84,9 +117,10 @@ def _totals(least: int):
         keys, place = np.unique(flat_lists(table["_keys"]), return_inverse=True)
         total = np.zeros(len(keys), np.int64)
         np.add.at(total, place, flat_lists(table["_values"]))
-        common = total >= least
-        rest = total[~common & (keys != int(END))]
-        figures = [(total > 0).sum(), (rest > 0).sum(), rest.sum(), (rest == 1).sum(), (rest == 2).sum()]
+        word = keys & 3 == 1
+        common = word & (total >= least)
+        rest = total[word & ~common & (keys != int(END))]
+        figures = [(word & (total > 0)).sum(), (rest > 0).sum(), rest.sum(), (rest == 1).sum(), (rest == 2).sum()]
         top = np.flatnonzero(common | (keys == int(END)))
         extra = pa.table({"_chunk": pa.array([-1], pa.int64()), "_part": table["_part"].slice(0, 1),
                           "_answers": pa.array([[*figures, *keys[top], *total[top]]], pa.list_(pa.int64()))})
@@ -198,6 +232,21 @@ def _merge(found: list, number: list) -> tuple[list, list]:
     return [keys], [total]
 
 
+def arcs(p: np.ndarray, first: np.ndarray, one: np.ndarray, two: np.ndarray, three: np.ndarray, texts: int) -> np.ndarray:
+    """The probability of each token in its longest context, from that in the class model and the counts
+    of the word, pair and triple that end at it; ``texts``: how many texts there are to begin one.
+
+    A word that isn't a text's end is always followed by a word, so a context's count is its own."""
+    context = np.empty_like(one)
+    context[1:], context[first] = one[:-1], texts
+    p = (two + WEIGHTS[0] * p) / (context + WEIGHTS[0])
+    longer = (three[1:] + WEIGHTS[1] * p[1:]) / (two[:-1] + WEIGHTS[1])
+    begins = np.zeros(len(p), bool)
+    begins[first] = True
+    p[1:] = np.where(begins[1:], p[1:], longer)
+    return p
+
+
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -210,12 +259,14 @@ def _score(parts: int, n: int, figures: np.ndarray, model):
         out = []
         for i in range(chunk.num_rows):
             words, tokens, size = numbers(chunk["words"], i).view(np.uint64), numbers(chunk["tokens"], i), numbers(chunk["n_tokens"], i)
-            c = aligned(words, parts, replies)
+            (two, at_two), (three, at_three) = (np.unique(g, return_inverse=True) for g in grams(words, tokens, size))
+            c, c_two, c_three = np.split(aligned(np.concatenate((words, two, three)), parts, replies), np.cumsum((len(words), len(two))))
             first = np.cumsum(size) - size
             base = np.log10((c + 1) / (n + v + 1))
             cls = model.value.classes(words).astype(np.int64)
             within = np.where(cls > 0, 0.0, np.log10(np.where(c > 0, c - discount, discount * rest_v + 1) / (rest_n + 1)))
-            steps = model.value.run(cls[tokens], first) + within[tokens]
+            steps = np.log10(arcs(10 ** (model.value.run(cls[tokens], first) + within[tokens]), first, c[tokens], c_two[at_two], c_three[at_three],
+                                  c[words == END][0]))
             add = lambda x: np.add.reduceat(x, first)  # noqa: E731, B023
             out.append(pa.table({
                 "doc_id": pa.array(chunk["ids"][i].as_py(), pa.int64()), "held_out": pa.array(chunk["held"][i].as_py(), pa.bool_()),
@@ -230,14 +281,15 @@ def _score(parts: int, n: int, figures: np.ndarray, model):
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2) -> DataFrame:
     """One row per document: token counts, the unigram base score and the automaton's score."""
     spark = bounded_batches(df.sparkSession)
-    parts = partitions(spark)
     key = F.col(f"`{id_col}`")
     held = F.coalesce(doc_crc(key) % folds == held_fold, F.lit(False))
     rows = df.select(key.cast("long").alias("_id"), held.alias("_held"), F.col(f"`{text_col}`").alias("_text"))
     read = stored(rows.mapInArrow(tidy(_read), _CHUNKS))
-    n = read.select(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n")).first()["n"] or 0
+    total = lambda c: F.coalesce(F.sum(F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))
+    n, tokens = read.select(total("counts"), total("n_tokens")).first()
+    parts = max(partitions(spark), -(-3 * tokens // PART_KEYS))
     least = max(1, int(np.ceil(n * CLASS_SHARE)))
-    replies = stored(ask(read.select("_chunk", "words", "counts").mapInArrow(tidy(_questions(parts)), QUESTION), parts, _totals(least)))
+    replies = stored(ask(read.select("_chunk", "held", "n_tokens", "words", "counts", "tokens").mapInArrow(tidy(_questions(parts)), QUESTION), parts, _totals(least)))
     figures, words = np.zeros(5, np.int64), []
     for r in replies.where("_chunk = -1").select("_answers").collect():  # a row for each part, at most 251 words in all
         a = np.array(r["_answers"], np.int64)

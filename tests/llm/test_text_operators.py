@@ -327,6 +327,42 @@ def test_language_model_learns_order(spark, docs):
     assert all(r.score > r.base_score for r in got)
 
 
+def test_language_model_learns_rare_words(spark, docs):
+    """Phrases of words that are far below 1/250 of the tokens: their order counts in unseen texts."""
+    r = random.Random(8)
+    phrases = [[f"p{i}x{j}" for j in range(6)] for i in range(300)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    rows, shuffled = [], {}
+    for i in range(400):
+        w = sum(r.sample(phrases, 5), [])
+        rows.append((i, " ".join(w)))
+        if held(i):
+            other = next(j for j in range(1000 + 1000 * i, 10**9) if held(j))
+            shuffled[i] = other
+            rows.append((other, " ".join(r.sample(w, len(w)))))
+    got = {x.doc_id: x.score for x in lm.score(docs(rows)).collect()}
+    assert len(shuffled) > 30 and all(got[i] > got[j] + 10 for i, j in shuffled.items())
+
+
+def test_word_arcs_are_a_distribution():
+    """Over all next words, the arcs and failure weights of a state sum to 1."""
+    r = np.random.default_rng(3)
+    texts = [[int(x) for x in r.integers(1, 6, r.integers(0, 9))] + [0] for _ in range(40)]
+    c = [Counter(tuple(t[i - k:i + 1]) for t in texts for i in range(k, len(t))) for k in range(3)]
+    starts = Counter(t[0] for t in texts)
+    base = r.dirichlet(np.ones(6))
+    for state in [(), *[(a,) for a in range(1, 6)], *[(a, b) for a in range(1, 6) for b in range(1, 6)]]:
+        total = 0.0
+        for x in range(6):
+            seq = np.array([*state, x])
+            n = [np.array([c[0][(v,)] for v in seq]), np.array([starts[seq[0]], *[c[1][tuple(seq[i - 1:i + 1])] for i in range(1, len(seq))]]),
+                 np.array([len(texts), *([0] * (len(seq) > 1)), *[c[2][tuple(seq[i - 2:i + 1])] for i in range(2, len(seq))]])]
+            if len(seq) > 1:  # the triple that begins with the text's start
+                n[2][1] = sum(t[:2] == list(seq[:2]) for t in texts)
+            total += lm.arcs(base[seq], np.array([0]), *n, len(texts))[-1]
+        assert math.isclose(total, 1, rel_tol=1e-9)
+
+
 def test_pieces_match_the_library(spark, docs):
     import sentencepiece
 
