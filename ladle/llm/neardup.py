@@ -7,12 +7,13 @@ documents start in its root, and the documents of a node that have the same
 value at the node's level go to the same child, so documents meet in a child
 with the probability of their Jaccard similarity. Every tree uses other hash
 functions, so a pair of similarity s is still together after d levels in one of
-T trees with probability 1 - (1 - s**d)**T; with 16 trees and s = 0.85 that is
-over 1 - 1e-13 at the first level, where nearly all nodes are small already,
-1 - 3e-7 at the third and 0.9995 at the sixth. Documents whose nodes are large
-and open even then (near copies that are mostly less alike than the threshold)
-go to 32 further trees at depth 12: 0.993 for a pair at the threshold, more for
-a document with several links, as one is enough for its component.
+T trees with probability 1 - (1 - s**d)**T. The number of trees follows the
+threshold (``forest``): it is 0.9995 or more for a pair at the threshold after the
+last level (6), and over 1 - 1e-13 after the first, where nearly all nodes are small
+already. Documents whose nodes are large and open even then (near copies that
+are mostly less alike than the threshold) go to further trees at depth 12, again
+as many as 0.9995 takes. So a pair at the threshold is found with 0.999 in the
+worst case (25 and 107 trees at 0.80, 17 and 50 at 0.85).
 
 In every node all documents are compared with the node's smallest first, which
 keeps a node linear in its size. A node whose documents are then in one known
@@ -37,6 +38,7 @@ by ``labels`` and kept by ``drop_near_duplicates``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,10 +60,8 @@ class Forest:
         self.steps = np.arange(1, depths[-1] + 1, dtype=np.uint64) * MULTIPLIER
 
 
-FIRST = Forest(16, (1, 3, 6), 0)
-#: For documents whose nodes are still large and open after the first: groups of near copies many of which are
-#: somewhat less alike than the threshold. More and deeper trees, over minhash values of these documents only.
-SECOND = Forest(32, (12,), 1)
+#: The least probability that a pair at the threshold meets in a node of a forest's last depth.
+RECALL = 0.9995
 SMALL_NODE = 32
 #: Nodes of the last depth that fit one task, with their sets.
 NODE_ROWS = 2000
@@ -74,6 +74,25 @@ BROADCAST_IDS = 500_000
 ROWS_PER_TASK = 25_000
 
 
+def forest(percent: int, depths: tuple[int, ...], fewest: int, most: int, seed: int) -> Forest:
+    """As many trees as ``RECALL`` takes for pairs at the threshold; for low thresholds that ``most`` trees
+    don't reach at the last of ``depths``, less deep ones."""
+    s = min(max(percent, 1), 99) / 100
+    need = lambda d: math.ceil(math.log(1 - RECALL) / math.log1p(-s**d))
+    last = max((d for d in range(1, depths[-1] + 1) if need(d) <= most), default=1)
+    return Forest(max(fewest, -(-BRIEF // last), need(last)), (*[d for d in depths if d < last], last), seed)
+
+
+def first_forest(percent: int) -> Forest:
+    return forest(percent, (1, 3, 6), 16, 32, 0)
+
+
+def second_forest(percent: int) -> Forest:
+    """For documents whose nodes are still large and open after the first: groups of near copies many of which are
+    somewhat less alike than the threshold. More and deeper trees, over minhash values of these documents only."""
+    return forest(percent, (12,), 32, 128, 1)
+
+
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles."""
     for _, _, flat, at in chunks(texts):
@@ -98,7 +117,7 @@ def minhashes(h: np.ndarray, first: np.ndarray, forest: Forest) -> np.ndarray:
 _SKETCH = "_id long, _mark long, _n long, _set string, _sketch binary"
 
 
-def _sketches(k: int):
+def _sketches(k: int, forest: Forest):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = []
@@ -112,7 +131,7 @@ def _sketches(k: int):
                     every = np.concatenate(sets)
                     first = np.concatenate(([0], np.cumsum(n[at])[:-1]))
                     one, two = np.add.reduceat(every, first), np.add.reduceat(mix(every * MULTIPLIER), first)
-                    for i, x, y, m in zip(at, one, two, minhashes(every, first, FIRST)):
+                    for i, x, y, m in zip(at, one, two, minhashes(every, first, forest)):
                         # the size and two sums of mixed hashes name the set
                         names[i], sketches[i] = f"{n[i]}-{int(x):x}-{int(y):x}", m.tobytes()
                 sets.clear()
@@ -257,6 +276,7 @@ class _Join:
 
     def __init__(self, rows: DataFrame, sets: DataFrame, k: int, percent: int):
         self.rows, self.sets, self.k, self.percent = rows, sets, k, percent
+        self.first, self.second = first_forest(percent), second_forest(percent)
         self.made: list[DataFrame] = []
         self.brief = self._stored(sets.select("_id", "_sketch").mapInArrow(tidy(_brief), "_id long, _brief binary"))
         self.tried = self.texts = None
@@ -337,8 +357,8 @@ class _Join:
 
     def run(self) -> DataFrame:
         active, above = self.sets.select("_id", "_sketch"), None
-        for before, depth in zip((0, *FIRST.depths), FIRST.depths):
-            nodes = active.mapInArrow(_paths(FIRST, before, depth), "_above long, _node long, _id long")
+        for before, depth in zip((0, *self.first.depths), self.first.depths):
+            nodes = active.mapInArrow(_paths(self.first, before, depth), "_above long, _node long, _id long")
             if above is not None:
                 nodes = nodes.join(above, "_above", "left_semi")
             large = self._round(nodes)
@@ -351,8 +371,8 @@ class _Join:
         else:
             self._fetch(active.select("_id"), tasks(n))
             deep = self._stored(active.select("_id").join(self.texts, "_id").coalesce(max(tasks(n), n // 5000)).mapInArrow(
-                _deeper(self.k, SECOND), "_id long, _sketch binary, _members binary"))
-            nodes = deep.select("_id", "_sketch").mapInArrow(_paths(SECOND, 0, SECOND.depths[-1]), "_above long, _node long, _id long")
+                _deeper(self.k, self.second), "_id long, _sketch binary, _members binary"))
+            nodes = deep.select("_id", "_sketch").mapInArrow(_paths(self.second, 0, self.second.depths[-1]), "_above long, _node long, _id long")
             self._round(nodes, deep.select("_id", "_members"))
         discard(*[t for t in self.made if t is not self.known])
         return self.known
@@ -364,7 +384,7 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, id_col:
     bounded_batches(df.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(text).alias("_mark"), text.alias("_text"))
-    sketches = stored(rows.mapInArrow(tidy(_sketches(shingle)), _SKETCH))
+    sketches = stored(rows.mapInArrow(tidy(_sketches(shingle, first_forest(percent))), _SKETCH))
     # a hashed name stands for the set; its first document stands for its copies
     full = sketches.where("_set IS NOT NULL AND _id IS NOT NULL")
     doc = F.min(F.struct("_id", "_mark"))

@@ -151,6 +151,24 @@ def test_near_duplicates_empty(spark, docs):
     assert [tuple(r) for r in neardup.labels(docs([(4, None), (5, "")]), 3, 85).orderBy("doc_id").collect()] == [(4, 0, 4, True), (5, 0, 5, True)]
 
 
+def test_near_duplicates_on_one_template(spark, docs, monkeypatch):
+    """Pairs just over the threshold among documents of one template that are just below it: all nodes are large."""
+    monkeypatch.setattr(neardup, "SMALL_NODE", 2)
+    rows = []
+    for i in range(100):
+        own = [f"p{i}x{j}" for j in range(10)]
+        rows += [(2 * i + d, " ".join([f"t{j}" for j in range(300)] + own + [f"d{i}x{d}x{j}" for j in range(38)])) for d in (0, 1)]
+    got = {r.doc_id: r.component_id for r in neardup.labels(docs(rows), 1, 80).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+@pytest.mark.parametrize("percent", [30, 50, 80, 85, 95, 100])
+def test_forests_follow_the_threshold(percent):
+    for f in (neardup.first_forest(percent), neardup.second_forest(percent)):
+        assert 1 - (1 - (percent / 100) ** f.depths[-1]) ** f.trees >= neardup.RECALL
+        assert f.trees * f.depths[-1] >= neardup.BRIEF and f.trees <= 128
+
+
 def brute_spans(t):
     out = []
     a = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
