@@ -1,9 +1,9 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-1. Lexicons. Over a bounded sample of labelled training rows (``SAMPLE_ROWS``),
-   every word and every word beginning of 4 to 8 bytes is a feature (hashed into
+1. Lexicons. Over all labelled training rows, every word and every word beginning of 4 to 8 bytes is a feature (hashed into
    2**20 buckets). Those that toxic rows hold far more often than others, and
-   the reverse, make the lexicons.
+   the reverse, make the lexicons: all that pass the thresholds, so what they hold
+   is bounded by the buckets alone.
 2. Voters. Sixteen voters look at every document: hits of lexicons by kind and
    strength, absolute and per 100 words, and patterns (shouting, exclamation
    marks, repeated words). The votes of all documents are counted by pattern of
@@ -12,9 +12,9 @@
    pattern counts estimates how often each voter fires in each class. Voters
    that stay correlated within a class are joined into groups that vote
    together (their joint patterns get one table), and EM runs again. The label
-   of a training row is one more noisy voter; other rows have none.
-4. Classifier. A logistic regression over the lexicon features of a sample of
-   training rows learns the posterior labels. It scores every document from its
+   of every training row is one more noisy voter; other rows have none.
+4. Classifier. A logistic regression over the lexicon features of a bounded sample
+   of training rows (``SAMPLE_ROWS``) learns the posterior labels. It scores every document from its
    whole text.
 
 The label model sees all documents; labels come only from rows whose
@@ -40,11 +40,12 @@ from pyspark.sql import functions as F
 from ladle.llm.common import Words, bounded_batches, chunks, doc_crc, tidy
 
 FOLDS = 5
-#: Labelled training rows that lexicons and classifier are fitted on, at most (about).
+#: Labelled training rows that the classifier's weights are fitted on, at most (about).
 SAMPLE_ROWS = 20_000
+#: Labels are joined to texts by broadcast up to this many (16 bytes each), else by a shuffle.
+BROADCAST_LABELS = 500_000
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7, 8)
-MAX_FEATURES = 3000
 VOTERS = 16
 GROUP_SIZE = 6
 
@@ -103,9 +104,9 @@ class Lexicon:
         return w, key // max(1, len(self.kind)), key % max(1, len(self.kind)), n
 
 
-def lexicon(sample: DataFrame) -> tuple[Lexicon, int, int]:
+def lexicon(labelled: DataFrame) -> tuple[Lexicon, int, int]:
     """Features that tell the classes apart, from (_text, _label) rows; and the rows of each class."""
-    sizes = {bool(r["_label"]): r["count"] for r in sample.groupBy("_label").count().collect()}
+    sizes = {bool(r["_label"]): r["count"] for r in labelled.groupBy("_label").count().collect()}
     n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
     place = np.full(BUCKETS, -1, np.int32)
     if not n1 or not n0:
@@ -114,10 +115,10 @@ def lexicon(sample: DataFrame) -> tuple[Lexicon, int, int]:
     p = (F.col("toxic") + F.col("other")) / (n1 + n0)
     z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
     evidence = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("other") + 0.5) / (n0 + 1))
-    counted = sample.mapInArrow(tidy(_count_features), "bucket long, kind byte, toxic long, other long").groupBy("bucket").agg(
+    counted = labelled.mapInArrow(tidy(_count_features), "bucket long, kind byte, toxic long, other long").groupBy("bucket").agg(
         F.max("kind").alias("kind"), F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     best = counted.withColumns({"z": z, "evidence": evidence}).where("abs(z) > 4 AND abs(evidence) > 0.7").orderBy(
-        F.desc(F.abs("z")), "bucket").limit(MAX_FEATURES).select("bucket", "kind", "evidence").toArrow()
+        F.desc(F.abs("z")), "bucket").select("bucket", "kind", "evidence").toArrow()
     bucket = best["bucket"].to_numpy()
     place[bucket] = np.arange(len(bucket))
     return Lexicon(place, best["kind"].to_numpy().astype(np.int8), best["evidence"].to_numpy()), n1, n0
@@ -252,16 +253,18 @@ class Classifier:
         known = labels.select(key.alias("_id"), F.col(f"`{label_col}`").cast("int").alias("_label")).where(
             "_id IS NOT NULL AND _label IS NOT NULL").where(doc_crc(F.col("_id")) % FOLDS != 0).groupBy("_id").agg(F.max("_label").alias("_label"))
         rows = docs.select(key.alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
-        share = min(1.0, SAMPLE_ROWS / max(1, known.count()))
+        n = known.count()
+        labelled = F.broadcast(known) if n <= BROADCAST_LABELS else known
+        share = min(1.0, SAMPLE_ROWS / max(1, n))
         picked = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)))  # SAMPLE_ROWS short rows: bounded
         sample = rows.join(F.broadcast(picked), "_id").select("_text", (F.col("_label") > 0).alias("_label"))
-        lex, n1, n0 = lexicon(sample)
+        lex, n1, n0 = lexicon(rows.join(labelled, "_id").select("_text", (F.col("_label") > 0).alias("_label")))
         self.fitted = n1 > 0 and n0 > 0
         if not self.fitted:
             return
         self.lex = spark.sparkContext.broadcast(lex)
         schema = "votes long, label long, features array<int>, counts array<int>, words long"
-        every = rows.join(F.broadcast(picked), "_id", "left").select("_text", (F.col("_label") > 0).cast("int").alias("_label"))
+        every = rows.join(labelled, "_id", "left").select("_text", (F.col("_label") > 0).cast("int").alias("_label"))
         # at most three rows for each of 2**VOTERS patterns
         seen = every.mapInArrow(tidy(_hits(self.lex)), schema).groupBy("votes", F.coalesce("label", F.lit(-1)).alias("label")).count().toArrow()
         pattern, label, n = (seen[c].to_numpy() for c in ("votes", "label", "count"))

@@ -2,9 +2,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ladle.llm import toxicity
+from ladle.llm.common import binary, layout
 
 BAD = ["vile", "rotten", "foul", "nasty"]
 
@@ -81,6 +83,19 @@ def test_drop_toxic_keeps_columns_and_clean_rows(spark, docs):
     assert len(ids - clean) - 1 <= 0.05 * (len(rows) - len(clean))
 
 
+def test_all_labels_make_the_lexicons(spark, docs, monkeypatch):
+    """Toxic words of a few rows each count, though the classifier's sample holds hardly any of them."""
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 60)
+    r = random.Random(9)
+    rare = [f"{c}zq{i}" for i, c in enumerate("bcdfghjklm")]
+    rows = [(i, " ".join([f"word{r.randrange(300)}" for _ in range(40)] + [rare[i % 100 // 10]] * (i % 10 == 0))) for i in range(1500)]
+    lab = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.Classifier(docs(rows), lab)
+    w = toxicity.features(*layout(binary(pa.array([" ".join(rare)]))))
+    words = w[2][w[3] == 0]
+    assert len(words) == len(rare) and (model.lex.value.place[words] >= 0).all()
+
+
 def test_label_model_trusts_better_voters():
     """Votes drawn from known rates: the posterior tells the classes apart, also with copied voters."""
     r = np.random.default_rng(0)
