@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import fingerprints, lm, neardup, packing, pieces, secrets, substrings, topk, toxicity, warc
+from ladle.llm import align, fingerprints, lm, neardup, packing, pieces, resample, secrets, simhash, substrings, topk, toxicity, warc
 from ladle.llm.common import documents
 
 QUERIES, SQL = {}, {}
@@ -119,3 +119,39 @@ SELECT file, key AS page_id, sha256, n_expected, n_found, CAST(coalesce(o0, o1)
 def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     primary = warc.records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return warc.audit(primary, aged(primary))
+
+
+@query("op11_tokenizer_alignment")
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digests(documents(spark, sf_dir))
+
+
+#: Words of letters, digits and code points beyond ASCII as a list.
+_FEATURE_WORDS = ("list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                  "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')")
+
+
+@query("op12_importance_resampling", f"""
+WITH w AS (SELECT doc_id, {_FEATURE_WORDS} AS ws FROM documents),
+b AS (SELECT {_FEATURE_WORDS} AS ws FROM benchmark),
+f AS (SELECT doc_id, array_to_string(ws[i:i + n - 1], ' ') AS f, count(*) AS k FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, (VALUES (1), (2), (3)) v(n)) GROUP BY ALL),
+g AS (SELECT array_to_string(ws[i:i + n - 1], ' ') AS f, count(*) AS k FROM (SELECT ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM b, (VALUES (1), (2), (3)) v(n)) GROUP BY ALL),
+t AS (SELECT list(c ORDER BY i) AS crcs FROM (SELECT i, list_reduce(range(9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) r(i))),
+d AS (SELECT f, hex(encode(f)) AS h, strlen(f) AS n FROM (SELECT f FROM f UNION SELECT f FROM g)),
+h AS (SELECT f, xor(list_reduce(list_transform(range(1, n + 1), lambda i: CAST(CAST('0x' || substr(h, 2 * i - 1, 2) AS INTEGER) AS BIGINT)), lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket FROM d, t),
+sb AS (SELECT bucket, sum(k) AS s FROM f JOIN h USING (f) GROUP BY bucket),
+tb AS (SELECT bucket, sum(k) AS t FROM g JOIN h USING (f) GROUP BY bucket),
+n AS (SELECT CAST(coalesce((SELECT sum(s) FROM sb), 0) AS DOUBLE) AS s, CAST(coalesce((SELECT sum(t) FROM tb), 0) AS DOUBLE) AS t),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(tb.t, 0) + 1.0::DOUBLE) * (n.s + 10000) / ((sb.s + 1.0::DOUBLE) * (n.t + 10000)))) AS BIGINT) AS gain FROM n, sb LEFT JOIN tb USING (bucket)),
+v AS (SELECT doc_id, sum(k) AS nf, sum(k * gain) AS weight FROM f JOIN h USING (f) JOIN gain USING (bucket) GROUP BY doc_id),
+s AS (SELECT w.doc_id, len(ws) AS words, CAST(coalesce(nf, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+ CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || w.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM w LEFT JOIN v USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM s WHERE words >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= 5 * (SELECT count(*) FROM r) // 100 THEN rank END AS rank FROM s LEFT JOIN r USING (doc_id)""")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op13_simhash_neardup")
+def op13_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.labels(documents(spark, sf_dir))
