@@ -8,10 +8,10 @@ Anchors. Offsets where an A and a B token both end cut a text into groups, the s
 runs of A and of B tokens that cover the same bytes. Where the next tokens are marked by
 a space, such an end is an anchor: anchors cut the text into windows of a word or a few, a window being the
 tuple of its A ids and the tuple of its B ids. What happens inside a window depends on these
-tuples alone, so its alignment (its groups and linked id pairs) is made once and remembered
-by them; a task's memory of windows has ``MEMORY`` entries and begins anew when they are used up.
+tuples alone, so a chunk (a bounded run of documents) aligns each pair of tuples once, all of them
+in one pass over arrays, and every window with these ids gets the remembered groups and id pairs.
 
-Counts. A chunk (a bounded run of documents) keeps its distinct id pairs, and for each document
+Counts. A chunk keeps its distinct id pairs, and for each document
 the places of its pairs among them. The chunks' document counts add up to
 the corpus-wide count of every pair; each A id's highest count is one row for each id of A's
 vocabulary, which is what is broadcast. Each chunk then gets the counts of its own pairs: a pair is
@@ -29,6 +29,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,6 @@ from ladle.llm.packing import tokenizer_path
 from ladle.llm.pieces import MARK, model_path
 
 CHUNK = 2 << 20
-MEMORY = 200_000
-_SPACE = 0x20
 
 
 class Vocabularies:
@@ -67,6 +66,10 @@ class Vocabularies:
                   for i, p in ((i, model.id_to_piece(i)) for i in range(model.get_piece_size()))]
         self.sizes_a, self.sizes_b = (np.array([len(t) for t in x], np.int64) for x in (self.a, self.b))
         self.marked = np.array([t[:1] == b" " for t in self.a])
+        numbers = [str(i).encode() for i in range(max(len(self.a), len(self.b)))]
+        self.digits = np.frombuffer(b"".join(numbers), np.uint8)
+        self.digit_sizes = np.array([len(x) for x in numbers], np.int64)
+        self.digit_starts = np.cumsum(self.digit_sizes) - self.digit_sizes
 
     def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of A and B, or none where their bytes are not the text's."""
@@ -91,71 +94,92 @@ def _hashes(ids: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return mix((total[cuts] - total[starts]) * _POWERS.down[starts] + (cuts - starts).astype(np.uint64))
 
 
-class Windows:
-    """Alignments of windows, remembered by their id tuples."""
-
-    def __init__(self, sizes_a: list[int], sizes_b: list[int], memory: int = MEMORY):
-        self.sizes_a, self.sizes_b, self.memory = sizes_a, sizes_b, memory
-        self.known: dict[tuple, tuple] = {}
-
-    def groups(self, a: tuple[int, ...], b: tuple[int, ...]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
-        """The smallest runs of A and B ids that end together."""
-        out, i, j, i0, j0, x, y = [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if x <= y:
-                x += self.sizes_a[a[i]]
-                i += 1
-            else:
-                y += self.sizes_b[b[j]]
-                j += 1
-            if x == y:
-                out.append((a[i0:i], b[j0:j]))
-                i0, j0 = i, j
-        return out
-
-    def __call__(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, int, list[int], list[int]]:
-        """(its groups as text, their number, linked id pairs, how often each)."""
-        got = self.known.get((a, b))
-        if got is None:
-            groups, pairs = self.groups(a, b), {}
-            for x, y in groups:
-                for i in x:
-                    for j in y:
-                        pairs[i << 32 | j] = pairs.get(i << 32 | j, 0) + 1
-            text = ";".join([",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups])
-            got = text, len(groups), list(pairs), list(pairs.values())
-            if len(self.known) >= self.memory:
-                self.known.clear()
-            self.known[a, b] = got
-        return got
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each run, one run after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def _before(cuts: np.ndarray) -> np.ndarray:
+    return np.concatenate((cuts[:1] * 0, cuts[:-1]))
+
+
+class Groups:
+    """The smallest runs of A and B ids that end together; both ids' bytes are the same in all.
+
+    a_to/b_to: where each group ends among the A and the B ids; ends: its last byte."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, voc: Vocabularies):
+        self.a, self.b = a, b
+        ends_a, ends_b = np.cumsum(voc.sizes_a[a]), np.cumsum(voc.sizes_b[b])
+        self.ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self.a_to, self.b_to = np.searchsorted(ends_a, self.ends) + 1, np.searchsorted(ends_b, self.ends) + 1
+        self.a_from, self.b_from = _before(self.a_to), _before(self.b_to)
+        self.n_a, self.n_b = self.a_to - self.a_from, self.b_to - self.b_from
+
+    def text(self, voc: Vocabularies) -> tuple[bytes, np.ndarray]:
+        """``a1,a2|b1;a3|b2;`` in bytes, and where each group's part ends."""
+        ids = np.empty(len(self.a) + len(self.b), np.int64)
+        mark = np.full(len(ids), ord(","), np.uint8)
+        ids[np.arange(len(self.a)) + np.repeat(self.b_from, self.n_a)] = self.a
+        ids[np.arange(len(self.b)) + np.repeat(self.a_to, self.n_b)] = self.b
+        last = self.a_to + self.b_to
+        mark[last - self.n_b - 1], mark[last - 1] = ord("|"), ord(";")
+        size = voc.digit_sizes[ids]
+        to = np.cumsum(size + 1)
+        out = np.empty(int(to[-1]) if len(to) else 0, np.uint8)
+        out[to - 1] = mark
+        out[_runs(to - size - 1, size)] = voc.digits[_runs(voc.digit_starts[ids], size)]
+        return out.tobytes(), to[last - 1]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """(group, id pair as a << 32 | b) of every link."""
+        n = self.n_a * self.n_b
+        group = np.repeat(np.arange(len(n)), n)
+        k = _runs(n * 0, n)
+        a, b = self.a[self.a_from[group] + k // self.n_b[group]], self.b[self.b_from[group] + k % self.n_b[group]]
+        return group, a << 32 | b
 
 
 class Aligned:
-    """The windows of a run of texts.
+    """The windows of a run of texts, each distinct one (by its A and B ids) aligned once.
 
     place: for each window its number among the distinct ones; first: each text's first window (one more
-    entry at the end); found: the alignments of the distinct windows."""
+    entry at the end)."""
 
-    def __init__(self, texts: list[str | None], voc: Vocabularies, windows: Windows):
+    def __init__(self, texts: list[str | None], voc: Vocabularies):
         tokens = [voc.tokens(t) for t in texts]
         self.n_a, self.n_b = (np.array([len(t[k]) for t in tokens], np.int64) for k in (0, 1))
-        a, b = (np.fromiter((i for t in tokens for i in t[k]), np.int64, int(n.sum())) for k, n in ((0, self.n_a), (1, self.n_b)))
+        a, b = (np.fromiter(chain.from_iterable(t[k] for t in tokens), np.int64, int(n.sum())) for k, n in ((0, self.n_a), (1, self.n_b)))
+        del tokens
         ends_a, ends_b = np.cumsum(voc.sizes_a[a]), np.cumsum(voc.sizes_b[b])
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)  # the last of every text is one
-        cut_a = np.searchsorted(ends_a, shared) + 1
-        # every text begins with a space, so its end is an anchor too
-        anchor = np.append(voc.marked[a], True)[cut_a]
-        cut_a, cut_b = cut_a[anchor], np.searchsorted(ends_b, shared[anchor]) + 1
+        # ends before A tokens that a space marks (every text begins with one) and of B tokens too
+        cut_a = np.flatnonzero(np.append(voc.marked[a[1:]], True)) + 1 if len(a) else np.zeros(0, np.int64)
+        at_b = np.minimum(np.searchsorted(ends_b, ends_a[cut_a - 1]), max(0, len(b) - 1))
+        shared = ends_b[at_b] == ends_a[cut_a - 1]
+        cut_a, cut_b = cut_a[shared], at_b[shared] + 1
+        from_a, from_b = _before(cut_a), _before(cut_b)
         key = mix(_hashes(a, cut_a) * MULTIPLIER + _hashes(b, cut_b))
         _, at, self.place = np.unique(key, return_index=True, return_inverse=True)
-        from_a, from_b = (np.concatenate(([0], c[:-1])) if len(c) else c for c in (cut_a, cut_b))
-        self.found = [windows(tuple(a[i0:i1].tolist()), tuple(b[j0:j1].tolist())) for i0, i1, j0, j1 in
-                      zip(*(x[at].tolist() for x in (from_a, cut_a, from_b, cut_b)))]
         self.first = np.concatenate(([0], np.searchsorted(cut_a, np.cumsum(self.n_a), "right")))
+        # the distinct windows one after the other: groups never cross their ends
+        size_a, size_b = (cut_a - from_a)[at], (cut_b - from_b)[at]
+        g = Groups(a[_runs(from_a[at], size_a)], b[_runs(from_b[at], size_b)], voc)
+        self.window = np.searchsorted(np.cumsum(size_a), g.a_to)  # the window of each group
+        self.n_groups = np.bincount(self.window, minlength=len(at))
+        self.n_links = np.bincount(self.window, weights=g.n_a * g.n_b, minlength=len(at)).astype(np.int64)
+        group, pair = g.links()
+        self.distinct, of = np.unique(pair, return_inverse=True)
+        # the distinct pairs of each window: where its run begins, the pairs, how often
+        both, self.often = np.unique(self.window[group] * max(1, len(self.distinct)) + of, return_counts=True)
+        self.pair = both % max(1, len(self.distinct))
+        self.n_pairs = np.bincount(both // max(1, len(self.distinct)), minlength=len(at))
+        text, to = g.text(voc)
+        to = to[np.cumsum(self.n_groups) - 1].tolist()
+        self.texts = [text[i:j] for i, j in zip([0, *to[:-1]], to)]
 
     def digest(self, d: int) -> str:
         own = self.place[self.first[d]:self.first[d + 1]].tolist()
-        return hashlib.sha256(";".join([self.found[i][0] for i in own]).encode()).hexdigest() if own else ""
+        return hashlib.sha256(b"".join([self.texts[i] for i in own])[:-1]).hexdigest() if own else ""
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Per text the sum of a number of each distinct window."""
@@ -164,25 +188,16 @@ class Aligned:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(distinct pairs; for each pair of each text, in the order of the texts: the text, the pair's place, how often)."""
-        size = np.array([len(f[2]) for f in self.found], np.int64)
-        begin = np.cumsum(size) - size
-        flat = np.fromiter((p for f in self.found for p in f[2]), np.int64, int(size.sum()))
-        often = np.fromiter((n for f in self.found for n in f[3]), np.int64, int(size.sum()))
-        distinct, of = np.unique(flat, return_inverse=True)
         doc = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
         # the distinct windows of each text, then their pairs
-        both, times = np.unique(doc * max(1, len(size)) + self.place, return_counts=True)
-        doc, window = both // max(1, len(size)), both % max(1, len(size))
-        n = size[window]
-        at = np.repeat(begin[window] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        key, place = np.unique(np.repeat(doc, n) * max(1, len(distinct)) + of[at], return_inverse=True)
-        count = np.bincount(place, weights=np.repeat(times, n) * often[at], minlength=len(key)).astype(np.int64)
-        return distinct, key // max(1, len(distinct)), key % max(1, len(distinct)), count
-
-
-def _aligner(path_a: str, path_b: str) -> tuple[Vocabularies, Windows]:
-    voc = vocabularies(path_a, path_b)
-    return voc, Windows(voc.sizes_a.tolist(), voc.sizes_b.tolist())
+        width = max(1, len(self.n_pairs))
+        both, times = np.unique(doc * width + self.place, return_counts=True)
+        doc, window = both // width, both % width
+        n, width = self.n_pairs[window], max(1, len(self.distinct))
+        at = _runs((np.cumsum(self.n_pairs) - self.n_pairs)[window], n)
+        key, place = np.unique(np.repeat(doc, n) * width + self.pair[at], return_inverse=True)
+        count = np.bincount(place, weights=np.repeat(times, n) * self.often[at], minlength=len(key)).astype(np.int64)
+        return self.distinct, key // width, key % width, count
 
 
 _CHUNKS = ("_chunk long, ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, digests array<string>, "
@@ -192,17 +207,16 @@ _CHUNKS = ("_chunk long, ids array<bigint>, n_a array<bigint>, n_b array<bigint>
 def _read(path_a: str, path_b: str):
     """Chunks of aligned documents; see ``Aligned.pairs`` for the last five columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (voc, windows), n = _aligner(path_a, path_b), TaskContext.get().partitionId() << 32
+        voc, n = vocabularies(path_a, path_b), TaskContext.get().partitionId() << 32
         one = lambda x, kind: pa.array([x], pa.list_(kind))
         for batch in batches:
             for i, j, _, _ in chunks(batch["_text"], CHUNK):
-                x = Aligned(batch["_text"].slice(i, j - i).to_pylist(), voc, windows)
+                x = Aligned(batch["_text"].slice(i, j - i).to_pylist(), voc)
                 pairs, doc, place, times = x.pairs()
-                groups = x.sums(np.array([f[1] for f in x.found], np.int64))
                 per_doc = np.bincount(doc, minlength=j - i)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([n], pa.int64()), one(batch["_id"].slice(i, j - i), pa.int64()), one(x.n_a, pa.int64()), one(x.n_b, pa.int64()),
-                    one(groups, pa.int64()), one(x.sums(np.array([sum(f[3]) for f in x.found], np.int64)), pa.int64()),
+                    one(x.sums(x.n_groups), pa.int64()), one(x.sums(x.n_links), pa.int64()),
                     one([x.digest(d) for d in range(j - i)], pa.string()), one(pairs, pa.int64()),
                     one(np.bincount(place, minlength=len(pairs)), pa.int64()), one(per_doc, pa.int64()),
                     one(place.astype(np.int32), pa.int32()), one(times.astype(np.int32), pa.int32())],
@@ -250,15 +264,14 @@ _GROUP = "doc_id long, group long, start long, end long, a_ids array<int>, b_ids
 
 def _spans(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc, windows = _aligner(path_a, path_b)
+        voc, kind = vocabularies(path_a, path_b), pa.list_(pa.int32())
         for batch in batches:
             for key, text in zip(batch["_id"], batch["_text"]):
-                groups = windows.groups(*map(tuple, voc.tokens(text.as_py())))
-                ends = np.cumsum([sum(windows.sizes_a[i] for i in a) for a, _ in groups], dtype=np.int64)
-                kind = pa.list_(pa.int32())
+                a, b = (np.array(x, np.int64) for x in voc.tokens(text.as_py()))
+                g = Groups(a, b, voc)
+                lists = [pa.ListArray.from_arrays(pa.array(np.append(0, to), pa.int32()), pa.array(x, pa.int32())) for x, to in ((a, g.a_to), (b, g.b_to))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key.as_py()] * len(groups), pa.int64()), pa.array(np.arange(len(groups))), pa.array(np.concatenate(([0], ends[:-1])) if groups else ends),
-                     pa.array(ends), pa.array([list(a) for a, _ in groups], kind), pa.array([list(b) for _, b in groups], kind)],
+                    [pa.array([key.as_py()] * len(g.ends), pa.int64()), pa.array(np.arange(len(g.ends))), pa.array(_before(g.ends)), pa.array(g.ends), *lists],
                     ["doc_id", "group", "start", "end", "a_ids", "b_ids"])
     return run
 

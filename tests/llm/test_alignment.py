@@ -75,17 +75,19 @@ def test_digests_equal_brute_force(spark, sf):
     assert pairs == {p: (n, n == best[p[0]]) for p, n in held.items()}
 
 
-def test_small_chunks_and_memory_change_nothing(spark, docs, monkeypatch):
+def test_one_text_at_a_time_changes_nothing():
     r = random.Random(5)
     words = ["alpha", "Beta-9", "naïve", "中文字", "don't", "3.14159", "https://x.org/a_b", "🙂"]
     rows = [(i, "".join(r.choice(words) + r.choice([" ", "  ", "\n", "", "\t "]) for _ in range(r.randrange(60)))) for i in range(40)]
     want, _, _ = brute(rows)
     voc = align.vocabularies(align.tokenizer_path(), align.model_path())
-    windows = align.Windows(voc.sizes_a.tolist(), voc.sizes_b.tolist(), memory=3)
-    for (_, text), w in zip(rows, want):
-        x = align.Aligned([text], voc, windows)
-        assert (int(x.n_a[0]), int(x.n_b[0]), x.digest(0)) == (w[1], w[2], w[7])
-    assert len(windows.known) <= 3
+    every = align.Aligned([t for _, t in rows], voc)
+    for i, ((_, text), w) in enumerate(zip(rows, want)):
+        one = align.Aligned([text], voc)
+        for x, d in ((one, 0), (every, i)):
+            assert (int(x.n_a[d]), int(x.n_b[d]), int(x.sums(x.n_groups)[d]), int(x.sums(x.n_links)[d]), x.digest(d)) == (*w[1:5], w[7])
+    # every distinct window once
+    assert len(every.texts) == len(set(every.texts)) < len(every.place)
 
 
 def test_groups_are_byte_ranges(spark, docs):
