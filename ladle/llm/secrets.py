@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ladle.llm.common import bounded_batches, tidy
 
 #: Name of the rules below; a ledger keeps what each version has found.
-RULE_VERSION = "rules-1"
+RULE_VERSION = "rules-1.1"
 #: Kinds in order of report; the first three are the base rules (fixed values).
 KINDS = ("assign", "access", "hex", "pem", "jwt", "hook")
 BASE = KINDS[:3]
@@ -36,9 +36,9 @@ _KEYWORDS = ("passw", "secret", "token", "api")
 # runs of at least the least length are the runs of any length less the short ones
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
-_HOOK = re.compile(r"https?://[^\s/:@]{1,200}:[^\s/:@]{1,200}@[A-Za-z0-9.-]+")
+_HOOK = re.compile(r"https?://[^\s/:@]++:[^\s/:@]++@[A-Za-z0-9.-]+")
 
 LEDGER = "blob string, rule_version string, findings array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -102,14 +102,15 @@ def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
     Each distinct blob that has findings is scanned once; the spans are joined
     back to all rows that hold it. A null text stays null, a clean text as it is."""
     kept = df.columns
-    dirty = scan_unseen(df, text_col).where(F.size("findings") > 0).select(F.col("blob").alias("_blob"), "findings")
-    cols = [F.col(f"`{c}`") for c in kept]
-    rows = df.withColumn("_blob", F.sha2(F.encode(F.col(f"`{text_col}`"), "UTF-8"), 256))
-    masked = F.aggregate(F.coalesce("findings", F.array()), F.col(f"`{text_col}`"), lambda t, x: F.concat(
+    dirty = scan_unseen(df, text_col).where(F.size("findings") > 0).select(F.col("blob").alias("_blob"), F.col("findings").alias("_found"))
+    inner = [f"_c{i}" for i in range(len(kept))]
+    text = F.col(inner[kept.index(text_col)])
+    rows = df.toDF(*inner).withColumn("_blob", F.sha2(F.encode(text, "UTF-8"), 256))
+    masked = F.aggregate(F.coalesce("_found", F.array()), text, lambda t, x: F.concat(
         F.substring(t, F.lit(1), x["start"].cast("int")), F.repeat(F.lit("*"), (x["end"] - x["start"]).cast("int")),
         F.substring(t, (x["end"] + 1).cast("int"), F.length(t))))
     joined = rows.join(dirty, "_blob", "left")
-    return joined.select(*[masked.alias(c) if c == text_col else col for c, col in zip(kept, cols)])
+    return joined.select(*[(masked if c == text_col else F.col(n)).alias(c) for c, n in zip(kept, inner)])
 
 
 def digests(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -199,17 +199,18 @@ def _is_shared(table: pa.Table) -> pa.Table:
     return answers(table, ((n > 1) | (more > 0)).astype(np.int64)[place])
 
 
+#: The answer for a key that one document alone holds.
+_ALONE = np.iinfo(np.int64).max
+
+
 def _first_holder(table: pa.Table) -> pa.Table:
-    """For every key twice its smallest owner's id, plus 1 if it has more than one."""
+    """For every key its smallest owner's id, or ``_ALONE`` if it has no other one."""
     keys, place = np.unique(flat_lists(table["_keys"]), return_inverse=True)
-    packed = flat_lists(table["_values"])
-    owner, more = packed >> 1, packed & 1
-    low, high = np.full(len(keys), np.iinfo(np.int64).max), np.full(len(keys), np.iinfo(np.int64).min)
+    owner = flat_lists(table["_values"])
+    low, high = np.full(len(keys), _ALONE), np.full(len(keys), np.iinfo(np.int64).min)
     np.minimum.at(low, place, owner)
     np.maximum.at(high, place, owner)
-    shared = high > low
-    np.logical_or.at(shared, place, more > 0)
-    return answers(table, ((low << 1) | shared)[place])
+    return answers(table, np.where(high > low, low, _ALONE)[place])
 
 
 _RUNS = "_chunk long, _ids array<bigint>, _marks array<bigint>, _starts array<bigint>, _packed binary, _sizes array<bigint>"
@@ -249,14 +250,23 @@ def _windows(runs: pa.Table | pa.RecordBatch, i: int, window: int) -> tuple[np.n
     return flat, at, w, grams, w.doc[where]
 
 
+def _asked(runs: pa.Table | pa.RecordBatch, i: int, grams: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys to ask about and an owner for each: all distinct windows with their smallest id, then (from the returned
+    place on) once more those that another document of the chunk has too, with their largest."""
+    owner = numbers(runs["_ids"], i)[of]
+    keys, low, more = shared_in(grams, owner)
+    high = -shared_in(grams, -owner - 1)[1] - 1
+    return np.concatenate((keys, keys[more])), np.concatenate((low, high[more])), len(keys)
+
+
 def _ask_windows(parts: int, window: int):
-    """Questions about the windows of each chunk's runs, with twice their smallest id, plus 1 if another document of the chunk has them."""
+    """Questions about the windows of each chunk's runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 *_, grams, of = _windows(batch, i, window)
-                keys, low, more = shared_in(grams, numbers(batch["_ids"], i)[of])
-                q = question(batch["_chunk"][i].as_py(), keys, (low << 1) | more, parts)
+                keys, owner, _ = _asked(batch, i, grams, of)
+                q = question(batch["_chunk"][i].as_py(), keys, owner, parts)
                 if q is not None:
                     yield q
     return run
@@ -277,16 +287,15 @@ def _passages(parts: int, window: int):
         rows: list[tuple] = []
         for i in range(runs.num_rows):
             flat, at, w, grams, of = _windows(runs, i, window)
-            keys = np.unique(grams)
-            reply = aligned(keys, parts, replies)[np.searchsorted(keys, grams)]
+            keys, _, n_keys = _asked(runs, i, grams, of)
+            source = aligned(keys, parts, replies)[np.searchsorted(keys[:n_keys], grams)]
             own = numbers(runs["_ids"], i)[of]
-            source = np.where(reply & 1, reply >> 1, own + 1)  # in no other document: a number above its own
             marks, begins = numbers(runs["_marks"], i), numbers(runs["_starts"], i)
             edge = np.flatnonzero(np.append(True, (source[1:] != source[:-1]) | (of[1:] != of[:-1]))) if len(of) else of
             first = np.searchsorted(of, np.arange(len(at)))  # each run's first window
             for s, e in zip(edge.tolist(), np.append(edge[1:], len(of)).tolist()):
                 r = int(of[s])
-                if source[s] <= own[s]:
+                if source[s] <= own[s] and source[s] != _ALONE:
                     n = s - int(first[r])
                     part = flat[w.starts[w.first[r] + n]:w.ends[w.first[r] + n + e - s + window - 2]].tobytes()
                     rows.append((int(source[s]), None if source[s] == own[s] else int(own[s]), int(marks[r]), int(begins[r]) + n, part))

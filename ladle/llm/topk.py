@@ -38,9 +38,15 @@ DEPTHS = (0.75, 0.95)
 class SortedLists:
     """The lists of one shard, in ascending order; read from either end."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: int = 1 << 52):
+        """``vectors``: whole numbers; ``largest``: no product with a query's vector, nor any sum of its terms, is beyond it."""
         order = np.argsort(ids, kind="stable")  # so that ties in score keep the smaller id
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.ids, self.exact = ids[order], vectors[order]
+        # whole numbers below these limits add up exactly in single and double precision
+        self.kind = np.float32 if largest < 1 << 23 else np.float64
+        self.vectors = self.exact.astype(self.kind)
+        self.rounded = largest >= 1 << 53
+        self.slack = 4.0 * vectors.shape[1] * largest / (1 << 53) if self.rounded else 0
         self.lists = np.sort(self.vectors, axis=0)
 
     def bounds(self, rows: np.ndarray, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,12 +58,13 @@ class SortedLists:
         top, bottom = self.lists[len(self.ids) - depth], self.lists[depth - 1]  # the frontiers
         lower = up @ np.where(v >= top, v, self.lists[0]).T + down @ np.where(v <= bottom, v, self.lists[-1]).T
         upper = up @ np.maximum(v, top).T + down @ np.minimum(v, bottom).T
-        return lower, upper
+        return lower - self.slack, upper + self.slack
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, id, score) of the k best rows for each query whose id isn't the query's own."""
         n = len(self.ids)
-        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        q = queries.astype(self.kind)
+        up, down = np.maximum(q, 0), np.minimum(q, 0)
         rows = np.arange(n)
         live = own[:, None] != self.ids[None, :]
         for share in DEPTHS:
@@ -69,14 +76,21 @@ class SortedLists:
             live &= upper >= np.partition(lower, len(rows) - k, axis=1)[:, [len(rows) - k]]
             left = live.any(axis=0)
             rows, live = rows[left], live[:, left]
-        # what is left is read to the end; one key orders by score, then by id
-        key = rows[None, :] - (queries @ self.vectors[rows].T).astype(np.int64) * n
-        key[~live] = np.iinfo(np.int64).max
-        best = np.argpartition(key, min(k, len(rows)) - 1, axis=1)[:, :k] if len(rows) else np.zeros((len(own), 0), np.int64)
-        of, at = np.repeat(np.arange(len(own)), best.shape[1]), best.ravel()
-        ok = live[of, at]
-        of, at = of[ok], at[ok]
-        return of, self.ids[rows[at]], -(key[of, at] // n)
+        # what is left is read to the end, in whole numbers
+        scores = queries @ self.exact[rows].T if self.rounded else (q @ self.vectors[rows].T).astype(np.int64)
+        take = min(k, len(rows))
+        if not take:
+            return (np.zeros(0, np.int64),) * 3
+        # all rows that may be among the k best by score alone, then these by score and id
+        lowest = np.iinfo(np.int64).min
+        floor = np.partition(np.where(live, scores, lowest), len(rows) - take, axis=1)[:, [len(rows) - take]]
+        of, at = np.nonzero(live & (scores >= floor))
+        order = np.lexsort((self.ids[rows[at]], -scores[of, at], of))
+        of, at = of[order], at[order]
+        first = np.searchsorted(of, np.arange(len(own)))
+        best = np.arange(len(of)) - first[of] < k
+        of, at = of[best], at[best]
+        return of, self.ids[rows[at]], scores[of, at]
 
 
 def _search_groups(k: int):
@@ -85,11 +99,12 @@ def _search_groups(k: int):
         rows, asked = pdf[~is_query], pdf[is_query]
         if not len(rows) or not len(asked):
             return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})
-        v, q = (np.stack(x["_v"].to_numpy()).astype(np.float64) for x in (rows, asked))
-        if v.shape[1] * np.abs(v).max() * np.abs(q).max() < 1 << 23:  # then single precision adds whole numbers exactly
-            v, q = v.astype(np.float32), q.astype(np.float32)
+        v, q = (np.stack(x["_v"].to_numpy()).astype(np.int64) for x in (rows, asked))
+        largest = v.shape[1] * max(int(v.max()), -int(v.min())) * max(int(q.max()), -int(q.min()))
+        if largest >= 1 << 63:
+            raise OverflowError("a score may not fit 64 bits: components are too large")
         own = asked["_id"].to_numpy(np.int64)
-        of, ids, score = SortedLists(rows["_id"].to_numpy(np.int64), v).search(q, own, k)
+        of, ids, score = SortedLists(rows["_id"].to_numpy(np.int64), v, largest).search(q, own, k)
         return pd.DataFrame({"query_id": own[of], "vec_id": ids, "score": score})
     return run
 
