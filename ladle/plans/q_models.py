@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ladle.operators import delivery_features as DFT
 from ladle.operators import models as M
+from ladle.operators import neighbours as NB
 from ladle.plans.catalog import finish, register
 from ladle.plans.common import deliveries, restaurants, scenario_frame
 from ladle.plans.views_sql import with_views
-from ladle.sources.fixtures import outcomes
+from ladle.sources.fixtures import deliveries_raw, outcomes
 
 # ---- fixed prediction tables derived from outcomes -----------------------------------
 PRED_MODELS = [  # (model, prediction expression over outcomes)
@@ -293,3 +294,34 @@ def q_tune_all(spark, sf):
     df = eta_frame(spark, sf)
     return finish(M.tune_all(df, "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL,
                              ["DecisionTree", "Ridge", "Lasso"], n_trials=10))
+
+
+# ---- exact nearest neighbours (F6) --------------------------------------------------
+#: Features of the neighbour search, scaled to like ranges as whole numbers, so that equal distances are
+#: equal in any engine: thousandths of a degree and fifths of a year.
+KNN_COLS = {"r_lat": "round(restaurant_latitude * 1000)", "r_lon": "round(restaurant_longitude * 1000)", "d_lat": "round(delivery_latitude * 1000)",
+            "d_lon": "round(delivery_longitude * 1000)", "age": "courier_age * 5"}
+#: Minutes that grow with the way and the courier's age.
+KNN_LABEL = "10 + (abs(r_lat - d_lat) + abs(r_lon - d_lon)) / CAST(5 AS DOUBLE) + age / CAST(40 AS DOUBLE)"
+
+
+def knn_frame(spark, sf):
+    """Deliveries with scaled features, a label that depends on them and a fold."""
+    d = deliveries_raw(spark, sf).select("order_id", (F.col("order_id") % 5).alias("fold"), *[F.expr(e).alias(c) for c, e in KNN_COLS.items()])
+    return d.withColumn("label", F.expr(KNN_LABEL))
+
+
+_KNN = {
+    "scaled": "SELECT order_id, order_id % 5 AS fold, " + ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in KNN_COLS.items()) + " FROM deliveries_raw",
+    "pts": f"SELECT *, {KNN_LABEL} AS label FROM scaled",
+}
+_KNN_DIST = " + ".join(f"(q.{c} - r.{c}) * (q.{c} - r.{c})" for c in KNN_COLS)
+
+
+@register("knn_regression", with_views(f"""SELECT order_id, round(any_value(actual), 6) + 0.0 AS actual,
+ round(list_avg(min_by(label, o, 10)), 6) + 0.0 AS prediction, min_by(rid, o) AS nearest
+FROM (SELECT q.order_id, q.label AS actual, r.label, r.order_id AS rid, {{'d': {_KNN_DIST}, 'i': r.order_id}} AS o
+ FROM pts q JOIN pts r ON q.fold <> r.fold) GROUP BY order_id""", "deliveries_raw", extra=_KNN))
+def q_knn(spark, sf):
+    """10 nearest neighbours, out of fold, every row a query."""
+    return finish(NB.knn_regression(knn_frame(spark, sf), "order_id", "label", list(KNN_COLS), "fold"))
