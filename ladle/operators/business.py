@@ -203,22 +203,35 @@ def assign_separable(orders: DataFrame, partners: DataFrame, group: Sequence[str
     return j.select(*group, order_id, partner_id, (F.col(time_col) * F.col(factor)).alias("cost"))
 
 
-def _least_loaded(key, pdf_orders: pd.DataFrame, pdf_partners: pd.DataFrame) -> pd.DataFrame:
+def _dispatch(group: Sequence[str]):
+    """Rows of a group follow one another, its partners before its orders in sequence: the heap of its
+    partners' loads is all that is held of it, however many orders it has."""
     import heapq
 
-    o = pdf_orders.sort_values(["_seq", "order_id"])
-    p = pdf_partners.sort_values("_j")
-    factors = p["factor"].to_numpy()
-    ids = p["partner_id"].to_numpy()
-    heap = [(0.0, i) for i in range(len(ids))]  # (load, index): ties go to the lowest index
-    out_p, out_c = [], []
-    for t in o["predicted_min"].to_numpy():
-        load, i = heapq.heappop(heap)
-        c = float(t) * float(factors[i])
-        out_p.append(ids[i])
-        out_c.append(c)
-        heapq.heappush(heap, (load + c, i))
-    return pd.DataFrame({"order_id": o["order_id"].to_numpy(), "partner_id": out_p, "cost": out_c})
+    import pyarrow as pa
+
+    def run(batches):
+        current, heap, ids, factors = None, [], [], []
+        for batch in batches:
+            at, partners, costs = [], [], []
+            for i, (g, order, t, partner, f) in enumerate(zip(*(batch[c].to_pylist() for c in ("_g", "order_id", "_t", "partner_id", "_f")))):
+                if g != current:
+                    current, heap, ids, factors = g, [], [], []
+                if partner is not None:
+                    heap.append((0.0, len(ids)))  # (load, index): ties go to the lowest index
+                    ids.append(partner)
+                    factors.append(f)
+                else:
+                    load, k = heap[0]
+                    cost = t * factors[k]
+                    heapq.heapreplace(heap, (load + cost, k))
+                    at.append(i)
+                    partners.append(ids[k])
+                    costs.append(cost)
+            rows = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*[rows[g] for g in group], rows["order_id"], pa.array(partners, pa.int64()), pa.array(costs, pa.float64())],
+                                             [*group, "order_id", "partner_id", "cost"])
+    return run
 
 
 def assign_least_loaded(orders: DataFrame, partners: DataFrame, group: Sequence[str], zone: str,
@@ -227,16 +240,18 @@ def assign_least_loaded(orders: DataFrame, partners: DataFrame, group: Sequence[
     """Orders in sequence, each to the partner with the least total load
     (lowest partner index on ties); index = partner order by id in the zone.
 
-    Sequential by nature inside one dispatch group, parallel across groups:
-    ``cogroup(...).applyInPandas``. A group only ever needs its first
-    min(n, p) partners (with fewer orders than partners, the rest stay idle),
-    so each group receives exactly those — bounded by the group's own size.
+    Sequential by nature inside one dispatch group, parallel across groups. A group
+    only ever needs its first min(n, p) partners (with fewer orders than partners, the
+    rest stay idle). Groups with a null key are groups, as in G11; an order
+    without a time or an id and a partner without a factor or an id take no part.
     """
     group = list(group)
+    orders = orders.where(F.col(order_id).isNotNull() & F.col(time_col).isNotNull())
+    partners = partners.where(F.col(partner_id).isNotNull() & F.col("factor").isNotNull())
     p = global_rank(partners, [zone], partner_id, partner_id, descending=False, rank_col="_j")
     n = orders.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min(time_col).alias("_tmin"))
     pc = partners.groupBy(zone).agg(F.count(F.lit(1)).alias("_p"), F.min("factor").alias("_fmin"))
-    sizes = n.join(pc, zone)
+    sizes = join_on(n, pc, [zone])
     # Fast path, exact: with positive costs and no more orders than partners,
     # every order finds an idle partner, so the k-th order (in sequence) goes
     # to the k-th partner. Only overloaded groups need the sequential loop.
@@ -244,29 +259,23 @@ def assign_least_loaded(orders: DataFrame, partners: DataFrame, group: Sequence[
     easy_groups = sizes.where(easy).select(*group)
     hard_groups = sizes.where(~easy).select(*group, "_n", "_p")
     seq_ts = orders.withColumn("_s", F.unix_micros(F.col(seq).cast("timestamp")))
-    ranked = global_rank(seq_ts.join(easy_groups, group, "left_semi"), group, "_s", order_id,
+    ranked = global_rank(join_on(seq_ts, easy_groups, group, "left_semi"), group, "_s", order_id,
                          descending=False, rank_col="_j")
-    fast = ranked.join(p.select(zone, "_j", partner_id, "factor"), [zone, "_j"]).select(
-        *group, F.col(order_id).alias("order_id"), F.col(partner_id).alias("partner_id"),
+    fast = join_on(ranked, p.select(zone, "_j", partner_id, "factor"), [zone, "_j"]).select(
+        *group, F.col(order_id).cast("long").alias("order_id"), F.col(partner_id).cast("long").alias("partner_id"),
         (F.col(time_col) * F.col("factor")).alias("cost"))
-    need = hard_groups.select(*group, F.explode(F.sequence(F.lit(1), F.least("_n", "_p").cast("int"))).alias("_j"))
-    gp = need.join(p.select(zone, "_j", partner_id, "factor"), [zone, "_j"])
-    o = orders.join(hard_groups.select(*group), group, "left_semi").select(
-        *group, order_id, time_col, F.col(seq).alias("_seq"))
-    # fresh attributes on both sides, so the cogroup keys cannot be ambiguous
-    o, gp = o.toDF(*o.columns), gp.toDF(*gp.columns)
-    schema = ", ".join([f"`{c}` {t}" for c, t in orders.select(*group).dtypes]
-                       + ["order_id bigint", "partner_id bigint", "cost double"])
-
-    def fn(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        res = _least_loaded(key, a.rename(columns={order_id: "order_id", time_col: "predicted_min"}),
-                            b.rename(columns={partner_id: "partner_id"}))
-        for k, v in zip(group, key):
-            res.insert(0, k, v)
-        return res
-
-    slow = o.groupBy(*group).cogroup(gp.groupBy(*group)).applyInPandas(fn, schema)
-    return fast.unionByName(slow)
+    need = hard_groups.select(*group, F.explode(F.sequence(F.lit(1).cast("long"), F.least("_n", "_p").cast("long"))).alias("_j"))
+    own = join_on(need, p.select(zone, F.col("_j").cast("long").alias("_j"), partner_id, "factor"), [zone, "_j"])
+    none = lambda t: F.lit(None).cast(t)
+    rows = own.select(*group, none("long").alias("order_id"), none("double").alias("_t"), F.col(partner_id).cast("long").alias("partner_id"),
+                      F.col("factor").cast("double").alias("_f"), F.col("_j").alias("_at"))
+    asked = join_on(seq_ts, hard_groups.select(*group), group, "left_semi")
+    rows = rows.unionByName(asked.select(*group, F.col(order_id).cast("long").alias("order_id"), F.col(time_col).cast("double").alias("_t"),
+                                         none("long").alias("partner_id"), none("double").alias("_f"), F.col("_s").alias("_at")))
+    rows = rows.withColumn("_g", F.to_json(F.struct(*group), {"ignoreNullFields": "false"}))
+    rows = rows.repartition("_g").sortWithinPartitions("_g", F.col("partner_id").isNull(), "_at", "order_id")
+    schema = ", ".join([f"`{c}` {t}" for c, t in orders.select(*group).dtypes] + ["order_id bigint", "partner_id bigint", "cost double"])
+    return fast.unionByName(rows.mapInArrow(_dispatch(group), schema))
 
 
 def compare_assignment(separable: DataFrame, least_loaded: DataFrame, group: Sequence[str]) -> DataFrame:

@@ -225,10 +225,20 @@ def q_separable(spark, sf):
     return finish(a)
 
 
-@register("assign_least_loaded")
+_LOADED_SQL = """WITH RECURSIVE {views},
+pl AS (SELECT zone, list(partner_id ORDER BY partner_id) AS ids, list(factor ORDER BY partner_id) AS fs FROM dpar GROUP BY zone),
+oq AS (SELECT o.*, row_number() OVER (PARTITION BY zone, dispatch_window ORDER BY ts, order_id) AS k FROM dord o),
+st AS (SELECT zone, dispatch_window, CAST(0 AS BIGINT) AS k, list_transform(ids, lambda x: CAST(0 AS DOUBLE)) AS loads, CAST(NULL AS BIGINT) AS order_id,
+  CAST(NULL AS BIGINT) AS partner_id, CAST(NULL AS DOUBLE) AS cost FROM (SELECT DISTINCT zone, dispatch_window FROM oq) JOIN pl USING (zone)
+ UNION ALL SELECT zone, dispatch_window, k, list_transform(loads, lambda x, i: CASE WHEN i = j THEN x + predicted_min * fs[j] ELSE x END), order_id, ids[j],
+  predicted_min * fs[j] FROM (SELECT s.zone, s.dispatch_window, q.k, loads, q.order_id, q.predicted_min, ids, fs, list_position(loads, list_min(loads)) AS j
+   FROM st s JOIN oq q ON q.zone = s.zone AND q.dispatch_window = s.dispatch_window AND q.k = s.k + 1 JOIN pl ON pl.zone = s.zone))
+SELECT zone, dispatch_window, order_id, partner_id, round(cost, 6) + 0.0 AS cost FROM st WHERE k > 0"""
+
+
+@register("assign_least_loaded", _LOADED_SQL.replace("{views}", ", ".join(f"{n} AS ({_DISPATCH_SQL[n]})" for n in ("dord", "dpar"))))
 def q_least_loaded(spark, sf):
-    """Sequential per dispatch group (applyInPandas); checked against a
-    brute-force loop in tests/test_business.py."""
+    """In sequence inside a dispatch group; the oracle goes through each group order by order."""
     a = B.assign_least_loaded(dispatch_orders(spark, sf), dispatch_partners(spark, sf), ["zone", "dispatch_window"], "zone")
     return finish(a)
 
