@@ -19,8 +19,8 @@ In every node all documents are compared with the node's smallest first, which
 keeps a node linear in its size. A node whose documents are then in one known
 component is done. Others are compared exhaustively, for documents of different
 components, if they are small; else they branch on. Nothing is capped: a node
-that is still large and open at the last level is compared exhaustively too,
-in one task up to ``NODE_ROWS`` documents and pair by pair beyond.
+that is still large and open at the last level is compared exhaustively too, by
+blocks of a bounded number of bytes: a task meets one block, or two.
 
 A pair is compared in two steps: by the share of equal minhash values, which
 only refuses pairs far below the threshold (by more than 6 standard
@@ -63,8 +63,10 @@ class Forest:
 #: The least probability that a pair at the threshold meets in a node of a forest's last depth.
 RECALL = 0.9995
 SMALL_NODE = 32
-#: Nodes of the last depth that fit one task, with their sets.
-NODE_ROWS = 2000
+#: Bytes of sets in a block of a node of the last depth; a task compares one block, or two with each other.
+BLOCK_BYTES = 8 << 20
+#: All trees of the first forest, as bits.
+ALL_TREES = -1
 #: Minhash values (a byte of each) that pairs are compared by first, and how far below the
 #: threshold the share of equal ones may be: 6 standard deviations at 0.8 and above.
 BRIEF = 64
@@ -172,9 +174,12 @@ def _deeper(k: int, forest: Forest):
 
 
 def _exhaust(percent: int):
-    """All of a node's documents against each other, by an index of its shingles; the links that join its components."""
+    """All documents of one block of a node (or of two blocks) against each other, by an index of their shingles;
+    the links that join their components."""
     def run(table: pa.Table) -> pa.Table:
         ids, label = table["_id"].to_numpy(), table["_component"].to_numpy().copy()
+        block = table["_block"].to_numpy()
+        two = table["_x"][0].as_py() != table["_y"][0].as_py()
         sets = [np.frombuffer(x, np.uint64) for x in table["_members"].to_pylist()]
         n = np.array([len(s) for s in sets])
         flat, cuts = np.concatenate(sets), np.concatenate(([0], np.cumsum(n)))
@@ -187,7 +192,8 @@ def _exhaust(percent: int):
             to = size[own]
             at = np.repeat(begin[own] - np.concatenate(([0], np.cumsum(to)[:-1])), to) + np.arange(to.sum())
             both = np.bincount(holders[at], minlength=len(ids))
-            for y in np.flatnonzero((100 * both >= percent * (n[x] + n - both)) & (label != label[x])):
+            alike = (100 * both >= percent * (n[x] + n - both)) & (label != label[x])
+            for y in np.flatnonzero(alike & (block != block[x]) if two else alike):
                 if label[y] != label[x]:
                     out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
                     label[label == label[y]] = label[x]
@@ -195,21 +201,20 @@ def _exhaust(percent: int):
     return run
 
 
-def _paths(forest: Forest, before: int, depth: int):
-    """The node of each set in each tree at ``depth``, and the node above it at ``before``."""
+def _paths(forest: Forest, depth: int):
+    """The node of each set at ``depth`` in the trees that the bits of ``_trees`` name."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = batch["_id"].to_numpy()
             values = np.frombuffer(b"".join(batch["_sketch"].to_pylist()), np.uint32).reshape(len(ids), forest.trees, -1)
-            above = node = np.broadcast_to(forest.roots, (len(ids), forest.trees))
+            wanted = batch["_trees"].to_numpy().view(np.uint64)
+            doc, tree = np.nonzero(wanted[:, None] >> np.minimum(np.arange(forest.trees), 63).astype(np.uint64) & np.uint64(1))
+            node = forest.roots[tree]
             for j in range(depth):
-                node = mix(node ^ (values[:, :, j].astype(np.uint64) + forest.steps[j]))
-                if j + 1 == before:
-                    above = node
-            above, node = (np.ascontiguousarray(x).reshape(-1).view(np.int64) for x in (above, node))
-            yield pa.RecordBatch.from_arrays([pa.array(above), pa.array(node), pa.array(np.repeat(ids, forest.trees))], ["_above", "_node", "_id"])
+                node = mix(node ^ (values[doc, tree, j].astype(np.uint64) + forest.steps[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(tree.astype(np.int16)), pa.array(ids[doc])], ["_node", "_tree", "_id"])
     return run
 
 
@@ -336,44 +341,48 @@ class _Join:
     def _round(self, nodes: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """Compare in the nodes of one depth; returns the rows of those that are large and open still.
 
-        With ``sets`` (_id, _members) it is the last one: nodes of up to ``NODE_ROWS`` are compared in a
-        task each, whatever their size was before, and pair by pair beyond."""
+        With ``sets`` (_id, _members) it is the last one: nodes are cut into blocks of a bounded number of bytes,
+        and each block is compared with itself and the others in a task."""
         least = nodes.groupBy("_node").agg(F.min("_id").alias("_a"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        nodes = self._stored(nodes.join(least, "_node").select("_node", "_id", "_a"))
+        nodes = self._stored(nodes.join(least, "_node").select("_node", "_tree", "_id", "_a"))
         k = tasks(nodes.count())
         self.compare(nodes.where("_id <> _a").select("_a", F.col("_id").alias("_b")), k)
-        left = self._stored(self.open_nodes(nodes.select("_node", "_id"), k))
+        left = self._stored(self.open_nodes(nodes.select("_node", "_tree", "_id"), k))
         k = tasks(left.count())
         if sets is not None:
-            rows = left.where(F.col("_size") <= NODE_ROWS).join(sets, "_id").select("_node", "_id", "_component", "_low", "_members")
-            self._merge(self._stored(rows.groupBy("_node").applyInArrow(_exhaust(self.percent), "_a long, _b long")))
-        few = left.where(F.col("_size") > NODE_ROWS if sets is not None else F.col("_size") <= SMALL_NODE)
+            rows = left.join(sets, "_id").select("_node", "_id", "_component", "_low", "_members")
+            blocks = rows.groupBy("_node").agg(F.ceil(F.sum(F.length("_members")) / BLOCK_BYTES).alias("_blocks"))
+            rows = rows.join(blocks, "_node").withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")))
+            rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+            rows = rows.select("_node", F.least("_block", "_other").alias("_x"), F.greatest("_block", "_other").alias("_y"), "_block", "_id", "_component", "_low", "_members")
+            self._merge(self._stored(rows.groupBy("_node", "_x", "_y").applyInArrow(_exhaust(self.percent), "_a long, _b long")))
+            return left
+        few = left.where(F.col("_size") <= SMALL_NODE)
         # of two components one isn't the node's lowest
         one = few.where("_component <> _low").select("_node", F.col("_id").alias("_x"), F.col("_component").alias("_cx"))
         two = few.select("_node", F.col("_id").alias("_y"), F.col("_component").alias("_cy"))
         pairs = one.join(two, "_node").where("_cx <> _cy").coalesce(k).select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b"))
         self.compare(pairs, k)
-        return self._stored(left.where(F.col("_size") > SMALL_NODE).select("_node", "_id").coalesce(k))
+        return self._stored(left.where(F.col("_size") > SMALL_NODE).select("_tree", "_id").coalesce(k))
 
     def run(self) -> DataFrame:
-        active, above = self.sets.select("_id", "_sketch"), None
-        for before, depth in zip((0, *self.first.depths), self.first.depths):
-            nodes = active.mapInArrow(_paths(self.first, before, depth), "_above long, _node long, _id long")
-            if above is not None:
-                nodes = nodes.join(above, "_above", "left_semi")
-            large = self._round(nodes)
+        nodes_of = lambda rows, forest, depth: rows.select("_id", "_trees", "_sketch").mapInArrow(
+            _paths(forest, depth), "_node long, _tree short, _id long")
+        every = F.lit(ALL_TREES).cast("long").alias("_trees")
+        active = self.sets.select("_id", "_sketch", every)
+        for depth in self.first.depths:
+            large = self._round(nodes_of(active, self.first, depth))
             n = large.count()
             if not n:
                 break
-            above = large.select(F.col("_node").alias("_above")).distinct().coalesce(tasks(n))
-            ids = large.select("_id").distinct()
-            active = self._stored(self.sets.select("_id", "_sketch").join(ids, "_id", "left_semi").coalesce(tasks(n)))
+            # a set goes on in the trees whose node is large and open, and in no others
+            trees = large.groupBy("_id").agg(F.expr("bit_or(shiftleft(1L, CAST(_tree AS INT)))").alias("_trees"))
+            active = self._stored(self.sets.select("_id", "_sketch").join(trees, "_id").coalesce(tasks(n)))
         else:
             self._fetch(active.select("_id"), tasks(n))
             deep = self._stored(active.select("_id").join(self.texts, "_id").coalesce(max(tasks(n), n // 5000)).mapInArrow(
                 _deeper(self.k, self.second), "_id long, _sketch binary, _members binary"))
-            nodes = deep.select("_id", "_sketch").mapInArrow(_paths(self.second, 0, self.second.depths[-1]), "_above long, _node long, _id long")
-            self._round(nodes, deep.select("_id", "_members"))
+            self._round(nodes_of(deep.select("_id", "_sketch", every), self.second, self.second.depths[-1]), deep.select("_id", "_members"))
         discard(*[t for t in self.made if t is not self.known])
         return self.known
 
