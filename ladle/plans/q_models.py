@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ladle.operators import attribution as AT
 from ladle.operators import delivery_features as DFT
 from ladle.operators import models as M
 from ladle.operators import neighbours as NB
@@ -263,6 +264,14 @@ def q_attr(spark, sf):
     return finish(M.linear_contributions(_eta_model(spark, sf), eta_frame(spark, sf), "order_id"))
 
 
+@register("tree_attribution")
+def q_tree_attr(spark, sf):
+    """F20 for a tree model: contributions along each row's way; checked against a recursive SQL walk in tests/test_attribution.py."""
+    df = eta_frame(spark, sf)
+    model = M.fit_best("DecisionTree", df, "time_taken_min", DFT.ETA_NUMERIC, DFT.ETA_CATEGORICAL)
+    return finish(AT.tree_contributions(model, df, "order_id"))
+
+
 @register("permutation_importance")
 def q_perm(spark, sf):
     df = eta_frame(spark, sf).withColumn("label", F.col("time_taken_min"))
@@ -273,7 +282,8 @@ def q_perm(spark, sf):
 def q_log_pred(spark, sf):
     df = eta_frame(spark, sf)
     s = M.score_eta(df, _eta_model(spark, sf))
-    return finish(M.log_predictions(s, "eta_linear", DFT.ETA_FEATURES, "v1", key="order_id").drop("created_at"))
+    att = M.linear_contributions(_eta_model(spark, sf), df, "order_id")
+    return finish(M.log_predictions(s, "eta_linear", DFT.ETA_FEATURES, "v1", att, key="order_id").drop("created_at"))
 
 
 @register("explain_prediction")
