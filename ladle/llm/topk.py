@@ -3,21 +3,20 @@
 Vectors are cut into shards of a bounded number of rows. In a shard every
 dimension is a list of (row, contribution) sorted by what it can add to the
 query's score: from the largest component down where the query's component is
-positive, from the smallest up where it is negative. The lists are read only
-in order, a block of each per round. What has been read gives every vector a
-lower and an upper score: an entry not read yet adds at most the value the
-list has been read down to (its frontier), and at least the list's last value.
-A vector whose upper score is below the k-th best lower score is out; reading
-stops when all others are out, or at the lists' ends, and the scores of those
-left are then resolved from what has been read and the entries left of them.
+positive, from the smallest up where it is negative. What has been read to some depth
+gives every vector a lower and an upper score: an entry not read yet adds at most the
+value the list has been read down to (its frontier), and at least the list's last
+value. A vector whose upper score is below the k-th best lower score is out. The bounds are
+taken at two fixed depths of every list (``DEPTHS``), for a block of queries at once as
+matrix products, and the scores of those left are then resolved in whole numbers.
 
 Query rows are cut into blocks of a bounded number, so a task holds one shard
 and one block. Each task returns k rows a query, and the k best over all shards
 are taken by a window over (query), at most k times the number of shards rows.
 
-Defined results: vectors that are null, of another length than the first
-block's, or hold null or non-finite components take no part; so do rows with a
-null id. Ties go to the smaller id. Repeated ids are separate candidates, none
+Defined results: vectors that are null or hold null or non-finite components take no
+part; so do rows with a null id. Vectors of each length are searched apart. Scores are exact
+64-bit numbers; components so large that one might not fit are an error. Ties go to the smaller id. Repeated ids are separate candidates, none
 of them a candidate of a query of that id. With fewer than k candidates all are
 returned; an empty table gives no rows. Other columns are not read.
 """
