@@ -275,15 +275,19 @@ def log_drift(ks: DataFrame, alerted: DataFrame | None = None, detected_at: str
 
 
 def retrain_decision(reports: DataFrame, ts: str = "detected_at", fraction: float | None = None,
-                     hours: float | None = None) -> DataFrame:
+                     hours: float | None = None, source: str | None = None) -> DataFrame:
     """A retrain is due when drifted / total >= fraction (0.3) and no
-    retrain was triggered within ``hours`` (6); zero features never trigger."""
+    retrain was triggered within ``hours`` (6); zero features never trigger.
+
+    With ``source`` (a column that names a model or a stream) each source has its own
+    cooldown and its own task; a null source is one too. Without it all reports are of one model."""
     fr = DEFAULTS.retrain_drift_fraction if fraction is None else fraction
     hrs = DEFAULTS.retrain_cooldown_hours if hours is None else hours
     r = reports.withColumn("drift_fraction", F.try_divide(F.col("drifted_count"), F.col("total_features")))
     cand = r.withColumn("_eligible", F.col("has_drift") & (F.col("total_features") > 0)
-                        & (F.col("drift_fraction") >= F.lit(fr))).withColumn("_k", F.lit("retrain"))
+                        & (F.col("drift_fraction") >= F.lit(fr))).withColumn(
+        "_k", F.to_json(F.struct(F.col(f"`{source}`").alias("k"))) if source else F.lit("retrain"))
     elig = cand.where("_eligible")
     fired = apply_cooldown(elig.select("_k", "batch_id", ts), key="_k", ts=ts, hours=hrs)
-    return cand.join(fired.select("batch_id", F.col("alerted").alias("retrain")), "batch_id", "left").select(
+    return cand.join(fired.select("_k", "batch_id", F.col("alerted").alias("retrain")), ["_k", "batch_id"], "left").select(
         *reports.columns, "drift_fraction", F.coalesce("retrain", F.lit(False)).alias("retrain"))

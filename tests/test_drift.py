@@ -61,3 +61,18 @@ def test_stream_cooldown_equals_batch(spark, sf):
                          scratch_path(spark, "cooldown-out"))
     stream = {(r["feature"], r["batch_id"]): r["alerted"] for r in spark.read.parquet(out).collect()}
     assert stream == batch and len(batch) > 0
+
+
+def test_retrain_cooldown_of_each_source(spark):
+    from pyspark.sql import functions as F
+
+    from ladle.operators import drift as DR
+    rows = [(b, s, 10, 5, True, b * 2) for s in ("a", "b", None) for b in (0, 1, 2, 4)] + [(9, "a", 0, 0, True, 100), (10, "a", 10, 2, True, 100)]
+    r = spark.createDataFrame(rows, "batch_id long, source string, total_features long, drifted_count long, has_drift boolean, h int")
+    r = r.withColumn("detected_at", F.timestamp_seconds(F.col("h") * 3600))
+    got = {(x.source, x.batch_id): x.retrain for x in DR.retrain_decision(r, source="source").collect()}
+    assert len(got) == len(rows)
+    for s in ("a", "b", None):
+        # at 0 h, then not again before 6 h have passed
+        assert [got[s, b] for b in (0, 1, 2, 4)] == [True, False, False, True]
+    assert not got["a", 9] and not got["a", 10]
