@@ -18,21 +18,47 @@ from pyspark.sql import DataFrame
 
 QUESTION = "_chunk long, _part int, _keys array<bigint>, _values array<bigint>"
 ANSWER = "_chunk long, _part int, _answers array<bigint>"
+#: The same with lists as ``pack_lists`` writes them.
+PACKED_QUESTION = QUESTION.replace("array<bigint>", "binary")
+PACKED_ANSWER = ANSWER.replace("array<bigint>", "binary")
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
 
 
+def range_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Parts by the order of the keys: the keys of a part share their first bits."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def pack_lists(batch: pa.RecordBatch | pa.Table, *columns: str):
+    """Lists of whole numbers as bytes: first the lowest byte of all numbers, then the next, and so on. Sorted keys and small
+    counts so have long runs of equal bytes, which the codecs of shuffle and Parquet take to almost nothing."""
+    for c in columns:
+        packed = [np.ascontiguousarray(x.values.to_numpy(zero_copy_only=False).view(np.uint8).reshape(-1, 8).T).tobytes() for x in batch[c]]
+        batch = batch.set_column(batch.schema.get_field_index(c), c, pa.array(packed, pa.binary()))
+    return batch
+
+
+def unpack_lists(table: pa.Table, *columns: str) -> pa.Table:
+    for c in columns:
+        flat = [np.ascontiguousarray(np.frombuffer(x.as_py(), np.uint8).reshape(8, -1).T).view(np.int64).ravel() for x in table[c]]
+        offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in flat], dtype=np.int64))), pa.int32())
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64), pa.int64()))
+        table = table.set_column(table.schema.get_field_index(c), c, lists)
+    return table
+
+
 def long_list(values: np.ndarray) -> pa.Array:
     """One row: a list of whole numbers."""
     flat = pa.array(values.view(np.int64) if values.dtype == np.uint64 else values.astype(np.int64), pa.int64())
     return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
 
 
-def question(chunk: int, keys: np.ndarray, values: np.ndarray, parts: int) -> pa.RecordBatch | None:
+def question(chunk: int, keys: np.ndarray, values: np.ndarray, parts: int, deal: Callable = part_of) -> pa.RecordBatch | None:
     """Rows of ``QUESTION`` for distinct keys (uint64) and a number for each."""
-    part = part_of(keys, parts)
+    part = deal(keys, parts)
     order = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
     used = np.flatnonzero(np.diff(cuts))
@@ -68,10 +94,10 @@ def ask(questions: DataFrame, parts: int, reply: Callable[[pa.Table], pa.Table],
     return questions.repartition(parts, "_part").groupBy("_part").applyInArrow(reply, schema)
 
 
-def aligned(keys: np.ndarray, parts: int, table: pa.Table) -> np.ndarray:
+def aligned(keys: np.ndarray, parts: int, table: pa.Table, deal: Callable = part_of) -> np.ndarray:
     """The answers to one chunk's question, in the order of its keys."""
     out = np.zeros(len(keys), np.int64)
-    part = part_of(keys, parts)
+    part = deal(keys, parts)
     order = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
     for p, row in zip(table["_part"].to_pylist(), table["_answers"]):

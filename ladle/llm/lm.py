@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import MULTIPLIER, Words, bounded_batches, chunks, doc_crc, mix, partitions, release, stored, tidy
-from ladle.llm.exchange import QUESTION, aligned, answers, ask, flat_lists, numbers, question
+from ladle.llm.exchange import (PACKED_ANSWER, PACKED_QUESTION, aligned, answers, ask, flat_lists, numbers, pack_lists, question, range_of,
+                                unpack_lists)
 
 CLASS_SHARE = 1 / 250
 ARC_SHARE = 1 / 500_000
@@ -49,6 +50,8 @@ END, START = np.uint64(1), np.uint64(2)
 WEIGHTS = (30.0, 3.0)
 #: Questions a part answers, at most about: the number of parts follows the corpus.
 PART_KEYS = 4_000_000
+#: A pair or triple shares its key with another one in at most one of 2**CLASH_BITS cases, whatever the corpus' size.
+CLASH_BITS = 20
 _CHUNKS = "_chunk long, ids array<bigint>, held array<boolean>, n_tokens array<bigint>, words array<bigint>, counts array<bigint>, tokens array<int>"
 
 
@@ -56,9 +59,14 @@ def tagged(h: np.ndarray, order: int) -> np.ndarray:
     return h & ~np.uint64(3) | np.uint64(order)
 
 
-def grams(words: np.ndarray, tokens: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token the keys of the pair and the triple that end there; a text's first token has the
-    triple key 0, as its pair begins at the text's start."""
+def gram_bits(tokens: int) -> int:
+    """First bits that keys of pairs and triples keep: there are at most 2 * ``tokens`` of them."""
+    return min(62, CLASH_BITS + (2 * tokens).bit_length())
+
+
+def grams(words: np.ndarray, tokens: np.ndarray, size: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the keys of the pair and the triple that end there, their first ``bits`` and the tag; a
+    text's first token has the triple key 0, as its pair begins at the text's start."""
     first = np.cumsum(size) - size
     h = words[tokens]
     before = np.empty_like(h)
@@ -67,7 +75,8 @@ def grams(words: np.ndarray, tokens: np.ndarray, size: np.ndarray) -> tuple[np.n
     three = np.zeros_like(two)
     three[1:] = tagged(mix(mix(two[:-1] * MULTIPLIER) + h[1:]), 3)
     three[first] = 0
-    return two, three
+    kept = ~np.uint64((1 << 64 - bits) - 1) | np.uint64(3)
+    return two & kept, three & kept
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,29 +103,32 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n += 1
 
 
-def _questions(parts: int):
+def _questions(parts: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 words, tokens, size = numbers(batch["words"], i).view(np.uint64), numbers(batch["tokens"], i), numbers(batch["n_tokens"], i)
                 train = np.repeat(~np.array(batch["held"][i].as_py(), bool), size)
                 keys, counts = [words], [numbers(batch["counts"], i)]
-                for g in grams(words, tokens, size):
+                for g in grams(words, tokens, size, bits):
                     k, place = np.unique(g, return_inverse=True)
                     keys.append(k)
                     counts.append(np.bincount(place[train], minlength=len(k)))
-                q = question(batch["_chunk"][i].as_py(), np.concatenate(keys), np.concatenate(counts), parts)
+                q = question(batch["_chunk"][i].as_py(), np.concatenate(keys), np.concatenate(counts), parts, range_of)
                 if q is not None:
-                    yield q
+                    yield pack_lists(q, "_keys", "_values")
     return run
 
 
 def _totals(least: int):
-    """Corpus counts for every question of a part; chunk -1 gets the part's vocabulary figures and its class words."""
+    """For every question of a part what the other chunks add to its counts (mostly nothing, as most triples are in one
+    chunk only); chunk -1 gets the part's vocabulary figures and its class words."""
     def run(table: pa.Table) -> pa.Table:
+        table = unpack_lists(table, "_keys", "_values")
         keys, place = np.unique(flat_lists(table["_keys"]), return_inverse=True)
         total = np.zeros(len(keys), np.int64)
-        np.add.at(total, place, flat_lists(table["_values"]))
+        own = flat_lists(table["_values"])
+        np.add.at(total, place, own)
         word = keys & 3 == 1
         common = word & (total >= least)
         rest = total[word & ~common & (keys != int(END))]
@@ -124,7 +136,7 @@ def _totals(least: int):
         top = np.flatnonzero(common | (keys == int(END)))
         extra = pa.table({"_chunk": pa.array([-1], pa.int64()), "_part": table["_part"].slice(0, 1),
                           "_answers": pa.array([[*figures, *keys[top], *total[top]]], pa.list_(pa.int64()))})
-        return pa.concat_tables([answers(table, total[place]), extra])
+        return pack_lists(pa.concat_tables([answers(table, total[place] - own), extra]), "_answers")
     return run
 
 
@@ -250,17 +262,21 @@ def arcs(p: np.ndarray, first: np.ndarray, one: np.ndarray, two: np.ndarray, thr
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(parts: int, n: int, figures: np.ndarray, model):
+def _score(parts: int, bits: int, n: int, figures: np.ndarray, model):
     v, rest_v, rest_n, ones, twos = (int(x) for x in figures)
     discount = ones / (ones + 2 * twos) if ones + twos else 0.5
     discount = min(max(discount, 0.1), 0.9)
 
     def run(chunk: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
+        replies = unpack_lists(replies, "_answers")
         for i in range(chunk.num_rows):
             words, tokens, size = numbers(chunk["words"], i).view(np.uint64), numbers(chunk["tokens"], i), numbers(chunk["n_tokens"], i)
-            (two, at_two), (three, at_three) = (np.unique(g, return_inverse=True) for g in grams(words, tokens, size))
-            c, c_two, c_three = np.split(aligned(np.concatenate((words, two, three)), parts, replies), np.cumsum((len(words), len(two))))
+            train = np.repeat(~np.array(chunk["held"][i].as_py(), bool), size)
+            (two, at_two), (three, at_three) = (np.unique(g, return_inverse=True) for g in grams(words, tokens, size, bits))
+            own = [numbers(chunk["counts"], i), *(np.bincount(at[train], minlength=len(k)) for k, at in ((two, at_two), (three, at_three)))]
+            total = np.concatenate(own) + aligned(np.concatenate((words, two, three)), parts, replies, range_of)
+            c, c_two, c_three = np.split(total, np.cumsum((len(words), len(two))))
             first = np.cumsum(size) - size
             base = np.log10((c + 1) / (n + v + 1))
             cls = model.value.classes(words).astype(np.int64)
@@ -288,11 +304,13 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     total = lambda c: F.coalesce(F.sum(F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))
     n, tokens = read.select(total("counts"), total("n_tokens")).first()
     parts = max(partitions(spark), -(-3 * tokens // PART_KEYS))
+    bits = gram_bits(tokens)
     least = max(1, int(np.ceil(n * CLASS_SHARE)))
-    replies = stored(ask(read.select("_chunk", "held", "n_tokens", "words", "counts", "tokens").mapInArrow(tidy(_questions(parts)), QUESTION), parts, _totals(least)))
+    questions = read.select("_chunk", "held", "n_tokens", "words", "counts", "tokens").mapInArrow(tidy(_questions(parts, bits)), PACKED_QUESTION)
+    replies = stored(ask(questions, parts, _totals(least), PACKED_ANSWER))
     figures, words = np.zeros(5, np.int64), []
     for r in replies.where("_chunk = -1").select("_answers").collect():  # a row for each part, at most 251 words in all
-        a = np.array(r["_answers"], np.int64)
+        a = numbers(unpack_lists(pa.table({"_answers": [bytes(r["_answers"])]}), "_answers")["_answers"])
         figures += a[:5]
         words.append(a[5:5 + (len(a) - 5) // 2])
     words = np.sort(np.concatenate(words).view(np.uint64)) if words else np.zeros(0, np.uint64)
@@ -306,6 +324,6 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     pairs[keys[two]] = counts[two]
     model = spark.sparkContext.broadcast(build(words, pairs.reshape(k, k), keys[~two] - (1 << 40), counts[~two].astype(np.float64)))
     scored = read.groupBy("_chunk").cogroup(replies.where("_chunk >= 0").groupBy("_chunk")).applyInArrow(
-        _score(parts, n, figures, model), _SCORES)
+        _score(parts, bits, n, figures, model), _SCORES)
     return scored.withColumn("train_tokens", F.lit(n).cast("long")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

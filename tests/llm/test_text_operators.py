@@ -362,6 +362,81 @@ def test_language_model_learns_rare_words(spark, docs):
     assert len(shuffled) > 30 and all(got[i] > got[j] + 10 for i, j in shuffled.items())
 
 
+def brute_scores(rows, folds=7, held_fold=2):
+    """The model over dictionaries: class n-grams by absolute discounting, then word pairs and triples above them."""
+    texts = {i: [*("".join(x.lower() if x < "\x80" else x for x in w) for w in WORD.findall(t or "")), None] for i, t in rows}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % folds != held_fold]
+    one, two, three = Counter(), Counter(), Counter()
+    for t in train:
+        s = ["<start>", *t]
+        one.update(t)
+        two.update(zip(s, s[1:]))
+        three.update(zip(s, s[1:], s[2:]))
+    n = sum(one.values())
+    common = {w for w, c in one.items() if w is not None and c >= math.ceil(n / 250)}
+    rest = [c for w, c in one.items() if w is not None and w not in common]
+    ones, twos = rest.count(1), rest.count(2)
+    d = min(max(ones / (ones + 2 * twos) if ones + twos else 0.5, 0.1), 0.9)
+    cls = lambda t: [w if w in common or w is None else "" for w in t]
+    c1, c2, c3, after, ab = Counter(), Counter(), Counter(), Counter(), Counter()
+    for t in train:
+        s = ["<start>", "<start>", *cls(t)]
+        c1.update(s[2:])
+        c2.update(zip(s[1:], s[2:]))
+        after.update(s[1:-1])
+        c3.update(zip(s, s[1:], s[2:]))
+        ab.update(zip(s, s[1:-1]))
+    kinds = ["", None, *common]
+    p1 = lambda c: (c1[c] + 1) / sum(c1[x] + 1 for x in kinds)
+
+    def p2(b, c):
+        left = 1 - sum(max(c2[b, x] - 0.5, 0) for x in kinds) / after[b] if after[b] else 1
+        return max(c2[b, c] - 0.5, 0) / max(after[b], 1) + left * p1(c)
+
+    def p3(a, b, c):
+        fail = 1 - sum(max(c3[a, b, x] - 0.5, 0) for x in kinds) / max(ab[a, b], 1)
+        return max(c3[a, b, c] - 0.5, 0) / max(ab[a, b], 1) + min(max(fail, 1e-9), 1) * p2(b, c)
+
+    out = {}
+    for i, t in texts.items():
+        s, k, total = ["<start>", *t], ["<start>", "<start>", *cls(t)], 0.0
+        for j, w in enumerate(t):
+            p = p3(*k[j:j + 3])
+            if k[j + 2] == "":
+                p *= (one[w] - d if one[w] else d * len(rest) + 1) / (sum(rest) + 1)
+            p = (two[s[j], w] + 30 * p) / ((one[s[j]] if j else len(train)) + 30)
+            if j:
+                p = (three[s[j - 1], s[j], w] + 3 * p) / (two[s[j - 1], s[j]] + 3)
+            total += math.log10(p)
+        out[i] = total
+    return out
+
+
+def test_language_model_by_brute_force(spark, docs, monkeypatch):
+    """Small chunks, so that most n-grams' counts come from several of them; a very long text; frequent and rare words."""
+    r = random.Random(5)
+    word = lambda: r.choice(["the", "of", "And"]) if r.random() < 0.3 else f"w{int(r.paretovariate(0.4)) % 500}"
+    rows = [(i, " ".join(word() for _ in range(r.randrange(0, 60)))) for i in range(120)]
+    rows += [(200, None), (201, ""), (202, rows[3][1]), (203, "the same " * 4000), (204, " ".join(word() for _ in range(3000)))]
+    monkeypatch.setattr(lm, "CHUNK", 2000)
+    want = brute_scores(rows)
+    got = {x.doc_id: x.score for x in lm.score(docs(rows)).collect()}
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+
+
+def test_packed_lists_round_trip():
+    import pyarrow as pa
+
+    from ladle.llm.exchange import pack_lists, unpack_lists
+
+    lists = [[], [1, -1, 1 << 62, -(1 << 63)], [0] * 1000]
+    t = pa.table({"a": pa.array(lists, pa.list_(pa.int64())), "b": [1, 2, 3]})
+    packed = pack_lists(t, "a")
+    assert packed["a"].type == pa.binary() and unpack_lists(packed, "a")["a"].to_pylist() == lists
+    assert unpack_lists(pack_lists(t.slice(0, 0), "a"), "a").num_rows == 0
+
+
 def test_word_arcs_are_a_distribution():
     """Over all next words, the arcs and failure weights of a state sum to 1."""
     r = np.random.default_rng(3)
