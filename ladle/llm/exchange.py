@@ -21,6 +21,7 @@ ANSWER = "_chunk long, _part int, _answers array<bigint>"
 #: The same with lists as ``pack_lists`` writes them.
 PACKED_QUESTION = QUESTION.replace("array<bigint>", "binary")
 PACKED_ANSWER = ANSWER.replace("array<bigint>", "binary")
+_ZSTD = pa.Codec("zstd", 1)
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -32,18 +33,40 @@ def range_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def pack_lists(batch: pa.RecordBatch | pa.Table, *columns: str):
-    """Lists of whole numbers as bytes: first the lowest byte of all numbers, then the next, and so on. Sorted keys and small
-    counts so have long runs of equal bytes, which the codecs of shuffle and Parquet take to almost nothing."""
+def squeeze(x: np.ndarray, ascending: bool = False) -> bytes:
+    """Whole numbers (64 bits) as bytes, about as short as their entropy: of all numbers first the lowest byte, then the next
+    and so on, each of the eight compressed by itself, so that random, rare and empty bytes don't share a code.
+    ``ascending``: differences instead (runs of sorted numbers; any others come back right too)."""
+    x = np.ascontiguousarray(x).view(np.uint64)
+    if ascending:
+        x = np.diff(x, prepend=np.uint64(0))
+    planes = [_ZSTD.compress(np.ascontiguousarray(p), asbytes=True) if p.any() else b"" for p in x.view(np.uint8).reshape(-1, 8).T]
+    return np.array([len(x), *map(len, planes)], "<u4").tobytes() + b"".join(planes)
+
+
+def expand(raw: bytes, ascending: bool = False) -> np.ndarray:
+    """The numbers that ``squeeze`` wrote, as int64."""
+    n, *sizes = np.frombuffer(raw, "<u4", 9).tolist()
+    out, at = np.zeros((n, 8), np.uint8), 36
+    for i, size in enumerate(sizes):
+        if size:
+            out[:, i] = np.frombuffer(_ZSTD.decompress(raw[at:at + size], decompressed_size=n, asbytes=True), np.uint8)
+            at += size
+    x = out.reshape(-1).view(np.uint64)
+    return (np.cumsum(x, dtype=np.uint64) if ascending else x).view(np.int64)
+
+
+def pack_lists(batch: pa.RecordBatch | pa.Table, *columns: str, ascending: bool = False):
+    """Lists of whole numbers as ``squeeze`` writes them."""
     for c in columns:
-        packed = [np.ascontiguousarray(x.values.to_numpy(zero_copy_only=False).view(np.uint8).reshape(-1, 8).T).tobytes() for x in batch[c]]
+        packed = [squeeze(x.values.to_numpy(zero_copy_only=False), ascending) for x in batch[c]]
         batch = batch.set_column(batch.schema.get_field_index(c), c, pa.array(packed, pa.binary()))
     return batch
 
 
-def unpack_lists(table: pa.Table, *columns: str) -> pa.Table:
+def unpack_lists(table: pa.Table, *columns: str, ascending: bool = False) -> pa.Table:
     for c in columns:
-        flat = [np.ascontiguousarray(np.frombuffer(x.as_py(), np.uint8).reshape(8, -1).T).view(np.int64).ravel() for x in table[c]]
+        flat = [expand(x.as_py(), ascending) for x in table[c]]
         offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in flat], dtype=np.int64))), pa.int32())
         lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64), pa.int64()))
         table = table.set_column(table.schema.get_field_index(c), c, lists)

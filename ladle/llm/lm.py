@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import MULTIPLIER, Words, bounded_batches, chunks, doc_crc, mix, partitions, release, stored, tidy
-from ladle.llm.exchange import (PACKED_ANSWER, PACKED_QUESTION, aligned, answers, ask, flat_lists, numbers, pack_lists, question, range_of,
-                                unpack_lists)
+from ladle.llm.exchange import (PACKED_ANSWER, PACKED_QUESTION, aligned, answers, ask, expand, flat_lists, numbers, pack_lists, question,
+                                range_of, squeeze, unpack_lists)
 
 CLASS_SHARE = 1 / 250
 ARC_SHARE = 1 / 500_000
@@ -51,8 +51,10 @@ WEIGHTS = (30.0, 3.0)
 #: Questions a part answers, at most about: the number of parts follows the corpus.
 PART_KEYS = 4_000_000
 #: A pair or triple shares its key with another one in at most one of 2**CLASH_BITS cases, whatever the corpus' size.
-CLASH_BITS = 20
-_CHUNKS = "_chunk long, ids array<bigint>, held array<boolean>, n_tokens array<bigint>, words array<bigint>, counts array<bigint>, tokens array<int>"
+CLASH_BITS = 16
+#: words, counts and tokens as ``squeeze`` writes them; n_all and n_train: how many tokens there are.
+_CHUNKS = ("_chunk long, ids array<bigint>, held array<boolean>, n_tokens array<bigint>, words binary, counts binary, tokens binary, "
+           "n_all long, n_train long")
 
 
 def tagged(h: np.ndarray, order: int) -> np.ndarray:
@@ -98,25 +100,31 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.bincount(tokens[train], minlength=len(words))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n], pa.int64()), one(batch["_id"].slice(i, j - i), pa.int64()), one(held, pa.bool_()),
-                 one(size, pa.int64()), one(words.view(np.int64), pa.int64()), one(counts, pa.int64()), one(tokens.astype(np.int32), pa.int32())],
-                ["_chunk", "ids", "held", "n_tokens", "words", "counts", "tokens"])
+                 one(size, pa.int64()), *(pa.array([x], pa.binary()) for x in (squeeze(words, True), squeeze(counts), squeeze(tokens))),
+                 pa.array([len(tokens)], pa.int64()), pa.array([train.sum()], pa.int64())],
+                ["_chunk", "ids", "held", "n_tokens", "words", "counts", "tokens", "n_all", "n_train"])
             n += 1
 
 
+def opened(chunk: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, tokens, token counts of the documents, and which tokens are for training."""
+    words, tokens, size = expand(chunk["words"][i].as_py(), True).view(np.uint64), expand(chunk["tokens"][i].as_py()), numbers(chunk["n_tokens"], i)
+    return words, tokens, size, np.repeat(~np.array(chunk["held"][i].as_py(), bool), size)
+
+
 def _questions(parts: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                words, tokens, size = numbers(batch["words"], i).view(np.uint64), numbers(batch["tokens"], i), numbers(batch["n_tokens"], i)
-                train = np.repeat(~np.array(batch["held"][i].as_py(), bool), size)
-                keys, counts = [words], [numbers(batch["counts"], i)]
+                words, tokens, size, train = opened(batch, i)
+                keys, counts = [words], [expand(batch["counts"][i].as_py())]
                 for g in grams(words, tokens, size, bits):
                     k, place = np.unique(g, return_inverse=True)
                     keys.append(k)
                     counts.append(np.bincount(place[train], minlength=len(k)))
                 q = question(batch["_chunk"][i].as_py(), np.concatenate(keys), np.concatenate(counts), parts, range_of)
                 if q is not None:
-                    yield pack_lists(q, "_keys", "_values")
+                    yield pack_lists(pack_lists(q, "_keys", ascending=True), "_values")
     return run
 
 
@@ -124,7 +132,7 @@ def _totals(least: int):
     """For every question of a part what the other chunks add to its counts (mostly nothing, as most triples are in one
     chunk only); chunk -1 gets the part's vocabulary figures and its class words."""
     def run(table: pa.Table) -> pa.Table:
-        table = unpack_lists(table, "_keys", "_values")
+        table = unpack_lists(unpack_lists(table, "_keys", ascending=True), "_values")
         keys, place = np.unique(flat_lists(table["_keys"]), return_inverse=True)
         total = np.zeros(len(keys), np.int64)
         own = flat_lists(table["_values"])
@@ -218,10 +226,9 @@ def _class_counts(words: np.ndarray):
         found, number = [], []
         for batch in batches:
             for i in range(batch.num_rows):
-                size = numbers(batch["n_tokens"], i)
-                cls = model.classes(numbers(batch["words"], i).view(np.uint64)).astype(np.int64)[numbers(batch["tokens"], i)]
+                words, tokens, size, train = opened(batch, i)
+                cls = model.classes(words).astype(np.int64)[tokens]
                 first = np.cumsum(size) - size
-                train = np.repeat(~np.array(batch["held"][i].as_py(), bool), size)
                 a, b = contexts(cls, first, k - 1)
                 pair = (b * k + cls)[train]
                 two += np.bincount(pair, minlength=k * k)
@@ -271,10 +278,9 @@ def _score(parts: int, bits: int, n: int, figures: np.ndarray, model):
         out = []
         replies = unpack_lists(replies, "_answers")
         for i in range(chunk.num_rows):
-            words, tokens, size = numbers(chunk["words"], i).view(np.uint64), numbers(chunk["tokens"], i), numbers(chunk["n_tokens"], i)
-            train = np.repeat(~np.array(chunk["held"][i].as_py(), bool), size)
+            words, tokens, size, train = opened(chunk, i)
             (two, at_two), (three, at_three) = (np.unique(g, return_inverse=True) for g in grams(words, tokens, size, bits))
-            own = [numbers(chunk["counts"], i), *(np.bincount(at[train], minlength=len(k)) for k, at in ((two, at_two), (three, at_three)))]
+            own = [expand(chunk["counts"][i].as_py()), *(np.bincount(at[train], minlength=len(k)) for k, at in ((two, at_two), (three, at_three)))]
             total = np.concatenate(own) + aligned(np.concatenate((words, two, three)), parts, replies, range_of)
             c, c_two, c_three = np.split(total, np.cumsum((len(words), len(two))))
             first = np.cumsum(size) - size
@@ -301,8 +307,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     held = F.coalesce(doc_crc(key) % folds == held_fold, F.lit(False))
     rows = df.select(key.cast("long").alias("_id"), held.alias("_held"), F.col(f"`{text_col}`").alias("_text"))
     read = stored(rows.mapInArrow(tidy(_read), _CHUNKS))
-    total = lambda c: F.coalesce(F.sum(F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))
-    n, tokens = read.select(total("counts"), total("n_tokens")).first()
+    n, tokens = read.select(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_train", "n_all")]).first()
     parts = max(partitions(spark), -(-3 * tokens // PART_KEYS))
     bits = gram_bits(tokens)
     least = max(1, int(np.ceil(n * CLASS_SHARE)))
@@ -310,7 +315,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     replies = stored(ask(questions, parts, _totals(least), PACKED_ANSWER))
     figures, words = np.zeros(5, np.int64), []
     for r in replies.where("_chunk = -1").select("_answers").collect():  # a row for each part, at most 251 words in all
-        a = numbers(unpack_lists(pa.table({"_answers": [bytes(r["_answers"])]}), "_answers")["_answers"])
+        a = expand(bytes(r["_answers"]))
         figures += a[:5]
         words.append(a[5:5 + (len(a) - 5) // 2])
     words = np.sort(np.concatenate(words).view(np.uint64)) if words else np.zeros(0, np.uint64)

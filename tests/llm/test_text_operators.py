@@ -432,8 +432,9 @@ def test_packed_lists_round_trip():
 
     lists = [[], [1, -1, 1 << 62, -(1 << 63)], [0] * 1000]
     t = pa.table({"a": pa.array(lists, pa.list_(pa.int64())), "b": [1, 2, 3]})
-    packed = pack_lists(t, "a")
-    assert packed["a"].type == pa.binary() and unpack_lists(packed, "a")["a"].to_pylist() == lists
+    for up in (False, True):
+        packed = pack_lists(t, "a", ascending=up)
+        assert packed["a"].type == pa.binary() and unpack_lists(packed, "a", ascending=up)["a"].to_pylist() == lists
     assert unpack_lists(pack_lists(t.slice(0, 0), "a"), "a").num_rows == 0
 
 
