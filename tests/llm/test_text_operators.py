@@ -264,6 +264,36 @@ def test_packing_prefers_neighbours():
     assert np.mean([len(x) == 1 for x in seqs.values()]) > 0.7
 
 
+def test_packing_finds_neighbours_at_any_size(spark, docs):
+    """Two documents of each of 200 topics, each about half a window: shards of a few tails keep most of what one index finds."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghiklmnoprstuw") for _ in range(r.randrange(3, 9)))
+    common = [word() for _ in range(300)]
+    topics = [[word() for _ in range(20)] for _ in range(200)]
+    text = lambda i: " ".join(r.choice(topics[i]) if r.random() < 0.5 else r.choice(common) for _ in range(140))
+    rows = [(2 * i + k, text(i)) for i in range(200) for k in (0, 1)]
+    r.shuffle(rows)
+
+    def together(shard_rows):
+        where = defaultdict(set)
+        for x in packing.pack(docs(rows), shard_rows=shard_rows).collect():
+            where[x.doc_id].add(x.sequence_id)
+        return sum(bool(where[2 * i] & where[2 * i + 1]) for i in range(200))
+    whole = together(400)
+    assert whole >= 140 and together(20) >= 0.8 * whole
+
+
+def test_bm25_by_brute_force():
+    r = random.Random(2)
+    tails = [np.array([min(29, int(r.expovariate(0.15))) for _ in range(r.randrange(1, 40))]) for _ in range(50)]
+    n, df, mean = len(tails), Counter(t for x in tails for t in set(x.tolist())), sum(map(len, tails)) / len(tails)
+    index = packing.Index(tails)
+    for i in range(n):
+        want = [sum(max(0, math.log((n - df[t] + 0.5) / (df[t] + 0.5))) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(x) / mean))
+                    for t, c in Counter(x.tolist()).items() if t in tails[i]) for x in tails]
+        assert np.allclose(index.scores(i), want)
+
+
 def test_fingerprints(spark, docs):
     rows = [r for r in sample(9) if r[0] is not None and r[0] != 504] + [(-5, "é" * 4000 + "x"), (800, "short")]
     got = {r.doc_id: r for r in fingerprints.fingerprint_pairs(docs(rows)).collect()}
