@@ -103,9 +103,19 @@ def read_tail(raw: bytes, size: int, window: int) -> np.ndarray:
 
 def term_counts(tails: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(tail, term, how often) by tail, then term."""
-    doc = np.repeat(np.arange(len(tails)), [len(t) for t in tails])
-    key, tf = np.unique(doc << 32 | np.concatenate([np.zeros(0, np.int64), *tails]).astype(np.int64), return_counts=True)
-    return key >> 32, key & 0xFFFFFFFF, tf
+    term = np.concatenate([np.zeros(0, np.uint16), *tails])
+    kind, shift = (np.uint32, 16) if len(tails) <= 1 << 16 and term.max(initial=0) < 1 << 16 else (np.uint64, 32)  # half as long keys sort faster
+    key = np.repeat(np.arange(len(tails), dtype=kind), [len(t) for t in tails]) << kind(shift) | term.astype(kind)
+    key.sort()
+    first = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+    tf = np.diff(np.append(first, len(key)))
+    key = key[first]
+    return (key >> kind(shift)).astype(np.int64), (key & kind((1 << shift) - 1)).astype(np.int64), tf
+
+
+def by_value(x: np.ndarray) -> np.ndarray:
+    """The stable order of whole numbers from 0; short ones are sorted by their digits."""
+    return np.argsort(x.astype(np.uint16) if x.max(initial=0) < 1 << 16 else x, kind="stable")
 
 
 def bm25(idf: np.ndarray, tf: np.ndarray, length: np.ndarray, mean: float) -> np.ndarray:
@@ -205,14 +215,18 @@ class Index:
         n = len(tails)
         sizes = np.array([len(t) for t in tails])
         doc, term, tf = term_counts(tails)
-        self.terms, inverse, df = np.unique(term, return_inverse=True, return_counts=True)
+        order = by_value(term)
+        first = np.flatnonzero(np.diff(term[order], prepend=-1))
+        self.terms, df = term[order[first]], np.diff(np.append(first, len(order)))
+        inverse = np.empty(len(term), np.int64)
+        inverse[order] = np.repeat(np.arange(len(first)), df)
         idf = idf_of(df, n) if idf is None else idf[self.terms]
         weight = bm25(idf[inverse], tf, sizes[doc], sizes.mean() if mean is None else mean)
         keep = weight > 0
         doc, inverse, weight = doc[keep], inverse[keep], weight[keep]
         self.of_doc = np.searchsorted(doc, np.arange(n + 1))  # doc's terms are term[of_doc[i]:of_doc[i + 1]]
         self.doc_terms = inverse
-        order = np.argsort(inverse, kind="stable")
+        order = by_value(inverse)
         self.first = np.searchsorted(inverse[order], np.arange(len(self.terms) + 1))
         self.post_doc, self.post_weight, self.n = doc[order], weight[order], n
 
