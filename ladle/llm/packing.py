@@ -152,11 +152,14 @@ def _mark(window: int, stats):
             doc, term, tf = term_counts(tails)
             weight = np.round(1000 * bm25(idf[term], tf, np.array([len(t) for t in tails])[doc], mean)).astype(np.int64)
             use = np.flatnonzero((weight > 0) & (df[term] > 1))
-            order = use[np.lexsort((term[use], -weight[use], doc[use]))]
-            place = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
-            order = order[place < HEAVY]
-            at = pa.array(np.searchsorted(doc[order], np.arange(batch.num_rows + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(at, pa.array(x[order], pa.int32())) for x in (term, weight)]
+            # one sort by tail, weight (heaviest first) and term: 20 bits for the rows of a batch, 24 for weights, 20 for token ids
+            most = np.int64((1 << 24) - 1)
+            order = np.sort((doc[use] << 44 | (most - weight[use]) << 20 | term[use]).view(np.uint64)).view(np.int64)
+            doc, weight, term = order >> 44, most - (order >> 20 & most), order & ((1 << 20) - 1)
+            top = np.arange(len(doc)) - np.searchsorted(doc, np.arange(batch.num_rows))[doc] < HEAVY
+            doc, weight, term = doc[top], weight[top], term[top]
+            at = pa.array(np.searchsorted(doc, np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, pa.array(x, pa.int32())) for x in (term, weight)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *lists], [*batch.schema.names, "_terms", "_weights"])
     return run
 
