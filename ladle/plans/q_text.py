@@ -116,19 +116,41 @@ def q_band(spark, sf):
     return finish(r.select("restaurant_id", reliability_band("reliability_score").alias("band")))
 
 
+#: A request of every delivery, with values on both sides of each of the ten rules and blanks.
+REQUEST = {
+    "distance_km": "CASE WHEN order_id % 50 = 0 THEN NULL ELSE time_taken_min / 10 END",
+    "traffic_level": "CASE WHEN order_id % 7 = 0 THEN 4 ELSE order_id % 4 END",
+    "delivery_person_age": "courier_age",
+    "delivery_person_rating": "CASE WHEN order_id % 11 = 0 THEN 0 WHEN order_id % 12 = 0 THEN NULL ELSE 1 + order_id % 5 END",
+    "vehicle_condition": "CASE WHEN order_id % 13 = 0 THEN 4 ELSE order_id % 4 END",
+    "budget": "CASE WHEN order_id % 17 = 0 THEN -1 WHEN order_id % 3 = 0 THEN NULL ELSE order_id % 3 - 1 END",
+    "top_n": "CASE WHEN order_id % 19 = 0 THEN 51 ELSE order_id % 51 END",
+    "priority": "CASE WHEN order_id % 23 = 0 THEN 'fast' WHEN order_id % 2 = 0 THEN 'speed' ELSE 'quality' END",
+    "role": "CASE WHEN order_id % 29 = 0 THEN 'system' ELSE 'user' END",
+    "message": "CASE WHEN order_id % 31 = 0 THEN '' WHEN order_id % 37 = 0 THEN repeat('x', 2001) ELSE repeat('x', 2000) END",
+}
+_BROKEN = {
+    "distance_km must be in (0, 100]": "distance_km IS NULL OR distance_km <= 0 OR distance_km > 100",
+    "traffic_level must be 0-3": "traffic_level < 0 OR traffic_level > 3",
+    "delivery_person_age must be 18-70": "delivery_person_age < 18 OR delivery_person_age > 70",
+    "delivery_person_rating must be 1-5": "delivery_person_rating < 1 OR delivery_person_rating > 5",
+    "vehicle_condition must be 0-3": "vehicle_condition < 0 OR vehicle_condition > 3",
+    "budget must be >= 0": "budget < 0",
+    "top_n must be 1-50": "top_n < 1 OR top_n > 50",
+    "priority must be balanced, speed or quality": "priority NOT IN ('balanced', 'speed', 'quality')",
+    "role must be user or assistant": "role NOT IN ('user', 'assistant')",
+    "message must be 1-2000 characters": "length(message) NOT BETWEEN 1 AND 2000",
+}
+
+
 @register("validate_requests", ds(
-    """SELECT order_id AS request_id, CAST(n AS BIGINT) AS n_reasons, n = 0 AS valid FROM (SELECT order_id,
- (CASE WHEN d IS NULL OR NOT (d > 0 AND d <= 100) THEN 1 ELSE 0 END)
- + (CASE WHEN t IS NOT NULL AND NOT (t BETWEEN 0 AND 3) THEN 1 ELSE 0 END)
- + (CASE WHEN a IS NOT NULL AND NOT (a BETWEEN 18 AND 70) THEN 1 ELSE 0 END) AS n
- FROM (SELECT order_id, CASE WHEN order_id % 50 = 0 THEN NULL ELSE time_taken_min / 10 END AS d,
-   CASE WHEN order_id % 7 = 0 THEN 4 ELSE order_id % 4 END AS t, courier_age AS a FROM deliveries_clean))"""))
+    "SELECT request_id, concat_ws('; ', " + ", ".join(f"CASE WHEN {bad} THEN '{text}' END" for text, bad in _BROKEN.items())
+    + ") AS reasons, CAST(" + " + ".join(f"CASE WHEN {bad} THEN 1 ELSE 0 END" for bad in _BROKEN.values())
+    + " AS BIGINT) AS n_reasons, NOT (" + " OR ".join(f"coalesce({bad}, false)" for bad in _BROKEN.values()) + ") AS valid FROM (SELECT order_id AS request_id, "
+    + ", ".join(f"{e} AS {c}" for c, e in REQUEST.items()) + " FROM deliveries_clean)"))
 def q_validate(spark, sf):
+    """K8: every rule, with the reasons of each rejected request."""
     from ladle.plans.common import deliveries
-    d = deliveries(spark, sf).select(
-        F.col("order_id").alias("request_id"),
-        F.when(F.col("order_id") % 50 == 0, F.lit(None)).otherwise(F.col("time_taken_min") / 10).alias("distance_km"),
-        F.when(F.col("order_id") % 7 == 0, F.lit(4)).otherwise(F.col("order_id") % 4).alias("traffic_level"),
-        F.col("courier_age").alias("delivery_person_age"))
+    d = deliveries(spark, sf).select(F.col("order_id").alias("request_id"), *[F.expr(e).alias(c) for c, e in REQUEST.items()])
     v = K.validate_requests(d)
-    return finish(v.select("request_id", F.size("reasons").alias("n_reasons"), "valid"))
+    return finish(v.select("request_id", F.array_join("reasons", "; ").alias("reasons"), F.size("reasons").alias("n_reasons"), "valid"))
