@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.plans.scale import exact_quantiles, top_k_per_group, with_stats
+from ladle.plans.scale import exact_quantiles, materialize, top_k_per_group, with_stats
 
 
 def bayesian_rating(df: DataFrame, rate: str = "rate", votes: str = "votes", out: str = "bayesian_rating",
@@ -171,44 +171,32 @@ def request_key(cols: Sequence[str]) -> Column:
 
 
 def recommend_batch(requests: DataFrame, df: DataFrame, content_cols: Sequence[str],
-                    id_col: str = "restaurant_id", max_broadcast: int = 20000, cf: DataFrame | None = None) -> DataFrame:
+                    id_col: str = "restaurant_id", cf: DataFrame | None = None) -> DataFrame:
     """H9: H8 for a table of requests (request_id, cuisine, budget, area,
     priority, top_n). Identical requests are computed once (hash of the sorted
     request JSON), then joined back to every request id. ``cf`` holds the
     collaborative scores (H6); ``top_n`` is honoured as given (null: 5; the
     request rules of K8 reject numbers outside 1-50 beforehand).
 
-    The containment filters make this a predicate join. The distinct request
-    table is broadcast only in chunks of at most ``max_broadcast`` rows, counted
-    first, so what is broadcast has a checked size whatever the request
-    volume. Per-request min-max statistics use groupBy on the request key, and
-    the top n per request uses the salted two-round top-k.
+    Containment is an equi-join on each request's rarest gram (``match_requests``),
+    so what a request meets follows what it asks for; nothing is broadcast by
+    hint. The matches are stored once for the per-request min-max (a groupBy on
+    the request key) and the top n (salted two-round top-k).
     """
     fields = ["cuisine", "budget", "area", "priority", "top_n"]
+    from ladle.operators.matching import match_requests
     req = requests.withColumn("request_key", request_key(fields))
     uniq = req.select("request_key", *fields).dropDuplicates(["request_key"])
-    n_uniq = uniq.count()
     prof = df.sparkSession.createDataFrame(list(HYBRID_PROFILES), "priority string, wc double, wf double, wr double, wb double")
     uniq = (uniq.join(F.broadcast(prof), "priority", "left")  # at most 3 profile rows
             .withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in
-                          zip(["wc", "wf", "wr", "wb"], hybrid_weights("balanced"))})
-            .withColumn("_chunk", F.pmod(F.xxhash64("request_key"), F.lit(max(1, -(-n_uniq // max_broadcast))))))
+                          zip(["wc", "wf", "wr", "wb"], hybrid_weights("balanced"))}))
     cos = cosine_to_centroid(df, content_cols, over=df, out="_cos")
     rel = F.coalesce(F.col("reliability_score"), F.lit(0.5)) if "reliability_score" in df.columns else F.lit(0.5)
     base = cf_score(cos.withColumns({"reliability_score_display": rel, "bayesian_norm": F.col("bayesian_rating") / 5.0}), cf, id_col)
-    match = (
-        (F.col("cuisine").isNull() | (F.col("cuisine") == "") | holds(F.col("cuisines"), F.col("cuisine")))
-        & (F.col("budget").isNull() | (F.col("budget") == 0) | F.coalesce(F.col("cost_for_two") <= F.col("budget"), F.lit(False)))
-        & (F.col("area").isNull() | (F.col("area") == "") | holds(F.col("location"), F.col("area")))
-    )
-    parts = []
-    n_chunks = max(1, -(-n_uniq // max_broadcast))
-    for c in range(n_chunks):
-        chunk = uniq.where(F.col("_chunk") == c).drop("_chunk")
-        parts.append(base.join(F.broadcast(chunk), match, "inner"))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    cand = match_requests(uniq, "request_key", base, [("cuisine", "cuisines"), ("area", "location")], id_col)
+    cand = materialize(cand.where(F.col("budget").isNull() | (F.col("budget") == 0)
+                                  | F.coalesce(F.col("cost_for_two") <= F.col("budget"), F.lit(False))))
     cand = minmax_within(cand, "_cos", keys=["request_key"], out="content_score")
     cand = cand.withColumn("combined_score", F.col("wc") * F.col("content_score") + F.col("wf") * F.col("cf_score")
                            + F.col("wr") * F.col("reliability_score_display") + F.col("wb") * F.col("bayesian_norm"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ladle.config import DEFAULTS
 from ladle.dims import CITY_CENTRE
 from ladle.functions.geo import haversine_km
-from ladle.operators.recommend import holds
+from ladle.operators.matching import match_requests
 from ladle.plans.scale import top_k_per_group
 
 # ---- FIXED VALUES: intent rules, checked in this order ----------------------
@@ -86,46 +86,24 @@ def eta_minutes(lat: Column, lon: Column) -> Column:
     return F.bround(F.greatest(F.lit(10.0), km * 3 + 15), 0).cast("bigint")
 
 
-def contains_lookup(queries: DataFrame, qcol: str, table: DataFrame, tcol: str, id_col: str,
-                    max_broadcast: int = 20000) -> DataFrame:
+def contains_lookup(queries: DataFrame, qcol: str, table: DataFrame, tcol: str, id_col: str) -> DataFrame:
     """For every distinct query text: the row of ``table`` with the lowest
     ``id_col`` whose ``tcol`` contains it (case-insensitive), or nothing.
 
-    Exact and pair-free for texts of 3+ characters: every containing name
-    holds every trigram of the query, so each query joins only on its rarest
-    trigram (frequencies from one groupBy) and the match is then verified.
-    Shorter texts (a bounded vocabulary) go through a counted, chunked
-    broadcast predicate join.
+    Exact for texts of any length: a query meets only the names with its
+    rarest gram (``match_requests``). An empty text is held by every name.
     """
     q = queries.select(F.lower(F.col(qcol)).alias("_q")).where(F.col("_q").isNotNull()).distinct()
-    t = table.select(F.col(id_col), F.lower(F.col(tcol)).alias("_n"))
-    gram = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))),
-                                 lambda i: F.substring(c, i, 3))
-    tg = t.where(F.length("_n") >= 3).select(id_col, "_n", F.explode(F.array_distinct(gram(F.col("_n")))).alias("g"))
-    freq = tg.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
-    long_q = q.where(F.length("_q") >= 3)
-    qg = long_q.select("_q", F.explode(F.array_distinct(gram(F.col("_q")))).alias("g")).join(freq, "g", "left")
-    rare = qg.groupBy("_q").agg(F.min_by("g", F.struct(F.coalesce("f", F.lit(0)), F.col("g"))).alias("g"))
-    cand = rare.join(tg, "g").where(F.col("_n").contains(F.col("_q")))
-    hits = cand.groupBy("_q").agg(F.min(id_col).alias(id_col))
-    short = q.where(F.length("_q") < 3)
-    n_short = short.count()
-    if n_short:
-        chunks = max(1, -(-n_short // max_broadcast))
-        short = short.withColumn("_c", F.pmod(F.xxhash64("_q"), F.lit(chunks)))
-        for c in range(chunks):
-            part = t.join(F.broadcast(short.where(F.col("_c") == c).select("_q")), F.col("_n").contains(F.col("_q")))
-            hits = hits.unionByName(part.groupBy("_q").agg(F.min(id_col).alias(id_col)))
-    return hits
+    t = table.select(F.col(id_col), F.col(tcol).alias("_n")).where(F.col("_n").isNotNull())
+    return match_requests(q, "_q", t, [("_q", "_n")], id_col).groupBy("_q").agg(F.min(id_col).alias(id_col))
 
 
-def answer_messages(messages: DataFrame, restaurants: DataFrame, id_col: str = "restaurant_id",
-                    max_broadcast: int = 20000) -> DataFrame:
+def answer_messages(messages: DataFrame, restaurants: DataFrame, id_col: str = "restaurant_id") -> DataFrame:
     """K5: the rule-based reply to every message.
 
     K4 gives intent and parameters; distinct search requests are matched
-    against the restaurants with a counted, chunked broadcast of the request
-    keys (top 5 per request by id, salted), name lookups use
+    against the restaurants through their rarest grams (``match_requests``; top
+    5 per request by id, salted), name lookups use
     ``contains_lookup``; the replies are assembled with ``format_string``
     templates. Returns (conv_id, turn, intent, response)."""
     c = classify_intent(messages)
@@ -143,21 +121,10 @@ def answer_messages(messages: DataFrame, restaurants: DataFrame, id_col: str = "
     from ladle.plans.scale import materialize
     c = materialize(c)
     keys = c.where(F.col("_skey").isNotNull()).select("_skey", "intent", "_cuisine", "_area", "_budget").dropDuplicates(["_skey"])
-    n_keys = keys.count()
     r = restaurants
-    match = (
-        (F.col("_cuisine").isNull() | holds(F.col("cuisines"), F.col("_cuisine")))
-        & (F.col("_area").isNull() | holds(F.col("location"), F.col("_area")))
-        & (F.col("_budget").isNull() | (F.col("_budget") == 0) | F.coalesce(F.col("cost_for_two") <= F.col("_budget"), F.lit(False)))
-    )
-    parts = []
-    chunks = max(1, -(-n_keys // max_broadcast))
-    kc = keys.withColumn("_c", F.pmod(F.xxhash64("_skey"), F.lit(chunks)))
-    for i in range(chunks):
-        parts.append(r.join(F.broadcast(kc.where(F.col("_c") == i).drop("_c")), match))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
+    found = match_requests(keys, "_skey", r, [("_cuisine", "cuisines"), ("_area", "location")], id_col)
+    found = found.where(F.col("_budget").isNull() | (F.col("_budget") == 0)
+                        | F.coalesce(F.col("cost_for_two") <= F.col("_budget"), F.lit(False)))
     top = top_k_per_group(found, ["_skey"], [F.asc(id_col)], 5)
     num = lambda col: F.col(col).cast("string")
     line = F.when(F.col("intent") == "search",
