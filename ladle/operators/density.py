@@ -114,7 +114,7 @@ def dbscan_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: floa
     raw = points.select(F.col(id_col), *[F.col(c).cast("double").alias(n) for c, n in zip(cols, ("x", "y"))]).where("x IS NOT NULL AND y IS NOT NULL")
     p = raw.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     # ids by rank: two places never share one
-    p = global_rank(p.withColumn("_h", F.xxhash64("x", "y").cast("double")), [], "_h", "x", descending=False, rank_col="id", tiebreak=["y"]).drop("_h")
+    p = global_rank(p.withColumn("_h", F.xxhash64("x", "y").cast("double")), [], "_h", "x", descending=False, rank_col="id", tiebreak=["y"], split_ties=False).drop("_h")
     side = eps / math.sqrt(2) * (1 - 1e-9)  # a cell's corners are within eps of each other whatever is rounded
     p = p.withColumns({"cx": F.floor(F.col("x") / side).cast("long"), "cy": F.floor(F.col("y") / side).cast("long")})
     p = materialize(p.withColumn("id", F.col("id").cast("long")))
@@ -136,6 +136,6 @@ def dbscan_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: floa
     border = seen.join(of_core.withColumnRenamed("id", "id2"), "id2").groupBy("id1").agg(F.min("label").alias("nearby"))
     lab = p.select("id", "x", "y").join(of_core, "id", "left").join(border.withColumnRenamed("id1", "id"), "id", "left")
     lab = lab.select("x", "y", F.coalesce("label", "nearby").alias("label"))
-    numbers = global_rank(label.select("label").distinct(), [], "label", "label", descending=False, rank_col="cluster")
+    numbers = global_rank(label.select("label").distinct(), [], "label", "label", descending=False, rank_col="cluster", split_ties=False)
     lab = lab.join(numbers.select("label", (F.col("cluster") - 1).cast("bigint").alias("cluster")), "label", "left")
     return raw.join(lab.select("x", "y", F.coalesce("cluster", F.lit(-1).cast("bigint")).alias("cluster")), ["x", "y"]).select(id_col, "cluster")

@@ -291,10 +291,10 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str, cols
     base_mae = base.select("mae")
     rows = []
     # orders from a hash of the key: the same after a lost task
-    src = global_rank(df.withColumn("_r", F.xxhash64(F.col(key), F.lit(seed))), [], "_r", key, descending=False, rank_col="_a")
+    src = global_rank(df.withColumn("_r", F.xxhash64(F.col(key), F.lit(seed))), [], "_r", key, descending=False, rank_col="_a", split_ties=False)
     for i, c in enumerate(cols):
         donor = global_rank(df.withColumn("_r2", F.xxhash64(F.col(key), F.lit(seed + i + 1))), [], "_r2", key, descending=False,
-                            rank_col="_a").select("_a", F.col(c).alias("_donor"))
+                            rank_col="_a", split_ties=False).select("_a", F.col(c).alias("_donor"))
         shuffled = src.join(donor, "_a").withColumn(c, F.col("_donor")).drop("_donor", "_a", "_r")
         m = regression_metrics(model.transform(shuffled).select(F.col(label).alias("actual"), "prediction"))
         rows.append(m.select(F.lit(c).alias("feature"), F.col("mae").alias("mae_shuffled")))

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 DEFAULT_BUCKETS = 256
 APPROX_ACCURACY = 10000
@@ -73,6 +74,40 @@ def count_below(sorted_arr, v, n: int):
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
+def _bucketed(df: DataFrame, keys: Sequence[str], order_col: str, tiebreak: Sequence[str], buckets: int) -> DataFrame:
+    """Add ``_bk``, the bucket of each row: at most ``buckets`` per key, in the order of (order_col, first tiebreak).
+
+    Equal neighbours among a key's bounds mark a value of many rows. It has as
+    many buckets as bounds, the ones after its first being empty otherwise;
+    quantiles of the tiebreak among its rows cut it into those."""
+    qs = [i / buckets for i in range(1, buckets)]
+    cut = lambda c: F.percentile_approx(c, qs, APPROX_ACCURACY)
+
+    def put(x, t):
+        if keys:
+            return join_on(x, t, keys, "left")
+        return with_stats(x, t, "_row").withColumns({c: F.col("_row")[c] for c in t.columns}).drop("_row")
+
+    value = F.col(order_col).cast("double")
+    bounds = df.groupBy(*keys).agg(cut(value).alias("_bounds"))
+    split = bool(tiebreak) and isinstance(df.schema[tiebreak[0]].dataType, NumericType)
+    if not split:
+        return put(df, bounds).withColumn("_bk", count_below(F.col("_bounds"), value, len(qs))).drop("_bounds")
+    bounds = bounds.withColumn("_same", F.transform("_bounds", lambda b: F.size(F.filter("_bounds", lambda c: c == b))))
+    tie = F.coalesce(F.col(tiebreak[0]).cast("double"), F.lit(float("-inf")))
+    x = put(df, bounds).withColumn("_bk", count_below(F.col("_bounds"), value, len(qs)))
+    x = x.withColumn("_same", F.when(F.get("_bounds", F.col("_bk")) == value, F.get("_same", F.col("_bk"))))
+    x = x.withColumn("_same", F.coalesce("_same", F.lit(1))).drop("_bounds")
+    ties = x.where("_same > 1").groupBy(*keys, "_bk").agg(F.max("_same").alias("_same"), cut(tie).alias("_cuts"))
+    ties = ties.select(*keys, F.explode(F.transform(F.sequence(F.lit(1), F.col("_same") - 1), lambda i: F.struct(
+        "_bk", F.element_at("_cuts", F.floor(i * buckets / F.col("_same")).cast("int")).alias("_cut")))).alias("_tie"))
+    ties = ties.groupBy(*keys).agg(F.array_sort(F.collect_list("_tie")).alias("_ties"))  # fewer than ``buckets`` entries
+    x = put(x, ties)
+    before = lambda v: count_below(F.col("_ties"), F.struct(F.col("_bk").alias("_bk"), v.alias("_cut")), len(qs))
+    inside = before(tie) - before(F.lit(float("-inf")))
+    return x.withColumn("_bk", F.when(F.col("_same") > 1, F.col("_bk") + inside).otherwise(F.col("_bk"))).drop("_same", "_ties")
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -81,26 +116,20 @@ def running_total(
     tiebreak: Sequence[str] = (),
     buckets: int | None = None,
     suffix: str = "_cum",
+    split_ties: bool = True,
 ) -> DataFrame:
     """Add inclusive running sums ``<v><suffix>`` per ``keys`` ordered by
     ``order_col`` (then ``tiebreak``), without a whole key in one task.
 
-    Rows with equal ``order_col`` always land in the same bucket, so ordering
-    by (order_col, tiebreak) inside a bucket is globally consistent.
+    A value that holds several buckets' worth of rows is split by the first
+    tiebreak, where that is numeric; all other rows with equal ``order_col``
+    share a bucket. So ordering by (order_col, tiebreak) inside a bucket is
+    globally consistent. ``split_ties=False`` saves a pass over ``df`` where
+    ties are rare by construction (an order by a hash).
     """
     keys = list(keys)
     buckets = buckets or bucket_count(df.sparkSession)
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = df.groupBy(*keys).agg(
-        F.percentile_approx(F.col(order_col).cast("double"), qs, APPROX_ACCURACY).alias("_bounds")
-    ) if keys else df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, APPROX_ACCURACY).alias("_bounds"))
-    if keys:
-        x = join_on(df, bounds, keys)
-    else:
-        b = one_row(bounds)
-        x = df.withColumn("_bounds", b["_bounds"])
-    oc = F.col(order_col).cast("double")
-    x = x.withColumn("_bk", count_below(F.col("_bounds"), oc, len(qs))).drop("_bounds")
+    x = _bucketed(df, keys, order_col, tiebreak if split_ties else (), buckets)
     part = x.groupBy(*keys, "_bk").agg(*[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
     # exclusive prefix over the bucket totals of each key: at most ``buckets``
     # entries per key, so one bounded array per key replaces a window
@@ -234,9 +263,9 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k, salt
 
 
 def global_rank(df: DataFrame, keys: Sequence[str], score: str, id_col: str, descending: bool = True,
-                rank_col: str = "rank", tiebreak: Sequence[str] = ()) -> DataFrame:
+                rank_col: str = "rank", tiebreak: Sequence[str] = (), split_ties: bool = True) -> DataFrame:
     """1-based rank of every row per ``keys`` by ``score`` (ties by ``id_col``),
     through ``running_total`` so no key is ranked inside one task."""
     x = df.withColumn("_ord", -F.col(score) if descending else F.col(score)).withColumn("_one", F.lit(1))
-    r = running_total(x, keys, "_ord", ["_one"], tiebreak=[id_col, *tiebreak])
+    r = running_total(x, keys, "_ord", ["_one"], tiebreak=[id_col, *tiebreak], split_ties=split_ties)
     return r.withColumnRenamed("_one_cum", rank_col).drop("_ord", "_one")

@@ -167,6 +167,6 @@ def upsert_by_name(target: DataFrame, batch: DataFrame, seq_col: str, now_col=No
     old = merged.where(~F.col("_new")).drop("_new", "_nn")
     new = merged.where(F.col("_new"))
     # ids by rank: unique, and the same on a re-run; ordered within buckets of a hash, never all in one task
-    new = global_rank(new.withColumn("_o", F.xxhash64("_nn").cast("double")), [], "_o", "_nn", descending=False, rank_col="_rank")
+    new = global_rank(new.withColumn("_o", F.xxhash64("_nn").cast("double")), [], "_o", "_nn", descending=False, rank_col="_rank", split_ties=False)
     new = new.withColumn("restaurant_id", mid + F.col("_rank")).drop("_new", "_nn", "_o", "_rank")
     return old.unionByName(new)

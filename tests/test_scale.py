@@ -53,3 +53,30 @@ def test_many_buckets(spark):
     df, pdf = skewed(spark)
     one = exact_quantiles(df, ["k"], "v", [0.5], buckets=1024).where("k = 0").first()
     assert abs(one["q0"] - np.median(pdf[pdf.k == 0]["v"])) < 1e-9
+
+
+def test_ties_are_split_over_buckets(spark):
+    """One value for all rows of a key, for most rows of another, and for the null key; ranks stay exact."""
+    from ladle.plans.scale import _bucketed
+    rng = np.random.default_rng(5)
+    n = 4000
+    pdf = pd.DataFrame({"id": rng.permutation(n) * 7 - 3000, "k": rng.choice(["a", "b", "c"], n)})
+    pdf["v"] = np.where(pdf.k == "a", 1.0, np.where((pdf.k == "b") & (rng.random(n) < 0.7), 5.0, rng.normal(0, 9, n).round(1)))
+    df = spark.createDataFrame(pdf).withColumn("k", F.when(F.col("k") != "c", F.col("k")))
+    for keys in (["k"], []):
+        g = global_rank(df, keys, "v", "id", descending=False).toPandas().set_index("id")["rank"]
+        order = pdf.sort_values(["v", "id"])
+        exp = (order.groupby("k").cumcount() if keys else pd.Series(range(n), index=order.index)) + 1
+        assert all(g.loc[pdf.id[i]] == r for i, r in exp.items())
+    most = _bucketed(df, ["k"], "v", ["id"], 16).where("k = 'a'").groupBy("_bk").count().agg(F.max("count"), F.count("*")).first()
+    assert most[1] == 15 and most[0] <= 2.1 * (pdf.k == "a").sum() / 16  # as many as a key has bounds
+    one = _bucketed(df.withColumn("w", F.lit(0.5)), [], "w", ["id"], 16).groupBy("_bk").count().agg(F.max("count"), F.count("*")).first()
+    assert one[1] == 15 and one[0] <= 2 * n / 16
+
+
+def test_null_and_text_tiebreaks(spark):
+    df = spark.createDataFrame([(None, 1.0, "x"), (3, 1.0, "y"), (1, 1.0, "z"), (2, 0.0, "w")], "id long, v double, s string")
+    by_id = running_total(df.withColumn("one", F.lit(1)), [], "v", ["one"], tiebreak=["id"], buckets=4)
+    assert {r["id"]: r["one_cum"] for r in by_id.collect()} == {2: 1, None: 2, 1: 3, 3: 4}
+    by_text = running_total(df.withColumn("one", F.lit(1)), [], "v", ["one"], tiebreak=["s"], buckets=4)
+    assert {r["s"]: r["one_cum"] for r in by_text.collect()} == {"w": 1, "x": 2, "y": 3, "z": 4}
