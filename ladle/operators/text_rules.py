@@ -189,7 +189,7 @@ def narrate(df: DataFrame, eta_col: str | None = None) -> DataFrame:
         .otherwise("lower reliability — consider alternatives"),
     ]
     if eta_col:
-        parts.append(F.when(F.col(eta_col).isNotNull(), F.format_string("~%.0f min delivery estimate", eta_col)))
+        parts.append(F.when(F.col(eta_col).isNotNull(), F.format_string("~%.0f min delivery estimate", F.col(eta_col).cast("double"))))
     return df.withColumn("narration", F.concat(F.concat_ws(" · ", *parts), F.lit(".")))
 
 

@@ -93,8 +93,7 @@ def q_answers(spark, sf):
     return finish(K.answer_messages(messages(spark, sf), stored_restaurants(spark, sf)))
 
 
-@register("narrate", rs(
-    """SELECT restaurant_id, concat(concat_ws(' · ', printf('**%s** — %s in **%s**', name, cuisines, location),
+_NARRATE = """SELECT restaurant_id, concat(concat_ws(' · ', printf('**%s** — %s in **%s**', name, cuisines, location),
  CASE WHEN rate >= 4.0 THEN printf('Highly rated (%s/5)', CAST(rate AS VARCHAR)) WHEN rate >= 3.0
    THEN printf('Decent rating (%s/5)', CAST(rate AS VARCHAR)) WHEN rate IS NOT NULL THEN printf('Average rating (%s/5)', CAST(rate AS VARCHAR)) END,
  CASE WHEN cost_for_two <= 300 THEN 'budget-friendly' WHEN cost_for_two <= 800 THEN 'moderately priced'
@@ -103,11 +102,31 @@ def q_answers(spark, sf):
    ELSE 'neutral customer sentiment' END,
  CASE WHEN coalesce(reliability_score, 0.5) >= 0.7 THEN 'high overall reliability'
    WHEN coalesce(reliability_score, 0.5) >= 0.4 THEN 'moderate reliability' ELSE 'lower reliability — consider alternatives' END), '.')
- AS narration FROM (SELECT srf.*, scen.avg_sentiment AS s FROM srf JOIN scen USING (restaurant_id))"""))
+ AS narration FROM (SELECT srf.*, scen.avg_sentiment AS s FROM srf JOIN scen USING (restaurant_id))"""
+
+
+@register("narrate", rs(_NARRATE))
 def q_narrate(spark, sf):
     return finish(K.narrate(stored_restaurants(spark, sf)).select("restaurant_id", "narration"))
 
 
+_ETA = f"round_even(greatest(10.0, {hav_sql('lat', 'lon', '12.97', '77.59')} * 3 + 15), 0)"
+_HAS = " AS narration FROM (SELECT srf.*, scen.avg_sentiment AS s FROM srf JOIN scen USING (restaurant_id))"
+
+
+@register("narrate_eta", rs(_NARRATE.replace(
+    "), '.')", ", CASE WHEN lat IS NOT NULL AND restaurant_id % 5 <> 0 THEN concat('~', CAST(CAST(" + _ETA
+    + " AS BIGINT) AS VARCHAR), ' min delivery estimate') END), '.')").replace(
+    _HAS, f" AS narration FROM (SELECT *, {_GLAT} AS lat, {_GLON} AS lon FROM (SELECT srf.*, scen.avg_sentiment AS s"
+    " FROM srf JOIN scen USING (restaurant_id)))")))
+def q_narrate_eta(spark, sf):
+    """K6 with the delivery estimate of K2; a restaurant without one (here every fifth) has no such part."""
+    r = stored_restaurants(spark, sf)
+    known = F.col("latitude").isNotNull() & (F.col("restaurant_id") % 5 != 0)
+    r = r.withColumn("eta", F.when(known, K.eta_minutes(F.col("latitude"), F.col("longitude"))))
+    return finish(K.narrate(r, "eta").select("restaurant_id", "narration"))
+
+
 @register("reliability_band", rs(
     """SELECT restaurant_id, CASE WHEN reliability_score >= 0.7 THEN 'high' WHEN reliability_score >= 0.4 THEN 'moderate'
  ELSE 'low' END AS band FROM srf"""))

@@ -94,3 +94,10 @@ def test_collaborative_model_fits_its_ratings(spark, sf):
     mean = it.agg(F.avg("rating").alias("m")).first()["m"]
     flat = it.agg(F.avg(F.abs(F.col("rating") - mean)).alias("e")).first()["e"]
     assert sum(r["mae"] * r["ratings"] for r in rows) / sum(users.values()) < 0.2 * flat
+
+
+def test_narration_with_and_without_estimate(spark, sf):
+    from ladle.plans.catalog import load_all
+    rows = load_all()["narrate_eta"][0](spark, sf).collect()
+    told = [r["narration"].endswith(" min delivery estimate.") for r in rows]
+    assert any(told) and not all(told)
