@@ -59,3 +59,23 @@ def test_clean_restaurants_shape(spark, sf):
     r = C.clean_restaurants(restaurants_raw(spark, sf))
     assert "cost_for_two" in r.columns
     assert r.where(F.col("rate").isNull() | F.col("cost_for_two").isNull() | F.col("cuisines").isNull()).count() == 0
+
+
+def test_texts_are_parsed_once_and_after_the_duplicates(spark):
+    from ladle.operators.clean import clean_deliveries, dedupe_rows, drop_missing_target  # noqa: F401
+    raw = spark.createDataFrame([(1, "25 min", 12.9, "No"), (1, "25 min", 12.9, "No"), (2, None, 12.9, None), (3, "500 min", 12.9, "x")],
+                                "order_id long, time_text string, restaurant_latitude double, festival string")
+    out = clean_deliveries(raw, checkpoint=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and plan[plan.rindex("Aggregate"):].count("RLIKE") == 0  # no filter on parsed text below the duplicates
+    assert [tuple(r) for r in out.collect()] == [(1, 25.0, 12.9, "No")]
+
+
+def test_thousandths_are_the_decimals(spark):
+    from pyspark.sql import functions as F
+
+    from ladle.sources.fixtures import _thousandths
+    x = spark.range(-300, 300).select(_thousandths(12900 + F.col("id") % 250).alias("a"), _thousandths(77500 + F.col("id") % 250).alias("c"),
+                                      F.expr("CAST(12.90 + (id % 250) / 1000.0 AS DOUBLE)").alias("b"),
+                                      F.expr("CAST(77.50 + (id % 250) / 1000.0 AS DOUBLE)").alias("d"))
+    assert x.where("a <> b OR c <> d").count() == 0
