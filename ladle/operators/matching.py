@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.operators.recommend import holds
+from ladle.plans.scale import running_total, top_k_per_group, with_stats
 
 GRAM = 3
 SALT_ROWS = 20_000
@@ -74,3 +75,34 @@ def match_requests(requests: DataFrame, key: str, table: DataFrame, texts: Seque
     for q, t in texts:
         pairs = pairs.where(F.col(q).isNull() | (F.col(q) == "") | holds(F.col(t), F.col(q)))
     return pairs
+
+
+def first_within(requests: DataFrame, key: str, limit: str, table: DataFrame, cost: str, id_col: str, k: int) -> DataFrame:
+    """(``key``, ``id_col``): the ``k`` smallest ids of ``table`` whose ``cost`` is at most a request's ``limit``.
+
+    A limit that is null or 0 lets every row pass; else a row without a cost fails. ``key`` is unique among the
+    requests, ``id_col`` in the table. No pair of a request and a row is made: a row goes to the smallest limit
+    that holds it, limits are numbered in order, and blocks of 1, 2, 4, ... limits keep their k smallest ids. The
+    limits up to a request's own are at most one block of each size."""
+    any_cost = F.col(limit).isNull() | (F.col(limit) == 0)
+    free = requests.where(any_cost).select(key).crossJoin(F.broadcast(table.select(id_col).orderBy(id_col).limit(k)))  # k rows
+    capped = requests.where(~any_cost).select(key, F.col(limit).cast("double").alias("_v"))
+    limits = capped.select("_v").distinct()
+    costs = table.select(id_col, F.col(cost).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    costs = top_k_per_group(costs, ["_v"], [F.asc(id_col)], k).drop("rank")
+    both = costs.withColumn("_is", F.lit(0)).unionByName(limits.withColumn("_is", F.lit(1)), allowMissingColumns=True)
+    at = running_total(both, [], "_v", ["_is"], tiebreak=["_is"])  # a row comes before a limit of its cost
+    ranked = at.where("_is = 1").select("_v", F.col("_is_cum").alias("_r"))
+    n = ranked.agg(F.coalesce(F.max("_r"), F.lit(0)).alias("n"))
+    rows = with_stats(at.where("_is = 0").select(id_col, F.col("_is_cum").alias("_at")), n, "_n").where(F.col("_at") < F.col("_n.n"))
+    rows = top_k_per_group(rows, ["_at"], [F.asc(id_col)], k).drop("rank")
+    sizes = F.sequence(F.lit(0), F.floor(F.log2(F.col("_n.n"))).cast("int"))
+    blocks = rows.select(id_col, F.explode(F.transform(sizes, lambda j: F.struct(
+        j.alias("_size"), F.call_function("shiftright", F.col("_at"), j).alias("_block")))).alias("_b")).select(id_col, "_b.*")
+    blocks = top_k_per_group(blocks, ["_size", "_block"], [F.asc(id_col)], k).drop("rank")
+    halves = lambda j: F.call_function("shiftright", F.col("_r"), j)
+    parts = F.filter(F.sequence(F.lit(0), F.floor(F.log2(F.col("_r"))).cast("int")), lambda j: halves(j) % 2 == 1)
+    wants = ranked.select("_v", F.explode(F.transform(parts, lambda j: F.struct(
+        j.alias("_size"), (halves(j) - 1).alias("_block")))).alias("_b")).select("_v", "_b.*")
+    found = top_k_per_group(wants.join(blocks, ["_size", "_block"]).select("_v", id_col), ["_v"], [F.asc(id_col)], k).drop("rank")
+    return capped.join(found, "_v").select(key, id_col).unionByName(free.select(key, id_col))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.config import DEFAULTS
 from ladle.dims import CITY_CENTRE
 from ladle.functions.geo import haversine_km
-from ladle.operators.matching import match_requests
+from ladle.operators.matching import first_within, match_requests
 from ladle.plans.scale import top_k_per_group
 
 # ---- FIXED VALUES: intent rules, checked in this order ----------------------
@@ -103,7 +103,8 @@ def answer_messages(messages: DataFrame, restaurants: DataFrame, id_col: str = "
 
     K4 gives intent and parameters; distinct search requests are matched
     against the restaurants through their rarest grams (``match_requests``; top
-    5 per request by id, salted), name lookups use
+    5 per request by id, salted), those with a budget alone through the order of
+    costs (``first_within``), name lookups use
     ``contains_lookup``; the replies are assembled with ``format_string``
     templates. Returns (conv_id, turn, intent, response)."""
     c = classify_intent(messages)
@@ -122,10 +123,17 @@ def answer_messages(messages: DataFrame, restaurants: DataFrame, id_col: str = "
     c = materialize(c)
     keys = c.where(F.col("_skey").isNotNull()).select("_skey", "intent", "_cuisine", "_area", "_budget").dropDuplicates(["_skey"])
     r = restaurants
-    found = match_requests(keys, "_skey", r, [("_cuisine", "cuisines"), ("_area", "location")], id_col)
+    # a request without a text passes by its budget alone; the others meet the rows with their rarest gram
+    texts = [("_cuisine", "cuisines"), ("_area", "location")]
+    open_ = F.col("_cuisine").isNull() & F.col("_area").isNull()
+    asked = r.select(id_col, "cuisines", "location", "cost_for_two")
+    found = match_requests(keys.where(~open_), "_skey", asked, texts, id_col)
     found = found.where(F.col("_budget").isNull() | (F.col("_budget") == 0)
-                        | F.coalesce(F.col("cost_for_two") <= F.col("_budget"), F.lit(False)))
-    top = top_k_per_group(found, ["_skey"], [F.asc(id_col)], 5)
+                        | F.coalesce(F.col("cost_for_two") <= F.col("_budget"), F.lit(False))).select("_skey", id_col)
+    found = top_k_per_group(found, ["_skey"], [F.asc(id_col)], 5).drop("rank").unionByName(
+        first_within(keys.where(open_), "_skey", "_budget", asked, "cost_for_two", id_col, 5))
+    top = found.join(r.select(id_col, "name", "rate", "cost_for_two", "location"), id_col).join(keys.select("_skey", "intent"), "_skey")
+    top = top.withColumn("rank", F.row_number().over(Window.partitionBy("_skey").orderBy(id_col))).where("rank <= 5")  # few rows a request
     num = lambda col: F.col(col).cast("string")
     line = F.when(F.col("intent") == "search",
                   F.format_string("- **%s** — %s/5 | ₹%s | %s", "name", num("rate"), num("cost_for_two"), "location")) \

@@ -50,3 +50,26 @@ def test_lookup_of_short_and_long_texts(spark):
     got = {r["_q"]: r["id"] for r in contains_lookup(q, "q", t, "cuisines", "id").collect()}
     assert got == {"t": 1, "ch": 1, "chinese": 1, "": 1}
     assert t.where(F.col("cuisines").isNull()).count() == 1
+
+
+def test_budgets_alone_meet_no_pairs_of_rows(spark):
+    import random
+
+    from ladle.operators.matching import first_within
+    rng = random.Random(1)
+    table = [(i, rng.choice([None, float("nan"), 0.0, -1.0, *[float(x) for x in range(0, 400, 7)]])) for i in range(3000)]
+    table += [(9000 + i, 1000.0 - i) for i in range(100)]  # ever cheaper with the id: nobody's first rows rule others out
+    limits = [None, 0.0, -5.0, 3.5, 1e9, *[float(x) for x in range(1, 420, 3)], *[900.0 + x for x in range(100)], 5.0, 5.0]
+    want = {}
+    for key, b in enumerate(limits):
+        fine = [i for i, c in table if b in (None, 0.0) or (c is not None and c <= b)]
+        want[key] = sorted(fine)[:5]
+    df = first_within(spark.createDataFrame(list(enumerate(limits)), "key long, budget double"), "key", "budget",
+                      spark.createDataFrame(table, "id long, cost double"), "cost", "id", 5)
+    got = {key: [] for key in want}
+    for r in df.collect():
+        got[r["key"]].append(r["id"])
+    assert {k: sorted(v) for k, v in got.items()} == want
+    none = first_within(spark.createDataFrame([], "key long, budget double"), "key", "budget",
+                        spark.createDataFrame(table, "id long, cost double"), "cost", "id", 5)
+    assert none.count() == 0
