@@ -51,6 +51,17 @@ def test_linear_search_equals_refits(spark, frame):
     assert abs(got["mae"] - best) < 1e-6
 
 
+def test_board_shares_features_and_keeps_no_model(spark, frame):
+    ests = {n: e for n, e in M.estimators("eta", 400, 20.0).items() if n in ("Ridge", "DecisionTree")}
+    got = M.oof_board(frame, "id", "y", ["a", "b", "c"], ["kind"], ests, k=2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF" not in plan  # stored predictions: nothing refers to a model
+    for name, est in ests.items():
+        want = M.oof_predictions(frame, "id", "y", ["a", "b", "c"], ["kind"], name, est, k=2)
+        a, b = ({r["id"]: (r["actual"], r["prediction"]) for r in x.collect()} for x in (got.where(F.col("model") == name), want))
+        assert a.keys() == b.keys() and all(abs(a[i][j] - b[i][j]) < 1e-9 for i in a for j in (0, 1))
+
+
 def test_factors_are_checkpointed_in_every_iteration(spark, monkeypatch):
     seen = []
     fit = ALS.fit
