@@ -38,3 +38,20 @@ def test_few_rows_and_none(spark):
     two = one_fold.unionByName(one_fold.select((F.col("id") + 10).alias("id"), "x", F.lit(1).alias("fold"), (F.col("label") * 10).alias("label")))
     got = {r.id: r.prediction for r in NB.knn_regression(two, "id", "label", ["x"], "fold").collect()}
     assert got == {1: 15.0, 2: 15.0, 11: 1.5, 12: 1.5}
+
+
+def test_folds_that_are_regions(spark, monkeypatch):
+    """A cell of one fold gives its queries no bound; they must not go to every cell for that, and rows at infinity are no rows."""
+    r = np.random.default_rng(3)
+    xy = r.uniform(-1, 1, (1200, 2))
+    rows = [(i, float(x), float(y), int(x > 0) + 2 * int(y > 0), float(i % 11)) for i, (x, y) in enumerate(xy)]
+    stored, keep = [], NB.materialize
+    monkeypatch.setattr(NB, "materialize", lambda df: stored.append(keep(df)) or stored[-1])
+    visits = []
+    monkeypatch.setattr(NB, "discard", lambda *tables: visits.extend(t.count() for t in tables if t is not None and "_t" in t.columns))
+    df = spark.createDataFrame([*rows, (5000, float("inf"), 0.0, 0, 1.0)], "id long, x double, y double, fold int, label double")
+    got = {g.id: (g.actual, g.prediction, g.nearest) for g in NB.knn_regression(df, "id", "label", ["x", "y"], "fold", 10, 20).collect()}
+    want = brute(rows, 10)
+    assert got.keys() == want.keys()
+    assert all(got[i][2] == n and abs(got[i][1] - p) < 1e-9 for i, (_, p, n) in want.items())
+    assert sum(visits) < 15 * len(rows)
