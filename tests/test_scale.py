@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ladle.plans import scale
 from ladle.plans.scale import exact_quantiles, global_rank, running_total, top_k_per_group
 
 
@@ -80,3 +81,19 @@ def test_null_and_text_tiebreaks(spark):
     assert {r["id"]: r["one_cum"] for r in by_id.collect()} == {2: 1, None: 2, 1: 3, 3: 4}
     by_text = running_total(df.withColumn("one", F.lit(1)), [], "v", ["one"], tiebreak=["s"], buckets=4)
     assert {r["s"]: r["one_cum"] for r in by_text.collect()} == {"w": 1, "x": 2, "y": 3, "z": 4}
+
+
+def test_interactions_are_grouped_in_pieces_that_follow_the_rows(spark, tmp_path, monkeypatch):
+    from ladle.sources.fixtures import interactions
+    lines = [(i % 30 or None, i % 7 or None, float(i % 9)) for i in range(120)] + [(1, 1, 3.0)] * 60  # one pair holds a third
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    users = {i: i % 4 or None for i in range(1, 30)}
+    spark.createDataFrame([*users.items()], "o_orderkey long, o_custkey long").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    want = {}
+    for o, p, q in lines:
+        if o is not None:
+            want.setdefault((users[o], p), []).append(1 + q % 5)
+    monkeypatch.setattr(scale, "PIECE_ROWS", 10, raising=False)
+    got = interactions(spark, str(tmp_path))
+    assert {(r.user_id, r.restaurant_id): r.rating for r in got.collect()} == {k: sum(v) / len(v) for k, v in want.items()}
+    assert got.rdd.getNumPartitions() == 18
