@@ -109,15 +109,24 @@ def _cell_links(core: DataFrame, eps: float, block_rows: int) -> tuple[DataFrame
     return cells, materialize(links.unionByName(found.distinct()))
 
 
-def dbscan_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, cluster) with clusters numbered from 0 by their smallest core point; see the module."""
-    raw = points.select(F.col(id_col), *[F.col(c).cast("double").alias(n) for c, n in zip(cols, ("x", "y"))]).where("x IS NOT NULL AND y IS NOT NULL")
-    p = raw.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+def _coordinates(points: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
+    return points.select(F.col(id_col), *[F.col(c).cast("double").alias(n) for c, n in zip(cols, ("x", "y"))]).where("x IS NOT NULL AND y IS NOT NULL")
+
+
+def dense_places(points: DataFrame, cols: Sequence[str], id_col: str) -> DataFrame:
+    """(x, y, w, ids, id), stored: the distinct points with their number, and those of them with an ``id_col``; ``id`` numbers the places."""
+    p = _coordinates(points, id_col, cols).groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"), F.count(id_col).alias("ids"))
     # ids by rank: two places never share one
-    p = global_rank(p.withColumn("_h", F.xxhash64("x", "y").cast("double")), [], "_h", "x", descending=False, rank_col="id", tiebreak=["y"], split_ties=False).drop("_h")
+    p = materialize(p.withColumn("_h", F.xxhash64("x", "y").cast("double")))
+    ranked = materialize(global_rank(p, [], "_h", "x", descending=False, rank_col="id", tiebreak=["y"], split_ties=False).drop("_h").withColumn("id", F.col("id").cast("long")))
+    discard(p)
+    return ranked
+
+
+def place_labels(places: DataFrame, eps: float, min_samples: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(x, y, ids, cluster) of ``dense_places``: clusters numbered from 0 by their smallest core point, noise -1; see the module."""
     side = eps / math.sqrt(2) * (1 - 1e-9)  # a cell's corners are within eps of each other whatever is rounded
-    p = p.withColumns({"cx": F.floor(F.col("x") / side).cast("long"), "cy": F.floor(F.col("y") / side).cast("long")})
-    p = materialize(p.withColumn("id", F.col("id").cast("long")))
+    p = places.withColumns({"cx": F.floor(F.col("x") / side).cast("long"), "cy": F.floor(F.col("y") / side).cast("long")})
     cells = materialize(p.groupBy("cx", "cy").agg(F.sum("w").alias("weight"), F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks")))
     p = materialize(p.join(cells, ["cx", "cy"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
     full = F.col("weight") >= min_samples
@@ -134,8 +143,14 @@ def dbscan_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: floa
     of_cell = nodes.select("cx", "cy", "node").join(label, "node").select("cx", "cy", "label")
     of_core = materialize(core.join(of_cell, ["cx", "cy"]).select("id", "label"))
     border = seen.join(of_core.withColumnRenamed("id", "id2"), "id2").groupBy("id1").agg(F.min("label").alias("nearby"))
-    lab = p.select("id", "x", "y").join(of_core, "id", "left").join(border.withColumnRenamed("id1", "id"), "id", "left")
-    lab = lab.select("x", "y", F.coalesce("label", "nearby").alias("label"))
+    lab = p.select("id", "x", "y", "ids").join(of_core, "id", "left").join(border.withColumnRenamed("id1", "id"), "id", "left")
+    lab = lab.select("x", "y", "ids", F.coalesce("label", "nearby").alias("label"))
     numbers = global_rank(label.select("label").distinct(), [], "label", "label", descending=False, rank_col="cluster", split_ties=False)
     lab = lab.join(numbers.select("label", (F.col("cluster") - 1).cast("bigint").alias("cluster")), "label", "left")
-    return raw.join(lab.select("x", "y", F.coalesce("cluster", F.lit(-1).cast("bigint")).alias("cluster")), ["x", "y"]).select(id_col, "cluster")
+    return lab.select("x", "y", "ids", F.coalesce("cluster", F.lit(-1).cast("bigint")).alias("cluster"))
+
+
+def dbscan_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, cluster) of every point with both coordinates; see the module."""
+    lab = place_labels(dense_places(points, cols, id_col), eps, min_samples, block_rows)
+    return _coordinates(points, id_col, cols).join(lab.drop("ids"), ["x", "y"]).select(id_col, "cluster")
