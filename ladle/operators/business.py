@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.config import DEFAULTS
 from ladle.dims import WEIGHT_PROFILES
-from ladle.plans.scale import global_rank, join_on, running_total, top_k_per_group, with_stats
+from ladle.plans.scale import discard, global_rank, join_on, materialize, running_total, top_k_per_group, with_stats
 
 
 def minmax(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -181,6 +181,23 @@ def sla_confusion(df: DataFrame, actual: str = "actual_min", predicted: str = "p
 
 
 # ---- dispatch -----------------------------------------------------------------
+#: Rows of a group that one task ranks.
+GROUP_ROWS = 100_000
+
+
+def rank_in_groups(df: DataFrame, keys: Sequence[str], score: str, id_col: str, rank_col: str, rows: int = GROUP_ROWS) -> DataFrame:
+    """1-based rank of every row per ``keys`` by (score, id). A group of at most ``rows`` rows is ordered in a
+    task; only larger ones go through ``global_rank``, whose bounds for each group and buckets cost more than sorting a small group."""
+    keys = list(keys)
+    large = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).drop("_n"))
+    window = lambda d: d.withColumn(rank_col, F.row_number().over(Window.partitionBy(*keys).orderBy(score, id_col)).cast("long"))
+    if not large.limit(1).count():
+        discard(large)
+        return window(df)
+    split = global_rank(join_on(df, large, keys, "left_semi"), keys, score, id_col, descending=False, rank_col=rank_col)
+    return window(join_on(df, large, keys, "left_anti")).unionByName(split.withColumn(rank_col, F.col(rank_col).cast("long")))
+
+
 def assign_separable(orders: DataFrame, partners: DataFrame, group: Sequence[str], zone: str,
                      order_id: str = "order_id", time_col: str = "predicted_min",
                      partner_id: str = "partner_id", factor: str = "factor") -> DataFrame:
@@ -188,14 +205,14 @@ def assign_separable(orders: DataFrame, partners: DataFrame, group: Sequence[str
 
     By the rearrangement inequality the optimum takes the m = min(n, p)
     quickest orders of a group and pairs the slowest of them with the
-    smallest factor. Orders are ranked per group and partners per zone with
-    the bucketed running count, then joined on (zone, rank): no pairs are
+    smallest factor. Orders are ranked per group and partners per zone
+    (``rank_in_groups``), then joined on (zone, rank): no pairs are
     enumerated and no partner cap is needed.
     """
     group = list(group)
-    o = global_rank(orders, group, time_col, order_id, descending=False, rank_col="_k")
+    o = rank_in_groups(orders, group, time_col, order_id, "_k")
     n = orders.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    p = global_rank(partners, [zone], factor, partner_id, descending=False, rank_col="_j")
+    p = rank_in_groups(partners, [zone], factor, partner_id, "_j")
     pc = partners.groupBy(zone).agg(F.count(F.lit(1)).alias("_p"))
     o = join_on(join_on(o, n, group), pc, [zone]).withColumn("_m", F.least("_n", "_p")).where(F.col("_k") <= F.col("_m"))
     o = o.withColumn("_j", F.col("_m") - F.col("_k") + 1)
@@ -248,10 +265,10 @@ def assign_least_loaded(orders: DataFrame, partners: DataFrame, group: Sequence[
     group = list(group)
     orders = orders.where(F.col(order_id).isNotNull() & F.col(time_col).isNotNull())
     partners = partners.where(F.col(partner_id).isNotNull() & F.col("factor").isNotNull())
-    p = global_rank(partners, [zone], partner_id, partner_id, descending=False, rank_col="_j")
+    p = rank_in_groups(partners, [zone], partner_id, partner_id, "_j")
     n = orders.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min(time_col).alias("_tmin"))
     pc = partners.groupBy(zone).agg(F.count(F.lit(1)).alias("_p"), F.min("factor").alias("_fmin"))
-    sizes = join_on(n, pc, [zone])
+    sizes = materialize(join_on(n, pc, [zone]))
     # Fast path, exact: with positive costs and no more orders than partners,
     # every order finds an idle partner, so the k-th order (in sequence) goes
     # to the k-th partner. Only overloaded groups need the sequential loop.
@@ -259,8 +276,7 @@ def assign_least_loaded(orders: DataFrame, partners: DataFrame, group: Sequence[
     easy_groups = sizes.where(easy).select(*group)
     hard_groups = sizes.where(~easy).select(*group, "_n", "_p")
     seq_ts = orders.withColumn("_s", F.unix_micros(F.col(seq).cast("timestamp")))
-    ranked = global_rank(join_on(seq_ts, easy_groups, group, "left_semi"), group, "_s", order_id,
-                         descending=False, rank_col="_j")
+    ranked = rank_in_groups(join_on(seq_ts, easy_groups, group, "left_semi"), group, "_s", order_id, "_j")
     fast = join_on(ranked, p.select(zone, "_j", partner_id, "factor"), [zone, "_j"]).select(
         *group, F.col(order_id).cast("long").alias("order_id"), F.col(partner_id).cast("long").alias("partner_id"),
         (F.col(time_col) * F.col("factor")).alias("cost"))
@@ -285,6 +301,8 @@ def compare_assignment(separable: DataFrame, least_loaded: DataFrame, group: Seq
     compares the same orders; ``improvement_all_orders_pct`` is the original's
     literal figure, whose base also holds orders that G11 leaves unserved."""
     group = list(group)
+    separable = materialize(separable.select(*group, "order_id", "cost"))  # each is read twice
+    least_loaded = materialize(least_loaded.select(*group, "order_id", "cost"))
     opt = separable.groupBy(*group).agg(F.sum("cost").alias("optimized_total_min"))
     nav = least_loaded.groupBy(*group).agg(F.sum("cost").alias("naive_total_min"))
     same = join_on(least_loaded, separable.select(*group, "order_id"), [*group, "order_id"]) \

@@ -8,6 +8,7 @@ from ladle.dims import SENSITIVITY_WEIGHTINGS, WEIGHT_PROFILES
 from ladle.operators import business as B
 from ladle.plans.catalog import finish, register
 from ladle.plans.common import SCENARIO_SQL, scenario_frame
+from ladle.plans.scale import materialize
 from ladle.plans.sql_blocks import restaurants_clean
 from ladle.plans.views_sql import with_views
 from ladle.sources.fixtures import outcomes, table
@@ -245,7 +246,7 @@ def q_least_loaded(spark, sf):
 
 @register("compare_assignment")
 def q_compare(spark, sf):
-    o, p = dispatch_orders(spark, sf), dispatch_partners(spark, sf)
+    o, p = materialize(dispatch_orders(spark, sf)), materialize(dispatch_partners(spark, sf))
     sep = B.assign_separable(o, p, ["zone", "dispatch_window"], "zone")
     ll = B.assign_least_loaded(o, p, ["zone", "dispatch_window"], "zone")
     return finish(B.compare_assignment(sep, ll, ["zone", "dispatch_window"]))
