@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.operators.recommend import holds
-from ladle.plans.scale import running_total, top_k_per_group, with_stats
+from ladle.plans.scale import materialize, running_total, top_k_per_group, with_stats
 
 GRAM = 3
 SALT_ROWS = 20_000
@@ -61,11 +61,11 @@ def match_requests(requests: DataFrame, key: str, table: DataFrame, texts: Seque
     wants = requests.select(key, F.explode(F.when(F.size(asked) > 0, asked).otherwise(open_gram)).alias("_g")).select(key, "_g.*")
     has = F.concat(open_gram, *[_tagged(i, _held(F.col(t))) for i, (_, t) in enumerate(texts)])
     rows = table.select(id_col, F.explode(has).alias("_g")).select(id_col, "_g.*")
-    rows = rows.join(wants.select("_col", "_gram").distinct(), ["_col", "_gram"], "left_semi")
+    rows = materialize(rows.join(wants.select("_col", "_gram").distinct(), ["_col", "_gram"], "left_semi"))  # grams are taken once
     counts = rows.groupBy("_col", "_gram").agg(F.count(F.lit(1)).alias("_n"))
     # a gram that no row has rules its request out
-    best = wants.join(counts, ["_col", "_gram"], "left").groupBy(key).agg(
-        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_col", "_gram")).alias("_g")).select(key, "_g.*").where("_n > 0")
+    best = materialize(wants.join(counts, ["_col", "_gram"], "left").groupBy(key).agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_col", "_gram")).alias("_g")).select(key, "_g.*").where("_n > 0"))
     salts = F.ceil(F.col("_n") / salt_rows).cast("int")
     used = best.select("_col", "_gram", salts.alias("_salts")).distinct()
     met = (rows.join(used, ["_col", "_gram"])
