@@ -43,6 +43,8 @@ from ladle.llm.packing import tokenizer_path
 from ladle.llm.pieces import MARK, model_path
 
 CHUNK = 2 << 20
+#: Chunks of a stored row group: what a task holds of them when it writes or reads them, whatever its share of the table.
+GROUP_CHUNKS = 4
 
 
 class Vocabularies:
@@ -239,7 +241,7 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _chunked(df: DataFrame, id_col: str, text_col: str, path_a: str | None, path_b: str | None) -> DataFrame:
     bounded_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    return stored(rows.mapInArrow(tidy(_read(path_a or tokenizer_path(), path_b or model_path())), _CHUNKS))
+    return stored(rows.mapInArrow(tidy(_read(path_a or tokenizer_path(), path_b or model_path())), _CHUNKS), GROUP_CHUNKS)
 
 
 def _counted(chunked: DataFrame) -> DataFrame:

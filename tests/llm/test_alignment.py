@@ -103,3 +103,13 @@ def test_groups_are_byte_ranges(spark, docs):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert align.digests(empty).collect() == [] and align.id_pairs(empty).collect() == []
+
+
+def test_stored_chunks_are_read_in_bounded_runs(spark, monkeypatch):
+    import pyarrow.dataset as ds
+
+    monkeypatch.setattr(align, "CHUNK", 200)
+    df = spark.createDataFrame([(i, f"some words of text {i} and a few more of them") for i in range(200)], "doc_id long, text string").coalesce(1)
+    chunked = align._chunked(df, "doc_id", "text", None, None)
+    groups = [f.metadata.row_group(g).num_rows for f in ds.dataset(chunked.stored_at.removeprefix("file:")).get_fragments() for g in range(f.metadata.num_row_groups)]
+    assert sum(groups) > 20 and max(groups) <= align.GROUP_CHUNKS
