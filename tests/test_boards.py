@@ -69,3 +69,18 @@ def test_factors_are_checkpointed_in_every_iteration(spark, monkeypatch):
     model = S.train_cf(spark.createDataFrame([(u, i, float((u * i) % 5)) for u in range(6) for i in range(4)],
                                              "user_id long, restaurant_id long, rating double"), rank=2, max_iter=2)
     assert seen == [1] and model.userFactors.count() == 6
+
+
+def test_blocks_follow_the_ratings(spark, monkeypatch):
+    assert S._blocks(1_000_000, 10**9, 50) == S.BLOCKS  # as MLlib's default
+    for ratings, others in ((216_000_000, 7_200_000), (10**10, 10**8), (10**10, 100)):
+        n = S._blocks(ratings, others, 50)
+        assert min(others, ratings / n) * 224 <= S.BLOCK_BYTES and ratings / n * S.RATING_BYTES <= S.BLOCK_BYTES
+    seen = []
+    fit = ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, *a, **kw: seen.append((self.getNumUserBlocks(), self.getNumItemBlocks())) or fit(self, *a, **kw))
+    monkeypatch.setattr(S, "BLOCK_BYTES", 24)
+    monkeypatch.setattr(S, "DEALT_ROWS", 10)
+    model = S.train_cf(spark.createDataFrame([(u, i, float((u * i) % 5)) for u in range(6) for i in range(4)],
+                                             "user_id long, restaurant_id long, rating double"), rank=2, max_iter=2)
+    assert seen == [(32, 32)] and model.userFactors.count() == 6 and model.itemFactors.count() == 4
